@@ -6,18 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataforge.llm import simhash
+from strataforge.llm import quality_rules, simhash, urlfilter
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.page_verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.document_verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_url_filters": op5_url_filters,
         "op8_simhash": op8_simhash,
+        "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_url_filters": urlfilter.page_verdicts_sql(),
+        "op10_quality_rules": quality_rules.document_verdicts_sql(),
+    }
