@@ -10,8 +10,8 @@ from exact counts, so a rare language is taken whole and a hot one costs no more
 only what was seen often enough reaches the driver, MOST_ENTRIES most frequent entries of a language and length at most.
 Prediction is one pass without a shuffle.
 
-Edge cases: a text that is null or has no letter is `und` with score 0; a null lang teaches nothing; without any labelled text
-every text is `und`; equal scores go to the first language in order; repeated rows get equal results; other columns are ignored,
+Edge cases: a text that is null or has no letter is `und` with score 0; a null lang or a text without letters teaches nothing; without
+anything learned every text is `und`; equal scores go to the first language in order; repeated rows get equal results; other columns are ignored,
 whatever their names; an empty table gives an empty result.
 """
 
@@ -191,7 +191,7 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     top = often.withColumn("k", F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "entry"))).filter(F.col("k") <= MOST_ENTRIES)
     table = top.select("lang", "size", "entry", "n").toArrow()
     rows = sorted(zip(*(table.column(c).to_pylist() for c in ("lang", "size", "entry", "n")), strict=True))
-    return Model(sorted(last), rows)
+    return Model(sorted({r[0] for r in rows}), rows)
 
 
 def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
