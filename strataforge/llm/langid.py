@@ -95,7 +95,8 @@ class Model:
         for lang, size, entry, n in rows:
             counts[(self.words if size == 0 else self.grams)[entry], column[lang]] += n
         kind = np.array([*sizes, 1], np.int64)
-        totals = np.stack([np.bincount(kind, counts[:, i], LONGEST + 1) for i in range(len(langs))], 1)
+        totals = np.zeros((LONGEST + 1, len(langs)))
+        np.add.at(totals, kind, counts)
         known = np.bincount(kind, minlength=LONGEST + 1)[:, None]
         self.table = np.log((counts + 0.5) / (totals + 0.5 * known + 1)[kind])
 
