@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataforge.llm import langid, quality_model, quality_rules, simhash, urlfilter
+from strataforge.llm import htmltext, langid, quality_model, quality_rules, simhash, urlfilter
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.scored_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), quality_model.labels_of(spark, sf_dir))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.page_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.page_verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -32,6 +36,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_classifier": op2_quality_classifier,
+        "op3_html_extraction": op3_html_extraction,
         "op5_url_filters": op5_url_filters,
         "op7_language_id": op7_language_id,
         "op8_simhash": op8_simhash,
