@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataforge.llm import htmltext, langid, quality_model, quality_rules, simhash, urlfilter
+from strataforge.llm import htmltext, langid, quality_model, quality_rules, simhash, urlfilter, warc
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.document_verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -40,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_url_filters": op5_url_filters,
         "op7_language_id": op7_language_id,
         "op8_simhash": op8_simhash,
+        "op9_warc": op9_warc,
         "op10_quality_rules": op10_quality_rules,
     }
 
@@ -47,5 +52,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_url_filters": urlfilter.page_verdicts_sql(),
+        "op9_warc": warc.page_records_sql(),
         "op10_quality_rules": quality_rules.document_verdicts_sql(),
     }
