@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataforge.llm import htmltext, langid, quality_model, quality_rules, simhash, urlfilter, warc
+from strataforge.llm import decontaminate, htmltext, langid, packing, quality_model, quality_rules, simhash, urlfilter, warc
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +25,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.page_verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted_languages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -39,9 +47,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_best_fit_packing": op1_best_fit_packing,
         "op2_quality_classifier": op2_quality_classifier,
         "op3_html_extraction": op3_html_extraction,
         "op5_url_filters": op5_url_filters,
+        "op6_decontamination": op6_decontamination,
         "op7_language_id": op7_language_id,
         "op8_simhash": op8_simhash,
         "op9_warc": op9_warc,
