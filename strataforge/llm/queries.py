@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataforge.llm import decontaminate, htmltext, langid, packing, quality_model, quality_rules, simhash, urlfilter, warc
+from strataforge.llm import decontaminate, htmltext, langid, lm, packing, quality_model, quality_rules, simhash, urlfilter, warc
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.page_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.page_verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -50,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_quality_classifier": op2_quality_classifier,
         "op3_html_extraction": op3_html_extraction,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_url_filters": op5_url_filters,
         "op6_decontamination": op6_decontamination,
         "op7_language_id": op7_language_id,
