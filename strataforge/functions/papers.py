@@ -68,8 +68,8 @@ def penalised(text: Column, terms: Column) -> Column:
     return F.exists(terms, lambda t: F.contains(text, F.lower(t))) & ~F.contains(text, F.lit("adult"))
 
 
-def study_type(title: Column, abstract: Column) -> Column:
-    text = F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(abstract, F.lit(""))))
+def study_type(text: Column) -> Column:
+    """From title and abstract in lower case; a column, so that it is not made anew for each pattern."""
     out = F
     for name, pattern in STUDY_PATTERNS:
         out = out.when(text.rlike(pattern), name)
@@ -92,22 +92,16 @@ def recency(year: Column, as_of_year: int) -> Column:
     return F.when(year.isNull() | (year == 0), F.lit(OTHER)).when(age <= 2, F.lit(1.0)).when(age <= DECAY_YEARS, 1.0 - age / DECAY_YEARS * 0.5).otherwise(late)
 
 
-def raw_score(text: Column, detected: Column, year: Column, open_access: Column, keywords: Column, boosts: Column, penalties: Column, as_of_year: int) -> Column:
-    """The weighted score, not yet rounded."""
-    parts = {
-        "keyword_match": keyword_share(text, keywords),
-        "boost_term_match": keyword_share(text, boosts, boost=True),
-        "study_type_bonus": study_type_score(text, detected),
-        "recency_bonus": recency(year, as_of_year),
-        "open_access_bonus": F.when(open_access, F.lit(1.0)).otherwise(F.lit(0.0)),
-    }
-    total = sum((parts[k] * F.lit(w) for k, w in WEIGHTS.items()), F.lit(0.0))
-    return F.when(penalised(text, penalties), F.lit(0.0)).otherwise(F.least(total / F.lit(sum(WEIGHTS.values())), F.lit(1.0)))
+def fixed_part(text: Column, detected: Column, year: Column, open_access: Column, as_of_year: int) -> Column:
+    """What a paper scores whatever the topic."""
+    parts = {"study_type_bonus": study_type_score(text, detected), "recency_bonus": recency(year, as_of_year), "open_access_bonus": F.when(open_access, F.lit(1.0)).otherwise(F.lit(0.0))}
+    return sum((parts[k] * F.lit(WEIGHTS[k]) for k in parts), F.lit(0.0))
 
 
-def paper_score(*args, **kwargs) -> Column:
-    """Rounded half to even at three digits."""
-    return F.bround(raw_score(*args, **kwargs), 3)
+def raw_score(text: Column, fixed: Column, keywords: Column, boosts: Column, penalties: Column) -> Column:
+    """The weighted score for a topic, not yet rounded."""
+    total = keyword_share(text, keywords) * F.lit(WEIGHTS["keyword_match"]) + keyword_share(text, boosts, boost=True) * F.lit(WEIGHTS["boost_term_match"]) + fixed
+    return F.when(penalised(text, penalties), F.lit(0.0)).otherwise(F.least(total / F.lit(sum(WEIGHTS.values())), F.lit(1.0)))
 
 
 def year_in(text: Column) -> Column:

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataforge.functions.papers import paper_text, raw_score, study_type
+from strataforge.functions.papers import fixed_part, paper_text, raw_score, study_type
 from strataforge.operators.rounds import kept
 
 
@@ -15,10 +15,13 @@ def score_papers(papers: DataFrame, topics: DataFrame, as_of_year: int, most_top
     checked to be small, then broadcast, so papers are not shuffled. digits None leaves the score unrounded."""
     if topics.limit(most_topics + 1).count() > most_topics:
         raise ValueError(f"more than {most_topics} topics")
-    typed = papers.withColumn("study_type", study_type(F.col("title"), F.col("abstract"))).withColumn("paper_text", paper_text(F.col("title"), F.col("abstract"), F.col("journal")))
-    score = raw_score(F.col("paper_text"), F.col("study_type"), F.col("year"), F.col("is_open_access"), F.col("keywords"), F.col("boost_terms"), F.col("penalty_terms"), as_of_year)
-    both = typed.join(F.broadcast(topics), F.lit(True))
-    return both.withColumn("relevance_score", score if digits is None else F.bround(score, digits)).drop("paper_text", "keywords", "boost_terms", "penalty_terms")
+    about = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit(""))))
+    text = papers.withColumn("study_text", about).withColumn("paper_text", paper_text(F.col("title"), F.col("abstract"), F.col("journal")))
+    typed = text.withColumn("study_type", study_type(F.col("study_text"))).drop("study_text")
+    fixed = typed.withColumn("fixed_part", fixed_part(F.col("paper_text"), F.col("study_type"), F.col("year"), F.col("is_open_access"), as_of_year))
+    score = raw_score(F.col("paper_text"), F.col("fixed_part"), F.col("keywords"), F.col("boost_terms"), F.col("penalty_terms"))
+    both = fixed.join(F.broadcast(topics), F.lit(True))
+    return both.withColumn("relevance_score", score if digits is None else F.bround(score, digits)).drop("paper_text", "fixed_part", "keywords", "boost_terms", "penalty_terms")
 
 
 def rank(scored: DataFrame, least: float = 0.4, most: int = 20, key: str = "paper_id") -> DataFrame:

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataforge.functions.vectors import cosine, hash_vector
+from strataforge.functions.vectors import cosine_to, hash_vector_of
 
 
-def score(vectors: DataFrame, query: Column, vector: str = "vector") -> DataFrame:
-    """Adds the cosine to the query (a literal or foldable expression), rounded to six digits."""
-    return vectors.withColumn("score", F.round(cosine(F.col(vector), query), 6))
+def score(vectors: DataFrame, query: list[float], vector: str = "vector") -> DataFrame:
+    """Adds the cosine to the query, rounded to six digits."""
+    return vectors.withColumn("score", F.round(cosine_to(F.col(vector), query), 6))
 
 
 def top_k(scored: DataFrame, k: int, key: str) -> DataFrame:
@@ -32,7 +32,7 @@ def search(embeddings: DataFrame, evidence: DataFrame, query: str, k: int = 5, d
     for name, value in (("domain", domain), ("topic", topic)):
         if value is not None:
             embeddings = embeddings.filter(F.col(name) == value)
-    best = top_k(score(embeddings, hash_vector(F.lit(query))), k, "embedding_id").select("embedding_id", "chunk_id", "evidence_id", "score")
+    best = top_k(score(embeddings, hash_vector_of(query)), k, "embedding_id").select("embedding_id", "chunk_id", "evidence_id", "score")
     fields = evidence.select("evidence_id", F.col("document_id").cast("string").alias("document_id"), "chapter_id", "token_count", "content_preview", "hash_sha256")
     wanted = fields.join(F.broadcast(best.select("evidence_id").distinct()), "evidence_id", "left_semi")  # k rows at most
     last = wanted.groupBy("evidence_id").agg(F.max_by(F.struct("document_id", "chapter_id", "token_count", "content_preview"), "hash_sha256").alias("e"))

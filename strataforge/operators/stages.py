@@ -5,20 +5,38 @@ names, so chapters of one document cannot overwrite each other."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from strataforge.functions.text import chapter_key, nonempty, preview, safe_title, slug, token_count, windows
 from strataforge.functions.vectors import MODEL, hash_vector
 from strataforge.operators import textplan
 
 
-def rows_of(names: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[] for _ in names]
-    return pa.record_batch([pa.array(list(c), t) for c, (_, t) in zip(columns, names, strict=True)], [n for n, _ in names])
+def planned(df: DataFrame, args: list[str], plan: Callable[..., list[tuple]], made: str, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Applies a planner to the args of each row; every tuple that it returns becomes a row with the made columns beside the
+    row's others (args in drop excepted). One Arrow pass: nothing is joined back, nothing shuffled."""
+    fields = T.StructType.fromDDL(made)
+    kept = [c for c in df.columns if c not in drop and c not in fields.names]
+    kinds = to_arrow_schema(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            index, rows = [], []
+            for i, values in enumerate(zip(*(batch.column(a).to_pylist() for a in args), strict=True)):
+                out = plan(*values)
+                rows += out
+                index += [i] * len(out)
+            columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
+            old = [batch.column(c).take(pa.array(index, pa.int64())) for c in kept]
+            yield pa.RecordBatch.from_arrays([*old, *(pa.array(list(c), f.type) for c, f in zip(columns, kinds, strict=True))], [*kept, *fields.names])
+
+    return df.mapInArrow(run, T.StructType([*(df.schema[c] for c in kept), *fields.fields]))
 
 
 def document_names(raw: DataFrame) -> DataFrame:
@@ -36,22 +54,14 @@ def document_names(raw: DataFrame) -> DataFrame:
 def normalise_documents(raw: DataFrame, domain: str, topic: str = "general") -> DataFrame:
     """raw: document_id, rel_path, ext, mtime (ISO text), sha256, markdown. Front matter filled in and overwritten where the
     source decides, bodies made regular, warnings kept; `changed` tells whether the text was already regular."""
-    kinds = [("document_id", pa.string()), ("fields", pa.map_(pa.string(), pa.string())), ("body", pa.string()), ("warnings", pa.list_(pa.string())), ("had_fields", pa.bool_())]
+    def plan(ident: str, text: str | None) -> list[tuple]:
+        fields, body = textplan.front_matter(text or "")
+        body, warnings = textplan.normalise_body(body, ident)
+        return [(list(fields.items()), body, warnings if fields else ["Missing frontmatter; created new frontmatter block.", *warnings], bool(fields))]
 
-    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for ident, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                fields, body = textplan.front_matter(text or "")
-                body, warnings = textplan.normalise_body(body, ident)
-                if not fields:
-                    warnings.insert(0, "Missing frontmatter; created new frontmatter block.")
-                out.append((ident, list(fields.items()), body, warnings, bool(fields)))
-            yield rows_of(kinds, out)
-
-    planned = raw.select("document_id", "markdown").mapInArrow(plan, "document_id string, fields map<string,string>, body string, warnings array<string>, had_fields boolean")
+    made = planned(raw, ["document_id", "markdown"], plan, "fields map<string,string>, body string, warnings array<string>, had_fields boolean", drop=("markdown",))
     f = F.col("fields")
-    return planned.join(raw.drop("markdown"), "document_id").select(
+    return made.select(
         nonempty(f["document_id"], F.col("document_id")).alias("document_id"),
         nonempty(f["source_id"], F.col("document_id")).alias("source_id"),
         F.lit(domain).alias("domain"),
@@ -71,21 +81,16 @@ def normalise_documents(raw: DataFrame, domain: str, topic: str = "general") ->
 
 def split_chapters(documents: DataFrame, level: int | None = None, min_words: int = 30, parity: bool = False) -> DataFrame:
     """A row per chapter with at least min_words words; numbers and totals count all chapters of the document."""
-    kinds = [("document_id", pa.string()), ("chapter", pa.int32()), ("chapters_total", pa.int32()), ("split_level", pa.int32()), ("title", pa.string()), ("body", pa.string()), ("word_count", pa.int32()), ("preamble", pa.string())]
+    def plan(body: str | None) -> list[tuple]:
+        before, found, deep = textplan.chapters(body or "", level, parity)
+        intro = "\n".join(before).strip()
+        return [(c.number, len(found), deep, c.title, c.body, c.words, intro) for c in found if c.words >= min_words]
 
-    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for ident, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                before, found, deep = textplan.chapters(body or "", level, parity)
-                out += [(ident, c.number, len(found), deep, c.title, c.body, c.words, "\n".join(before).strip()) for c in found]
-            yield rows_of(kinds, out)
-
-    cut = documents.select("document_id", "body").mapInArrow(plan, "document_id string, chapter int, chapters_total int, split_level int, title string, body string, word_count int, preamble string")
+    rows = documents.drop("warnings", "changed", "extra")
+    cut = planned(rows, ["body"], plan, "chapter int, chapters_total int, split_level int, title string, body string, word_count int, preamble string")
     wide = F.greatest(F.lit(3), F.length(F.col("chapters_total").cast("string")))
     name = F.concat("document_id", F.lit("_"), F.lpad(F.col("chapter").cast("string"), wide, F.lit("0")), F.lit("_"), safe_title(F.col("title"), F.col("chapter")), F.lit(".md"))
-    meta = documents.drop("body", "warnings", "changed", "extra")
-    return cut.filter(F.col("word_count") >= min_words).join(meta, "document_id").withColumn("file_name", name)
+    return cut.withColumn("file_name", name)
 
 
 def chapter_toc(chapters: DataFrame) -> DataFrame:
@@ -97,17 +102,11 @@ def chapter_toc(chapters: DataFrame) -> DataFrame:
 
 def plan_chunks(chapters: DataFrame, rules: textplan.Rules = textplan.Rules()) -> DataFrame:
     """A row per chunk of each chapter (document_id, chapter, body and the chapter's other fields)."""
-    kinds = [("document_id", pa.string()), ("chapter", pa.int32()), ("sequence", pa.int32()), ("content", pa.string()), ("token_count", pa.int32()), ("paragraph_start", pa.int32()), ("paragraph_end", pa.int32())]
-
-    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for ident, chapter, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out += [(ident, chapter, n, c.content, c.tokens, c.start, c.end) for n, c in enumerate(textplan.plan_chunks(body or "", rules), 1)]
-            yield rows_of(kinds, out)
+    def plan(body: str | None) -> list[tuple]:
+        return [(n, c.content, c.tokens, c.start, c.end) for n, c in enumerate(textplan.plan_chunks(body or "", rules), 1)]
 
-    cut = chapters.select("document_id", "chapter", "body").mapInArrow(plan, "document_id string, chapter int, sequence int, content string, token_count int, paragraph_start int, paragraph_end int")
-    return chunk_fields(cut.join(chapters.drop("body", "word_count", "preamble"), ["document_id", "chapter"]))
+    made = "sequence int, content string, token_count int, paragraph_start int, paragraph_end int"
+    return chunk_fields(planned(chapters.drop("word_count", "preamble"), ["body"], plan, made, drop=("body",)))
 
 
 def chunk_id(document_id: Column, chapter_id: Column, sequence: Column) -> Column:

@@ -15,6 +15,8 @@ from strataforge.functions import papers as P
 from strataforge.functions import text as X
 from strataforge.functions.vectors import hash_vector
 from strataforge.operators import audit, cleanup, incremental, literature, retrieval, stages, textplan, validate, wikigraph
+from strataforge.operators.rounds import kept
+from strataforge.sources.tables import spread, table
 from strataforge.streaming import events as E
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,10 +35,6 @@ def query(sql: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # ---- tokens, text functions
 
 
@@ -96,7 +94,7 @@ def chapter_ids(spark, d):
 
 def chunks_of(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("document_id"), F.col("lang").alias("topic"), "text")
-    return stages.fixed_chunks(docs)
+    return stages.fixed_chunks(spread(docs))
 
 
 CHUNKS = r"""w AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS ws FROM documents),
@@ -143,14 +141,14 @@ FOUND = EMBEDDED + f""", best AS (SELECT embedding_id, chunk_id, evidence_id, ro
 
 @query(f"WITH {FOUND} SELECT embedding_id, chunk_id, b.evidence_id, b.score, document_id::VARCHAR AS document_id, chapter_id, token_count, content_preview FROM best b JOIN evidence e USING (chunk_id)")
 def hash_search_topk(spark, d):
-    evidence = stages.build_evidence(chunks_of(spark, d))
+    evidence = kept(stages.build_evidence(chunks_of(spark, d)).drop("limitations"))  # the layer that both sides read
     return retrieval.search(stages.build_embeddings(evidence), evidence, "lorem ipsum", 5)
 
 
-@query(f"WITH {EMBEDDED} SELECT embedding_id, evidence_id, topic, round(list_sum(vector), 4) AS total FROM embedded")
+@query(f"WITH {EMBEDDED} SELECT embedding_id, evidence_id, topic, list_sum(list_transform(vector, lambda x: round(x * 1000000)::BIGINT))::BIGINT AS total FROM embedded")
 def embedding_build(spark, d):
     made = stages.build_embeddings(stages.build_evidence(chunks_of(spark, d)))
-    return made.select("embedding_id", "evidence_id", "topic", F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
+    return made.select("embedding_id", "evidence_id", "topic", F.aggregate("vector", F.lit(0).cast("long"), lambda a, x: a + F.round(x * 1000000).cast("long")).alias("total"))
 
 
 PAGE = r"""'# Topic ' || topic || chr(10) || chr(10) || 'Domain: corpus' || chr(10) || 'Entries: ' || count(*) || chr(10) || chr(10) ||
@@ -178,7 +176,7 @@ def query_vector(vectors: DataFrame) -> list[float]:
 
 def scored_vectors(spark, d):
     vectors = table(spark, d, "embeddings")
-    return retrieval.score(vectors, F.array(*(F.lit(x) for x in query_vector(vectors))), "embedding").select("vec_id", "label", "score")
+    return retrieval.score(vectors, query_vector(vectors), "embedding").select("vec_id", "label", "score")
 
 
 SCORED = "SELECT v.vec_id, v.label, round(list_cosine_similarity(v.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score FROM embeddings v, (SELECT embedding FROM embeddings WHERE vec_id = 0) q"
@@ -333,8 +331,9 @@ def layers(spark, d):
     """Chunks and evidence of the corpus with faults: every 7th document has no source, every 11th loses its chunks, every 13th
     evidence is there twice."""
     cut = chunks_of(spark, d).withColumn("source_id", F.when(F.col("document_id") % 7 == 0, "").otherwise(F.lit("s"))).withColumn("source_file", F.col("source_id"))
-    evidence = stages.build_evidence(cut.drop("text"))
-    evidence = evidence.unionByName(evidence.filter(F.col("document_id") % 13 == 0))
+    cut = kept(cut)  # as in a workspace, layers are tables that several checks read
+    evidence = stages.build_evidence(cut)
+    evidence = kept(evidence.unionByName(evidence.filter(F.col("document_id") % 13 == 0)))
     return cut.filter(F.col("document_id") % 11 != 0), evidence
 
 
@@ -584,7 +583,7 @@ def stale_links(spark, d):
 def papers(spark, d):
     """Documents as papers: the first line as title, the rest of the fields from the id."""
     i, t = F.col("doc_id"), F.col("text")
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents")).select(
         i.alias("paper_id"), F.substring(F.split(t, "\n")[0], 1, 80).alias("title"), t.alias("abstract"), F.col("source").alias("journal"), (F.lit(1995) + i % 31).cast("int").alias("year"),
         (i % 3 == 0).alias("is_open_access"), F.concat(F.lit("d"), (i % 97).cast("string")).alias("doi"), F.col("source"), (i % 4 == 0).alias("downloaded"),
     )
@@ -629,7 +628,7 @@ WHEN 5 THEN 'case-control' WHEN 6 THEN 'review' WHEN 7 THEN 'case report' ELSE '
 def study_types(spark, d):
     titles = ["A meta analysis", "Systematic review of x", "An RCT", "Prospective cohort", "Cross sectional data", "case-control", "In review", "A case report", "reviewing cases"]
     title = F.element_at(F.array(*(F.lit(t) for t in titles)), (F.col("o_orderkey") % 9 + 1).cast("int"))
-    return table(spark, d, "orders").select("o_orderkey", P.study_type(title, F.lit("")).alias("study_type"))
+    return table(spark, d, "orders").select("o_orderkey", title.alias("title")).select("o_orderkey", P.study_type(F.lower("title")).alias("study_type"))
 
 
 @query("SELECT source, count(*) AS papers, count(*) FILTER (doc_id % 4 = 0) AS downloaded, count(*) FILTER (doc_id % 3 = 0) AS open_access FROM documents GROUP BY source")
@@ -670,7 +669,7 @@ def greedy_dedup(spark, d):
 def chapter_rows(spark, d):
     """Documents with headings put in: every fifth line becomes a second-level heading of three words."""
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.when(i % 5 == 0, F.concat(F.lit("## "), F.array_join(F.slice(F.split(x, " "), 1, 3), " "), F.lit("\n\n"), x)).otherwise(F.concat(x, F.lit("\n"))))
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents"))
     return docs.select(F.col("doc_id").cast("string").alias("document_id"), F.col("source").alias("source_id"), F.lit("corpus").alias("domain"), F.col("lang").alias("topic"), F.concat("source", F.lit(".md")).alias("source_file"), F.lit("md").alias("source_format"), F.lit("2024-01-01").alias("created_at"), F.lit("2024-01-01").alias("updated_at"), F.sha2("text", 256).alias("hash_sha256"), F.array_join(lines, "\n").alias("body"))
 
 
@@ -694,7 +693,7 @@ def chunk_plan_full(spark, d):
 def normalised_documents(spark, d):
     from strataforge.sources import convert
 
-    pages = table(spark, d, "pages").select(F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("document_id"), F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("rel_path"), F.lit("html").alias("ext"), F.lit("2024-01-01T00:00:00Z").alias("mtime"), F.sha2("html", 256).alias("sha256"), F.col("html").cast("binary").alias("content"))
+    pages = spread(table(spark, d, "pages")).select(F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("document_id"), F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("rel_path"), F.lit("html").alias("ext"), F.lit("2024-01-01T00:00:00Z").alias("mtime"), F.sha2("html", 256).alias("sha256"), F.col("html").cast("binary").alias("content"))
     made = convert.to_markdown(pages)
     return stages.normalise_documents(made.filter("error is null"), "web").select("document_id", "source_id", "topic", "source_format", "hash_sha256", "body", F.size("warnings").alias("warnings"))
 
@@ -703,7 +702,7 @@ def normalised_documents(spark, d):
 def html_to_md(spark, d):
     from strataforge.sources import convert
 
-    return convert.to_markdown(table(spark, d, "pages").select("page_id", F.lit("html").alias("ext"), F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit(".html")).alias("rel_path"), F.col("html").cast("binary").alias("content"))).select("page_id", "markdown", "error")
+    return convert.to_markdown(spread(table(spark, d, "pages")).select("page_id", F.lit("html").alias("ext"), F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit(".html")).alias("rel_path"), F.col("html").cast("binary").alias("content"))).select("page_id", "markdown", "error")
 
 
 @query(f"WITH {FOUND} SELECT evidence_id AS id, score, 'evidence' AS layer, round(score * 0.75, 4) AS confidence FROM best")
