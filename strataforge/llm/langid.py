@@ -173,12 +173,12 @@ def predict(texts, model: Model) -> Iterator[tuple[str, float]]:
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """docs: doc_id, text, lang."""
     train = docs.filter("lang is not null and text is not null").filter(remainder(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang")
-    sizes = train.groupBy("lang").count()
-    # the fraction keeps a few more than asked for; the window below, over those alone, makes it exact
-    share = sizes.select("lang", F.least(F.lit(1.0), (1.2 * per_language + 50) / F.col("count")).alias("share"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    some = train.join(share, "lang").filter(place < F.col("share"))
-    ids = some.select("lang", "doc_id", place.alias("place")).withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id")))
+    # the fraction keeps a few more than asked for; the window below, over those alone, makes it exact
+    some = F.lit(False)
+    for r in train.groupBy("lang").count().collect():
+        some = some | ((F.col("lang") == r.lang) & (place < min(1.0, (1.2 * per_language + 50) / r["count"])))
+    ids = train.filter(some).select("lang", "doc_id", place.alias("place")).withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id")))
     last = {r.lang: r.last for r in ids.filter(F.col("k") <= per_language).groupBy("lang").agg(F.max("place").alias("last")).collect()}
     if not last:
         return Model([], [])
