@@ -92,7 +92,7 @@ def rejected_hosts(counted: DataFrame, host: str, column: str, limit: float = HO
         m, v = rates[r].m or 0.0, rates[r].v or 0.0
         strength = min(max(m * (1 - m) / v - 1, WEAKEST), STRONGEST) if v > 0 else UNVARIED
         bad = bad | ((F.col(r) + m * strength) / (F.col("n") + strength) > limit)
-    return written(sums.filter(bad).select("bad_host"), "bad-hosts")
+    return sums.filter(bad).select("bad_host")
 
 
 def apply_rules(docs: DataFrame, text: str = "text", host: str = "source", keep: list[str] | None = None) -> DataFrame:
