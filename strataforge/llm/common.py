@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +80,19 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted
+
+
+class Shared:
+    """A broadcast object. Its class travels with it, so executors need not have this package; `value` unpacks it once a task."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.packed, self.unpacked = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    def __getstate__(self):
+        return {"packed": self.packed, "unpacked": None}
+
+    @property
+    def value(self):
+        if self.unpacked is None:
+            self.unpacked = cloudpickle.loads(self.packed.value)
+        return self.unpacked

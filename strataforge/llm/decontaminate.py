@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataforge.llm.common import Shared
+
 SEED = 3
 STRETCH, RAREST = 6, 3
 SHARE, LONG = 0.5, 30
@@ -148,7 +150,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
 
 
 def _document_counts(docs: DataFrame, text: str, index: Index) -> np.ndarray:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = Shared(docs.sparkSession, index)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(shared.value.keys), np.int64)
@@ -183,7 +185,7 @@ def found_items(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Co
         if not len(index.keys):
             continue
         index.choose(_document_counts(docs, text, index))
-        columns.append(_search(docs.sparkSession.sparkContext.broadcast(index))(F.col(f"`{text}`")))
+        columns.append(_search(Shared(docs.sparkSession, index))(F.col(f"`{text}`")))
     return F.concat(*columns) if columns else F.array().cast(FOUND)
 
 

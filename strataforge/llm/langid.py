@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataforge.llm.common import remainder
+from strataforge.llm.common import Shared, remainder
 
 PER_LANGUAGE = 1500
 WORD_SEEN, GRAM_SEEN = 2, 3
@@ -197,7 +197,7 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
 def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Adds a struct column `language` with lang_pred and score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
     def of(column: pa.Array) -> pa.Array:

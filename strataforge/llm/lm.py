@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataforge.llm.common import remainder, written
+from strataforge.llm.common import Shared, remainder, written
 
 HEAD = 150_000
 CLASSES, BUCKETS = 256, 64  # class 0 is the end, which also stands before a text
@@ -265,7 +265,7 @@ def scored_documents(docs: DataFrame) -> DataFrame:
     some = train_docs.join(F.broadcast(ids), "doc_id").mapInArrow(classes, "doc_id long, classes binary").toArrow()
     order = np.argsort(some.column("doc_id").to_numpy(), kind="stable").tolist() if some.num_rows else []
     model = train([np.frombuffer(some.column("classes")[i].as_py(), np.int16).astype(np.int64) for i in order], vocabulary.share)
-    shared = spark.sparkContext.broadcast(Scorer(vocabulary, model))
+    shared = Shared(spark, Scorer(vocabulary, model))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared.value

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataforge.llm.common import written
+from strataforge.llm.common import Shared, written
 
 SIZES = (256, 512, 1024, 2048, 4096)
 SALTS = 512
@@ -171,7 +171,7 @@ def packed_documents(docs: DataFrame, sizes: Sequence[int] = SIZES, texts: bool
     pieces = written(docs.select("doc_id", "text").mapInArrow(_cut(max(sizes), texts), "doc_id long, piece long, first_token long, n_tokens long, text string").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "text"), F.lit(SALTS))), "pieces")
     counts = written(pieces.groupBy("n_tokens", "salt").count(), "lengths")
     plan = pack({r.n_tokens: r.n for r in counts.groupBy("n_tokens").agg(F.sum("count").alias("n")).collect()}, sizes)
-    shared = docs.sparkSession.sparkContext.broadcast(plan)
+    shared = Shared(docs.sparkSession, plan)
     whole = {"bin_id": T.LongType(), "bin_offset": T.LongType(), "bin_size": T.LongType()}
 
     @F.arrow_udf(T.StructType([T.StructField(k, v) for k, v in whole.items()]))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataforge.llm.common import free_name, remainder
+from strataforge.llm.common import Shared, free_name, remainder
 
 PASSAGE = 64
 WORD_SLOTS, SHAPE_SLOTS, STATS = 192, 56, 8
@@ -202,7 +202,7 @@ def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> dict[str, n
 
 
 def with_score(docs: DataFrame, model, text: str = "text", name: str = "score") -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     @F.arrow_udf(T.DoubleType())
     def of(column: pa.Array) -> pa.Array:

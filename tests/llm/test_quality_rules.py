@@ -1,7 +1,7 @@
 import random
 import re
 
-from oracle import same
+from llm_oracle import same
 
 from strataforge.llm import quality_rules as Q
 

@@ -1,4 +1,4 @@
-from oracle import same
+from llm_oracle import same
 
 from strataforge.llm import urlfilter as U
 

@@ -2,7 +2,7 @@ import gzip
 import random
 
 import pytest
-from oracle import same
+from llm_oracle import same
 
 from strataforge.llm import warc as W
 
