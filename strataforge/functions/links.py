@@ -61,3 +61,12 @@ def link_path(link: Column) -> Column:
 def meta_path(path: Column) -> Column:
     """A stored path as key: forward slashes, no leading ./ and lower case."""
     return F.regexp_replace(F.lower(F.replace(path, F.lit("\\"), F.lit("/"))), "^[./]+", "")
+
+
+def resolve_path(folder: Column, link: Column) -> Column:
+    """A link's path from a folder, `.` and `..` resolved; what would leave the root stays at it."""
+    joined = F.when(F.startswith(link, F.lit("/")), link).otherwise(F.concat(folder, F.lit("/"), link))
+    parts = F.filter(F.split(joined, "/"), lambda p: ~p.isin("", "."))
+    empty = F.array().cast("array<string>")
+    kept = F.aggregate(parts, empty, lambda a, p: F.when(p == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.array_append(a, p)))
+    return F.array_join(kept, "/")

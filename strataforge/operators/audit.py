@@ -75,3 +75,13 @@ def audit_summary(records: DataFrame, rollup: DataFrame, links: DataFrame, broke
     three = links.agg(F.count("*").alias("links"), F.count_if(F.col("kind") == "internal").alias("internal"), F.count_if(F.col("kind") == "external").alias("external"))
     four = broken.agg(F.count("*").alias("broken"))
     return one.join(two, F.lit(True)).join(three, F.lit(True)).join(four, F.lit(True))
+
+
+def id_sets(layers: dict[str, DataFrame], kinds: tuple[str, ...] = ("document_id", "source_id", "chapter_id", "chunk_id", "evidence_id")) -> DataFrame:
+    """layer, kind and id of all ids that layers have, each once; a layer is read once, however many kinds it has."""
+    parts = []
+    for name, rows in layers.items():
+        own = [k for k in kinds if k in rows.columns]
+        pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("id")) for k in own)))
+        parts.append(rows.select(pairs.alias("x")).filter("x.id is not null and x.id <> ''").select(F.lit(name).alias("layer"), "x.kind", "x.id").distinct())
+    return reduce(DataFrame.unionByName, parts)

@@ -86,6 +86,28 @@ def source_stats(papers: DataFrame) -> DataFrame:
     return papers.groupBy("source").agg(F.count("*").alias("papers"), F.count_if("downloaded").alias("downloaded"), F.count_if("is_open_access").alias("open_access"))
 
 
+def totals(papers: DataFrame) -> DataFrame:
+    """All papers, downloads and open-access papers in one row."""
+    return papers.agg(F.count("*").alias("papers"), F.count_if("downloaded").alias("downloaded"), F.count_if("is_open_access").alias("open_access"))
+
+
+def log_searches(found: DataFrame, topic: str, query: str, at: str) -> DataFrame:
+    """Rows for the search log: papers found by source; to be appended."""
+    return found.groupBy("source").agg(F.count("*").alias("result_count")).select("source", F.lit(topic).alias("topic"), F.lit(query).alias("query"), "result_count", F.lit(at).alias("searched_at"))
+
+
+def update_store(store: DataFrame, found: DataFrame, topics: DataFrame, as_of_year: int, least: float = 0.4, most: int = 20) -> DataFrame:
+    """The whole way of fetched papers (topic, arrival and paper fields) into the store: doubles out, scored against their own
+    topic, the best of each kept, then inserted or, where better, updated. Columns are those of the store."""
+    from strataforge.operators.incremental import upsert_if_better
+
+    single = dedup_greedy(found)
+    scored = score_papers(single.withColumnRenamed("topic", "own_topic"), topics, as_of_year).filter("topic = own_topic").drop("own_topic")
+    ranked = rank(scored, least, most)
+    listed = ranked.groupBy("paper_id").agg(F.collect_set("topic").alias("topics"), *(F.max_by(c, F.struct("relevance_score", "topic")).alias(c) for c in store.columns if c not in ("paper_id", "topics", "relevance_score")), F.max("relevance_score").alias("relevance_score"))
+    return upsert_if_better(store, listed.select(*store.columns), "paper_id", "relevance_score")
+
+
 def best(papers: DataFrame, k: int, topic: str | None = None, least: float = 0.0) -> DataFrame:
     rows = papers.filter(F.col("relevance_score") >= least)
     rows = rows.filter(has_topic(F.col("topics"), topic)) if topic is not None else rows

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from strataforge.functions.text import chapter_key, nonempty, preview, safe_title, slug, token_count, windows
+from strataforge.functions.text import chapter_key, nonempty, preview, safe_title, slug, token_count, windows, yaml_escape
 from strataforge.functions.vectors import MODEL, hash_vector
 from strataforge.operators import textplan
 
@@ -55,28 +55,37 @@ def normalise_documents(raw: DataFrame, domain: str, topic: str = "general") ->
     """raw: document_id, rel_path, ext, mtime (ISO text), sha256, markdown. Front matter filled in and overwritten where the
     source decides, bodies made regular, warnings kept; `changed` tells whether the text was already regular."""
     def plan(ident: str, text: str | None) -> list[tuple]:
-        fields, body = textplan.front_matter(text or "")
-        body, warnings = textplan.normalise_body(body, ident)
-        return [(list(fields.items()), body, warnings if fields else ["Missing frontmatter; created new frontmatter block.", *warnings], bool(fields))]
+        fields, old = textplan.front_matter(text or "")
+        body, warnings = textplan.normalise_body(old, ident)
+        return [(list(fields.items()), body, warnings if fields else ["Missing frontmatter; created new frontmatter block.", *warnings], body.strip() != old.strip())]
 
-    made = planned(raw, ["document_id", "markdown"], plan, "fields map<string,string>, body string, warnings array<string>, had_fields boolean", drop=("markdown",))
+    made = planned(raw, ["document_id", "markdown"], plan, "fields map<string,string>, body string, warnings array<string>, body_changed boolean", drop=("markdown",))
     f = F.col("fields")
-    return made.select(
-        nonempty(f["document_id"], F.col("document_id")).alias("document_id"),
-        nonempty(f["source_id"], F.col("document_id")).alias("source_id"),
-        F.lit(domain).alias("domain"),
-        F.lit(topic or "general").alias("topic"),
-        F.element_at(F.split("rel_path", "/"), -1).alias("source_file"),
-        F.lower("ext").alias("source_format"),
-        nonempty(f["created_at"], F.col("mtime")).alias("created_at"),
-        F.col("mtime").alias("updated_at"),
-        F.col("sha256").alias("hash_sha256"),
-        F.col("rel_path").alias("lineage"),
-        F.map_filter(f, lambda k, _: ~k.isin("document_id", "source_id", "domain", "topic", "source_file", "source_format", "created_at", "updated_at", "hash_sha256")).alias("extra"),
-        "body",
-        "warnings",
-        (~F.col("had_fields") | (F.size("warnings") > 0)).alias("changed"),
-    )
+    new = {
+        "document_id": nonempty(f["document_id"], F.col("document_id")),
+        "source_id": nonempty(f["source_id"], F.col("document_id")),
+        "domain": F.lit(domain),
+        "topic": F.lit(topic or "general"),
+        "source_file": F.element_at(F.split("rel_path", "/"), -1),
+        "source_format": F.lower("ext"),
+        "created_at": nonempty(f["created_at"], F.col("mtime")),
+        "updated_at": F.col("mtime"),
+        "hash_sha256": F.col("sha256"),
+    }
+    differs = F.col("body_changed")
+    for name, value in new.items():
+        differs = differs | ~f[name].eqNullSafe(value)
+    extra = F.map_filter(f, lambda k, _: ~k.isin(*new))
+    return made.select(*(v.alias(k) for k, v in new.items()), F.col("rel_path").alias("lineage"), extra.alias("extra"), "body", "warnings", differs.alias("changed"))
+
+
+def document_text(documents: DataFrame) -> Column:
+    """A document as markdown with front matter: required fields in their order, then the others by name."""
+    line = lambda k, v: F.concat(k, F.lit(': "'), yaml_escape(v), F.lit('"'))
+    first = [line(F.lit(c), F.coalesce(F.col(c), F.lit(""))) for c in ("document_id", "source_id", "domain", "topic", "source_file", "source_format", "created_at", "updated_at", "hash_sha256")]
+    rest = F.transform(F.array_sort(F.map_entries("extra")), lambda e: line(e["key"], e["value"]))
+    lines = F.concat(F.array(*first, line(F.lit("lineage.layer00_path"), F.coalesce("lineage", F.lit("")))), rest)
+    return F.concat(F.lit("---\n"), F.array_join(lines, "\n"), F.lit("\n---\n\n"), "body")
 
 
 def split_chapters(documents: DataFrame, level: int | None = None, min_words: int = 30, parity: bool = False) -> DataFrame:
@@ -188,6 +197,44 @@ def wiki_readme(evidence: DataFrame, domain: str) -> DataFrame:
     return evidence.select("topic").distinct().agg(F.concat(F.lit(f"# Wiki {domain}\n\n## Topics\n\n"), F.array_join(F.transform(topics, lambda t: F.concat(F.lit("- ["), t, F.lit("]("), t, F.lit(".md)"))), "\n")).alias("page"))
 
 
+def chunk_file(chunk: dict) -> str:
+    """A chunk as a file: its fields by name, nested ones indented, every scalar quoted; then the content."""
+    def lines(fields: dict, indent: str) -> list[str]:
+        out = []
+        for k in sorted(fields):
+            v = fields[k]
+            if isinstance(v, dict):
+                out += [f"{indent}{k}:", *lines(v, indent + "  ")]
+            elif v is not None:
+                text = str(v).lower() if isinstance(v, bool) else str(v)
+                out.append(f'{indent}{k}: "{text.replace(chr(92), chr(92) * 2).replace(chr(34), chr(92) + chr(34))}"' if isinstance(v, str) else f"{indent}{k}: {text}")
+        return out
+
+    content = chunk.pop("content")
+    return "\n".join(["---", *lines(chunk, ""), "---", "", "# Chunk", "", content.strip(), ""])
+
+
+def run_summary(reports: DataFrame) -> DataFrame:
+    """reports: stage, created, updated, skipped, warnings (array), errors (array). Totals of a run."""
+    return reports.agg(F.count("*").alias("stages"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("created", "updated", "skipped")), *(F.coalesce(F.sum(F.size(c)), F.lit(0)).alias(c) for c in ("warnings", "errors")))
+
+
+def ordered_evidence(evidence: DataFrame) -> DataFrame:
+    return evidence.orderBy("document_id", "chapter_id", "chunk_id")
+
+
+def ordered_embeddings(embeddings: DataFrame) -> DataFrame:
+    return embeddings.orderBy("domain", "topic", "chunk_id")
+
+
+def write_embeddings(embeddings: DataFrame, path: str, form: str = "parquet") -> None:
+    """Parquet by domain and topic, or JSON with vectors as arrays."""
+    if form == "json":
+        embeddings.write.mode("overwrite").json(path)
+    else:
+        embeddings.write.mode("overwrite").partitionBy("domain", "topic").parquet(path)
+
+
 def write_evidence(evidence: DataFrame, path: str) -> None:
     """Parquet by topic: a reader that filters on topic prunes to its folder."""
     evidence.write.mode("overwrite").partitionBy("topic").parquet(path)

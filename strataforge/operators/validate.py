@@ -190,3 +190,8 @@ def blocks(messages: DataFrame, fail_on_warning: bool = False, stop_on_error: bo
     """Whether the transition must not be passed; stops reading at the first message that says so."""
     least = 2 if fail_on_warning else 3
     return stop_on_error and not messages.filter(severity_rank(F.col("severity")) >= least).limit(1).isEmpty()
+
+
+def ordered(messages: DataFrame) -> DataFrame:
+    """Messages in the order in which people read them."""
+    return messages.orderBy("file", "identifier", "rule", "description", "severity")

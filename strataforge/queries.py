@@ -657,6 +657,54 @@ def paper_names(spark, d):
     return table(spark, d, "customer").select("c_custkey", P.paper_file_name(F.concat("c_name", F.lit(" (library genesis)")), authors, year).alias("file_name"), P.year_in(F.concat(F.lit("in "), year.cast("string"), F.lit(" x"))).alias("year"), P.best_url(F.lit(""), F.lit(None).cast("string"), doi).alias("url"), P.download_name(year, F.concat(F.lit("PMC-"), k.cast("string")), F.col("c_name")).alias("download"))
 
 
+@query("SELECT count(*) AS papers, count(*) FILTER (doc_id % 4 = 0) AS downloaded, count(*) FILTER (doc_id % 3 = 0) AS open_access FROM documents")
+def paper_totals(spark, d):
+    return literature.totals(papers(spark, d))
+
+
+@query("SELECT source, 'alpha' AS topic, 'q' AS query, count(*) AS result_count, '2024-01-01' AS searched_at FROM documents WHERE doc_id % 2 = 0 GROUP BY source")
+def search_log(spark, d):
+    return literature.log_searches(papers(spark, d).filter("paper_id % 2 = 0"), "alpha", "q", "2024-01-01")
+
+
+@query(f"""WITH {PAPERS}, best AS (SELECT paper_id, round(s, 6) AS s FROM scored WHERE topic = 'beta' AND round(s, 6) >= 0.3 QUALIFY row_number() OVER (ORDER BY round(s, 6) DESC, paper_id) <= 20),
+old AS (SELECT doc_id AS paper_id, 'old' AS title, CASE WHEN doc_id % 2 = 0 THEN 0.0 ELSE 1.0 END AS s FROM documents WHERE doc_id % 5 = 0)
+SELECT coalesce(o.paper_id, b.paper_id) AS paper_id, CASE WHEN o.paper_id IS NULL OR b.s > o.s THEN p.title ELSE 'old' END AS title, CASE WHEN o.paper_id IS NULL OR b.s > o.s THEN b.s ELSE o.s END::DOUBLE AS relevance_score
+FROM old o FULL JOIN best b ON o.paper_id = b.paper_id LEFT JOIN p ON p.paper_id = b.paper_id""")
+def paper_store(spark, d):
+    """Ranked papers of one topic into a store that has a fifth of the papers, half of them with a better score."""
+    rows = papers(spark, d).select("paper_id", "title", F.col("paper_id").alias("p"))
+    ranked = literature.rank(paper_score(spark, d).filter("topic = 'beta'"), 0.3, 20).select("paper_id", "relevance_score").join(rows.drop("p"), "paper_id")
+    store = rows.filter("p % 5 = 0").select("paper_id", F.lit("old").alias("title"), F.when(F.col("p") % 2 == 0, 0.0).otherwise(1.0).alias("relevance_score"))
+    return incremental.upsert_if_better(store, ranked.select(*store.columns), "paper_id", "relevance_score")
+
+
+@query("""SELECT 'orders' AS layer, 'document_id' AS kind, o_custkey::VARCHAR AS id FROM orders UNION SELECT 'orders', 'chunk_id', o_orderkey::VARCHAR FROM orders UNION SELECT 'lineitem', 'chunk_id', l_orderkey::VARCHAR FROM lineitem""")
+def id_sets(spark, d):
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("document_id"), F.col("o_orderkey").alias("chunk_id"))
+    return audit.id_sets({"orders": orders, "lineitem": table(spark, d, "lineitem").select(F.col("l_orderkey").alias("chunk_id"))})
+
+
+@query("""SELECT c_custkey, 'a/' || CASE c_custkey % 4 WHEN 0 THEN 'b/x.md' WHEN 1 THEN 'x.md' WHEN 2 THEN 'b/c/x.md' ELSE 'x' END AS path FROM customer WHERE c_custkey % 4 < 3 UNION ALL SELECT c_custkey, 'x/y.md' FROM customer WHERE c_custkey % 4 = 3""")
+def resolved_paths(spark, d):
+    links = F.array(F.lit("x.md"), F.lit("../x.md"), F.lit("./c//x.md"), F.lit("/x/y.md"))
+    k = F.col("c_custkey")
+    return table(spark, d, "customer").select("c_custkey", L.resolve_path(F.lit("a/b"), links[(k % 4).cast("int")]).alias("path"))
+
+
+@query("""SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN n_name WHEN 1 THEN n_nationkey::VARCHAR WHEN 2 THEN 'true' ELSE n_name END AS value FROM nation""")
+def json_scalars(spark, d):
+    k, name = F.col("n_nationkey"), F.col("n_name")
+    text = F.when(k % 4 == 0, F.concat(F.lit('"'), name, F.lit('"'))).when(k % 4 == 1, k.cast("string")).when(k % 4 == 2, "true").otherwise(F.concat(F.lit("'"), name, F.lit("'")))
+    return table(spark, d, "nation").select("n_nationkey", X.json_scalar(text).alias("value"))
+
+
+@query("SELECT count(DISTINCT source) AS stages, sum(n_chars % 7)::BIGINT AS created, sum(n_chars % 5)::BIGINT AS updated, 0::BIGINT AS skipped, count(*) AS warnings, count(*) FILTER (lang = 'en') AS errors FROM documents")
+def run_summary(spark, d):
+    reports = table(spark, d, "documents").groupBy(F.col("source").alias("stage")).agg(F.sum(F.col("n_chars") % 7).alias("created"), F.sum(F.col("n_chars") % 5).alias("updated"), F.lit(0).alias("skipped"), F.collect_list("lang").alias("warnings"), F.collect_list(F.when(F.col("lang") == "en", "e")).alias("errors"))
+    return stages.run_summary(reports)
+
+
 @query()
 def greedy_dedup(spark, d):
     rows = papers(spark, d).select("paper_id", "title", F.concat(F.lit("d"), F.floor(F.col("paper_id") / 2).cast("string")).alias("doi"), F.col("journal").alias("topic"), F.col("paper_id").alias("arrival"))

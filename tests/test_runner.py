@@ -211,3 +211,25 @@ def test_hash_vector_and_toc(spark):
     docs = spark.createDataFrame([("d", "s", "dom", "t", "f.md", f"# A\n{LONG}\n# B\n{LONG}")], "document_id string, source_id string, domain string, topic string, source_file string, body string")
     toc = stages.chapter_toc(stages.split_chapters(docs)).first().toc
     assert toc == "  1. [A](d_001_A.md)  _420 Wörter_\n  2. [B](d_002_B.md)  _420 Wörter_"
+
+
+def test_document_and_chunk_files(spark):
+    raw = spark.createDataFrame([("d", "s/a.md", "md", "t", "h", "---\ntopic: \"old\"\nz: 1\nb: x\n---\n# A\n\n[source 1]\n")], "document_id string, rel_path string, ext string, mtime string, sha256 string, markdown string")
+    docs = stages.normalise_documents(raw, "dom")
+    row = docs.first()
+    assert row.changed and row.extra == {"z": "1", "b": "x"} and row.topic == "general"
+    text = docs.select(stages.document_text(docs).alias("t")).first().t
+    assert text.startswith('---\ndocument_id: "d"\nsource_id: "d"\n') and text.index('\nb: "x"') < text.index('\nz: "1"') and text.endswith("---\n\n# A\n\n[source 1]\n")
+    again = stages.normalise_documents(raw.drop("markdown").crossJoin(docs.select(stages.document_text(docs).alias("markdown"))), "dom").first()
+    assert not again.changed and again.body == row.body
+    made = stages.chunk_file({"chunk_id": "c", "content": " text\n", "sequence": 1, "lineage": {"b": 'q"', "a": 2}})
+    assert made == '---\nchunk_id: "c"\nlineage:\n  a: 2\n  b: "q\\""\nsequence: 1\n---\n\n# Chunk\n\ntext\n'
+
+
+def test_update_store(spark):
+    topics = spark.createDataFrame([("a", ["cat"], [], []), ("b", ["dog"], [], [])], "topic string, keywords array<string>, boost_terms array<string>, penalty_terms array<string>")
+    rows = [("p1", "Cat review", "cat", "j", 2023, "x1", "s", True, "a", 1), ("p1b", "other", "cat", "j", 2023, "x1", "s", True, "a", 2), ("p2", "Dog", "dog", "j", 2023, "x2", "s", True, "b", 3), ("p3", "nothing", "n", "j", 1990, "x3", "s", False, "b", 4)]
+    found = spark.createDataFrame(rows, "paper_id string, title string, abstract string, journal string, year int, doi string, source string, is_open_access boolean, topic string, arrival int")
+    store = spark.createDataFrame([("p2", "Old", ["z"], 0.99)], "paper_id string, title string, topics array<string>, relevance_score double")
+    got = {r.paper_id: r for r in literature.update_store(store, found, topics, 2024).collect()}
+    assert set(got) == {"p1", "p2"} and got["p1"].topics == ["a"] and got["p2"].title == "Old"
