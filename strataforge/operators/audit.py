@@ -15,8 +15,11 @@ ID = "(?U)[\\w.\\-:]+"
 
 
 def mentioned(pages: DataFrame, text: str = "page") -> DataFrame:
-    """All ids that pages mention, as a table: a containment test becomes an equi-join, whatever the size of either side."""
-    return pages.select(F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(ID), F.lit(0)))).alias("word")).distinct()
+    """All ids that pages mention, as a table: a containment test becomes an equi-join, whatever the size of either side. An id
+    counts with and without the marks around it, since a full stop may be the id's or the sentence's."""
+    runs = F.regexp_extract_all(text, F.lit(ID), F.lit(0))
+    trimmed = F.transform(runs, lambda x: F.regexp_replace(x, "^[.:\\-]+|[.:\\-]+$", ""))
+    return pages.select(F.explode(F.array_distinct(F.concat(runs, trimmed))).alias("word")).distinct()
 
 
 def integration(evidence: DataFrame, pages: DataFrame) -> DataFrame:
