@@ -233,3 +233,27 @@ def test_update_store(spark):
     store = spark.createDataFrame([("p2", "Old", ["z"], 0.99)], "paper_id string, title string, topics array<string>, relevance_score double")
     got = {r.paper_id: r for r in literature.update_store(store, found, topics, 2024).collect()}
     assert set(got) == {"p1", "p2"} and got["p1"].topics == ["a"] and got["p2"].title == "Old"
+
+
+def test_command_line(spark, raw, tmp_path, capsys):
+    from strataforge.__main__ import main
+
+    work = str(tmp_path / "w")
+    assert main(["bootstrap", work, "--domain", "demo"]) == 0 and "created 00_raw_demo" in capsys.readouterr().out
+    assert main(["run", work, str(raw), "--domain", "demo"]) == 0
+    assert main(["run", work, str(raw), "--domain", "demo"]) == 3
+    capsys.readouterr()
+    assert main(["search", work, "words", "--domain", "demo", "-k", "2"]) == 0
+    rows = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert len(rows) == 2 and rows[0]["score"] >= rows[1]["score"]
+
+
+def test_repeated_events_in_a_stream_count_once(spark, tmp_path):
+    rows = [(i % 5, datetime.datetime(2024, 1, 1, 0, i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp")
+    for k in range(2):
+        df.write.mode("append").parquet(str(tmp_path / "in"))
+    stream = events.deduplicated(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
+    run_ = stream.writeStream.format("memory").queryName("once").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    run_.awaitTermination()
+    assert spark.table("once").count() == 5
