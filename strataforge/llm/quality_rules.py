@@ -3,8 +3,8 @@
 Every document gets counts from its whole text and a failure flag per rule. Failures are summed by host (one row per host and
 task reaches the shuffle, so a host with a third of the rows costs nothing), host rates are shrunk towards a beta prior that is
 fitted to the rates of all hosts by moments, and a host is rejected where the shrunk rate of any rule exceeds HOST_LIMIT; its
-documents are not kept, nor those that fail a base rule themselves. Counts are computed once and written; the hosts' verdicts,
-of which only rejections are joined, are broadcast up to MOST_HOSTS and otherwise joined by a shuffle that Spark can split.
+documents are not kept, nor those that fail a base rule themselves. Verdicts by document come from counts that are
+computed once and written, without texts. The hosts' verdicts, of which only rejections are joined, are broadcast up to MOST_HOSTS and otherwise joined by a shuffle that Spark can split.
 
 Words in repeated windows are found by comparing 64-bit hashes of 8-word windows within one text.
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataforge.llm.common import broadcast_if_small, let, words, written
+from strataforge.llm.common import broadcast_if_small, free_name, let, words, written
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
@@ -112,9 +112,17 @@ def document_verdicts(docs: DataFrame) -> DataFrame:
     return out.select("row.doc_id", *(f"counts_of_text.{c}" for c in COUNTS), "base_failed", "kept")
 
 
-def keep_by_rules(docs: DataFrame) -> DataFrame:
-    """The rows of docs that are kept, with the columns of docs."""
-    return apply_rules(docs).filter("kept").select("row.*")
+def keep_by_rules(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """The rows of docs that are kept, with the columns of docs. Texts are read twice (once for the hosts, once for the rows)
+    rather than written in between."""
+    first = docs.select(F.col(host).alias("host"), counts(F.col(text)).alias("counts_of_text"))
+    counted, bad_host = free_name(docs, "counts_of_text"), free_name(docs, "bad_host")
+    bad = rejected_hosts(first, "host", "counts_of_text").withColumnRenamed("bad_host", bad_host)
+    failed = F.lit(False)
+    for r in BASE:
+        failed = failed | _rule(RULES[r], counted)
+    fine = docs.withColumn(counted, counts(F.col(text))).filter(~failed)
+    return fine.join(broadcast_if_small(bad, MOST_HOSTS), F.col(host) == F.col(bad_host), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def document_verdicts_sql() -> str:
