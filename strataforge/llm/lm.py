@@ -206,19 +206,24 @@ def train(texts: list[np.ndarray], share: np.ndarray, seed: int = 5) -> dict[str
 
 
 def log_probabilities(m: dict[str, np.ndarray], before: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Normalised natural log-probabilities of target classes."""
-    past = np.stack([m["R"] @ m["C"][i] for i in range(ORDER)])
-    q = np.ascontiguousarray(m["Q"].T)
+    """Normalised natural log-probabilities of target classes. The bias is one more dimension of the product; the largest logit
+    is only subtracted in a batch whose sums would leave the range of floats."""
+    one = lambda i: np.full((len(m["R"]), 1), float(i == 0), np.float32)
+    past = [np.hstack([m["R"] @ m["C"][i], one(i)]).astype(np.float32) for i in range(ORDER)]
+    q = np.ascontiguousarray(np.vstack([m["Q"].T, m["b"]]).astype(np.float32))
     out = np.empty(len(target))
     for k in range(0, len(target), AT_ONCE):
         h, w = before[k : k + AT_ONCE], target[k : k + AT_ONCE]
-        logits = sum(past[i][h[:, i]] for i in range(ORDER)) @ q
-        logits += m["b"]
-        own = logits[np.arange(len(w)), w]
-        top = logits.max(1)
-        logits -= top[:, None]
-        np.exp(logits, out=logits)
-        out[k : k + AT_ONCE] = own - top - np.log(logits.sum(1))
+        guess = sum(past[i][h[:, i]] for i in range(ORDER))
+        logits = guess @ q
+        own = logits[np.arange(len(w)), w].astype(np.float64)
+        with np.errstate(over="ignore"):
+            total = np.exp(logits, out=logits).sum(1)
+        if not (total < 1e30).all() or (total < 1e-30).any():
+            logits = guess @ q
+            top = logits.max(1)
+            total, own = np.exp(logits - top[:, None]).sum(1), own - top
+        out[k : k + AT_ONCE] = own - np.log(total)
     return out
 
 

@@ -44,6 +44,8 @@ def test_probabilities_are_normalised(spark, monkeypatch):
     for h in before:
         p = np.exp(L.log_probabilities(m, np.repeat(h[None], len(share), 0), np.arange(len(share))))
         assert abs(p.sum() - 1) < 1e-5
+        far = m | {"b": m["b"] + 300}
+        assert np.allclose(L.log_probabilities(far, np.repeat(h[None], 3, 0), np.arange(3)), np.log(p[:3]), atol=1e-3)
     monkeypatch.setattr(L, "CLASSES", 3)
     words = [f"w{i % 9}" for i in range(60)] + ["once"]
     docs = spark.createDataFrame([(" ".join(words),)], "text string")
