@@ -721,12 +721,20 @@ def chapter_rows(spark, d):
     return docs.select(F.col("doc_id").cast("string").alias("document_id"), F.col("source").alias("source_id"), F.lit("corpus").alias("domain"), F.col("lang").alias("topic"), F.concat("source", F.lit(".md")).alias("source_file"), F.lit("md").alias("source_format"), F.lit("2024-01-01").alias("created_at"), F.lit("2024-01-01").alias("updated_at"), F.sha2("text", 256).alias("hash_sha256"), F.array_join(lines, "\n").alias("body"))
 
 
-@query()
+#: The chapters of chapter_rows: five lines each, the first one's first three words as title.
+CHAPTERS = r"""l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
+g AS (SELECT doc_id, (pos // 5 + 1)::INT AS chapter, array_to_string(string_split(min(line) FILTER (pos % 5 = 0), ' ')[1:3], ' ') AS title, sum(len(regexp_extract_all(line, '\S+')))::INT AS word_count FROM l GROUP BY ALL),
+t AS (SELECT *, (max(chapter) OVER (PARTITION BY doc_id))::INT AS chapters_total, left(trim(regexp_replace(regexp_replace(title, '[^\p{L}\p{N}_\s-]', '', 'g'), '[\s_]+', '_', 'g'), '_'), 60) AS safe FROM g),
+chapters AS (SELECT doc_id::VARCHAR AS document_id, chapter, chapters_total, 2 AS split_level, title, word_count,
+doc_id || '_' || lpad(chapter::VARCHAR, 3, '0') || '_' || CASE WHEN safe = '' THEN 'Kapitel_' || chapter ELSE safe END || '.md' AS file_name FROM t WHERE word_count >= 30)"""
+
+
+@query(f"WITH {CHAPTERS} SELECT * FROM chapters")
 def chapter_split(spark, d):
     return stages.split_chapters(chapter_rows(spark, d)).select("document_id", "chapter", "chapters_total", "split_level", "title", "word_count", "file_name")
 
 
-@query()
+@query(f"""WITH {CHAPTERS} SELECT document_id, max(chapters_total) AS chapters_total, string_agg(lpad(chapter::VARCHAR, 3, ' ') || '. [' || title || '](' || file_name || ')  _' || format('{{:,}}', word_count) || ' Wörter_', chr(10) ORDER BY chapter) AS toc FROM chapters GROUP BY document_id""")
 def chapter_toc(spark, d):
     return stages.chapter_toc(stages.split_chapters(chapter_rows(spark, d)))
 
