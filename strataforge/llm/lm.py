@@ -10,8 +10,9 @@ Model. The CLASSES most frequent words are classes of their own, all other words
 vectors of the last ORDER classes, each through a matrix of its place, add up to a prediction; its product with the vectors of
 all classes, plus a bias, gives logits, and one batched matrix product and a softmax give exactly normalised log-probabilities.
 A word that shares a class takes its add-one share of the class's counts, so the probabilities of all words, with one mass for
-unseen words per shared class, add up to one. Training contrasts true classes with noise drawn from their frequencies, on SAMPLE
-training documents with the least hashes of their ids; it fits a fixed number of parameters, all corpus statistics cover everything.
+unseen words per shared class, add up to one. Training contrasts true classes with noise drawn from their frequencies, on all
+training documents: in each of ROUNDS rounds every task goes on from the same parameters over all of its rows, and the tasks'
+parameters are averaged by their numbers of tokens. Only sums of parameters reach the driver, MERGED rows at most.
 
 Edge cases: a null or empty text is the end alone; without training documents all counts are zero and the model predicts from
 its start values; repeated rows are scored each; other columns are ignored, whatever their names; an empty table gives an empty result.
@@ -32,10 +33,12 @@ from strataforge.llm.common import Shared, remainder, written
 HEAD = 150_000
 CLASSES, BUCKETS = 256, 64  # class 0 is the end, which also stands before a text
 ORDER, WIDTH = 3, 16
-SAMPLE = 2500
+ROUNDS, MERGED = 2, 16
 EPOCHS, BATCH, NOISE, RATE = 3, 512, 96, 0.01
 AT_ONCE = 4096
 CACHED = 300_000
+#: Tokens that a training task holds and shuffles at once.
+HELD = 1 << 18
 FLUSH = 2_000_000
 END = 0  # the end's key
 
@@ -160,49 +163,102 @@ def contexts(classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.stack([np.where(place >= k, np.r_[np.zeros(k, classes.dtype), classes[: len(classes) - k] if len(classes) > k else classes[:0]][: len(classes)], 0) for k in range(1, ORDER + 1)], 1)
 
 
-def train(texts: list[np.ndarray], share: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
+def _gathered(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of values by their places, of which there are n."""
+    flat = (places[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+    return np.bincount(flat, values.ravel(), n * WIDTH).reshape(n, WIDTH).astype(np.float32)
+
+
+class Trainer:
     """Noise-contrastive estimation on texts as classes; a batch shares its noise, so both sides are matrix products."""
-    m = new_model(share, seed)
-    if not texts:
-        return m
-    rng = np.random.default_rng(seed)
-    sizes = np.array([len(t) for t in texts])
-    target = np.concatenate(texts)
-    before = contexts(target, np.cumsum(sizes) - sizes)
-    noise = share / share.sum()
-    offset = np.log(noise * NOISE).astype(np.float32)
-    cdf = np.cumsum(noise)
-    squares = {k: np.full_like(v, 1e-6) for k, v in m.items()}
-    steps = EPOCHS * -(-len(target) // BATCH)
-    done = 0
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(target))
+
+    def __init__(self, model: dict[str, np.ndarray], share: np.ndarray, seed: int = 5):
+        self.m = {k: v.copy() for k, v in model.items()}
+        self.rng = np.random.default_rng(seed)
+        noise = share / share.sum()
+        self.offset, self.cdf = np.log(noise * NOISE).astype(np.float32), np.cumsum(noise)
+        self.squares = {k: np.full_like(v, 1e-6) for k, v in self.m.items()}
+
+    def epoch(self, texts: list[np.ndarray], first: float, last: float) -> None:
+        """Goes over all tokens once, with a rate that falls from first to last."""
+        m, n = self.m, len(self.offset)
+        sizes = np.array([len(t) for t in texts])
+        target = np.concatenate(texts)
+        before = contexts(target, np.cumsum(sizes) - sizes)
+        order = self.rng.permutation(len(target))
         for k in range(0, len(order), BATCH):
             pick = order[k : k + BATCH]
             w, h = target[pick], before[pick]
-            false = np.minimum(np.searchsorted(cdf, rng.random(NOISE)), len(share) - 1)
+            false = np.minimum(np.searchsorted(self.cdf, self.rng.random(NOISE)), n - 1)
             past = [m["R"][h[:, i]] for i in range(ORDER)]
             guess = sum(past[i] @ m["C"][i] for i in range(ORDER))
             true_q, false_q = m["Q"][w], m["Q"][false]
-            d_true = 1 / (1 + np.exp(-((guess * true_q).sum(1) + m["b"][w] - offset[w]))) - 1
-            d_false = 1 / (1 + np.exp(-(guess @ false_q.T + m["b"][false] - offset[false])))
+            d_true = 1 / (1 + np.exp(-((guess * true_q).sum(1) + m["b"][w] - self.offset[w]))) - 1
+            d_false = 1 / (1 + np.exp(-(guess @ false_q.T + m["b"][false] - self.offset[false])))
             d_guess = d_true[:, None] * true_q + d_false @ false_q
-            grads = {x: np.zeros_like(m[x]) for x in m}
-            np.add.at(grads["Q"], w, d_true[:, None] * guess)
-            np.add.at(grads["Q"], false, d_false.T @ guess)
-            np.add.at(grads["b"], w, d_true)
-            np.add.at(grads["b"], false, d_false.sum(0))
-            for i in range(ORDER):
-                grads["C"][i] = past[i].T @ d_guess
-                np.add.at(grads["R"], h[:, i], d_guess @ m["C"][i].T)
-            rate = RATE * (1 - 0.95 * done / steps)
-            done += 1
+            grads = {
+                "R": _gathered(h.T.ravel(), np.concatenate([d_guess @ m["C"][i].T for i in range(ORDER)]), n),
+                "C": np.stack([past[i].T @ d_guess for i in range(ORDER)]),
+                "Q": _gathered(np.r_[w, false], np.concatenate([d_true[:, None] * guess, d_false.T @ guess]), n),
+                "b": np.bincount(np.r_[w, false], np.r_[d_true, d_false.sum(0)], n).astype(np.float32),
+            }
+            rate = first + (last - first) * k / len(order)
             for x, g in grads.items():
                 g /= len(pick)
-                squares[x] *= 0.99
-                squares[x] += 0.01 * g * g
-                m[x] -= rate * g / (np.sqrt(squares[x]) + 1e-4)
-    return m
+                self.squares[x] *= 0.99
+                self.squares[x] += 0.01 * g * g
+                m[x] -= rate * g / (np.sqrt(self.squares[x]) + 1e-4)
+
+
+def train(texts: list[np.ndarray], share: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
+    """Trains on texts in memory, EPOCHS times over all."""
+    trainer = Trainer(new_model(share, seed), share, seed)
+    for k in range(EPOCHS if texts else 0):
+        trainer.epoch(texts, RATE * (1 - 0.95 * k / EPOCHS), RATE * (1 - 0.95 * (k + 1) / EPOCHS))
+    return trainer.m
+
+
+def train_on_all(encoded: DataFrame, share: np.ndarray) -> dict[str, np.ndarray]:
+    """encoded: one row per training text (classes: int16 binary). Trains on every row, in the tasks, ROUNDS times."""
+    model = new_model(share)
+    shapes = {k: v.shape for k, v in model.items()}
+    for k in range(ROUNDS):
+        start, rate, least = Shared(encoded.sparkSession, (model, share)), RATE * (1 - 0.95 * k / ROUNDS), RATE * (1 - 0.95 * (k + 1) / ROUNDS)
+
+        def fit(batches: Iterator[pa.RecordBatch], start=start, rate=rate, least=least) -> Iterator[pa.RecordBatch]:
+            trainer, held, size, tokens = None, [], 0, 0
+            for batch in batches:
+                for row in batch.column(0):
+                    held.append(np.frombuffer(row.as_py(), np.int16).astype(np.int64))
+                    size += len(held[-1])
+                    if size >= HELD:
+                        trainer = trainer or Trainer(*start.value, xxhash.xxh64_intdigest(held[0].tobytes()))
+                        trainer.epoch(held, rate, (rate + least) / 2)
+                        held, size, tokens = [], 0, tokens + size
+            if held:
+                trainer = trainer or Trainer(*start.value, xxhash.xxh64_intdigest(held[0].tobytes()))
+                trainer.epoch(held, (rate + least) / 2, least)
+                tokens += size
+            if trainer:
+                flat = np.concatenate([v.ravel() for v in trainer.m.values()]).astype(np.float64) * tokens
+                yield pa.record_batch([pa.array([tokens]), pa.array([flat.tobytes()], pa.binary())], ["tokens", "sums"])
+
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tokens, sums = 0, 0.0
+            for batch in batches:
+                for n, flat in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    tokens, sums = tokens + n, sums + np.frombuffer(flat)
+            if tokens:
+                yield pa.record_batch([pa.array([tokens]), pa.array([sums.tobytes()], pa.binary())], ["tokens", "sums"])
+
+        schema = "tokens long, sums binary"
+        merged = encoded.select("classes").mapInArrow(fit, schema).repartition(MERGED).mapInArrow(merge, schema).collect()
+        if not merged:
+            return model
+        flat = sum(np.frombuffer(bytes(r.sums)) for r in merged) / sum(r.tokens for r in merged)
+        ends = np.cumsum([int(np.prod(x)) for x in shapes.values()])
+        model = {x: part.reshape(shapes[x]).astype(np.float32) for x, part in zip(shapes, np.split(flat, ends[:-1]), strict=True)}
+    return model
 
 
 def log_probabilities(m: dict[str, np.ndarray], before: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -260,16 +316,21 @@ def scored_documents(docs: DataFrame) -> DataFrame:
     train_docs = docs.filter(remainder(F.col("doc_id"), 7) != 2)
     counts = corpus_counts(train_docs.select("text"))
     vocabulary = Vocabulary(counts)
-    ids = train_docs.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).distinct()
+    known = Shared(spark, vocabulary)
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(known.value)
         for batch in batches:
-            rows = [np.array([*(vocabulary.class_of(w, key_of(w)) for w in tokens(t.as_py())), 0], np.int16).tobytes() for t in batch.column("text")]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "classes"])
-
-    some = train_docs.join(F.broadcast(ids), "doc_id").mapInArrow(classes, "doc_id long, classes binary").toArrow()
-    order = np.argsort(some.column("doc_id").to_numpy(), kind="stable").tolist() if some.num_rows else []
-    model = train([np.frombuffer(some.column("classes")[i].as_py(), np.int16).astype(np.int64) for i in order], vocabulary.share)
+            rows = []
+            for t in batch.column(0):
+                found = [words[w] for w in tokens(t.as_py())]
+                rows.append(np.array([*map(words.kind.__getitem__, found), 0], np.int16).tobytes())
+                if len(words) > CACHED:
+                    words.restart()
+            yield pa.record_batch([pa.array(rows, pa.binary())], ["classes"])
+
+    encoded = written(train_docs.select("text").mapInArrow(classes, "classes binary"), "classes")
+    model = train_on_all(encoded, vocabulary.share)
     shared = Shared(spark, Scorer(vocabulary, model))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -78,3 +78,27 @@ def test_edge_cases(spark):
     assert L.scored_documents(docs.limit(0)).count() == 0
     only = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
     same(L.scored_documents(spark.createDataFrame([(i, "a b") for i in only], "doc_id long, text string")).collect(), [(i, "a b") for i in only])
+
+
+def test_model_learns_in_the_tasks(spark):
+    share = np.full(L.CLASSES + L.BUCKETS, 1.0)
+    text = np.array([1, 2, 3, 0], np.int16).tobytes()
+    encoded = spark.createDataFrame([(text,)] * 3000, "classes binary")
+    m = L.train_on_all(encoded, share)
+    p = np.exp(L.log_probabilities(m, np.array([[1, 0, 0], [2, 1, 0]]), np.array([2, 3])))
+    assert (p > 5 / len(share)).all(), "the model learns from the tasks"
+    again = L.train_on_all(encoded.limit(0), share)
+    assert all((again[k] == v).all() for k, v in L.new_model(share).items())
+
+
+def test_no_document_of_a_larger_corpus_is_left_out(spark):
+    """A word pair in documents that a sample of 2,500 leaves out for the most part: all of them reach the model."""
+    rows = [(i, "common words only") for i in range(6000)]
+    counted = []
+    real = L.train_on_all
+    try:
+        L.train_on_all = lambda encoded, share: counted.append(encoded.count()) or real(encoded, share)
+        L.scored_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    finally:
+        L.train_on_all = real
+    assert counted == [sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(6000))]
