@@ -2,17 +2,21 @@
 
 Counts. Tokens are the words of a text, A-Z in lower case, and one end. One pass counts all training tokens, combined in each task
 and summed in a shuffle (words stand as their XXH64; two words that share one of 2**64 values count as one). The HEAD most
-frequent words, a bounded table, reach every task; a task that scores texts resolves them itself, which is most tokens and every
-hot one, and sends the others through a join with the counts, where no key can be hot. So counts cover the whole corpus at any
-size, and nothing of unbounded size is broadcast or collected.
-
-Model. The CLASSES most frequent words are classes of their own, all other words share BUCKETS classes by their last letters. The
-vectors of the last ORDER classes, each through a matrix of its place, add up to a prediction; its product with the vectors of
-all classes, plus a bias, gives logits, and one batched matrix product and a softmax give exactly normalised log-probabilities.
-A word that shares a class takes its add-one share of the class's counts, so the probabilities of all words, with one mass for
-unseen words per shared class, add up to one. Training contrasts true classes with noise drawn from their frequencies, on all
-training documents: in each of ROUNDS rounds every task goes on from the same parameters over all of its rows, and the tasks'
-parameters are averaged by their numbers of tokens. Only sums of parameters reach the driver, MERGED rows at most.
+frequent words, a bounded table, and the end reach every task. A second pass turns texts into numbers: the head's own, or for
+any other word that of its bucket; these words' keys go through a join with the counts, where no key can be hot. So counts cover
+the whole corpus at any size, and nothing of unbounded size is broadcast or collected.
+
+Model. The SINGLES most frequent words are classes of their own, all others share BUCKETS classes by their last letters. The
+vectors of the two classes before a token, each through a matrix of its place, add up to a prediction; its product with the
+class's vector, plus a bias, is the class's logit. Within a shared class every head word seen WORD_SEEN times or more has a vector
+of its own, and so has the rest of the class; they are told apart by the vector of the class before through one more matrix. The
+rest's words take their add-one share of its counts, so all words, with one mass for unseen words per shared class, add up to one.
+As logits are sums, the class sums of all pairs of classes before are one matrix product, exp(first) @ exp(second), and the word
+sums of all classes one more: every token's log-probability is exactly normalised without a softmax of its own.
+
+Training contrasts true classes and words with noise drawn from their frequencies. It begins with at most BURN_IN tokens in one
+task; from there every task goes over all its training texts, and each row of the parameters is averaged over the tasks by how
+often it was trained there. Parameters travel and are added up in slices; the driver gets their sums alone.
 
 Edge cases: a null or empty text is the end alone; without training documents all counts are zero and the model predicts from
 its start values; repeated rows are scored each; other columns are ignored, whatever their names; an empty table gives an empty result.
@@ -20,6 +24,7 @@ its start values; repeated rows are scored each; other columns are ignored, what
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,15 +36,19 @@ from pyspark.sql import functions as F
 from strataforge.llm.common import Shared, remainder, written
 
 HEAD = 150_000
-CLASSES, BUCKETS = 256, 64  # class 0 is the end, which also stands before a text
-ORDER, WIDTH = 3, 16
-ROUNDS, MERGED = 2, 16
-EPOCHS, BATCH, NOISE, RATE = 3, 512, 96, 0.01
-AT_ONCE = 4096
-CACHED = 300_000
+SINGLES, BUCKETS = 1024, 128  # class 0 is the end, which also stands before a text
+CLASSES = SINGLES + BUCKETS
+WORD_SEEN = 20
+WIDTH = 16
+BATCH, NOISE, WORD_NOISE = 1024, 64, 3
+RATE, WORD_RATE = 0.01, 0.1
+BURN_IN = 1_000_000
 #: Tokens that a training task holds and shuffles at once.
 HELD = 1 << 18
+CACHED = 300_000
 FLUSH = 2_000_000
+#: Rows of parameters that travel together.
+SLICE = 8192
 END = 0  # the end's key
 
 
@@ -96,7 +105,8 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Keys and counts of the head, and classes. Totals are those of the whole corpus."""
+    """The head's keys and counts, and what each number stands for: 0 the end, then the head by frequency, then the buckets.
+    `kind` is a number's class, `row` its word vector (-1: a class of its own). Totals are those of the whole corpus."""
 
     def __init__(self, counts: DataFrame):
         step = F.floor(F.log2("n") * 8)
@@ -108,28 +118,44 @@ class Vocabulary:
             if taken > HEAD:
                 break
             least = r.least
-        head = counts.filter(F.col("n") >= least).toArrow() if least is not None else counts.limit(0).toArrow()
+        head = counts.filter((F.col("n") >= least) if least is not None else F.lit(False)).filter(F.col("key") != END).toArrow()
         keys, n, buckets = (head.column(c).to_numpy() for c in ("key", "n", "bucket"))
         order = np.lexsort((keys, -n))
-        self.head = {k: c for k, c in zip(keys[order].tolist(), n[order].tolist(), strict=True)}
-        first = [k for k in self.head if k != END][: CLASSES - 1]
-        self.classes = {END: 0} | {k: i for i, k in enumerate(first, 1)}
-        bucket = dict(zip(keys.tolist(), buckets.tolist(), strict=True))
-        shared = np.zeros((BUCKETS, 2))
+        keys, n, buckets = keys[order], n[order], buckets[order]
+        ends = sum(r.n for r in counts.filter(F.col("key") == END).collect())  # exact, whether the head reaches it or not
+        self.number = {k: i for i, k in enumerate(keys.tolist(), 1)}
+        self.size = len(keys) + 1
+        single = min(len(keys), SINGLES - 1)
+        self.kind = np.r_[np.arange(single + 1), SINGLES + buckets[single:], SINGLES + np.arange(BUCKETS)].astype(np.int32)
+        self.log = np.log10(np.r_[ends, n, np.zeros(BUCKETS)] + 1.0)
+        self.log[self.size :] = 0
+
+        shared = np.zeros((BUCKETS, 2))  # tokens and types of each bucket, less the single words'
         for r in counts.filter(F.col("key") != END).groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():
             shared[r.bucket] = r.n, r.types
-        for k in first:
-            shared[bucket[k]] -= self.head[k], 1
-        self.shared = shared
-        self.share = np.r_[[self.head.get(END, 0)], [self.head[k] for k in first], np.zeros(CLASSES - 1 - len(first)), shared[:, 0]] + 0.1
-
-    def class_of(self, word: bytes, key: int) -> int:
-        found = self.classes.get(key)
-        return CLASSES + bucket_of(word) if found is None else found
+        np.subtract.at(shared, buckets[:single], np.stack([n[:single], np.ones(single)], 1))
+        self.share = np.zeros(CLASSES) + 0.1
+        self.share[: single + 1] += np.r_[ends, n[:single]]
+        self.share[SINGLES:] += shared[:, 0]
+
+        own = single + np.flatnonzero(n[single:] >= WORD_SEEN)
+        own = own[np.argsort(buckets[own], kind="stable")]
+        np.subtract.at(shared, buckets[own], np.stack([n[own], np.ones(len(own))], 1))
+        self.rest_log = np.log10(shared.sum(1) + 1)  # what the rest's counts divide by
+        self.first = np.searchsorted(buckets[own], np.arange(BUCKETS)) + np.arange(BUCKETS)  # of each bucket's rows
+        rest = np.r_[self.first[1:], len(own) + BUCKETS] - 1
+        self.row = np.full(self.size + BUCKETS, -1, np.int32)
+        self.row[single + 1 :] = rest[self.kind[single + 1 :] - SINGLES]
+        self.row[own + 1] = np.arange(len(own)) + buckets[own]
+        self.rest = np.r_[np.zeros(single + 1, bool), np.ones(self.size + BUCKETS - single - 1, bool)]
+        self.rest[own + 1] = False
+        self.word_share = np.zeros(len(own) + BUCKETS)
+        self.word_share[self.row[own + 1]] = n[own]
+        self.word_share[rest] = shared[:, 0] + 0.1
 
 
 class Words(dict):
-    """word -> a number local to the task, with its key, class and, for head words, log10(count + 1)."""
+    """word -> a number local to the task, with its key and the vocabulary's number."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
@@ -138,229 +164,310 @@ class Words(dict):
 
     def restart(self) -> None:
         self.clear()
-        self.key, self.kind, self.log = [END], [0], [float(np.log10(self.vocabulary.head.get(END, 0) + 1))]
+        self.key, self.number = array("q", [END]), array("i", [0])
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.key)
         k = key_of(word)
-        c = self.vocabulary.head.get(k)
+        i = self.vocabulary.number.get(k)
         self.key.append(k)
-        self.kind.append(self.vocabulary.class_of(word, k))
-        self.log.append(-1.0 if c is None else float(np.log10(c + 1)))
+        self.number.append(self.vocabulary.size + bucket_of(word) if i is None else i)
         return n
 
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """A text's numbers, the end included, and the keys of its words outside the head."""
+        found = tokens(text)
+        local = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+        numbers = np.append(np.frombuffer(self.number, np.int32)[local], np.int32(0))
+        keys = np.frombuffer(self.key, np.int64)[local[numbers[:-1] >= self.vocabulary.size]]
+        if len(self) > CACHED:
+            self.restart()
+        return numbers, keys
+
+
+Model = dict[str, np.ndarray]
+
 
-def new_model(share: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
+def new_model(vocabulary: Vocabulary, seed: int = 5) -> Model:
+    """R: classes as context; C: matrices of the two places; Q: classes as predicted, with a bias in the last column; S, W: the
+    same for words within a class."""
     rng = np.random.default_rng(seed)
-    n = len(share)
-    g = lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
-    return {"R": g(n, WIDTH), "C": np.stack([np.eye(WIDTH, dtype=np.float32) * 0.5] * ORDER), "Q": g(n, WIDTH), "b": np.log(share / share.sum()).astype(np.float32)}
+    g = lambda n: rng.standard_normal((n, WIDTH)) * 0.1
+    share, words = vocabulary.share, vocabulary.word_share
+    within = words / np.repeat(np.add.reduceat(words, vocabulary.first), np.diff(np.r_[vocabulary.first, len(words)]))
+    eye = np.eye(WIDTH) * 0.5
+    model = {"R": g(CLASSES), "C": np.stack([eye, eye]), "Q": np.c_[g(CLASSES), np.log(share / share.sum())], "S": eye, "W": np.c_[g(len(words)), np.log(within)]}
+    return {k: v.astype(np.float32) for k, v in model.items()}
 
 
 def contexts(classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """For the tokens of concatenated texts that begin at starts: the ORDER classes before each, latest first; 0 before a text."""
-    place = np.arange(len(classes)) - np.repeat(starts, np.diff(np.r_[starts, len(classes)]))
-    return np.stack([np.where(place >= k, np.r_[np.zeros(k, classes.dtype), classes[: len(classes) - k] if len(classes) > k else classes[:0]][: len(classes)], 0) for k in range(1, ORDER + 1)], 1)
+    """For the tokens of concatenated texts that begin at starts: the two classes before each, latest first; 0 before a text."""
+    out = np.zeros((len(classes), 2), classes.dtype)
+    out[1:, 0], out[2:, 1] = classes[:-1], classes[:-2]
+    out[starts, :] = 0
+    second = starts + 1
+    out[second[second < len(classes)], 1] = 0
+    return out
 
 
 def _gathered(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of the rows of values by their places, of which there are n."""
-    flat = (places[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-    return np.bincount(flat, values.ravel(), n * WIDTH).reshape(n, WIDTH).astype(np.float32)
+    width = values.shape[1]
+    flat = (places[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(flat, values.ravel(), n * width).reshape(n, width).astype(np.float32)
+
+
+def _excess(score: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(-score, -60, 60)))
 
 
 class Trainer:
-    """Noise-contrastive estimation on texts as classes; a batch shares its noise, so both sides are matrix products."""
+    """Noise-contrastive estimation on texts as numbers; a batch shares its noise classes, so both sides are matrix products."""
 
-    def __init__(self, model: dict[str, np.ndarray], share: np.ndarray, seed: int = 5):
+    def __init__(self, model: Model, vocabulary: Vocabulary, seed: int = 5):
         self.m = {k: v.copy() for k, v in model.items()}
-        self.rng = np.random.default_rng(seed)
-        noise = share / share.sum()
+        self.v, self.rng = vocabulary, np.random.default_rng(seed)
+        noise = vocabulary.share / vocabulary.share.sum()
         self.offset, self.cdf = np.log(noise * NOISE).astype(np.float32), np.cumsum(noise)
+        words, first = vocabulary.word_share, vocabulary.first
+        ends = np.r_[0, np.cumsum(words)]
+        self.words, self.lows, self.highs = ends[1:], ends[first], ends[np.r_[first[1:], len(words)]]
+        within = words / np.repeat(self.highs - self.lows, np.diff(np.r_[first, len(words)]))
+        self.word_offset = np.log(within * WORD_NOISE).astype(np.float32)
         self.squares = {k: np.full_like(v, 1e-6) for k, v in self.m.items()}
+        self.trained = {k: np.zeros(len(self.m[k])) for k in ("R", "Q", "W")}
+        self.tokens = 0
 
     def epoch(self, texts: list[np.ndarray], first: float, last: float) -> None:
-        """Goes over all tokens once, with a rate that falls from first to last."""
-        m, n = self.m, len(self.offset)
+        """Goes over all tokens once; the rates fall from their share first to last."""
+        v = self.v
+        numbers = np.concatenate(texts)
+        target = v.kind[numbers]
         sizes = np.array([len(t) for t in texts])
-        target = np.concatenate(texts)
-        before = contexts(target, np.cumsum(sizes) - sizes)
-        order = self.rng.permutation(len(target))
+        before, row = contexts(target, np.cumsum(sizes) - sizes), v.row[numbers]
+        order = self.rng.permutation(len(numbers))
         for k in range(0, len(order), BATCH):
             pick = order[k : k + BATCH]
-            w, h = target[pick], before[pick]
-            false = np.minimum(np.searchsorted(self.cdf, self.rng.random(NOISE)), n - 1)
-            past = [m["R"][h[:, i]] for i in range(ORDER)]
-            guess = sum(past[i] @ m["C"][i] for i in range(ORDER))
-            true_q, false_q = m["Q"][w], m["Q"][false]
-            d_true = 1 / (1 + np.exp(-((guess * true_q).sum(1) + m["b"][w] - self.offset[w]))) - 1
-            d_false = 1 / (1 + np.exp(-(guess @ false_q.T + m["b"][false] - self.offset[false])))
-            d_guess = d_true[:, None] * true_q + d_false @ false_q
-            grads = {
-                "R": _gathered(h.T.ravel(), np.concatenate([d_guess @ m["C"][i].T for i in range(ORDER)]), n),
-                "C": np.stack([past[i].T @ d_guess for i in range(ORDER)]),
-                "Q": _gathered(np.r_[w, false], np.concatenate([d_true[:, None] * guess, d_false.T @ guess]), n),
-                "b": np.bincount(np.r_[w, false], np.r_[d_true, d_false.sum(0)], n).astype(np.float32),
-            }
-            rate = first + (last - first) * k / len(order)
-            for x, g in grads.items():
-                g /= len(pick)
-                self.squares[x] *= 0.99
-                self.squares[x] += 0.01 * g * g
-                m[x] -= rate * g / (np.sqrt(self.squares[x]) + 1e-4)
-
-
-def train(texts: list[np.ndarray], share: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
-    """Trains on texts in memory, EPOCHS times over all."""
-    trainer = Trainer(new_model(share, seed), share, seed)
-    for k in range(EPOCHS if texts else 0):
-        trainer.epoch(texts, RATE * (1 - 0.95 * k / EPOCHS), RATE * (1 - 0.95 * (k + 1) / EPOCHS))
-    return trainer.m
-
-
-def train_on_all(encoded: DataFrame, share: np.ndarray) -> dict[str, np.ndarray]:
-    """encoded: one row per training text (classes: int16 binary). Trains on every row, in the tasks, ROUNDS times."""
-    model = new_model(share)
-    shapes = {k: v.shape for k, v in model.items()}
-    for k in range(ROUNDS):
-        start, rate, least = Shared(encoded.sparkSession, (model, share)), RATE * (1 - 0.95 * k / ROUNDS), RATE * (1 - 0.95 * (k + 1) / ROUNDS)
-
-        def fit(batches: Iterator[pa.RecordBatch], start=start, rate=rate, least=least) -> Iterator[pa.RecordBatch]:
-            trainer, held, size, tokens = None, [], 0, 0
-            for batch in batches:
-                for row in batch.column(0):
-                    held.append(np.frombuffer(row.as_py(), np.int16).astype(np.int64))
-                    size += len(held[-1])
-                    if size >= HELD:
-                        trainer = trainer or Trainer(*start.value, xxhash.xxh64_intdigest(held[0].tobytes()))
-                        trainer.epoch(held, rate, (rate + least) / 2)
-                        held, size, tokens = [], 0, tokens + size
-            if held:
-                trainer = trainer or Trainer(*start.value, xxhash.xxh64_intdigest(held[0].tobytes()))
-                trainer.epoch(held, (rate + least) / 2, least)
-                tokens += size
-            if trainer:
-                flat = np.concatenate([v.ravel() for v in trainer.m.values()]).astype(np.float64) * tokens
-                yield pa.record_batch([pa.array([tokens]), pa.array([flat.tobytes()], pa.binary())], ["tokens", "sums"])
-
-        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tokens, sums = 0, 0.0
-            for batch in batches:
-                for n, flat in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    tokens, sums = tokens + n, sums + np.frombuffer(flat)
-            if tokens:
-                yield pa.record_batch([pa.array([tokens]), pa.array([sums.tobytes()], pa.binary())], ["tokens", "sums"])
-
-        schema = "tokens long, sums binary"
-        merged = encoded.select("classes").mapInArrow(fit, schema).repartition(MERGED).mapInArrow(merge, schema).collect()
-        if not merged:
-            return model
-        flat = sum(np.frombuffer(bytes(r.sums)) for r in merged) / sum(r.tokens for r in merged)
-        ends = np.cumsum([int(np.prod(x)) for x in shapes.values()])
-        model = {x: part.reshape(shapes[x]).astype(np.float32) for x, part in zip(shapes, np.split(flat, ends[:-1]), strict=True)}
-    return model
-
-
-def log_probabilities(m: dict[str, np.ndarray], before: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Normalised natural log-probabilities of target classes. The bias is one more dimension of the product; the largest logit
-    is only subtracted in a batch whose sums would leave the range of floats."""
-    one = lambda i: np.full((len(m["R"]), 1), float(i == 0), np.float32)
-    past = [np.hstack([m["R"] @ m["C"][i], one(i)]).astype(np.float32) for i in range(ORDER)]
-    q = np.ascontiguousarray(np.vstack([m["Q"].T, m["b"]]).astype(np.float32))
-    out = np.empty(len(target))
-    for k in range(0, len(target), AT_ONCE):
-        h, w = before[k : k + AT_ONCE], target[k : k + AT_ONCE]
-        guess = sum(past[i][h[:, i]] for i in range(ORDER))
-        logits = guess @ q
-        own = logits[np.arange(len(w)), w].astype(np.float64)
-        with np.errstate(over="ignore"):
-            total = np.exp(logits, out=logits).sum(1)
-        if not (total < 1e30).all() or (total < 1e-30).any():
-            logits = guess @ q
-            top = logits.max(1)
-            total, own = np.exp(logits - top[:, None]).sum(1), own - top
-        out[k : k + AT_ONCE] = own - np.log(total)
-    return out
+            self.step(target[pick], before[pick], row[pick], first + (last - first) * k / len(order))
+        self.tokens += len(numbers)
+        self.trained["Q"] += np.bincount(target, minlength=CLASSES)
+        self.trained["R"] += np.bincount(before[:, 0], minlength=CLASSES)
+        self.trained["W"] += np.bincount(row[row >= 0], minlength=len(self.m["W"]))
+
+    def step(self, w: np.ndarray, h: np.ndarray, row: np.ndarray, share: float) -> None:
+        m, one = self.m, slice(WIDTH, WIDTH + 1)
+        false = np.minimum(np.searchsorted(self.cdf, self.rng.random(NOISE)), CLASSES - 1)
+        past = [m["R"][h[:, 0]], m["R"][h[:, 1]]]
+        guess = np.c_[past[0] @ m["C"][0] + past[1] @ m["C"][1], np.ones(len(w), np.float32)]
+        true_q, false_q = m["Q"][w], m["Q"][false]
+        d_true = _excess((guess * true_q).sum(1) - self.offset[w]) - 1
+        d_false = _excess(guess @ false_q.T - self.offset[false])
+        d_guess = (d_true[:, None] * true_q + d_false @ false_q)[:, :WIDTH]
+        d_past = [d_guess @ m["C"][0].T, d_guess @ m["C"][1].T]
+        grads = {
+            "C": np.stack([past[0].T @ d_guess, past[1].T @ d_guess]),
+            "Q": _gathered(np.r_[w, false], np.concatenate([d_true[:, None] * guess, d_false.T @ guess]), CLASSES),
+        }
+        inside = np.flatnonzero(row >= 0)
+        if len(inside):
+            bucket = w[inside] - SINGLES
+            low = self.lows[bucket][:, None]
+            noise = np.searchsorted(self.words, low + self.rng.random((len(inside), WORD_NOISE)) * (self.highs[bucket][:, None] - low), "right")
+            some = np.c_[row[inside], np.clip(noise, self.v.first[bucket][:, None], len(self.words) - 1)]
+            near = past[0][inside]
+            guess = np.c_[near @ m["S"], np.ones(len(inside), np.float32)]
+            vectors = m["W"][some]
+            d = _excess(np.einsum("md,mkd->mk", guess, vectors) - self.word_offset[some])
+            d[:, 0] -= 1
+            d_near = np.einsum("mk,mkd->md", d, vectors)[:, :WIDTH]
+            grads["S"] = near.T @ d_near
+            d_past[0][inside] += d_near @ m["S"].T
+            rows, at = np.unique(some, return_inverse=True)
+            g = _gathered(at.ravel(), (d[:, :, None] * guess[:, None, :]).reshape(-1, WIDTH + 1), len(rows))
+            self.squares["W"][rows] += g * g
+            m["W"][rows] -= WORD_RATE * share * g / np.sqrt(self.squares["W"][rows] + 1e-2)
+        grads["R"] = _gathered(h.T.ravel(), np.concatenate(d_past), CLASSES)
+        for x, g in grads.items():
+            g /= len(w)
+            self.squares[x] *= 0.99
+            self.squares[x] += 0.01 * g * g
+            m[x] -= RATE * share * g / (np.sqrt(self.squares[x]) + 1e-4)
+
+
+def _packed(m: Model) -> np.ndarray:
+    """All parameters as rows of equal width."""
+    wide = WIDTH + 1
+    return np.concatenate([np.c_[m["R"], np.zeros(CLASSES, np.float32)], m["Q"], m["W"], np.pad(np.concatenate([m["C"].reshape(-1, WIDTH), m["S"]]), ((0, 0), (0, wide - WIDTH)))])
+
+
+def _unpacked(rows: np.ndarray) -> Model:
+    r, q, c = CLASSES, 2 * CLASSES, len(rows) - 3 * WIDTH
+    return {"R": rows[:r, :WIDTH].copy(), "Q": rows[r:q], "W": rows[q:c], "C": rows[c : c + 2 * WIDTH, :WIDTH].reshape(2, WIDTH, WIDTH).copy(), "S": rows[c + 2 * WIDTH :, :WIDTH].copy()}
+
+
+SUMS = "slice int, weights binary, sums binary"
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up equal slices; rows come sorted by slice, and one slice is held at a time."""
+    def out():
+        return pa.record_batch([pa.array([now], pa.int32()), pa.array([weights.tobytes()], pa.binary()), pa.array([sums.tobytes()], pa.binary())], ["slice", "weights", "sums"])
+
+    now = None
+    for batch in batches:
+        for i, w, s in zip(*batch.columns, strict=True):
+            w, s = np.frombuffer(w.as_py()), np.frombuffer(s.as_py(), np.float32)
+            if i.as_py() == now:
+                weights, sums = weights + w, sums + s
+            else:
+                if now is not None:
+                    yield out()
+                now, weights, sums = i.as_py(), w, s
+    if now is not None:
+        yield out()
+
+
+def train(encoded: DataFrame, model: Model, vocabulary: Vocabulary, first: float, last: float) -> Model:
+    """One round over all rows of encoded (numbers: int32 binary), in its tasks."""
+    start = Shared(encoded.sparkSession, (model, vocabulary))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer, held, size = None, [], 0
+
+        def go(first, last):
+            nonlocal trainer, held, size
+            trainer = trainer or Trainer(*start.value, xxhash.xxh64_intdigest(held[0].tobytes()))
+            trainer.epoch(held, first, last)
+            held, size = [], 0
+
+        for batch in batches:
+            for row in batch.column(0):
+                held.append(np.frombuffer(row.as_py(), np.int32))
+                size += len(held[-1])
+                if size >= HELD:
+                    go(first, (first + last) / 2)
+        if held:
+            go((first + last) / 2, last)
+        if trainer:
+            weights = np.concatenate([trainer.trained["R"], trainer.trained["Q"], trainer.trained["W"], np.full(3 * WIDTH, float(trainer.tokens))])
+            sums = (_packed(trainer.m) * weights[:, None]).astype(np.float32)
+            for k in range(0, len(sums), SLICE):
+                yield pa.record_batch([pa.array([k // SLICE], pa.int32()), pa.array([weights[k : k + SLICE].tobytes()], pa.binary()), pa.array([sums[k : k + SLICE].tobytes()], pa.binary())], ["slice", "weights", "sums"])
+
+    sums = encoded.select("numbers").mapInArrow(fit, SUMS)
+    for keys in (["slice", F.pmod(F.xxhash64("weights", "sums"), F.lit(16))], ["slice"]):  # in two steps, so that no task adds up a slice of all
+        sums = sums.repartition(*keys).sortWithinPartitions("slice").mapInArrow(_added, SUMS)
+    merged = {r.slice: r for r in sums.collect()}
+    if not merged:
+        return model
+    weights = np.concatenate([np.frombuffer(bytes(merged[k].weights)) for k in sorted(merged)])
+    total = np.concatenate([np.frombuffer(bytes(merged[k].sums), np.float32) for k in sorted(merged)]).reshape(-1, WIDTH + 1)
+    before = _packed(model)
+    return _unpacked(np.where(weights[:, None] > 0, total / np.maximum(weights, 1)[:, None], before).astype(np.float32))
+
+
+def train_on_all(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
+    """encoded: a row for each training text. The first steps take BURN_IN tokens or so, the round after them every row."""
+    model = new_model(vocabulary)
+    share = BURN_IN / max(1, vocabulary.tokens)
+    place = F.pmod(F.xxhash64("numbers"), F.lit(1 << 30)) / float(1 << 30)
+    model = train((encoded if share >= 1 else encoded.filter(place < share)).repartition(1), model, vocabulary, 1.0, 0.3)
+    return train(encoded, model, vocabulary, 0.5, 0.05)
 
 
 class Scorer:
-    def __init__(self, vocabulary: Vocabulary, model: dict[str, np.ndarray]):
-        self.vocabulary, self.model = vocabulary, model
-        shared = np.log10(vocabulary.shared.sum(1) + 1)
-        self.shared = np.r_[np.zeros(CLASSES), shared]  # what a class's own counts divide by
-
-    def __call__(self, texts: list[str | None], words: Words) -> tuple:
-        """For each text: tokens, known head tokens, head's sum of log10(count + 1), the model's log10 probability but for what
-        tail words add, and the tail words' keys."""
-        found = [tokens(t) for t in texts]
-        sizes = np.array([len(f) + 1 for f in found])
-        ids = np.concatenate([np.r_[np.fromiter(map(words.__getitem__, f), np.int64, len(f)), 0] for f in found])
-        key, kind, log = np.array(words.key, np.int64)[ids], np.array(words.kind, np.int64)[ids], np.array(words.log)[ids]
+    """The model's normalised log-probabilities (base 10) of texts as numbers."""
+
+    def __init__(self, vocabulary: Vocabulary, m: Model):
+        self.vocabulary, self.q, self.w = vocabulary, m["Q"], m["W"]
+        one = np.ones((CLASSES, 1), np.float32)
+        self.first, self.second = np.hstack([m["R"] @ m["C"][0], one]), np.hstack([m["R"] @ m["C"][1], one * 0])
+        self.near = np.hstack([m["R"] @ m["S"], one])
+        logit = [x.astype(np.float64) @ m["Q"].T.astype(np.float64) for x in (self.first, self.second)]
+        top = [x.max(1) for x in logit]
+        self.sums = (np.log(np.exp(logit[0] - top[0][:, None]) @ np.exp(logit[1] - top[1][:, None]).T) + top[0][:, None] + top[1]).astype(np.float32)
+        self.word_sums = np.empty((CLASSES, BUCKETS), np.float32)
+        sizes = np.diff(np.r_[vocabulary.first, len(self.w)])
+        for k in range(0, CLASSES, 32):
+            x = self.near[k : k + 32] @ self.w.T
+            high = np.maximum.reduceat(x, vocabulary.first, 1)
+            self.word_sums[k : k + 32] = np.log(np.add.reduceat(np.exp(x - np.repeat(high, sizes, 1)), vocabulary.first, 1)) + high
+
+    def class_logs(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
+        a, b = before[:, 0], before[:, 1]
+        return np.einsum("nd,nd->n", self.first[a] + self.second[b], self.q[target]) - self.sums[a, b]
+
+    def word_logs(self, before: np.ndarray, row: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        return np.einsum("nd,nd->n", self.near[before], self.w[row]) - self.word_sums[before, bucket]
+
+    def __call__(self, texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """For each text: tokens, known head tokens, the head's sum of log10(count + 1), and the log10 probability but for the
+        log10(count + 1) of words outside the head."""
+        v = self.vocabulary
+        numbers, sizes = np.concatenate(texts), np.array([len(t) for t in texts])
         starts = np.cumsum(sizes) - sizes
-        model = log_probabilities(self.model, contexts(kind, starts), kind) / np.log(10)
-        tail = log < 0
-        head = np.where(tail, 0.0, log)
-        inside = np.where(kind >= CLASSES, head - self.shared[kind], 0.0)
-        known = np.add.reduceat((~tail & (log > 0)).astype(np.int64), starts)
-        owner = np.repeat(np.arange(len(found)), sizes)
-        tails = np.bincount(owner[tail], minlength=len(found))
-        return sizes, known, np.add.reduceat(head, starts), np.add.reduceat(model + inside, starts), key[tail], tails
+        kind, row, log = v.kind[numbers], v.row[numbers], v.log[numbers]
+        before = contexts(kind, starts)
+        model = self.class_logs(before, kind).astype(np.float64)
+        inside = np.flatnonzero(row >= 0)
+        model[inside] += self.word_logs(before[inside, 0], row[inside], kind[inside] - SINGLES)
+        model /= np.log(10)
+        rest = np.flatnonzero(v.rest[numbers])
+        model[rest] += log[rest] - v.rest_log[kind[rest] - SINGLES]
+        return sizes, np.add.reduceat((log > 0).astype(np.int64), starts), np.add.reduceat(log, starts), np.add.reduceat(model, starts)
+
+
+def _in_parts(batches: Iterator[pa.RecordBatch], size, most: int = 1 << 20) -> Iterator[list[tuple]]:
+    """Rows of batches as tuples, in lists of at most about `most` by size(row)."""
+    rows, held = [], 0
+    for batch in batches:
+        for row in zip(*batch.columns, strict=True):
+            rows.append(tuple(x.as_py() for x in row))
+            held += size(rows[-1]) + 100
+            if held > most:
+                yield rows
+                rows, held = [], 0
+    if rows:
+        yield rows
+
+
+ENCODED = "row_number long, doc_id long, train boolean, numbers binary, tail array<long>"
+FIRST = "row_number long, doc_id long, n_tokens long, n_head long, head_log double, model_log double"
+
+
+def encoded_texts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    known = Shared(docs.sparkSession, vocabulary)
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(known.value)
+        for rows in _in_parts(batches, lambda r: len(r[3] or "")):
+            number, ids, train, texts = zip(*rows, strict=True)
+            numbers, keys = zip(*map(words.encode, texts), strict=True)
+            tail = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(k) for k in keys])], pa.int32()), pa.array(np.concatenate(keys), pa.int64()))
+            yield pa.record_batch([pa.array(number, pa.int64()), pa.array(ids, pa.int64()), pa.array(train, pa.bool_()), pa.array([x.tobytes() for x in numbers], pa.binary()), tail], [x.split()[0] for x in ENCODED.split(", ")])
 
-FIRST = "row_number long, doc_id long, n_tokens long, n_head long, head_log double, model_log double, tail array<long>"
+    number = F.monotonically_increasing_id()
+    return written(docs.select(number.alias("row_number"), "doc_id", (remainder(F.col("doc_id"), 7) != 2).alias("train"), "text").mapInArrow(encode, ENCODED), "encoded")
 
 
 def scored_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    train_docs = docs.filter(remainder(F.col("doc_id"), 7) != 2)
-    counts = corpus_counts(train_docs.select("text"))
+    counts = corpus_counts(docs.filter(remainder(F.col("doc_id"), 7) != 2).select("text"))
     vocabulary = Vocabulary(counts)
-    known = Shared(spark, vocabulary)
-
-    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(known.value)
-        for batch in batches:
-            rows = []
-            for t in batch.column(0):
-                found = [words[w] for w in tokens(t.as_py())]
-                rows.append(np.array([*map(words.kind.__getitem__, found), 0], np.int16).tobytes())
-                if len(words) > CACHED:
-                    words.restart()
-            yield pa.record_batch([pa.array(rows, pa.binary())], ["classes"])
-
-    encoded = written(train_docs.select("text").mapInArrow(classes, "classes binary"), "classes")
-    model = train_on_all(encoded, vocabulary.share)
-    shared = Shared(spark, Scorer(vocabulary, model))
+    encoded = encoded_texts(docs, vocabulary)
+    shared = Shared(spark, Scorer(vocabulary, train_on_all(encoded.filter("train").select("numbers"), vocabulary)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = shared.value
-        words = Words(scorer.vocabulary)
-
-        def table(rows, ids, texts):
-            n, known, head, total, key, tails = scorer(texts, words)
-            offsets = pa.array(np.r_[0, np.cumsum(tails)], pa.int32())
-            return pa.record_batch([pa.array(rows, pa.int64()), pa.array(ids, pa.int64()), pa.array(n), pa.array(known), pa.array(head), pa.array(total), pa.ListArray.from_arrays(offsets, pa.array(key))], [x.split()[0] for x in FIRST.split(", ")])
+        for rows in _in_parts(batches, lambda r: len(r[2])):
+            number, ids, numbers = zip(*rows, strict=True)
+            found = shared.value([np.frombuffer(x, np.int32) for x in numbers])
+            yield pa.record_batch([pa.array(number, pa.int64()), pa.array(ids, pa.int64()), *map(pa.array, found)], [x.split()[0] for x in FIRST.split(", ")])
 
-        rows, ids, texts, held = [], [], [], 0
-        for batch in batches:
-            for row, i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                rows.append(row)
-                ids.append(i)
-                texts.append(text.as_py())
-                held += len(texts[-1] or "") + 100
-                if held > 1 << 20:
-                    yield table(rows, ids, texts)
-                    rows, ids, texts, held = [], [], [], 0
-                    if len(words) > CACHED:
-                        words.restart()
-        if rows:
-            yield table(rows, ids, texts)
-
-    first = written(docs.select(F.monotonically_increasing_id().alias("row_number"), "doc_id", "text").mapInArrow(score, FIRST), "first-scores")
-    tail = first.select("row_number", F.explode("tail").alias("key")).join(counts.select("key", "n"), "key")
+    first = encoded.select("row_number", "doc_id", "numbers").mapInArrow(score, FIRST)
+    tail = encoded.select("row_number", F.explode("tail").alias("key")).join(counts.select("key", "n"), "key")
     tail = tail.groupBy("row_number").agg(F.sum(F.log10(F.col("n") + 1)).alias("tail_log"), F.count("*").alias("n_tail"))
-    both = first.drop("tail").join(tail, "row_number", "left")
+    both = first.join(tail, "row_number", "left")
     more, n = F.coalesce("tail_log", F.lit(0.0)), F.lit(vocabulary.tokens).cast("long")
     return both.select(
         "doc_id",

@@ -25,6 +25,14 @@ def same(got, rows):
         assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-9, abs_tol=1e-9)
 
 
+def fitted(docs, monkeypatch):
+    """scored_documents with the model that it used."""
+    seen = []
+    real = L.Scorer
+    monkeypatch.setattr(L, "Scorer", lambda vocabulary, m: seen.append((vocabulary, m)) or real(vocabulary, m))
+    return L.scored_documents(docs).collect(), *seen[-1]
+
+
 def test_base_against_brute_force_and_model_beats_it(spark, sf, monkeypatch):
     monkeypatch.setattr(L, "HEAD", 3000)  # so that many words go through the join
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -35,40 +43,114 @@ def test_base_against_brute_force_and_model_beats_it(spark, sf, monkeypatch):
     assert all(r.score <= 0 for r in got)
 
 
-def test_probabilities_are_normalised(spark, monkeypatch):
-    """The classes' probabilities add up to one, and so do those of all words with one unseen word for each shared class."""
-    rng = np.random.default_rng(0)
-    share = rng.random(L.CLASSES + L.BUCKETS)
-    m = L.train([rng.integers(0, len(share), 40)], share)
-    before = rng.integers(0, len(share), (3, L.ORDER))
-    for h in before:
-        p = np.exp(L.log_probabilities(m, np.repeat(h[None], len(share), 0), np.arange(len(share))))
-        assert abs(p.sum() - 1) < 1e-5
-        far = m | {"b": m["b"] + 300}
-        assert np.allclose(L.log_probabilities(far, np.repeat(h[None], 3, 0), np.arange(3)), np.log(p[:3]), atol=1e-3)
-    monkeypatch.setattr(L, "CLASSES", 3)
-    words = [f"w{i % 9}" for i in range(60)] + ["once"]
+def test_end_is_exact_where_the_head_does_not_reach_it(spark):
+    rows = [(i, " ".join(f"w{k}" for k in range(L.HEAD + 1))) for i in (0,) if zlib.crc32(b"0") % 7 != 2]
+    assert rows
+    same(L.scored_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+
+
+def plain_score(text, counts, vocabulary, m):
+    """The model's log10 probability token by token: a softmax over all classes, one over the words of a class, a share of the rest."""
+    def softmax(logits):
+        e = np.exp(logits - logits.max())
+        return e / e.sum()
+
+    past, total = [0, 0], 0.0
+    for word in [*L.tokens(text), None]:
+        number = 0 if word is None else vocabulary.number.get(L.key_of(word), vocabulary.size + L.bucket_of(word))
+        kind = int(vocabulary.kind[number])
+        guess = m["R"][past[0]] @ m["C"][0] + m["R"][past[1]] @ m["C"][1]
+        p = softmax((m["Q"][:, : L.WIDTH] @ guess + m["Q"][:, L.WIDTH]).astype(np.float64))[kind]
+        if kind >= L.SINGLES:
+            b = kind - L.SINGLES
+            end = vocabulary.first[b + 1] if b + 1 < L.BUCKETS else len(m["W"])
+            own = m["W"][vocabulary.first[b] : end]
+            inside = softmax((own[:, : L.WIDTH] @ (m["R"][past[0]] @ m["S"]) + own[:, L.WIDTH]).astype(np.float64))
+            p *= inside[vocabulary.row[number] - vocabulary.first[b]]
+            if vocabulary.row[number] == end - 1:
+                p *= (counts[word] + 1) / 10 ** vocabulary.rest_log[b]
+        total += math.log10(p)
+        past = [kind, past[0]]
+    return total
+
+
+def test_score_against_brute_force(spark, monkeypatch):
+    """Single words, words with vectors, head words without, words outside the head and unseen words."""
+    monkeypatch.setattr(L, "HEAD", 40)
+    monkeypatch.setattr(L, "SINGLES", 6)
+    monkeypatch.setattr(L, "BUCKETS", 3)
+    monkeypatch.setattr(L, "CLASSES", 9)
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"w{min(int(x), 400)}" for x in rng.pareto(0.7, rng.integers(1, 80)) * 3)) for i in range(120)] + [(300, None), (301, "unseen Words w1 W2"), (302, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got, vocabulary, m = fitted(docs, monkeypatch)
+    counts = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in L.tokens(t))
+    assert (vocabulary.row[:-3] >= 0).sum() > 20 and vocabulary.rest[:-3].any() and len(counts) > 60 and len(vocabulary.word_share) > 6
+    text = dict(rows)
+    for r in got:
+        assert math.isclose(r.score, plain_score(text[r.doc_id], counts, vocabulary, m), rel_tol=1e-4, abs_tol=1e-4)
+
+
+def test_probabilities_are_normalised(spark):
+    """The classes' probabilities add up to one, those of a class's words and rest too, and those of the rest's words with one
+    unseen word for each class."""
+    words = [f"w{i * i % 97}" for i in range(6000)] + [f"x{i}" for i in range(L.SINGLES)] * 2 + [f"y{i}" for i in range(3000)] * 25 + ["once"]
     docs = spark.createDataFrame([(" ".join(words),)], "text string")
     vocabulary = L.Vocabulary(L.corpus_counts(docs))
-    count = Counter(words)
-    scorer = L.Scorer(vocabulary, L.new_model(vocabulary.share))
-    buckets = {L.bucket_of(w.encode()) for w in count}
-    inside = sum((count[w] + 1) / 10 ** scorer.shared[k] for w in count if (k := vocabulary.class_of(w.encode(), L.key_of(w.encode()))) >= L.CLASSES)
-    unseen = sum(1 / 10 ** scorer.shared[L.CLASSES + b] for b in buckets)
-    assert abs(inside + unseen - len(buckets)) < 1e-9
+    rng = np.random.default_rng(0)
+    m = {k: v + rng.standard_normal(v.shape).astype(np.float32) * 0.3 for k, v in L.new_model(vocabulary).items()}
+    for far in (m, m | {"Q": m["Q"] + 100, "W": m["W"] - 50}):
+        scorer = L.Scorer(vocabulary, far)
+        for h in rng.integers(0, L.CLASSES, (4, 2)):
+            p = np.exp(scorer.class_logs(np.repeat(h[None], L.CLASSES, 0), np.arange(L.CLASSES)))
+            assert abs(p.sum() - 1) < 1e-2 if far is not m else abs(p.sum() - 1) < 1e-4
+            bucket = np.repeat(np.arange(L.BUCKETS), np.diff(np.r_[vocabulary.first, len(m["W"])]))
+            p = np.exp(scorer.word_logs(np.full(len(bucket), h[0]), np.arange(len(bucket)), bucket))
+            assert np.allclose(np.bincount(bucket, p), 1, atol=1e-2 if far is not m else 1e-4)
+    count = Counter(w.encode() for w in words)
+    inside = np.zeros(L.BUCKETS)
+    for w, n in count.items():
+        i = vocabulary.number[L.key_of(w)]
+        if vocabulary.rest[i]:
+            inside[L.bucket_of(w)] += (n + 1) / 10 ** vocabulary.rest_log[L.bucket_of(w)]
+    assert np.allclose(inside + 10**-vocabulary.rest_log, 1)
 
 
 def test_contexts():
     got = L.contexts(np.array([5, 6, 7, 8, 9]), np.array([0, 3]))
-    assert got.tolist() == [[0, 0, 0], [5, 0, 0], [6, 5, 0], [0, 0, 0], [8, 0, 0]]
+    assert got.tolist() == [[0, 0], [5, 0], [6, 5], [0, 0], [8, 0]]
+    assert L.contexts(np.array([5]), np.array([0])).tolist() == [[0, 0]]
+    assert L.contexts(np.array([5, 6, 7]), np.array([0, 1, 2])).tolist() == [[0, 0]] * 3
 
 
-def test_training_learns_what_follows_what():
+def test_training_learns_what_follows_what(spark):
     rng = np.random.default_rng(3)
-    texts = [np.array([(s + i) % 10 + 1 for i in range(30)]) for s in rng.integers(0, 10, 200)]
-    share = np.bincount(np.concatenate(texts), minlength=L.CLASSES + L.BUCKETS) + 0.1
-    m = L.train(texts, share)
-    assert np.exp(L.log_probabilities(m, L.contexts(texts[0], np.array([0]))[5:], texts[0][5:])).mean() > 0.5
+    texts = [" ".join(f"w{(s + i) % 10}" for i in range(30)) for s in rng.integers(0, 10, 400)]
+    vocabulary = L.Vocabulary(L.corpus_counts(spark.createDataFrame([(t,) for t in texts], "text string")))
+    words = L.Words(vocabulary)
+    numbers = [words.encode(t)[0] for t in texts]
+    trainer = L.Trainer(L.new_model(vocabulary), vocabulary)
+    for _ in range(40):
+        trainer.epoch(numbers, 1, 1)
+    before = L.contexts(numbers[0], np.array([0]))
+    assert np.exp(L.Scorer(vocabulary, trainer.m).class_logs(before, numbers[0])[3:-1]).mean() > 0.5
+
+
+def test_words_within_a_class_learn_from_the_class_before(spark, monkeypatch):
+    monkeypatch.setattr(L, "SINGLES", 3)
+    monkeypatch.setattr(L, "BUCKETS", 1)
+    monkeypatch.setattr(L, "CLASSES", 4)
+    texts = ["a " * 4 + "a xx " * 10, "b " * 4 + "b yy " * 10] * 200
+    vocabulary = L.Vocabulary(L.corpus_counts(spark.createDataFrame([(t,) for t in texts], "text string")))
+    words = L.Words(vocabulary)
+    numbers = [words.encode(t)[0] for t in texts]
+    trainer = L.Trainer(L.new_model(vocabulary), vocabulary)
+    for _ in range(10):
+        trainer.epoch(numbers, 1, 1)
+    scorer = L.Scorer(vocabulary, trainer.m)
+    a, x, y = (words.encode(w)[0][0] for w in ("a", "xx", "yy"))
+    p = np.exp(scorer.word_logs(vocabulary.kind[[a, a]], vocabulary.row[[x, y]], np.zeros(2, int)))
+    assert p[0] > 0.8 and p[1] < 0.2
 
 
 def test_edge_cases(spark):
@@ -80,25 +162,31 @@ def test_edge_cases(spark):
     same(L.scored_documents(spark.createDataFrame([(i, "a b") for i in only], "doc_id long, text string")).collect(), [(i, "a b") for i in only])
 
 
-def test_model_learns_in_the_tasks(spark):
-    share = np.full(L.CLASSES + L.BUCKETS, 1.0)
-    text = np.array([1, 2, 3, 0], np.int16).tobytes()
-    encoded = spark.createDataFrame([(text,)] * 3000, "classes binary")
-    m = L.train_on_all(encoded, share)
-    p = np.exp(L.log_probabilities(m, np.array([[1, 0, 0], [2, 1, 0]]), np.array([2, 3])))
-    assert (p > 5 / len(share)).all(), "the model learns from the tasks"
-    again = L.train_on_all(encoded.limit(0), share)
-    assert all((again[k] == v).all() for k, v in L.new_model(share).items())
-
-
-def test_no_document_of_a_larger_corpus_is_left_out(spark):
-    """A word pair in documents that a sample of 2,500 leaves out for the most part: all of them reach the model."""
+def test_model_learns_in_the_tasks_and_slices_add_up(spark, monkeypatch):
+    texts = ["one two three"] * 3000
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    vocabulary = L.Vocabulary(L.corpus_counts(docs))
+    numbers = L.Words(vocabulary).encode(texts[0])[0]
+    encoded = spark.createDataFrame([(numbers.tobytes(),)] * 3000, "numbers binary")
+    m = L.train_on_all(encoded, vocabulary)
+    p = np.exp(L.Scorer(vocabulary, m).class_logs(L.contexts(numbers, np.array([0])), numbers))
+    assert (p > 0.3).all(), "the model learns from the tasks"
+    start = L.new_model(vocabulary)
+    again = L.train_on_all(encoded.limit(0), vocabulary)
+    assert all((again[k] == v).all() for k, v in start.items())
+    assert all((L._unpacked(L._packed(start))[k] == v).all() for k, v in start.items())
+    one = L.train(encoded.repartition(1), start, vocabulary, 0.5, 0.1)
+    monkeypatch.setattr(L, "SLICE", 100)
+    other = L.train(encoded.repartition(1), start, vocabulary, 0.5, 0.1)
+    assert all(np.allclose(one[k], v, atol=1e-5) for k, v in other.items())
+    still = np.setdiff1d(np.arange(L.CLASSES), vocabulary.kind[numbers])
+    assert (one["R"][still] == start["R"][still]).all(), "what no task trained stays as it began"
+
+
+def test_no_document_of_a_larger_corpus_is_left_out(spark, monkeypatch):
     rows = [(i, "common words only") for i in range(6000)]
     counted = []
     real = L.train_on_all
-    try:
-        L.train_on_all = lambda encoded, share: counted.append(encoded.count()) or real(encoded, share)
-        L.scored_documents(spark.createDataFrame(rows, "doc_id long, text string"))
-    finally:
-        L.train_on_all = real
+    monkeypatch.setattr(L, "train_on_all", lambda encoded, vocabulary: counted.append(encoded.count()) or real(encoded, vocabulary))
+    L.scored_documents(spark.createDataFrame(rows, "doc_id long, text string"))
     assert counted == [sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(6000))]
