@@ -1,10 +1,10 @@
 """Language-model scoring: a log-bilinear model trained with noise-contrastive estimation, and an add-one unigram base.
 
-Counts. Tokens are the words of a text, A-Z in lower case, and one end. One pass counts all training tokens, combined in each task
-and summed in a shuffle (words stand as their XXH64; two words that share one of 2**64 values count as one). The HEAD most
-frequent words, a bounded table, and the end reach every task. A second pass turns texts into numbers: the head's own, or for
-any other word that of its bucket; these words' keys go through a join with the counts, where no key can be hot. So counts cover
-the whole corpus at any size, and nothing of unbounded size is broadcast or collected.
+Counts. Tokens are the words of a text, A-Z in lower case, and one end. Texts are read once: every task writes them as blocks of
+numbers with the block's own dictionary, which counts its training tokens (words stand as their XXH64; two words that share one of
+2**64 values count as one). Dictionaries are summed in a shuffle. The HEAD most frequent words, a bounded table, and the end reach
+every task; other words go through a join of their keys with the counts, where no key can be hot. So counts cover the whole corpus
+at any size, and nothing of unbounded size is broadcast or collected.
 
 Model. The SINGLES most frequent words are classes of their own, all others share BUCKETS classes by their last letters. The
 vectors of the two classes before a token, each through a matrix of its place, add up to a prediction; its product with the
@@ -24,7 +24,6 @@ its start values; repeated rows are scored each; other columns are ignored, what
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,15 +39,15 @@ SINGLES, BUCKETS = 1024, 128  # class 0 is the end, which also stands before a t
 CLASSES = SINGLES + BUCKETS
 WORD_SEEN = 20
 WIDTH = 16
-BATCH, NOISE, WORD_NOISE = 1024, 64, 3
-RATE, WORD_RATE = 0.01, 0.1
+BATCH, NOISE, WORD_NOISE = 2048, 64, 2
+RATE, WORD_RATE = 0.04, 0.3
 BURN_IN = 1_000_000
-#: Tokens that a training task holds and shuffles at once.
-HELD = 1 << 18
-CACHED = 300_000
-FLUSH = 2_000_000
+#: Tokens of a block, the last text's apart.
+BLOCK = 1 << 19
 #: Rows of parameters that travel together.
 SLICE = 8192
+#: Parts in which equal slices are first added up.
+PARTS = 64
 END = 0  # the end's key
 
 
@@ -66,10 +65,12 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts (key, bucket, n)."""
-    keys, buckets, numbers = [END], [0], {}
+BLOCKS = "rows binary, ids binary, id_null binary, train binary, sizes binary, numbers binary, keys binary, buckets binary, counts binary"
 
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of whole texts: their row numbers, ids, sizes and training marks, their tokens as numbers (0: the end), and what
+    these numbers stand for with their counts in training texts."""
     class Numbers(dict):
         def __missing__(self, word: bytes) -> int:
             self[word] = n = len(keys)
@@ -77,31 +78,51 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             buckets.append(bucket_of(word))
             return n
 
-    def table() -> pa.RecordBatch:
-        n = np.bincount(np.concatenate(held) if held else [], minlength=len(keys))
-        n[0] = ends
-        some = np.flatnonzero(n)
-        return pa.record_batch([pa.array(np.array(keys, np.int64)[some]), pa.array(np.array(buckets, np.int32)[some]), pa.array(n[some])], ["key", "bucket", "n"])
+    def block():
+        sizes = np.array([len(x) for x in held])
+        flat = np.concatenate(held)
+        train = np.array([r[2] for r in rows], bool)
+        counts = np.bincount(flat[np.repeat(train, sizes)], minlength=len(keys))
+        ids = [r[1] for r in rows]
+        parts = [np.array([r[0] for r in rows], np.int64), np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], bool), train, sizes.astype(np.int64), flat, np.array(keys, np.int64), np.array(buckets, np.int32), counts.astype(np.int64)]
+        return pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in parts], [x.split()[0] for x in BLOCKS.split(", ")])
 
-    numbers, held, size, ends = Numbers(), [], 0, 0
+    keys, buckets, numbers, rows, held, size = [END], [0], Numbers(), [], [], 0
     for batch in batches:
-        for text in batch.column(0):
+        for number, i, train, text in zip(*batch.columns, strict=True):
             found = tokens(text.as_py())
-            held.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
-            ends += 1
-            size += len(found)
-            if size > FLUSH:
-                yield table()
-                held, size, ends = [], 0, 0
-                if len(keys) > CACHED:
-                    numbers.clear()
-                    del keys[1:], buckets[1:]
-    yield table()
+            out = np.zeros(len(found) + 1, np.int32)
+            out[:-1] = np.fromiter(map(numbers.__getitem__, found), np.int32, len(found))
+            rows.append((number.as_py(), i.as_py(), train.as_py()))
+            held.append(out)
+            size += len(out)
+            if size >= BLOCK:
+                yield block()
+                numbers.clear()
+                del keys[1:], buckets[1:]
+                rows, held, size = [], [], 0
+    if rows:
+        yield block()
 
 
-def corpus_counts(texts: DataFrame) -> DataFrame:
-    """key, bucket and n of every token type in texts."""
-    return written(texts.mapInArrow(_count, "key long, bucket int, n long").groupBy("key").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("n")), "token-counts")
+def text_blocks(docs: DataFrame) -> DataFrame:
+    """docs: doc_id, text. The whole table as blocks; the rest of the operator reads no text."""
+    number = F.monotonically_increasing_id()
+    return written(docs.select(number, "doc_id", remainder(F.col("doc_id"), 7) != 2, "text").mapInArrow(_blocks, BLOCKS), "text-blocks")
+
+
+def _dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in zip(*batch.columns, strict=True):
+            keys, buckets, counts = (np.frombuffer(x.as_py(), t) for x, t in zip(row, (np.int64, np.int32, np.int64), strict=True))
+            some = np.flatnonzero(counts)
+            yield pa.record_batch([pa.array(keys[some]), pa.array(buckets[some]), pa.array(counts[some])], ["key", "bucket", "n"])
+
+
+def corpus_counts(blocks: DataFrame) -> DataFrame:
+    """key, bucket and n of every token type of the training texts."""
+    single = blocks.select("keys", "buckets", "counts").mapInArrow(_dictionaries, "key long, bucket int, n long")
+    return written(single.groupBy("key").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("n")), "token-counts")
 
 
 class Vocabulary:
@@ -123,7 +144,8 @@ class Vocabulary:
         order = np.lexsort((keys, -n))
         keys, n, buckets = keys[order], n[order], buckets[order]
         ends = sum(r.n for r in counts.filter(F.col("key") == END).collect())  # exact, whether the head reaches it or not
-        self.number = {k: i for i, k in enumerate(keys.tolist(), 1)}
+        by_key = np.argsort(keys)
+        self.keys, self.numbers = keys[by_key], (by_key + 1).astype(np.int32)
         self.size = len(keys) + 1
         single = min(len(keys), SINGLES - 1)
         self.kind = np.r_[np.arange(single + 1), SINGLES + buckets[single:], SINGLES + np.arange(BUCKETS)].astype(np.int32)
@@ -154,35 +176,17 @@ class Vocabulary:
         self.word_share[rest] = shared[:, 0] + 0.1
 
 
-class Words(dict):
-    """word -> a number local to the task, with its key and the vocabulary's number."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
-        self.restart()
+    def of(self, keys: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        """The numbers of words by key and bucket."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        out = np.where(known, self.numbers[at] if len(self.keys) else 0, self.size + buckets).astype(np.int32)
+        return np.where(keys == END, np.int32(0), out)
 
-    def restart(self) -> None:
-        self.clear()
-        self.key, self.number = array("q", [END]), array("i", [0])
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.key)
-        k = key_of(word)
-        i = self.vocabulary.number.get(k)
-        self.key.append(k)
-        self.number.append(self.vocabulary.size + bucket_of(word) if i is None else i)
-        return n
-
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """A text's numbers, the end included, and the keys of its words outside the head."""
-        found = tokens(text)
-        local = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-        numbers = np.append(np.frombuffer(self.number, np.int32)[local], np.int32(0))
-        keys = np.frombuffer(self.key, np.int64)[local[numbers[:-1] >= self.vocabulary.size]]
-        if len(self) > CACHED:
-            self.restart()
-        return numbers, keys
+    def texts(self, numbers: bytes, keys: bytes, buckets: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A block's tokens as the vocabulary's numbers, and as its own with what keys these have."""
+        own, keys = np.frombuffer(numbers, np.int32), np.frombuffer(keys, np.int64)
+        return self.of(keys, np.frombuffer(buckets, np.int32))[own], own, keys
 
 
 Model = dict[str, np.ndarray]
@@ -218,7 +222,12 @@ def _gathered(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 def _excess(score: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(np.clip(-score, -60, 60)))
+    """The logistic function, in place; a score beyond the range of exp gives 0."""
+    np.negative(score, out=score)
+    with np.errstate(over="ignore"):
+        np.exp(score, out=score)
+    score += 1
+    return np.reciprocal(score, out=score)
 
 
 class Trainer:
@@ -238,12 +247,10 @@ class Trainer:
         self.trained = {k: np.zeros(len(self.m[k])) for k in ("R", "Q", "W")}
         self.tokens = 0
 
-    def epoch(self, texts: list[np.ndarray], first: float, last: float) -> None:
-        """Goes over all tokens once; the rates fall from their share first to last."""
+    def epoch(self, numbers: np.ndarray, sizes: np.ndarray, first: float, last: float) -> None:
+        """Goes once over all tokens of concatenated texts of these sizes; the rates fall from their share first to last."""
         v = self.v
-        numbers = np.concatenate(texts)
         target = v.kind[numbers]
-        sizes = np.array([len(t) for t in texts])
         before, row = contexts(target, np.cumsum(sizes) - sizes), v.row[numbers]
         order = self.rng.permutation(len(numbers))
         for k in range(0, len(order), BATCH):
@@ -255,38 +262,44 @@ class Trainer:
         self.trained["W"] += np.bincount(row[row >= 0], minlength=len(self.m["W"]))
 
     def step(self, w: np.ndarray, h: np.ndarray, row: np.ndarray, share: float) -> None:
-        m, one = self.m, slice(WIDTH, WIDTH + 1)
-        false = np.minimum(np.searchsorted(self.cdf, self.rng.random(NOISE)), CLASSES - 1)
-        past = [m["R"][h[:, 0]], m["R"][h[:, 1]]]
-        guess = np.c_[past[0] @ m["C"][0] + past[1] @ m["C"][1], np.ones(len(w), np.float32)]
+        m, rng = self.m, self.rng
+        false = np.minimum(np.searchsorted(self.cdf, rng.random(NOISE)), CLASSES - 1)
+        first, second = m["R"][h[:, 0]], m["R"][h[:, 1]]
+        guess = np.ones((len(w), WIDTH + 1), np.float32)
+        guess[:, :WIDTH] = first @ m["C"][0] + second @ m["C"][1]
         true_q, false_q = m["Q"][w], m["Q"][false]
-        d_true = _excess((guess * true_q).sum(1) - self.offset[w]) - 1
+        d_true = _excess(np.einsum("nd,nd->n", guess, true_q) - self.offset[w]) - 1
         d_false = _excess(guess @ false_q.T - self.offset[false])
         d_guess = (d_true[:, None] * true_q + d_false @ false_q)[:, :WIDTH]
-        d_past = [d_guess @ m["C"][0].T, d_guess @ m["C"][1].T]
-        grads = {
-            "C": np.stack([past[0].T @ d_guess, past[1].T @ d_guess]),
-            "Q": _gathered(np.r_[w, false], np.concatenate([d_true[:, None] * guess, d_false.T @ guess]), CLASSES),
-        }
+        d_past = np.empty((2, len(w), WIDTH), np.float32)
+        np.matmul(d_guess, m["C"][0].T, out=d_past[0])
+        np.matmul(d_guess, m["C"][1].T, out=d_past[1])
+        q = _gathered(w, d_true[:, None] * guess, CLASSES)
+        np.add.at(q, false, d_false.T @ guess)
+        grads = {"C": np.stack([first.T @ d_guess, second.T @ d_guess]), "Q": q}
         inside = np.flatnonzero(row >= 0)
         if len(inside):
             bucket = w[inside] - SINGLES
-            low = self.lows[bucket][:, None]
-            noise = np.searchsorted(self.words, low + self.rng.random((len(inside), WORD_NOISE)) * (self.highs[bucket][:, None] - low), "right")
-            some = np.c_[row[inside], np.clip(noise, self.v.first[bucket][:, None], len(self.words) - 1)]
-            near = past[0][inside]
-            guess = np.c_[near @ m["S"], np.ones(len(inside), np.float32)]
+            low, high, least = self.lows[bucket], self.highs[bucket], self.v.first[bucket]
+            some = np.empty((1 + WORD_NOISE, len(inside)), np.int64)
+            some[0] = row[inside]
+            for k in range(1, 1 + WORD_NOISE):
+                some[k] = np.minimum(np.maximum(np.searchsorted(self.words, low + rng.random(len(inside)) * (high - low), "right"), least), len(self.words) - 1)
+            near = first[inside]
+            guess = np.ones((len(inside), WIDTH + 1), np.float32)
+            guess[:, :WIDTH] = near @ m["S"]
             vectors = m["W"][some]
-            d = _excess(np.einsum("md,mkd->mk", guess, vectors) - self.word_offset[some])
-            d[:, 0] -= 1
-            d_near = np.einsum("mk,mkd->md", d, vectors)[:, :WIDTH]
+            d = _excess(np.einsum("md,kmd->km", guess, vectors) - self.word_offset[some])
+            d[0] -= 1
+            d_near = np.einsum("km,kmd->md", d, vectors[:, :, :WIDTH])
             grads["S"] = near.T @ d_near
-            d_past[0][inside] += d_near @ m["S"].T
+            d_past[0, inside] += d_near @ m["S"].T
             rows, at = np.unique(some, return_inverse=True)
-            g = _gathered(at.ravel(), (d[:, :, None] * guess[:, None, :]).reshape(-1, WIDTH + 1), len(rows))
-            self.squares["W"][rows] += g * g
-            m["W"][rows] -= WORD_RATE * share * g / np.sqrt(self.squares["W"][rows] + 1e-2)
-        grads["R"] = _gathered(h.T.ravel(), np.concatenate(d_past), CLASSES)
+            g = _gathered(at.ravel(), (d[:, :, None] * guess).reshape(-1, WIDTH + 1), len(rows))
+            squares = self.squares["W"][rows] + g * g
+            self.squares["W"][rows] = squares
+            m["W"][rows] -= WORD_RATE * share * g / np.sqrt(squares + 1e-2)
+        grads["R"] = _gathered(h.T.ravel(), d_past.reshape(-1, WIDTH), CLASSES)
         for x, g in grads.items():
             g /= len(w)
             self.squares[x] *= 0.99
@@ -327,35 +340,31 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def train(encoded: DataFrame, model: Model, vocabulary: Vocabulary, first: float, last: float) -> Model:
-    """One round over all rows of encoded (numbers: int32 binary), in its tasks."""
-    start = Shared(encoded.sparkSession, (model, vocabulary))
+def train(blocks: DataFrame, model: Model, vocabulary: Vocabulary, first: float, last: float, share: float = 1.0) -> Model:
+    """One round over the training texts of all blocks, in their tasks; share: over that part of the texts, by their row numbers."""
+    start = Shared(blocks.sparkSession, (model, vocabulary))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, held, size = None, [], 0
-
-        def go(first, last):
-            nonlocal trainer, held, size
-            trainer = trainer or Trainer(*start.value, xxhash.xxh64_intdigest(held[0].tobytes()))
-            trainer.epoch(held, first, last)
-            held, size = [], 0
-
+        trainer, begin = None, first
         for batch in batches:
-            for row in batch.column(0):
-                held.append(np.frombuffer(row.as_py(), np.int32))
-                size += len(held[-1])
-                if size >= HELD:
-                    go(first, (first + last) / 2)
-        if held:
-            go((first + last) / 2, last)
+            for numbers, keys, buckets, train, sizes, rows in zip(*batch.columns, strict=True):
+                train, sizes, rows = np.frombuffer(train.as_py(), bool), np.frombuffer(sizes.as_py(), np.int64), np.frombuffer(rows.as_py(), np.uint64)
+                if share < 1:
+                    train = train & ((rows * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(34)) < share * (1 << 30))
+                if train.any():
+                    model, vocabulary = start.value
+                    trainer = trainer or Trainer(model, vocabulary, xxhash.xxh64_intdigest(sizes.tobytes()))
+                    flat = vocabulary.texts(numbers.as_py(), keys.as_py(), buckets.as_py())[0]
+                    trainer.epoch(flat[np.repeat(train, sizes)], sizes[train], begin, (begin + last) / 2)
+                    begin = (begin + last) / 2
         if trainer:
             weights = np.concatenate([trainer.trained["R"], trainer.trained["Q"], trainer.trained["W"], np.full(3 * WIDTH, float(trainer.tokens))])
             sums = (_packed(trainer.m) * weights[:, None]).astype(np.float32)
             for k in range(0, len(sums), SLICE):
                 yield pa.record_batch([pa.array([k // SLICE], pa.int32()), pa.array([weights[k : k + SLICE].tobytes()], pa.binary()), pa.array([sums[k : k + SLICE].tobytes()], pa.binary())], ["slice", "weights", "sums"])
 
-    sums = encoded.select("numbers").mapInArrow(fit, SUMS)
-    for keys in (["slice", F.pmod(F.xxhash64("weights", "sums"), F.lit(16))], ["slice"]):  # in two steps, so that no task adds up a slice of all
+    sums = blocks.select("numbers", "keys", "buckets", "train", "sizes", "rows").mapInArrow(fit, SUMS)
+    for keys in (["slice", F.pmod(F.xxhash64("weights", "sums"), F.lit(PARTS))], ["slice"]):  # in two steps, so that no task adds up a slice of all
         sums = sums.repartition(*keys).sortWithinPartitions("slice").mapInArrow(_added, SUMS)
     merged = {r.slice: r for r in sums.collect()}
     if not merged:
@@ -366,13 +375,12 @@ def train(encoded: DataFrame, model: Model, vocabulary: Vocabulary, first: float
     return _unpacked(np.where(weights[:, None] > 0, total / np.maximum(weights, 1)[:, None], before).astype(np.float32))
 
 
-def train_on_all(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
-    """encoded: a row for each training text. The first steps take BURN_IN tokens or so, the round after them every row."""
-    model = new_model(vocabulary)
+def train_on_all(blocks: DataFrame, vocabulary: Vocabulary) -> Model:
+    """The first steps take BURN_IN training tokens or so, the round after them every training text."""
     share = BURN_IN / max(1, vocabulary.tokens)
-    place = F.pmod(F.xxhash64("numbers"), F.lit(1 << 30)) / float(1 << 30)
-    model = train((encoded if share >= 1 else encoded.filter(place < share)).repartition(1), model, vocabulary, 1.0, 0.3)
-    return train(encoded, model, vocabulary, 0.5, 0.05)
+    few = blocks if share >= 1 else blocks.filter(F.pmod(F.xxhash64("rows"), F.lit(1 << 30)) / float(1 << 30) < share * 4)
+    model = train(few.repartition(1), new_model(vocabulary), vocabulary, 1.0, 0.3, 1.0 if share >= 1 else 0.25)
+    return train(blocks, model, vocabulary, 0.5, 0.05)
 
 
 class Scorer:
@@ -400,11 +408,10 @@ class Scorer:
     def word_logs(self, before: np.ndarray, row: np.ndarray, bucket: np.ndarray) -> np.ndarray:
         return np.einsum("nd,nd->n", self.near[before], self.w[row]) - self.word_sums[before, bucket]
 
-    def __call__(self, texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-        """For each text: tokens, known head tokens, the head's sum of log10(count + 1), and the log10 probability but for the
+    def __call__(self, numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For each of concatenated texts: known head tokens, the head's sum of log10(count + 1), and the log10 probability but for the
         log10(count + 1) of words outside the head."""
         v = self.vocabulary
-        numbers, sizes = np.concatenate(texts), np.array([len(t) for t in texts])
         starts = np.cumsum(sizes) - sizes
         kind, row, log = v.kind[numbers], v.row[numbers], v.log[numbers]
         before = contexts(kind, starts)
@@ -414,60 +421,34 @@ class Scorer:
         model /= np.log(10)
         rest = np.flatnonzero(v.rest[numbers])
         model[rest] += log[rest] - v.rest_log[kind[rest] - SINGLES]
-        return sizes, np.add.reduceat((log > 0).astype(np.int64), starts), np.add.reduceat(log, starts), np.add.reduceat(model, starts)
-
-
-def _in_parts(batches: Iterator[pa.RecordBatch], size, most: int = 1 << 20) -> Iterator[list[tuple]]:
-    """Rows of batches as tuples, in lists of at most about `most` by size(row)."""
-    rows, held = [], 0
-    for batch in batches:
-        for row in zip(*batch.columns, strict=True):
-            rows.append(tuple(x.as_py() for x in row))
-            held += size(rows[-1]) + 100
-            if held > most:
-                yield rows
-                rows, held = [], 0
-    if rows:
-        yield rows
-
+        return np.add.reduceat((log > 0).astype(np.int64), starts), np.add.reduceat(log, starts), np.add.reduceat(model, starts)
 
-ENCODED = "row_number long, doc_id long, train boolean, numbers binary, tail array<long>"
-FIRST = "row_number long, doc_id long, n_tokens long, n_head long, head_log double, model_log double"
 
-
-def encoded_texts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    known = Shared(docs.sparkSession, vocabulary)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(known.value)
-        for rows in _in_parts(batches, lambda r: len(r[3] or "")):
-            number, ids, train, texts = zip(*rows, strict=True)
-            numbers, keys = zip(*map(words.encode, texts), strict=True)
-            tail = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(k) for k in keys])], pa.int32()), pa.array(np.concatenate(keys), pa.int64()))
-            yield pa.record_batch([pa.array(number, pa.int64()), pa.array(ids, pa.int64()), pa.array(train, pa.bool_()), pa.array([x.tobytes() for x in numbers], pa.binary()), tail], [x.split()[0] for x in ENCODED.split(", ")])
-
-    number = F.monotonically_increasing_id()
-    return written(docs.select(number.alias("row_number"), "doc_id", (remainder(F.col("doc_id"), 7) != 2).alias("train"), "text").mapInArrow(encode, ENCODED), "encoded")
+FIRST = "row_number long, doc_id long, n_tokens long, n_head long, head_log double, model_log double, tail array<long>"
 
 
 def scored_documents(docs: DataFrame) -> DataFrame:
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    counts = corpus_counts(docs.filter(remainder(F.col("doc_id"), 7) != 2).select("text"))
+    blocks = text_blocks(docs.select("doc_id", "text"))
+    counts = corpus_counts(blocks)
     vocabulary = Vocabulary(counts)
-    encoded = encoded_texts(docs, vocabulary)
-    shared = Shared(spark, Scorer(vocabulary, train_on_all(encoded.filter("train").select("numbers"), vocabulary)))
+    shared = Shared(docs.sparkSession, Scorer(vocabulary, train_on_all(blocks, vocabulary)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _in_parts(batches, lambda r: len(r[2])):
-            number, ids, numbers = zip(*rows, strict=True)
-            found = shared.value([np.frombuffer(x, np.int32) for x in numbers])
-            yield pa.record_batch([pa.array(number, pa.int64()), pa.array(ids, pa.int64()), *map(pa.array, found)], [x.split()[0] for x in FIRST.split(", ")])
-
-    first = encoded.select("row_number", "doc_id", "numbers").mapInArrow(score, FIRST)
-    tail = encoded.select("row_number", F.explode("tail").alias("key")).join(counts.select("key", "n"), "key")
+        for batch in batches:
+            for rows, ids, null, sizes, numbers, keys, buckets in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                scorer, sizes = shared.value, np.frombuffer(sizes, np.int64)
+                flat, own, keys = scorer.vocabulary.texts(numbers, keys, buckets)
+                known, head, model = scorer(flat, sizes)
+                outside = flat >= scorer.vocabulary.size
+                ends = np.r_[0, np.cumsum(outside)][np.r_[0, np.cumsum(sizes)]]
+                tail = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[own[outside]]))
+                ids = pa.array(np.frombuffer(ids, np.int64), mask=np.frombuffer(null, bool))
+                yield pa.record_batch([pa.array(np.frombuffer(rows, np.int64)), ids, pa.array(sizes), pa.array(known), pa.array(head), pa.array(model), tail], [x.split()[0] for x in FIRST.split(", ")])
+
+    first = written(blocks.select("rows", "ids", "id_null", "sizes", "numbers", "keys", "buckets").mapInArrow(score, FIRST), "first-scores")
+    tail = first.select("row_number", F.explode("tail").alias("key")).join(counts.select("key", "n"), "key")
     tail = tail.groupBy("row_number").agg(F.sum(F.log10(F.col("n") + 1)).alias("tail_log"), F.count("*").alias("n_tail"))
-    both = first.join(tail, "row_number", "left")
+    both = first.drop("tail").join(tail, "row_number", "left")
     more, n = F.coalesce("tail_log", F.lit(0.0)), F.lit(vocabulary.tokens).cast("long")
     return both.select(
         "doc_id",

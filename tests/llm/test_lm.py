@@ -49,6 +49,28 @@ def test_end_is_exact_where_the_head_does_not_reach_it(spark):
     same(L.scored_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
 
 
+def blocks_of(spark, texts):
+    """Blocks of texts whose ids are all learnt from."""
+    ids = [i for i in range(3 * len(texts) + 30) if zlib.crc32(str(i).encode()) % 7 != 2]
+    return L.text_blocks(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string"))
+
+
+def numbered(vocabulary, text):
+    words = L.tokens(text)
+    keys, buckets = np.array([*map(L.key_of, words), L.END], np.int64), np.array([*map(L.bucket_of, words), 0])
+    return vocabulary.of(keys, buckets)
+
+
+def number_of(vocabulary, word):
+    return int(numbered(vocabulary, word.decode())[0])
+
+
+def epochs(trainer, texts, n):
+    numbers = [numbered(trainer.v, t) for t in texts]
+    for _ in range(n):
+        trainer.epoch(np.concatenate(numbers), np.array([len(x) for x in numbers]), 1, 1)
+
+
 def plain_score(text, counts, vocabulary, m):
     """The model's log10 probability token by token: a softmax over all classes, one over the words of a class, a share of the rest."""
     def softmax(logits):
@@ -57,7 +79,7 @@ def plain_score(text, counts, vocabulary, m):
 
     past, total = [0, 0], 0.0
     for word in [*L.tokens(text), None]:
-        number = 0 if word is None else vocabulary.number.get(L.key_of(word), vocabulary.size + L.bucket_of(word))
+        number = 0 if word is None else number_of(vocabulary, word)
         kind = int(vocabulary.kind[number])
         guess = m["R"][past[0]] @ m["C"][0] + m["R"][past[1]] @ m["C"][1]
         p = softmax((m["Q"][:, : L.WIDTH] @ guess + m["Q"][:, L.WIDTH]).astype(np.float64))[kind]
@@ -95,8 +117,7 @@ def test_probabilities_are_normalised(spark):
     """The classes' probabilities add up to one, those of a class's words and rest too, and those of the rest's words with one
     unseen word for each class."""
     words = [f"w{i * i % 97}" for i in range(6000)] + [f"x{i}" for i in range(L.SINGLES)] * 2 + [f"y{i}" for i in range(3000)] * 25 + ["once"]
-    docs = spark.createDataFrame([(" ".join(words),)], "text string")
-    vocabulary = L.Vocabulary(L.corpus_counts(docs))
+    vocabulary = L.Vocabulary(L.corpus_counts(blocks_of(spark, [" ".join(words)])))
     rng = np.random.default_rng(0)
     m = {k: v + rng.standard_normal(v.shape).astype(np.float32) * 0.3 for k, v in L.new_model(vocabulary).items()}
     for far in (m, m | {"Q": m["Q"] + 100, "W": m["W"] - 50}):
@@ -110,8 +131,7 @@ def test_probabilities_are_normalised(spark):
     count = Counter(w.encode() for w in words)
     inside = np.zeros(L.BUCKETS)
     for w, n in count.items():
-        i = vocabulary.number[L.key_of(w)]
-        if vocabulary.rest[i]:
+        if vocabulary.rest[number_of(vocabulary, w)]:
             inside[L.bucket_of(w)] += (n + 1) / 10 ** vocabulary.rest_log[L.bucket_of(w)]
     assert np.allclose(inside + 10**-vocabulary.rest_log, 1)
 
@@ -126,14 +146,12 @@ def test_contexts():
 def test_training_learns_what_follows_what(spark):
     rng = np.random.default_rng(3)
     texts = [" ".join(f"w{(s + i) % 10}" for i in range(30)) for s in rng.integers(0, 10, 400)]
-    vocabulary = L.Vocabulary(L.corpus_counts(spark.createDataFrame([(t,) for t in texts], "text string")))
-    words = L.Words(vocabulary)
-    numbers = [words.encode(t)[0] for t in texts]
+    vocabulary = L.Vocabulary(L.corpus_counts(blocks_of(spark, texts)))
     trainer = L.Trainer(L.new_model(vocabulary), vocabulary)
-    for _ in range(40):
-        trainer.epoch(numbers, 1, 1)
-    before = L.contexts(numbers[0], np.array([0]))
-    assert np.exp(L.Scorer(vocabulary, trainer.m).class_logs(before, numbers[0])[3:-1]).mean() > 0.5
+    epochs(trainer, texts, 80)
+    numbers = numbered(vocabulary, texts[0])
+    before = L.contexts(numbers, np.array([0]))
+    assert np.exp(L.Scorer(vocabulary, trainer.m).class_logs(before, numbers)[3:-1]).mean() > 0.5
 
 
 def test_words_within_a_class_learn_from_the_class_before(spark, monkeypatch):
@@ -141,14 +159,11 @@ def test_words_within_a_class_learn_from_the_class_before(spark, monkeypatch):
     monkeypatch.setattr(L, "BUCKETS", 1)
     monkeypatch.setattr(L, "CLASSES", 4)
     texts = ["a " * 4 + "a xx " * 10, "b " * 4 + "b yy " * 10] * 200
-    vocabulary = L.Vocabulary(L.corpus_counts(spark.createDataFrame([(t,) for t in texts], "text string")))
-    words = L.Words(vocabulary)
-    numbers = [words.encode(t)[0] for t in texts]
+    vocabulary = L.Vocabulary(L.corpus_counts(blocks_of(spark, texts)))
     trainer = L.Trainer(L.new_model(vocabulary), vocabulary)
-    for _ in range(10):
-        trainer.epoch(numbers, 1, 1)
+    epochs(trainer, texts, 20)
     scorer = L.Scorer(vocabulary, trainer.m)
-    a, x, y = (words.encode(w)[0][0] for w in ("a", "xx", "yy"))
+    a, x, y = (number_of(vocabulary, w) for w in (b"a", b"xx", b"yy"))
     p = np.exp(scorer.word_logs(vocabulary.kind[[a, a]], vocabulary.row[[x, y]], np.zeros(2, int)))
     assert p[0] > 0.8 and p[1] < 0.2
 
@@ -164,29 +179,41 @@ def test_edge_cases(spark):
 
 def test_model_learns_in_the_tasks_and_slices_add_up(spark, monkeypatch):
     texts = ["one two three"] * 3000
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    vocabulary = L.Vocabulary(L.corpus_counts(docs))
-    numbers = L.Words(vocabulary).encode(texts[0])[0]
-    encoded = spark.createDataFrame([(numbers.tobytes(),)] * 3000, "numbers binary")
-    m = L.train_on_all(encoded, vocabulary)
+    blocks = blocks_of(spark, texts)
+    vocabulary = L.Vocabulary(L.corpus_counts(blocks))
+    numbers = numbered(vocabulary, texts[0])
+    m = L.train_on_all(blocks, vocabulary)
     p = np.exp(L.Scorer(vocabulary, m).class_logs(L.contexts(numbers, np.array([0])), numbers))
     assert (p > 0.3).all(), "the model learns from the tasks"
     start = L.new_model(vocabulary)
-    again = L.train_on_all(encoded.limit(0), vocabulary)
+    again = L.train_on_all(blocks.limit(0), vocabulary)
     assert all((again[k] == v).all() for k, v in start.items())
     assert all((L._unpacked(L._packed(start))[k] == v).all() for k, v in start.items())
-    one = L.train(encoded.repartition(1), start, vocabulary, 0.5, 0.1)
+    one = L.train(blocks, start, vocabulary, 0.5, 0.1)
     monkeypatch.setattr(L, "SLICE", 100)
-    other = L.train(encoded.repartition(1), start, vocabulary, 0.5, 0.1)
+    other = L.train(blocks, start, vocabulary, 0.5, 0.1)
     assert all(np.allclose(one[k], v, atol=1e-5) for k, v in other.items())
     still = np.setdiff1d(np.arange(L.CLASSES), vocabulary.kind[numbers])
     assert (one["R"][still] == start["R"][still]).all(), "what no task trained stays as it began"
 
 
-def test_no_document_of_a_larger_corpus_is_left_out(spark, monkeypatch):
+def test_blocks_hold_every_text_and_small_blocks_change_no_count(spark, monkeypatch):
+    rows = [(i, f"w{i % 7} W{i % 11} end") for i in range(400)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    same(L.scored_documents(docs).collect(), rows)
+    monkeypatch.setattr(L, "BLOCK", 5)
+    assert L.text_blocks(docs).count() > 100
+    same(L.scored_documents(docs).collect(), rows)
+
+
+def test_every_training_text_of_a_larger_corpus_is_trained_on(spark):
     rows = [(i, "common words only") for i in range(6000)]
-    counted = []
-    real = L.train_on_all
-    monkeypatch.setattr(L, "train_on_all", lambda encoded, vocabulary: counted.append(encoded.count()) or real(encoded, vocabulary))
-    L.scored_documents(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert counted == [sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(6000))]
+    blocks = L.text_blocks(spark.createDataFrame(rows, "doc_id long, text string"))
+    vocabulary = L.Vocabulary(L.corpus_counts(blocks))
+    assert vocabulary.tokens == 4 * sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(6000))
+    trainer = L.Trainer(L.new_model(vocabulary), vocabulary)
+    for r in blocks.collect():
+        train, sizes = np.frombuffer(bytes(r.train), bool), np.frombuffer(bytes(r.sizes), np.int64)
+        flat = vocabulary.texts(bytes(r.numbers), bytes(r["keys"]), bytes(r.buckets))[0]
+        trainer.epoch(flat[np.repeat(train, sizes)], sizes[train], 1, 1)
+    assert trainer.tokens == vocabulary.tokens
