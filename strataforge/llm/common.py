@@ -51,11 +51,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it again: lineage ends there and a lost executor costs nothing."""
+def written(df: DataFrame, label: str, row_group: int | None = None) -> DataFrame:
+    """Writes df as Parquet into the shared folder and reads it again: lineage ends there and a lost executor costs nothing.
+    row_group: bytes after which a row group ends, for tables with large rows, as tasks hold a row group at once."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    (df.write.option("parquet.block.size", row_group) if row_group else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

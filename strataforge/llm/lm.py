@@ -43,7 +43,9 @@ BATCH, NOISE, WORD_NOISE = 2048, 64, 2
 RATE, WORD_RATE = 0.04, 0.3
 BURN_IN = 1_000_000
 #: Tokens of a block, the last text's apart.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
+#: Bytes of blocks that a task reads or writes at once.
+ROW_GROUP = 4 << 20
 #: Rows of parameters that travel together.
 SLICE = 8192
 #: Parts in which equal slices are first added up.
@@ -108,7 +110,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def text_blocks(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text. The whole table as blocks; the rest of the operator reads no text."""
     number = F.monotonically_increasing_id()
-    return written(docs.select(number, "doc_id", remainder(F.col("doc_id"), 7) != 2, "text").mapInArrow(_blocks, BLOCKS), "text-blocks")
+    return written(docs.select(number, "doc_id", remainder(F.col("doc_id"), 7) != 2, "text").mapInArrow(_blocks, BLOCKS), "text-blocks", ROW_GROUP)
 
 
 def _dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

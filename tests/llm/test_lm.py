@@ -178,7 +178,7 @@ def test_edge_cases(spark):
 
 
 def test_model_learns_in_the_tasks_and_slices_add_up(spark, monkeypatch):
-    texts = ["one two three"] * 3000
+    texts = ["one two three"] * 20000
     blocks = blocks_of(spark, texts)
     vocabulary = L.Vocabulary(L.corpus_counts(blocks))
     numbers = numbered(vocabulary, texts[0])
