@@ -43,7 +43,9 @@ BATCH, NOISE, WORD_NOISE = 2048, 64, 2
 RATE, WORD_RATE = 0.04, 0.3
 BURN_IN = 1_000_000
 #: Tokens of a block, the last text's apart.
-BLOCK = 1 << 18
+BLOCK = 1 << 16
+#: Tokens that a training task shuffles at once.
+HELD = 1 << 18
 #: Bytes of blocks that a task reads or writes at once.
 ROW_GROUP = 4 << 20
 #: Rows of parameters that travel together.
@@ -70,6 +72,11 @@ def tokens(text: str | None) -> list[bytes]:
 BLOCKS = "rows binary, ids binary, id_null binary, train binary, sizes binary, numbers binary, keys binary, buckets binary, counts binary"
 
 
+def _number_type(n: int) -> type:
+    """What holds a block's numbers of n keys."""
+    return np.uint16 if n <= 1 << 16 else np.int32
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of whole texts: their row numbers, ids, sizes and training marks, their tokens as numbers (0: the end), and what
     these numbers stand for with their counts in training texts."""
@@ -86,6 +93,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         train = np.array([r[2] for r in rows], bool)
         counts = np.bincount(flat[np.repeat(train, sizes)], minlength=len(keys))
         ids = [r[1] for r in rows]
+        flat = flat.astype(_number_type(len(keys)))
         parts = [np.array([r[0] for r in rows], np.int64), np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], bool), train, sizes.astype(np.int64), flat, np.array(keys, np.int64), np.array(buckets, np.int32), counts.astype(np.int64)]
         return pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in parts], [x.split()[0] for x in BLOCKS.split(", ")])
 
@@ -187,7 +195,8 @@ class Vocabulary:
 
     def texts(self, numbers: bytes, keys: bytes, buckets: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A block's tokens as the vocabulary's numbers, and as its own with what keys these have."""
-        own, keys = np.frombuffer(numbers, np.int32), np.frombuffer(keys, np.int64)
+        keys = np.frombuffer(keys, np.int64)
+        own = np.frombuffer(numbers, _number_type(len(keys)))
         return self.of(keys, np.frombuffer(buckets, np.int32))[own], own, keys
 
 
@@ -347,18 +356,28 @@ def train(blocks: DataFrame, model: Model, vocabulary: Vocabulary, first: float,
     start = Shared(blocks.sparkSession, (model, vocabulary))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, begin = None, first
+        trainer, begin, held = None, first, []
+
+        def go(share):
+            nonlocal trainer, begin
+            numbers, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+            trainer = trainer or Trainer(*start.value, xxhash.xxh64_intdigest(sizes.tobytes()))
+            trainer.epoch(numbers, sizes, begin, begin + (last - begin) * share)
+            begin += (last - begin) * share
+            held.clear()
+
         for batch in batches:
             for numbers, keys, buckets, train, sizes, rows in zip(*batch.columns, strict=True):
                 train, sizes, rows = np.frombuffer(train.as_py(), bool), np.frombuffer(sizes.as_py(), np.int64), np.frombuffer(rows.as_py(), np.uint64)
                 if share < 1:
                     train = train & ((rows * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(34)) < share * (1 << 30))
                 if train.any():
-                    model, vocabulary = start.value
-                    trainer = trainer or Trainer(model, vocabulary, xxhash.xxh64_intdigest(sizes.tobytes()))
-                    flat = vocabulary.texts(numbers.as_py(), keys.as_py(), buckets.as_py())[0]
-                    trainer.epoch(flat[np.repeat(train, sizes)], sizes[train], begin, (begin + last) / 2)
-                    begin = (begin + last) / 2
+                    flat = start.value[1].texts(numbers.as_py(), keys.as_py(), buckets.as_py())[0]
+                    held.append((flat[np.repeat(train, sizes)], sizes[train]))
+                    if sum(len(x) for x, _ in held) >= HELD:
+                        go(0.25)
+        if held:
+            go(1)
         if trainer:
             weights = np.concatenate([trainer.trained["R"], trainer.trained["Q"], trainer.trained["W"], np.full(3 * WIDTH, float(trainer.tokens))])
             sums = (_packed(trainer.m) * weights[:, None]).astype(np.float32)
