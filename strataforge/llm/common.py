@@ -56,7 +56,8 @@ def written(df: DataFrame, label: str, row_group: int | None = None) -> DataFram
     row_group: bytes after which a row group ends, for tables with large rows, as tasks hold a row group at once."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    (df.write.option("parquet.block.size", row_group) if row_group else df.write).parquet(path)
+    small = {"parquet.block.size": row_group, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 2, "parquet.enable.dictionary": "false"}
+    df.write.options(**small if row_group else {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -32,10 +32,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataforge.llm.common import Shared, remainder, written
+from strataforge.llm.common import Shared, drop_written, remainder, written
 
 HEAD = 150_000
-SINGLES, BUCKETS = 1024, 128  # class 0 is the end, which also stands before a text
+SINGLES, BUCKETS = 1024, 128  # buckets are stored as bytes; class 0 is the end, which also stands before a text
 CLASSES = SINGLES + BUCKETS
 WORD_SEEN = 20
 WIDTH = 16
@@ -43,11 +43,11 @@ BATCH, NOISE, WORD_NOISE = 2048, 64, 2
 RATE, WORD_RATE = 0.04, 0.3
 BURN_IN = 1_000_000
 #: Tokens of a block, the last text's apart.
-BLOCK = 1 << 16
+BLOCK = 1 << 17
 #: Tokens that a training task shuffles at once.
 HELD = 1 << 18
 #: Bytes of blocks that a task reads or writes at once.
-ROW_GROUP = 4 << 20
+ROW_GROUP = 2 << 20
 #: Rows of parameters that travel together.
 SLICE = 8192
 #: Parts in which equal slices are first added up.
@@ -94,7 +94,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.bincount(flat[np.repeat(train, sizes)], minlength=len(keys))
         ids = [r[1] for r in rows]
         flat = flat.astype(_number_type(len(keys)))
-        parts = [np.array([r[0] for r in rows], np.int64), np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], bool), train, sizes.astype(np.int64), flat, np.array(keys, np.int64), np.array(buckets, np.int32), counts.astype(np.int64)]
+        parts = [np.array([r[0] for r in rows], np.int64), np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], bool), train, sizes.astype(np.int64), flat, np.array(keys, np.int64), np.array(buckets, np.uint8), counts.astype(np.int32)]
         return pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in parts], [x.split()[0] for x in BLOCKS.split(", ")])
 
     keys, buckets, numbers, rows, held, size = [END], [0], Numbers(), [], [], 0
@@ -124,9 +124,9 @@ def text_blocks(docs: DataFrame) -> DataFrame:
 def _dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in zip(*batch.columns, strict=True):
-            keys, buckets, counts = (np.frombuffer(x.as_py(), t) for x, t in zip(row, (np.int64, np.int32, np.int64), strict=True))
+            keys, buckets, counts = (np.frombuffer(x.as_py(), t) for x, t in zip(row, (np.int64, np.uint8, np.int32), strict=True))
             some = np.flatnonzero(counts)
-            yield pa.record_batch([pa.array(keys[some]), pa.array(buckets[some]), pa.array(counts[some])], ["key", "bucket", "n"])
+            yield pa.record_batch([pa.array(keys[some]), pa.array(buckets[some].astype(np.int32)), pa.array(counts[some].astype(np.int64))], ["key", "bucket", "n"])
 
 
 def corpus_counts(blocks: DataFrame) -> DataFrame:
@@ -190,14 +190,14 @@ class Vocabulary:
         """The numbers of words by key and bucket."""
         at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
         known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        out = np.where(known, self.numbers[at] if len(self.keys) else 0, self.size + buckets).astype(np.int32)
+        out = np.where(known, self.numbers[at] if len(self.keys) else 0, self.size + buckets.astype(np.int32))
         return np.where(keys == END, np.int32(0), out)
 
     def texts(self, numbers: bytes, keys: bytes, buckets: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A block's tokens as the vocabulary's numbers, and as its own with what keys these have."""
         keys = np.frombuffer(keys, np.int64)
         own = np.frombuffer(numbers, _number_type(len(keys)))
-        return self.of(keys, np.frombuffer(buckets, np.int32))[own], own, keys
+        return self.of(keys, np.frombuffer(buckets, np.uint8))[own], own, keys
 
 
 Model = dict[str, np.ndarray]
@@ -467,6 +467,7 @@ def scored_documents(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array(np.frombuffer(rows, np.int64)), ids, pa.array(sizes), pa.array(known), pa.array(head), pa.array(model), tail], [x.split()[0] for x in FIRST.split(", ")])
 
     first = written(blocks.select("rows", "ids", "id_null", "sizes", "numbers", "keys", "buckets").mapInArrow(score, FIRST), "first-scores")
+    drop_written(blocks)
     tail = first.select("row_number", F.explode("tail").alias("key")).join(counts.select("key", "n"), "key")
     tail = tail.groupBy("row_number").agg(F.sum(F.log10(F.col("n") + 1)).alias("tail_log"), F.count("*").alias("n_tail"))
     both = first.drop("tail").join(tail, "row_number", "left")
