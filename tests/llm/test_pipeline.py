@@ -2,9 +2,9 @@ from collections import Counter
 
 import numpy as np
 from test_decontaminate import brute as brute_items
+from test_nearcopies import brute as brute_near
 from test_packing import check, piece_by_piece
 from test_quality_rules import brute as brute_counts
-from test_simhash import brute_components, brute_fp
 
 import corpus_pipeline as C
 from strataforge.llm import packing, quality_model, quality_rules
@@ -34,8 +34,8 @@ def test_every_stage_against_brute_force_and_run(spark, sf):
     fine = [r for r in good if passes(r)]
     assert kept[1] == {r.doc_id: r for r in fine} and len(fine) < len(good)
 
-    classes = brute_components([r.doc_id for r in fine], [brute_fp(r.text) for r in fine])
-    first = [r for r, c in zip(fine, classes, strict=True) if c == r.doc_id]
+    stay = brute_near([(r.doc_id, r.text) for r in fine])  # all pairs with five-word Jaccard of 0.8 or more
+    first = [r for r in fine if r.doc_id in stay]
     assert kept[2] == {r.doc_id: r for r in first} and len(first) < len(fine)
 
     leaked = {d for d, _ in brute_items([(r.doc_id, r.text) for r in first], [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()])}
