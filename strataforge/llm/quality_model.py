@@ -5,9 +5,10 @@ symbols) into FEATURES square-rooted frequencies, with a few plain statistics, a
 numbers. Gated attention (a tanh and a sigmoid branch) weighs the passages, the weighted sum is classified, and all layers are
 learned together from document labels alone (Adam in numpy).
 
-Learning takes at most SAMPLE labelled documents (half of each label, those with the least hashes of their ids) and at most
-SAMPLE_PASSAGES evenly spaced passages of each, which bounds the driver's part at any input size; scoring takes every passage of
-every document, in one pass without a shuffle, long texts by blocks.
+Learning takes at most SAMPLE labelled documents, half of each label, those with the least hashes of their ids and as many as
+have SAMPLE_PASSAGES passages together, which bounds the driver's part at any input size; each that is taken is learnt from whole.
+Rows that repeat an id and its text count once. Scoring takes every passage of every document, in one pass without a shuffle, long
+texts by blocks.
 
 Edge cases: a null or empty text is a bag with one empty passage and gets a score; labels that are null or contradict each other
 for one id (no majority) teach nothing; without both labels in the sample the score is the share of label 1 in it, without any
@@ -25,14 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataforge.llm.common import Shared, free_name, remainder
+from strataforge.llm.common import Shared, free_name, remainder, words
 
 PASSAGE = 64
 WORD_SLOTS, SHAPE_SLOTS, STATS = 192, 56, 8
 FEATURES = WORD_SLOTS + SHAPE_SLOTS + STATS
 HIDDEN, GATES = 32, 16
 SAMPLE = 6000
-SAMPLE_PASSAGES = 128
+SAMPLE_PASSAGES = 200_000
 EPOCHS, RATE, BATCH = 30, 0.004, 128
 BLOCK = 2048  # passages encoded at once
 CACHED = 300_000
@@ -43,7 +44,7 @@ def shape(word: str) -> str:
     if word.isalpha():
         return "a" if word.islower() else "A" if word.isupper() else "Aa" if word[1:].islower() else "aA"
     out = []
-    for c in word[:64]:
+    for c in word:
         k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
         if not out or out[-1] != k:
             out.append(k)
@@ -63,14 +64,13 @@ class Codes(dict):
         return code
 
 
-def encode(text: str | None, codes: Codes, most: int | None = None) -> Iterator[np.ndarray]:
-    """Features of the passages of a text, by blocks; most: that many evenly spaced passages at most."""
+def encode(text: str | None, codes: Codes) -> Iterator[np.ndarray]:
+    """Features of the passages of a text, by blocks."""
     found = (text or "").encode("utf-8", "replace").split()
     n = max(1, -(-len(found) // PASSAGE))
-    picks = np.arange(n) if not most or n <= most else np.linspace(0, n - 1, most).astype(int)
-    for k in range(0, len(picks), BLOCK):
-        at = picks[k : k + BLOCK]
-        parts = found[at[0] * PASSAGE : (at[-1] + 1) * PASSAGE] if len(at) == at[-1] - at[0] + 1 else [w for p in at for w in found[p * PASSAGE : (p + 1) * PASSAGE]]
+    for k in range(0, n, BLOCK):
+        at = range(k, min(n, k + BLOCK))
+        parts = found[at[0] * PASSAGE : (at[-1] + 1) * PASSAGE]
         code = np.fromiter(map(codes.__getitem__, parts), np.int64, len(parts))
         row = np.arange(len(parts)) // PASSAGE * FEATURES
         total = np.bincount(row + (code & 255), minlength=len(at) * FEATURES) + np.bincount(row + WORD_SLOTS + ((code >> 8) & 255), minlength=len(at) * FEATURES)
@@ -175,25 +175,39 @@ def score(texts, m: dict | float) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """doc_id, text and label of at most size documents whose remainder modulo 3 is not 1; broadcast rows are bounded by size."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, passages: int = SAMPLE_PASSAGES) -> DataFrame:
+    """doc_id, text and label of at most size different documents whose remainder modulo 3 is not 1, which have about that many
+    passages at most (the first of either label is always taken). Broadcast and collected rows are bounded by size."""
+    spark = docs.sparkSession
     votes = labels.filter("quality is not null and doc_id is not null").filter(remainder(F.col("doc_id"), 3) != 1)
     votes = votes.groupBy("doc_id").agg(F.avg("quality").alias("mean")).filter("mean <> 0.5").select("doc_id", (F.col("mean") > 0.5).cast("int").alias("label"))
     half = [votes.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size // 2) for k in (0, 1)]
-    return docs.select("doc_id", "text").join(F.broadcast(half[0].unionByName(half[1])), "doc_id")
+    labelled = docs.select("doc_id", "text", F.xxhash64("text").alias("digest")).join(F.broadcast(half[0].unionByName(half[1])), "doc_id")
+    small = labelled.select("doc_id", "digest", "label", F.size(words(F.col("text"))).alias("n")).distinct()
+    picked = []
+    for k in (0, 1):
+        total = 0
+        for r in small.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(size // 2).collect():
+            total += max(1, -(-r.n // PASSAGE))
+            if total > passages // 2 and r.n and any(x[2] == k for x in picked):
+                break
+            picked.append((r.doc_id, r.digest, k))
+    picked = spark.createDataFrame(picked, "doc_id long, digest long, label int")
+    chosen = labelled.drop("label").join(F.broadcast(picked), ["doc_id", "digest"])
+    return chosen.groupBy("doc_id", "digest").agg(F.first("text").alias("text"), F.first("label").alias("label"))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     codes = Codes()
     for batch in batches:
-        bags = [np.concatenate(list(encode(t.as_py(), codes, SAMPLE_PASSAGES))).astype(np.float16).tobytes() for t in batch.column("text")]
-        yield pa.record_batch([batch.column("doc_id"), batch.column("label"), pa.array(bags, pa.binary())], ["doc_id", "label", "bag"])
+        bags = [np.concatenate(list(encode(t.as_py(), codes))).astype(np.float16).tobytes() for t in batch.column("text")]
+        yield pa.record_batch([*(batch.column(c) for c in ("doc_id", "digest", "label")), pa.array(bags, pa.binary())], ["doc_id", "digest", "label", "bag"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> dict[str, np.ndarray] | float:
     """The model, or one score for all where the sample holds no two labels."""
-    rows = labelled_sample(docs, labels, size).mapInArrow(_features, "doc_id long, label int, bag binary").toArrow()
-    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")[: 2 * size]  # repeated ids can only double it
+    rows = labelled_sample(docs, labels, size).select("doc_id", "digest", "label", "text").mapInArrow(_features, "doc_id long, digest long, label int, bag binary").toArrow()
+    order = np.lexsort((rows.column("digest").to_numpy(), rows.column("doc_id").to_numpy()))
     bags = [np.frombuffer(rows.column("bag")[i].as_py(), np.float16).reshape(-1, FEATURES) for i in order.tolist()]
     target = rows.column("label").to_numpy()[order].astype(np.float32)
     if len(set(target.tolist())) < 2:

@@ -66,3 +66,55 @@ def test_edge_cases(spark):
     assert {r.score for r in Q.scored_documents(more, one).collect()} == {1.0}
     kept = Q.keep_good(more, one)
     assert kept.columns == docs.columns and kept.count() == more.count()
+
+
+def plain_score(text, m):
+    """The probability passage by passage and feature by feature, without blocks or caches."""
+    found = (text or "").encode("utf-8", "replace").split()
+    passages = [found[i : i + Q.PASSAGE] for i in range(0, len(found), Q.PASSAGE)] or [[]]
+    hidden = []
+    for p in passages:
+        x = np.zeros(Q.FEATURES)
+        for w in p:
+            x[Q.xxhash.xxh64_intdigest(w.lower(), 7) % Q.WORD_SLOTS] += 1 / len(p)
+            x[Q.WORD_SLOTS + Q.xxhash.xxh64_intdigest(Q.shape(w.decode()).encode(), 11) % Q.SHAPE_SLOTS] += 1 / len(p)
+        x = np.sqrt(x)
+        n = [min(len(w.decode()), 255) for w in p]
+        mean = lambda v: sum(v) / max(1, len(p))
+        x[-8:] = mean([a == b for a, b in zip(p, p[1:])]), mean(n) / 10, mean([k * k for k in n]) ** 0.5 / 10, len(p) / Q.PASSAGE, not p, mean([k <= 2 for k in n]), mean([k >= 20 for k in n]), 1
+        hidden.append(np.tanh(x @ m["W"]))
+    attention = [float((np.tanh(h @ m["V"]) / (1 + np.exp(-(h @ m["U"])))) @ m["a"]) for h in hidden]
+    weight = np.exp(np.array(attention) - max(attention))
+    bag = sum(w * h for w, h in zip(weight / weight.sum(), hidden))
+    return 1 / (1 + np.exp(-float(bag @ m["c"] + m["b"][0])))
+
+
+def test_whole_table_against_brute_force(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), Q.labels_of(spark, sf)
+    m = Q.learn(docs, labels)
+    want = {r.doc_id: plain_score(r.text, m) for r in docs.collect()}
+    got = {r.doc_id: r.score for r in Q.with_score(docs.select("doc_id", "text"), m).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-4 for i in want)
+
+
+def test_labelled_texts_are_learnt_from_whole_and_repeats_once(spark, monkeypatch):
+    ids = [i for i in range(400) if crc(i, 3) != 1]
+    long = " ".join(f"w{k}" for k in range(20_000))
+    rows = [(ids[0], long)] + [(ids[1], "same text")] * 500 + [(ids[1], "other text")] + [(i, f"text {i}") for i in ids[2:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2, 0) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    got = Q.labelled_sample(docs, labels).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(set(rows)) and all(r.label == ids.index(r.doc_id) % 2 for r in got)
+    bags = Q.labelled_sample(docs, labels).filter(f"doc_id = {ids[0]}").select("doc_id", "digest", "label", "text").mapInArrow(Q._features, "doc_id long, digest long, label int, bag binary").collect()
+    assert len(bags[0].bag) // 2 == -(-20_000 // Q.PASSAGE) * Q.FEATURES
+    few = Q.labelled_sample(docs, labels, 40, 30).collect()
+    assert len(few) <= 40 and {r.label for r in few} == {0, 1}
+
+
+def test_a_labelled_id_with_very_many_rows_is_bounded(spark):
+    from pyspark.sql import functions as F
+
+    ids = [i for i in range(100) if crc(i, 3) != 1][:2]
+    docs = spark.range(200_000).select(F.lit(ids[0]).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")).unionByName(spark.createDataFrame([(ids[1], "one")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(ids[0], 1, 0), (ids[1], 0, 0)], "doc_id long, quality int, toxic int")
+    assert Q.labelled_sample(docs, labels, 100).count() == 51
