@@ -1,13 +1,14 @@
 """Language identification: known words by per-language log frequency, unseen words by ever shorter character n-grams.
 
-Words are runs of letters in lower case. A word seen at least WORD_SEEN times in the sample is known and scores the logarithm
+Words are runs of letters (Unicode's categories L; numerals such as a half or a Roman two are none) in lower case. A word seen at least WORD_SEEN times in the sample is known and scores the logarithm
 of its smoothed relative frequency in each language. Any other word is read as ^word$; at each place the longest known n-gram of
 LONGEST down to 1 characters scores the logarithm of its smoothed frequency among n-grams of that length, and the word gets the
 mean over its places. Scores of words add up over the whole text; the softmax over languages is the score.
 
-Learning takes about PER_LANGUAGE documents of each language, chosen by the least hashes of their ids (a fraction by language
-from exact counts, so a rare language is taken whole and a hot one costs no more); counts are summed before and in a shuffle and
-only what was seen often enough reaches the driver, MOST_ENTRIES most frequent entries of a language and length at most.
+Learning takes about PER_LANGUAGE different documents of each language, chosen by the least hashes of their ids and texts (a
+fraction by language from exact counts, so a rare language is taken whole and a hot one costs no more), and reads them whole; counts
+are summed before and in a shuffle and only what was seen often enough reaches the driver, the model's size being MOST_ENTRIES most
+frequent entries of a language and length at most.
 Prediction is one pass without a shuffle.
 
 Edge cases: a text that is null or has no letter is `und` with score 0; a null lang or a text without letters teaches nothing; without
@@ -46,7 +47,10 @@ def letter_words(text: str | None) -> Iterator[list[str]]:
         end = min(len(text), at + PART)
         while end < len(text) and end < at + 2 * PART and text[end].isalpha():
             end += 1
-        yield LETTERS.findall(text[at:end].lower())
+        found = LETTERS.findall(text[at:end].lower())
+        if not "".join(found).isalpha() and found:  # numerals that are no digits count as word characters too
+            found = [w for x in found for w in "".join(c if c.isalpha() else " " for c in x).split()]
+        yield found
         at = end
 
 
@@ -69,7 +73,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in letter_words(text.as_py()):
                 for word, n in Counter(part).items():
                     total[lang, 0, word] += n
-                    for g in grams(word[:64]):
+                    for g in grams(word):
                         total[lang, len(g), g] += n
             if len(total) > 500_000:
                 yield table(total)
@@ -173,12 +177,12 @@ def predict(texts, model: Model) -> Iterator[tuple[str, float]]:
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """docs: doc_id, text, lang."""
     train = docs.filter("lang is not null and text is not null").filter(remainder(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang")
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     # the fraction keeps a few more than asked for; the window below, over those alone, makes it exact
     some = F.lit(False)
     for r in train.groupBy("lang").count().collect():
         some = some | ((F.col("lang") == r.lang) & (place < min(1.0, (1.2 * per_language + 50) / r["count"])))
-    ids = train.filter(some).select("lang", "doc_id", place.alias("place")).withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id")))
+    ids = train.filter(some).select("lang", place.alias("place")).distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("place")))
     last = {r.lang: r.last for r in ids.filter(F.col("k") <= per_language).groupBy("lang").agg(F.max("place").alias("last")).collect()}
     if not last:
         return Model([], [])
@@ -196,7 +200,9 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
 
 def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Adds a struct column `language` with lang_pred and score."""
+    """Adds a struct column `language` with lang_pred and score; docs must have no column of that name."""
+    if "language" in map(str.lower, docs.columns):
+        raise ValueError("docs has a column `language` already")
     shared = Shared(docs.sparkSession, model)
 
     @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
