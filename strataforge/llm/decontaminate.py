@@ -5,13 +5,15 @@ of the benchmark occurs. Of every stretch of STRETCH consecutive n-grams of an i
 of an item has seeds, however common it is. A second pass joins documents to items on seeds (a hash join whose small side, the
 seeds of a block of items, is held by each task) and aligns the words around every hit with the whole item: a match scores 1, a
 substituted, added or left out word costs 1. A document is contaminated by an item if the best local alignment scores SHARE of
-the item's length, or LONG words. What cannot reach that, by the number of the item's words in the window, is not aligned.
+the item's length but LEAST words, or LONG words. What cannot reach that, by the number of the item's words in the window, is not
+aligned. Items of fewer than LEAST words must stand in a document as they are, every word in order; they are found by a hash of the
+whole item over all runs of that many words, then compared.
 
 The benchmark is taken in blocks of at most about BLOCK_ITEMS items and BLOCK_CHARS characters, each with its own two passes,
 so a task's memory does not grow with it. Texts are never shuffled, and hits are aligned where they are found, so a passage
 that a third of all documents share costs each of them one alignment.
 
-Edge cases: items of fewer than LEAST words prove nothing and are not searched; null or empty texts contain nothing; items that
+Edge cases: an item without words is in no document; null or empty texts contain nothing; items that
 repeat are found each; repeated rows are judged each; very long documents are read whole; other columns pass through; with an
 empty benchmark nothing is contaminated, and an empty table gives an empty result.
 """
@@ -65,16 +67,39 @@ class Index:
         self.ids, self.items = [], []
         for item_id, text in items:
             found = plain_words(text)
-            if len(found) >= LEAST:
+            if found:
                 self.ids.append(item_id)
                 self.items.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in found], np.int64))
-        places = [(g, i, p) for i, item in enumerate(self.items) for p, g in enumerate(self.grams(item)[1].tolist())]
+        self.short: dict[int, dict[int, list[int]]] = {}  # by length and hash
+        for i, item in enumerate(self.items):
+            if len(item) < LEAST:
+                self.short.setdefault(len(item), {}).setdefault(int(self.runs(item, len(item))[0]), []).append(i)
+        self.hashes = {n: np.sort(np.fromiter(x, np.uint64, len(x))) for n, x in self.short.items()}
+        places = [(g, i, p) for i, item in enumerate(self.items) if len(item) >= LEAST for p, g in enumerate(self.grams(item)[1].tolist())]
         self.keys, number = np.unique(np.array([x[0] for x in places], np.int64), return_inverse=True)
         self.places = [[] for _ in self.keys]
         for k, (_, i, p) in zip(number.tolist(), places, strict=True):
             self.places[k].append((i, p))
         self.seed = np.ones(len(self.keys), bool)
 
+    @staticmethod
+    def runs(ids: np.ndarray, n: int) -> np.ndarray:
+        """Hashes of all runs of n words."""
+        out = np.zeros(max(0, len(ids) - n + 1), np.uint64)
+        for k in range(n):
+            out = (out ^ ids[k : k + len(out)].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return out
+
+    def whole(self, ids: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Short items that ids contain as they are, with the first place of each."""
+        for n, known in self.hashes.items():
+            found = self.runs(ids, n)
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, found), len(known) - 1)] == found)
+            at = at[np.sort(np.unique(found[at], return_index=True)[1])]
+            for p in at.tolist():
+                yield from ((i, p) for i in self.short[n][int(found[p])] if np.array_equal(self.items[i], ids[p : p + n]))
+
     def grams(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and numbers of the n-grams that consist of items' words only."""
         if len(ids) < SEED:
@@ -100,7 +125,7 @@ class Index:
     def choose(self, documents: np.ndarray) -> None:
         """Keeps the rarest n-grams of every stretch as seeds, by the number of documents that have each."""
         self.seed[:] = False
-        for item in self.items:
+        for item in (x for x in self.items if len(x) >= LEAST):
             k = np.searchsorted(self.keys, self.grams(item)[1])
             for s in range(max(1, len(k) - STRETCH + 1)):
                 part = k[s : s + STRETCH]
@@ -121,10 +146,10 @@ class Index:
                     spans[-1] = (min(lo, spans[-1][0]), max(hi, spans[-1][1]))
                 else:
                     spans.append((lo, hi))
-        out = []
+        out = [(self.ids[i], 1.0, p, p + len(self.items[i]) - 1) for i, p in self.whole(ids)]
         for i, spans in sorted(windows.items()):
             item, best = self.items[i], (0, 0, 0)
-            need = min(SHARE * len(item), LONG)
+            need = min(max(SHARE * len(item), LEAST), LONG)
             own = np.unique(item)
             for lo, hi in spans:
                 part = ids[lo:hi]
@@ -182,9 +207,10 @@ def found_items(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Co
     columns = []
     for items in _blocks(benchmark):
         index = Index(items)
-        if not len(index.keys):
+        if not index.items:
             continue
-        index.choose(_document_counts(docs, text, index))
+        if len(index.keys):
+            index.choose(_document_counts(docs, text, index))
         columns.append(_search(Shared(docs.sparkSession, index))(F.col(f"`{text}`")))
     return F.concat(*columns) if columns else F.array().cast(FOUND)
 

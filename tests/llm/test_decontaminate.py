@@ -31,10 +31,13 @@ def brute(docs, items):
         words = D.plain_words(text)
         for i, item in items:
             own = D.plain_words(item)
-            if len(own) >= D.LEAST and len(set(words) & set(own)) >= 2:
+            if 0 < len(own) < D.LEAST:
+                if any(words[k : k + len(own)] == own for k in range(len(words) - len(own) + 1)):
+                    out.add((d, i))
+            elif len(set(words) & set(own)) >= 2:
                 vocabulary = {w: k for k, w in enumerate(own, 1)}
                 a, b = (np.array([vocabulary.get(w, 0) for w in x]) for x in (own, words))
-                if D.align(a, b)[0] >= min(D.SHARE * len(own), D.LONG):
+                if D.align(a, b)[0] >= min(max(D.SHARE * len(own), D.LEAST), D.LONG):
                     out.add((d, i))
     return out
 
@@ -74,8 +77,25 @@ def test_edge_cases(spark):
     items = spark.createDataFrame([(7, item), (7, item), (8, None), (9, ""), (10, "x"), (None, item)], "item_id long, text string")
     got = D.contaminated_documents(docs, items)
     assert got.columns == ["doc_id", "item_id", "score", "first_word", "last_word"]
-    assert sorted((repr(r.doc_id), repr(r.item_id)) for r in got.collect()) == sorted((d, i) for d in ("3", "3", "None", "4") for i in ("7", "7", "None"))
-    assert {(r.first_word, r.last_word, r.score) for r in got.collect() if r.doc_id == 3} == {(1, 8, 1.0)}
+    want = [(d, i) for d in ("3", "3", "None", "4") for i in ("7", "7", "None")] + [("3", "10")] * 2  # the one word of item 10
+    assert sorted((repr(r.doc_id), repr(r.item_id)) for r in got.collect()) == sorted(want)
+    assert {(r.first_word, r.last_word, r.score) for r in got.collect() if r.doc_id == 3 and r.item_id != 10} == {(1, 8, 1.0)}
     kept = D.keep_clean(docs, items)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
     assert D.contaminated_documents(docs, items.limit(0)).count() == 0 and D.contaminated_documents(docs.limit(0), items).count() == 0
+
+
+def test_short_items_against_brute_force(spark, monkeypatch):
+    """Items of 1 to 12 words over few words: below LEAST as they are, above with LEAST words at least."""
+    rng = random.Random(2)
+    text = lambda n, kinds: " ".join(f"w{rng.randrange(kinds)}" for _ in range(n))
+    items = [(i, text(1 + i % 12, 9)) for i in range(60)]
+    docs = [(k, text(rng.randrange(40), 9 if k % 2 else 60)) for k in range(150)] + [(200 + i, f"x {t.upper()}, y") for i, t in items]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    for most in (5000, 7):
+        monkeypatch.setattr(D, "BLOCK_ITEMS", most)
+        got = {(r.doc_id, r.item_id) for r in D.contaminated_documents(d, b).collect()}
+        short = {i for i, t in items if len(t.split()) < D.LEAST}
+        assert {x for x in got if x[1] in short} == {x for x in want if x[1] in short}
+        assert got <= want and {(200 + i, i) for i, _ in items} <= got
