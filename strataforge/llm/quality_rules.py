@@ -2,7 +2,8 @@
 
 Every document gets counts from its whole text and a failure flag per rule. Failures are summed by host (one row per host and
 task reaches the shuffle, so a host with a third of the rows costs nothing), host rates are shrunk towards a beta prior that is
-fitted to the rates of all hosts by moments, and a host is rejected where the shrunk rate of any rule exceeds HOST_LIMIT; its
+fitted to the rates of all hosts by moments, and a host is rejected where the shrunk rate of any rule, or that of documents
+failing one rule or another, exceeds HOST_LIMIT, so that more of its documents are expected to fail than to pass; its
 documents are not kept, nor those that fail a base rule themselves. Verdicts by document come from counts that are
 computed once and written, without texts. The hosts' verdicts, of which only rejections are joined, are broadcast up to MOST_HOSTS and otherwise joined by a shuffle that Spark can split.
 
@@ -22,10 +23,10 @@ from strataforge.llm.common import broadcast_if_small, free_name, let, words, wr
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
 LEAST_WORDS = 20
-HOST_LIMIT = 0.8
+HOST_LIMIT = 0.5
 MOST_HOSTS = 100_000
 #: Bounds of the prior's strength in documents, and its value where the hosts' rates do not vary.
-WEAKEST, STRONGEST, UNVARIED = 1.0, 10_000.0, 10.0
+WEAKEST, STRONGEST, UNVARIED = 2.0, 10_000.0, 10.0
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: Rules by name; F. is the struct of counts.
 RULES = {
@@ -36,6 +37,8 @@ RULES = {
     "repeated_lines": "10 * F.n_dup_lines > 3 * F.n_lines",
 }
 BASE = ["few_words", "repeated_words"]
+#: What hosts are judged by.
+JUDGED = RULES | {"any_rule": " OR ".join(f"({sql})" for sql in RULES.values())}
 
 
 def _repeated(w: Column) -> Column:
@@ -83,12 +86,12 @@ def _rule(sql: str, counted: str) -> Column:
 def rejected_hosts(counted: DataFrame, host: str, column: str, limit: float = HOST_LIMIT) -> DataFrame:
     """counted: rows with a host and the struct of counts. Returns the hosts whose shrunk failure rate of some rule is above limit."""
     sums = written(
-        counted.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("bad_host")).agg(F.count("*").alias("n"), *(F.sum(_rule(sql, column).cast("long")).alias(r) for r, sql in RULES.items())),
+        counted.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("bad_host")).agg(F.count("*").alias("n"), *(F.sum(_rule(sql, column).cast("long")).alias(r) for r, sql in JUDGED.items())),
         "hosts",
     )
-    rates = sums.agg(*(F.struct(F.avg(F.col(r) / F.col("n")).alias("m"), F.var_pop(F.col(r) / F.col("n")).alias("v")).alias(r) for r in RULES)).first()
+    rates = sums.agg(*(F.struct(F.avg(F.col(r) / F.col("n")).alias("m"), F.var_pop(F.col(r) / F.col("n")).alias("v")).alias(r) for r in JUDGED)).first()
     bad = F.lit(False)
-    for r in RULES:
+    for r in JUDGED:
         m, v = rates[r].m or 0.0, rates[r].v or 0.0
         strength = min(max(m * (1 - m) / v - 1, WEAKEST), STRONGEST) if v > 0 else UNVARIED
         bad = bad | ((F.col(r) + m * strength) / (F.col("n") + strength) > limit)
@@ -113,23 +116,28 @@ def document_verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep_by_rules(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The rows of docs that are kept, with the columns of docs. Texts are read twice (once for the hosts, once for the rows)
-    rather than written in between."""
-    first = docs.select(F.col(host).alias("host"), counts(F.col(text)).alias("counts_of_text"))
-    counted, bad_host = free_name(docs, "counts_of_text"), free_name(docs, "bad_host")
-    bad = rejected_hosts(first, "host", "counts_of_text").withColumnRenamed("bad_host", bad_host)
+    """The rows of docs that are kept, with the columns of docs. Counting costs more than writing: every text is counted once,
+    and the rows that pass the base rules are read again from a written copy without the counts."""
+    counted, base = (free_name(docs, x) for x in ("counts_of_text", "base_failed"))
     failed = F.lit(False)
     for r in BASE:
         failed = failed | _rule(RULES[r], counted)
-    fine = docs.withColumn(counted, counts(F.col(text))).filter(~failed)
-    return fine.join(broadcast_if_small(bad, MOST_HOSTS), F.col(host) == F.col(bad_host), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    # rows that fail are kept without their columns, for the hosts' sums
+    shell = [F.when(~F.col(base), c).alias(c_name) for c, c_name in zip(names, docs.columns, strict=True)]
+    whole = docs.withColumn(counted, counts(F.col(f"`{text}`"))).withColumn(base, failed)
+    flags = F.struct(*(F.col(counted)[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")))
+    copy = written(whole.select(F.struct(*shell).alias("row"), F.col(f"`{host}`").alias("host"), flags.alias("counts_of_text"), F.col(base).alias("base_failed")), "ruled")
+    bad = rejected_hosts(copy, "host", "counts_of_text")
+    fine = copy.filter(~F.col("base_failed"))
+    return fine.join(broadcast_if_small(bad, MOST_HOSTS), F.col("host") == F.col("bad_host"), "left_anti").select("row.*")
 
 
 def document_verdicts_sql() -> str:
-    flags = ", ".join(f"sum(({sql.replace('F.', '')})::INT) AS {r}" for r, sql in RULES.items())
-    fits = ", ".join(f"avg({r} / n) AS m_{r}, var_pop({r} / n) AS v_{r}" for r in RULES)
+    flags = ", ".join(f"sum(({sql.replace('F.', '')})::INT) AS {r}" for r, sql in JUDGED.items())
+    fits = ", ".join(f"avg({r} / n) AS m_{r}, var_pop({r} / n) AS v_{r}" for r in JUDGED)
     strength = lambda r: f"CASE WHEN v_{r} > 0 THEN least(greatest(m_{r} * (1 - m_{r}) / v_{r} - 1, {WEAKEST}), {STRONGEST}) ELSE {UNVARIED} END"
-    bad = " OR ".join(f"({r} + m_{r} * ({strength(r)})) / (n + ({strength(r)})) > {HOST_LIMIT}" for r in RULES)
+    bad = " OR ".join(f"({r} + m_{r} * ({strength(r)})) / (n + ({strength(r)})) > {HOST_LIMIT}" for r in JUDGED)
     base = " OR ".join(f"({RULES[r].replace('F.', '')})" for r in BASE)
     return f"""
     WITH d AS (SELECT row_number() OVER () AS rn, doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),

@@ -50,3 +50,20 @@ def test_bad_hosts_go_and_small_ones_are_shrunk(spark):
 
 def test_sql(spark, sf):
     same(Q.document_verdicts(spark.read.parquet(f"{sf}/documents.parquet")), Q.document_verdicts_sql(), sf)
+
+
+def test_a_host_whose_documents_fail_different_rules(spark, tmp_path):
+    """No rule fails more than half of the host's documents, but hardly a document passes; the SQL rejects it too."""
+    lines = "same line of words\n" * 6 + " ".join(f"z{i}" for i in range(30))
+    rows = [(i, GOOD, f"h{i % 12}") for i in range(240)] + [(1000 + i, (BAD, lines, GOOD)[min(i % 9, 8) // 4], "mixed") for i in range(180)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in Q.document_verdicts(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {i for i, _, h in rows if h == "mixed"}
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for t in ("documents", "pages", "benchmark", "labels"):
+        pq.write_table(pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows], "source": [r[2] for r in rows]}), tmp_path / f"{t}.parquet")
+    same(Q.document_verdicts(docs), Q.document_verdicts_sql(), tmp_path)
+    assert {r.doc_id for r in Q.keep_by_rules(docs).collect()} == {i for i, r in got.items() if r.kept}
