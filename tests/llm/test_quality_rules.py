@@ -54,7 +54,7 @@ def test_sql(spark, sf):
 
 def test_a_host_whose_documents_fail_different_rules(spark, tmp_path):
     """No rule fails more than half of the host's documents, but hardly a document passes; the SQL rejects it too."""
-    lines = "same line of words\n" * 6 + " ".join(f"z{i}" for i in range(30))
+    lines = "same\n" * 6 + " ".join(f"z{i}" for i in range(30))
     rows = [(i, GOOD, f"h{i % 12}") for i in range(240)] + [(1000 + i, (BAD, lines, GOOD)[min(i % 9, 8) // 4], "mixed") for i in range(180)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: r for r in Q.document_verdicts(docs).collect()}
