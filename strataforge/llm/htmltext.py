@@ -1,12 +1,14 @@
 """Main text of web pages by composite text density.
 
 A tolerant tokeniser builds the tree of a page (implied ends of p, li, td and the like; raw text elements are skipped whole).
-Parts that name themselves as page furniture (nav, footer, aside, form, ... or roles and classes that say so) are set aside.
+Elements that are page furniture by their tag, role or `hidden`, and those whose class or id consists of names of other voices
+(comments, notices, adverts, sidebars, ...), are set aside, as such text can be as dense as an article.
 For every remaining node the composite text density is characters per tag, times a logarithm that falls to zero as characters
 and tags are links and whose base grows with the share of linked characters. The node with the largest sum of its children's
 densities is the core. Walking from the body down to it, the least density on the path is the threshold: parts beside the path
-belong to the article if they are as dense, headings also where a lighter container holds them. An <article> or <main> around the core is taken
-whole.
+belong to the article if they are as dense, headings also where a lighter container holds them. An <article> or <main> around the
+core is taken whole. Inside what is taken density decides again: parts that are links for the most part, and parts below the
+threshold (or without links far below it) whose names hint at furniture (share, related, menu, ...), are left out; a dense part stays whatever it is called.
 
 Blocks (p, li, h1, tr, ...) become lines: character references decoded, white space of any kind turned into single spaces,
 trimmed; br and table cells separate words, not blocks. Nothing is dropped or cut by length. One pass without a shuffle.
@@ -47,14 +49,21 @@ IMPLIED = {
     "tbody": ({"tbody", "thead", "tfoot"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}),
 }
 P_BORDERS = frozenset("td th table caption button object html body".split())
-FURNITURE = frozenset("head nav footer aside form button select input dialog menu header label fieldset".split())
+FURNITURE = frozenset("head nav footer aside form button select input dialog menu header".split())
 WHOLE = frozenset("html body main article".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar status".split())
-HINT = re.compile(
-    r"(?<!no-)(?<!with-)(?<!has-)(?<![a-z])(ads?|advert\w*|sponsor\w*|promo\w*|sidebar\w*|nav|navbar|navigation|menus?|breadcrumbs?|footer|header|masthead|banner|cookies?|notice|alert|consent|gdpr"
-    r"|popup|modal|newsletter|subscri\w*|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|replies|reply|widget|pagination|pager|login|signup|disclaimer|copyright|toolbar|skip-link)(?![a-z])",
-    re.I,
+#: Names, as parts of a class or id, of text that others wrote or that is about the site, dense or not.
+OTHERS = re.compile(
+    r"ads?|advert\w*|sponsor\w*|promo\w*|sidebars?|nav|navbar|navigation|menus?|breadcrumbs?|footer|header|masthead|cookies?|notices?|alerts?|consent|gdpr|popup|modal"
+    r"|newsletter|subscri\w*|comments?|commentlist|disqus|respond|replies|login|signup|disclaimer|copyright"
 )
+#: Names that hint at furniture; these parts go only if they are less dense than the article.
+HINTS = re.compile(OTHERS.pattern + r"|banner|share|sharing|social|related|recommend\w*|reply|widgets?|pagination|pager|toolbar|skip")
+#: Parts of names that say nothing.
+PLAIN_PARTS = frozenset("list box container wrapper wrap section bar area block item items link links button buttons top bottom left right inner outer form post posts page site global content body text thread panel unit slot group row col column main".split())
+NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Below this share of the threshold a part with links is a list of links, and one with a furniture name is furniture.
+LINKED = 0.1
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
@@ -135,14 +144,28 @@ class Page:
                     self.pieces.append((node, None))
 
 
-def _set_aside(page: Page) -> list[bool]:
-    """Whether a node is page furniture or lies in some."""
-    has_h1, in_article = [False] * len(page.tag), [False] * len(page.tag)
-    for i in range(len(page.tag) - 1, 0, -1):
+def _names(attrs: str) -> tuple[bool, bool]:
+    """Whether one of the classes or the id consists of names of other voices, and whether one has a part that hints at furniture."""
+    others = hint = False
+    for name, value in ATTR.findall(attrs):
+        if name.lower() in ("class", "id"):
+            for token in value.strip("\"'").split():
+                parts = [p.lower() for p in NAME_PART.findall(token)]
+                named = [p for p in parts if OTHERS.fullmatch(p)]
+                others |= bool(named) and all(p in PLAIN_PARTS or HINTS.fullmatch(p) for p in parts)
+                hint |= any(HINTS.fullmatch(p) for p in parts)
+    return others, hint
+
+
+def _set_aside(page: Page) -> tuple[list[bool], list[bool]]:
+    """Whether a node is page furniture or lies in some, and whether its name hints at that."""
+    n = len(page.tag)
+    has_h1, in_article = [False] * n, [False] * n
+    for i in range(n - 1, 0, -1):
         has_h1[i] |= page.tag[i] == "h1"
         has_h1[page.parent[i]] |= has_h1[i]
-    out = [False] * len(page.tag)
-    for i in range(1, len(page.tag)):
+    out, hints = [False] * n, [False] * n
+    for i in range(1, n):
         up, tag = page.parent[i], page.tag[i]
         in_article[i] = in_article[up] or tag in ("article", "main")
         if out[up] or tag in RAW:
@@ -151,20 +174,21 @@ def _set_aside(page: Page) -> list[bool]:
         titled = in_article[up] and has_h1[i]  # an article's own header
         bad = tag in FURNITURE and not (tag == "header" and titled)
         if page.attrs[i] and tag not in WHOLE and not bad:
+            others, hints[i] = _names(page.attrs[i])
+            bad = others and not has_h1[i]
             for name, value in ATTR.findall(page.attrs[i]):
                 name, value = name.lower(), value.strip("\"'")
                 if name == "role":
                     bad |= value.lower() in ROLES
-                elif name in ("class", "id") and HINT.search(value):
-                    bad |= not has_h1[i]
                 elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                     bad = True
+            hints[i] &= not has_h1[i]
         out[i] = bad
-    return out
+    return out, hints
 
 
-def densities(page: Page, aside: list[bool]) -> tuple[list[float], list[float]]:
-    """Composite density of each node and the sum of its children's."""
+def densities(page: Page, aside: list[bool]) -> tuple[list[float], list[float], list[bool]]:
+    """Composite density of each node, the sum of its children's, and whether a node has linked characters."""
     n = len(page.tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     linked = [False] * n
@@ -192,11 +216,11 @@ def densities(page: Page, aside: list[bool]) -> tuple[list[float], list[float]]:
             own[i] = c / t * max(0.0, math.log(c / lc * t / lt)) / math.log(base)
             if i:
                 sums[page.parent[i]] += own[i]
-    return own, sums
+    return own, sums, [x > 0 for x in link_chars]
 
 
-def content_nodes(page: Page, aside: list[bool]) -> list[bool]:
-    own, sums = densities(page, aside)
+def content_nodes(page: Page, aside: list[bool], hints: list[bool]) -> list[bool]:
+    own, sums, links = densities(page, aside)
     n = len(page.tag)
     core = max(range(n), key=lambda i: (sums[i], own[i], -i)) if any(sums) else 0
     path = [core]
@@ -209,9 +233,15 @@ def content_nodes(page: Page, aside: list[bool]) -> list[bool]:
     on_path = set(path)
     for i in range(1, n):
         up = page.parent[i]
-        taken[i] |= taken[up]
-        if not semantic and up in on_path and i not in on_path and not aside[i]:
-            taken[i] |= page.tag[i] in HEADINGS or own[i] >= threshold
+        inside = taken[up]
+        taken[i] |= inside
+        if i in on_path or aside[i]:
+            continue
+        if not semantic and up in on_path and not inside:
+            taken[i] = page.tag[i] in HEADINGS or own[i] >= threshold
+        listed = links[i] and page.tag[i] in BLOCKS and page.tag[i] not in HEADINGS
+        if taken[i] and (hints[i] and own[i] < (1 if links[i] else LINKED) * threshold or listed and own[i] < LINKED * threshold):
+            taken[i], aside[i] = False, True
     return taken
 
 
@@ -220,8 +250,8 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = Page(html)
-    aside = _set_aside(page)
-    taken = content_nodes(page, aside)
+    aside, hints = _set_aside(page)
+    taken = content_nodes(page, aside, hints)
     block = [0] * len(page.tag)  # the block that a node's text belongs to
     for i in range(1, len(page.tag)):
         block[i] = i if page.tag[i] in BLOCKS else block[page.parent[i]]

@@ -1,6 +1,7 @@
 import re
 from html import unescape
 
+from strataforge.llm import htmltext
 from strataforge.llm.htmltext import densities, main_text, page_texts, Page, _set_aside
 
 SIMPLE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">Menu</a></li></ul></nav>
@@ -43,7 +44,8 @@ def test_density_finds_an_article_that_does_not_name_itself():
 
 def test_links_have_no_density():
     page = Page("<body><div><a href=x>some link text</a><a href=y>some more</a></div><div>some plain text</div></body>")
-    own, sums = densities(page, _set_aside(page))
+    own, _, links = densities(page, _set_aside(page)[0])
+    assert sum(links) == 5  # the links, their div, the body and the root
     first, second = (i for i, t in enumerate(page.tag) if t == "div")
     assert own[first] < own[second] / 10
 
@@ -68,3 +70,40 @@ def test_edge_cases(spark):
     pages = spark.createDataFrame([(1, "u", None, 1), (1, "u", None, 1), (None, None, "<p>x</p>", 2)], "page_id long, url string, html string, TEXT int")
     assert sorted((r.text, r.n_chars) for r in page_texts(pages).collect()) == [("", 0), ("", 0), ("x", 1)]
     assert page_texts(pages.limit(0)).count() == 0
+
+
+LINKS = "".join(f'<li><a href="/{i}">Another story with a long headline of its own, number {i}</a></li>' for i in range(30))
+UNNAMED = [
+    # a long link list beside a shorter article
+    (f"<body><div><ul>{LINKS}</ul></div><div><h1>Title</h1><p>{WORDS * 2}</p><p>{WORDS}</p></div></body>", ["Title", (WORDS * 2).strip(), WORDS.strip()]),
+    # a link list between paragraphs
+    (f"<body><div id=x><p>{WORDS * 2}</p><ul>{LINKS}</ul><p>{WORDS * 3}</p></div></body>", [(WORDS * 2).strip(), (WORDS * 3).strip()]),
+    # layout tables
+    (f"<body><table><tr><td><a href=a>One</a><br><a href=b>Two</a><td><p>{WORDS * 3}</p><p>{WORDS}</p><td><a href=c>Three</a></table></body>", [(WORDS * 3).strip(), WORDS.strip()]),
+]
+
+
+def test_density_decides_on_pages_without_article(monkeypatch):
+    for html, want in UNNAMED:
+        assert main_text(html).split("\n") == want
+    real = densities
+
+    def flat(page, aside):
+        own, sums, links = real(page, aside)
+        return [float(x > 0) for x in own], [float(x > 0) for x in sums], links
+
+    monkeypatch.setattr(htmltext, "densities", flat)
+    assert all(main_text(html).split("\n") != want for html, want in UNNAMED)
+
+
+def test_density_decides_inside_an_article(monkeypatch):
+    html = f'<body><article><h1>T</h1><p>{WORDS}</p><div class="more"><ul>{LINKS}</ul></div><div class="share"><a href=x>Tweet</a> this</div><p>With <a href=y>a link</a> inside.</p></article></body>'
+    want = ["T", WORDS.strip(), "With a link inside."]
+    assert main_text(html).split("\n") == want
+    monkeypatch.setattr(htmltext, "densities", lambda page, aside: ([1.0] * len(page.tag), [1.0] * len(page.tag), [True] * len(page.tag)))
+    assert main_text(html).split("\n") != want
+
+
+def test_dense_parts_stay_whatever_they_are_called():
+    html = f'<article><h1>T</h1><p class="notice-period">{WORDS}</p><label>Label.</label><section class="social history"><p>{WORDS * 2}</p></section><div id="reply-effect">{WORDS * 3}</div><div class="comments-area"><p>{WORDS * 4}</p></div></article>'
+    assert main_text(html).split("\n") == ["T", WORDS.strip(), "Label.", (WORDS * 2).strip(), (WORDS * 3).strip()]
