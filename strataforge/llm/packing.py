@@ -10,7 +10,8 @@ permitted length that holds its contents.
 The packing is that of the whole corpus, not of partitions: it only depends on how many pieces of each length there are, a table
 with as many rows as the largest length has tokens at most. The driver packs that table, equal bins at once, and what comes out
 is a short plan: which ranks among the pieces of a length go to which range of bins. Pieces get their ranks by a window over
-(length, salt) and the counts of smaller salts, so a length that a third of all pieces share is spread, and look up their bin.
+(length, salt) and the counts of smaller salts, and look up their bin. The salt comes from the row's number, so neither a length
+that a third of all pieces share nor an id that repeats makes a large group.
 
 Edge cases: a null or empty text is the end token alone; repeated rows are packed each; null doc_ids are packed as well; an
 empty table gives an empty result; other columns are ignored, whatever their names.
@@ -168,7 +169,7 @@ def _cut(most: int, texts: bool):
 def packed_documents(docs: DataFrame, sizes: Sequence[int] = SIZES, texts: bool = False) -> DataFrame:
     """A row for each piece: doc_id, piece, first_token, n_tokens, bin_id, bin_offset, bin_size, and with texts the piece's
     part of the text (the parts of a document make up its text)."""
-    pieces = written(docs.select("doc_id", "text").mapInArrow(_cut(max(sizes), texts), "doc_id long, piece long, first_token long, n_tokens long, text string").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "text"), F.lit(SALTS))), "pieces")
+    pieces = written(docs.select("doc_id", "text").mapInArrow(_cut(max(sizes), texts), "doc_id long, piece long, first_token long, n_tokens long, text string").withColumn("number", F.monotonically_increasing_id()).withColumn("salt", F.pmod(F.xxhash64("number"), F.lit(SALTS))), "pieces")
     counts = written(pieces.groupBy("n_tokens", "salt").count(), "lengths")
     plan = pack({r.n_tokens: r.n for r in counts.groupBy("n_tokens").agg(F.sum("count").alias("n")).collect()}, sizes)
     shared = Shared(docs.sparkSession, plan)
@@ -180,7 +181,7 @@ def packed_documents(docs: DataFrame, sizes: Sequence[int] = SIZES, texts: bool
         return pa.StructArray.from_arrays([pa.array(x) for x in out], list(whole))
 
     before = counts.withColumn("before", F.coalesce(F.sum("count").over(Window.partitionBy("n_tokens").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = F.row_number().over(Window.partitionBy("n_tokens", "salt").orderBy("doc_id", "piece", *([F.xxhash64("text")] if texts else []))) - 1
+    within = F.row_number().over(Window.partitionBy("n_tokens", "salt").orderBy("number")) - 1
     ranked = pieces.withColumn("within", within).join(before.select("n_tokens", "salt", "before"), ["n_tokens", "salt"])
     out = ranked.select("doc_id", "piece", "first_token", "n_tokens", "text", place(F.col("n_tokens"), F.col("within") + F.col("before")).alias("at"))
     return out.select("doc_id", "piece", "first_token", "n_tokens", "at.*", *(["text"] if texts else []))

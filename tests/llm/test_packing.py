@@ -91,3 +91,18 @@ def test_edge_cases_and_texts(spark):
             assert "".join(r.text for r in sorted((r for r in got if r.doc_id == i), key=lambda r: r.piece)) == (text or "")
             assert all(len(r.text.split()) == r.n_tokens - (r.first_token + r.n_tokens > len((text or "").split())) for r in got if r.doc_id == i)
     assert P.packed_documents(docs.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(4000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one two three").alias("text"))
+    seen = []
+    real = P.written
+    try:
+        P.written = lambda df, label: seen.append((label, real(df, label))) or seen[-1][1]
+        assert P.packed_documents(docs).count() == 4000
+    finally:
+        P.written = real
+    pieces = dict(seen)["pieces"]
+    assert pieces.groupBy("n_tokens", "salt").count().agg(F.max("count")).first()[0] < 40
