@@ -14,7 +14,7 @@ Archives are opened through pyarrow's file systems, by the URI of the shared fol
 Edge cases: a null page is an empty payload; payloads below LEAST_REVISIT bytes are never revisits; every row that carries the
 smallest id of its payload is a response, so repeated rows stay responses; a null id is never a smallest one and comes back null
 (and if all ids of a payload are null, all are responses); a null URL has no target; line breaks in URLs are escaped; damaged
-members are skipped; an empty table gives no archive and an empty result; other columns are ignored, whatever their names.
+members are skipped by the reader, and page_records raises where fewer records come back than were written; an empty table gives no archive and an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -183,7 +183,8 @@ def read_warc(archives: DataFrame, payloads: bool = True, split: int = SPLIT) ->
     """archives: path and length of each. Returns a row for each record, as RECORD (payload null unless asked for)."""
     spark = archives.sparkSession
     ranges = archives.filter("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split).cast("long"))).alias("start"))
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = archives.agg(F.coalesce(F.sum(F.ceil(F.col("length") / split)), F.lit(0))).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, int(n))  # about one range each
     schema = RECORD.split(", ")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +215,16 @@ def archives_in(spark: SparkSession, folder: str) -> DataFrame:
 
 def page_records(pages: DataFrame) -> DataFrame:
     archives = write_warc(pages.select("page_id", "url", "html"), new_path(pages.sparkSession, "warc"))
-    return read_warc(archives, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    records = written(read_warc(archives, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), "records")
+    check_whole(archives, records)
+    return records
+
+
+def check_whole(archives: DataFrame, records: DataFrame) -> None:
+    """Raises if the records are not as many as the writer put into its archives."""
+    wrote, read = archives.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], records.count()
+    if wrote != read:
+        raise OSError(f"{wrote} records were written and {read} read: members of an archive are damaged")
 
 
 def page_records_sql() -> str:

@@ -65,3 +65,21 @@ def test_a_damaged_payload_is_reported(tmp_path):
     path.write_bytes(W.member(W.record(1, "u", b"abc", "0" * 64, None)))
     with pytest.raises(OSError, match="damaged"):
         list(W.read_split(f"file://{path}", 0, 10_000))
+
+
+def test_a_lost_member_is_reported(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 40) for i in range(30)], "page_id long, url string, html string").coalesce(1)
+    archives = W.write_warc(pages, f"file://{tmp_path}/a")
+    W.check_whole(archives, W.read_warc(archives))
+    path = archives.first().path.removeprefix("file://")
+    data = bytearray(open(path, "rb").read())
+    at = data.index(W.MAGIC, 2000)
+    data[at + 30 : at + 40] = b"x" * 10
+    open(path, "wb").write(data)
+    with pytest.raises(OSError, match="30 records were written"):
+        W.check_whole(archives, W.read_warc(archives))
+
+
+def test_a_very_long_page(spark):
+    pages = spark.createDataFrame([(1, "u", "ab" * 20_000_000), (2, "u", "x" * 200)], "page_id long, url string, html string")
+    assert sorted((r.page_id, r.payload_bytes) for r in W.page_records(pages).collect()) == [(1, 40_000_000), (2, 200)]
