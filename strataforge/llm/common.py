@@ -37,10 +37,14 @@ def let(value: Column, body) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (a single machine) an own one."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on a single machine without one an own folder. Raises
+    on a cluster without one, where a folder of the driver's would not be seen by the executors."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master.split("[")[0] != "local":
+        raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master})")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="strataforge-")

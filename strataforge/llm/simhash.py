@@ -224,6 +224,8 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """Returns (rows, classes): rows has the carried columns of docs (doc_id by default; none may be called fp) with the
     fingerprint fp, written out; classes has one row per distinct fingerprint (class_fp) with component_id, the smallest doc_id
     that its links reach."""
+    if "fp" in map(str.lower, carry or [doc_id]):
+        raise ValueError("a carried column is called fp")
     rows = written(docs.select(*(carry or [doc_id]), simhash64(F.col(text)).alias("fp")), "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min(doc_id).alias("first")), "nodes")
     labels = written(connected_components(fingerprint_links(nodes)), "labels")

@@ -7,8 +7,8 @@ the last slash, one of the expressions of every URL that it fits. Expressions me
 SHA-256; full digests and the rest of the rule's path are confirmed after that. The longest rule (host and path together) wins,
 then the one with the longer host, and where both verdicts stand for one rule the block.
 
-The winner travels as one number from which the rule is rebuilt, so that rows of one URL meet in a plain hash aggregation which
-combines before its shuffle; its key is the row's number, so no host can be hot there. Rules are broadcast up to MOST_RULES,
+The winner travels as one number from which the rule is rebuilt, so that rows of one URL meet in an aggregation which combines
+before its shuffle (by sorting, as the row's own strings go along); its key is the row's number, so no host can be hot there. Rules are broadcast up to MOST_RULES,
 beyond that both sides are shuffled by the hash prefix and Spark splits a skewed one.
 
 Edge cases: a null URL or one without `://` has an empty host and path and fits no rule; nor does a rule without a host fit
@@ -53,6 +53,8 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", keep: list[str
     """rules: host, path, verdict (allow or block). Returns a row for each row of df: the kept columns (none may be called
     host, path, rule or verdict), host, path, rule (null if none fits) and verdict."""
     keep = keep or []
+    if clash := {"host", "path", "rule", "verdict"} & {c.lower() for c in keep}:
+        raise ValueError(f"kept columns clash with the result's: {sorted(clash)}")
     indexed = rules.filter("host <> ''").select(ascii_lower(F.col("host")).alias("rule_host"), F.coalesce("path", F.lit("")).alias("rule_path"), (F.col("verdict") == "block").cast("long").alias("block")).distinct()
     entry = F.concat("rule_host", F.regexp_extract("rule_path", "^(?s).*/", 0))
     indexed = written(indexed.withColumn("rule_digest", _digest(entry)).withColumn("rule_key", F.substring("rule_digest", 1, KEY)), "rules")

@@ -46,3 +46,35 @@ def test_shuffled_rules_give_the_same(spark, sf, monkeypatch):
 
 def test_sql(spark, sf):
     same(U.page_verdicts(spark.read.parquet(f"{sf}/pages.parquet")), U.page_verdicts_sql(), sf)
+
+
+def test_clashing_names_are_refused(spark):
+    import pytest
+
+    from strataforge.llm import simhash
+
+    df = spark.createDataFrame([(1, "http://a.b/")], "Rule long, url string")
+    rules = spark.createDataFrame([("b", "/", "block")], "host string, path string, verdict string")
+    with pytest.raises(ValueError, match="clash"):
+        U.judge_urls(df, rules, keep=["Rule"])
+    with pytest.raises(ValueError, match="fp"):
+        simhash.near_duplicate_classes(df.withColumnRenamed("Rule", "fp"), "fp", "url")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    import pytest
+
+    from strataforge.llm import common
+
+    class Conf:
+        get = staticmethod(lambda *a: None)
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(Conf)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(Session)
