@@ -61,7 +61,8 @@ def key_components(papers: DataFrame, group: str, order: str, rounds: int = 30)
     """Labels papers of a group that share a DOI or a title, also through others, with the least arrival among them."""
     short = F.nullif(F.trim(F.substring(F.lower("title"), 1, 80)), F.lit(""))
     now = papers.withColumn("k_doi", F.nullif(F.col("doi"), F.lit(""))).withColumn("k_title", short).withColumn("component", F.col(order))
-    by = lambda k: F.when(F.col(k).isNotNull(), F.min("component").over(Window.partitionBy(group, k)))
+    own = F.concat(F.lit("\0"), F.col(order).cast("string"))  # papers without a key share none, and make no large group
+    by = lambda k: F.min("component").over(Window.partitionBy(group, F.coalesce(F.col(k), own)))
     for _ in range(rounds):
         after = kept(now.withColumn("least", F.least(F.col("component"), by("k_doi"), by("k_title"))))
         moved = not after.filter("least < component").limit(1).isEmpty()

@@ -12,11 +12,14 @@ _own: dict[str, str] = {}
 
 
 def shared_folder(df: DataFrame) -> str:
-    """spark.checkpoint.dir, or on a single machine without one an own folder."""
+    """spark.checkpoint.dir, or on a single machine without one an own folder. A cluster without one is refused: its executors
+    would each write to a disk of their own."""
     spark = df.sparkSession
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="strataforge-rounds-")

@@ -46,9 +46,11 @@ def document_names(raw: DataFrame) -> DataFrame:
     stem, ext = F.regexp_replace(name, "\\.[^.]*$", ""), F.lower(F.regexp_extract(name, "\\.([^.]*)$", 1))
     parent = F.when(F.size(parts) > 1, F.element_at(parts, -2)).otherwise("source")
     named = raw.withColumns({"source_slug": slug(parent, "source"), "doc_stem": slug(stem, ""), "ext": ext})
-    same = F.count("*").over(Window.partitionBy("source_slug", "doc_stem"))
-    suffix = F.when(same > 1, F.concat(F.lit("_"), F.col("ext"))).otherwise("")
-    return named.withColumn("document_id", F.concat("source_slug", F.lit("_"), "doc_stem", suffix))
+    # counted on names alone, so files' bytes need not move and a name that many files have is no large group
+    same = named.groupBy(F.col("source_slug").alias("_slug"), F.col("doc_stem").alias("_stem")).agg(F.count("*").alias("_n")).filter("_n > 1")
+    both = named.join(same, (F.col("source_slug") == F.col("_slug")) & (F.col("doc_stem") == F.col("_stem")), "left")
+    suffix = F.when(F.col("_n").isNotNull(), F.concat(F.lit("_"), F.col("ext"))).otherwise("")
+    return both.withColumn("document_id", F.concat("source_slug", F.lit("_"), "doc_stem", suffix)).drop("_slug", "_stem", "_n")
 
 
 def normalise_documents(raw: DataFrame, domain: str, topic: str = "general") -> DataFrame:

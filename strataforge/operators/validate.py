@@ -64,7 +64,7 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 def unresolved(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is not in known; a row with an empty first key refers to nothing."""
-    return rows.filter(F.col(keys[0]) != "").join(known.select(*keys).distinct(), keys, "left_anti")
+    return rows.filter(F.col(keys[0]).cast("string") != "").join(known.select(*keys).distinct(), keys, "left_anti")
 
 
 def repeated(rows: DataFrame, key: Column, order: list[str]) -> DataFrame:
@@ -124,7 +124,8 @@ def sizes(transition: str, after: DataFrame, least: int = MIN_TOKENS, most: int
     if layer == 20:
         return say(rows.filter(token_count(F.col("body")) == 0), F.col("file"), "size_chapter_non_empty", "chapter body is empty", "ERROR")
     if layer == 30:
-        n, ident = F.col("token_count"), nonempty(F.col("chunk_id").cast("string"), F.col("file"))
+        body = token_count(F.coalesce(next((F.col(c) for c in ("body", "content", "text") if c in rows.columns), F.lit("")), F.lit("")))
+        n, ident = F.coalesce(F.expr("try_cast(token_count AS BIGINT)") if "token_count" in rows.columns else F.lit(None), body), nonempty(F.col("chunk_id").cast("string"), F.col("file"))
         return union([
             say(rows.filter(n < least), ident, "size_chunk_min", F.concat(F.lit("chunk below minimum token threshold ("), n.cast("string"), F.lit(f" < {least})")), "WARNING"),
             say(rows.filter(n > most), ident, "size_chunk_max", F.concat(F.lit("chunk above maximum token threshold ("), n.cast("string"), F.lit(f" > {most})")), "ERROR"),
@@ -139,13 +140,16 @@ def vector_rules(rows: DataFrame, key: str = "embedding_id", vector: str = "vect
     first = lambda c, has: F.min_by(F.when(has, c), F.when(has, F.col(key)))
     has_model, has_vector = F.coalesce(model, F.lit("")) != "", F.size(F.coalesce(vector, F.array().cast("array<double>"))) > 0
     expected = rows.agg(first(F.col(model), has_model).alias("model"), first(F.size(vector), has_vector).alias("dimension")).first()
+    odd = F.array_position(F.transform(vector, lambda x: not_finite(F.array(x))), True)  # the first that is not finite
     say = lambda df, rule, text: message(df, "40_to_50", "size", F.col(key), rule, text, "ERROR")
     return union([
+        # Rule names and texts.
         say(rows.filter(~has_model), "embedding_model_version", "model_version missing"),
-        say(rows.filter(has_model & (F.col(model) != F.lit(expected.model))), "embedding_model_version", "model_version differs"),
-        say(rows.filter(~has_vector), "embedding_vector", "vector missing or empty"),
-        say(rows.filter(has_vector & (F.size(vector) != F.lit(expected.dimension))), "embedding_dimension", "vector length differs"),
-        say(rows.filter(has_vector & not_finite(F.col(vector))), "embedding_finite", "vector has values that are not finite"),
+        say(rows.filter(has_model & (F.col(model) != F.lit(expected.model))), "embedding_model_version_consistency", F.concat(F.lit("inconsistent model_version '"), model, F.lit(f"' (expected '{expected.model}')"))),
+        say(rows.filter(F.col(vector).isNull()), "embedding_vector_type", "vector is not a list"),
+        say(rows.filter(F.size(vector) == 0), "embedding_vector_non_empty", "vector is empty"),
+        say(rows.filter(has_vector & (F.size(vector) != F.lit(expected.dimension))), "embedding_vector_dimension_consistency", F.concat(F.lit("inconsistent vector dimension "), F.size(vector).cast("string"), F.lit(f" (expected {expected.dimension})"))),
+        say(rows.filter(has_vector & (odd > 0)), "embedding_vector_finite", F.concat(F.lit("vector element at index "), (odd - 1).cast("string"), F.lit(" is not finite"))),
     ])
 
 

@@ -27,16 +27,13 @@ def edges(pages: DataFrame) -> DataFrame:
 
 def resolve_redirects(titles: DataFrame, pages: DataFrame, lookups: int = LOOKUPS) -> DataFrame:
     """titles: title. Adds `canonical`, the page that up to `lookups` lookups reach; null for missing titles, cycles and longer
-    chains. One row per title and a narrow page table join in each round, and only unfinished titles go on."""
+    chains. One frame goes through all rounds, a join with a narrow page table in each."""
     hops = pages.select(F.col("title").alias("page"), F.when(F.col("is_redirect"), F.col("redirect_target")).alias("next"))
-    now = titles.select("title").distinct().withColumn("at", F.col("title"))
-    done = None
-    for _ in range(lookups):
+    now = titles.select("title").distinct().select("title", F.col("title").alias("at"), F.lit(None).cast("string").alias("canonical"))
+    for _ in range(lookups):  # `at` is null once a title is resolved or lost
         met = now.join(hops, F.col("at") == F.col("page"), "left")
-        found = met.filter(F.col("page").isNotNull() & F.col("next").isNull()).select("title", F.col("page").alias("canonical"))
-        done = found if done is None else done.unionByName(found)
-        now = met.filter(F.col("next").isNotNull()).select("title", F.col("next").alias("at"))
-    return titles.join(done, "title", "left")
+        now = met.select("title", F.col("next").alias("at"), F.coalesce("canonical", F.when(F.col("next").isNull(), F.col("page"))).alias("canonical"))
+    return titles.join(now.drop("at"), "title", "left")
 
 
 def expand(seeds: DataFrame, pages: DataFrame, depth: int, most: int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from strataforge.operators import incremental, stages, textplan, validate
 from strataforge.plans.registry import STAGES, affected, order
 from strataforge.sources import convert, files
 
-VERSION = "1"
+VERSION = "2"
 #: stage -> (layers it reads, layer it writes)
 READS: dict[str, tuple[tuple[str, ...], str]] = {
     "discover_sources": ((), "raw"),
@@ -95,7 +95,7 @@ def build(stage: str, work: Workspace, raw: str, settings: Settings, state: dict
     if stage == "discover_sources":
         return files.discover(work.spark, raw, settings.formats)
     if stage == "ingest":
-        made = convert.to_markdown(stages.document_names(get("raw")).drop("path", "length", "source_slug", "doc_stem"))
+        made = get("converted")
         return stages.normalise_documents(made.filter("error is null").drop("error"), settings.domain, settings.topic)
     if stage == "chapter_splitter":
         return stages.split_chapters(get("documents"), min_words=settings.min_words)
@@ -106,8 +106,8 @@ def build(stage: str, work: Workspace, raw: str, settings: Settings, state: dict
     if stage == "embedding_builder":
         return stages.build_embeddings(get("evidence"))
     if stage == "wiki_builder":
-        return stages.wiki_pages(get("evidence"), settings.domain)
-    return get("wiki").agg(F.count("*").alias("topics"), F.sum("entries").alias("entries"))
+        return stages.wiki_sections(get("evidence"))  # rows, as no row should hold a whole topic; wiki_pages joins them
+    return get("wiki").agg(F.count_distinct("topic").alias("topics"), F.count("*").alias("entries"))
 
 
 def checksum(rows: DataFrame) -> str:
@@ -146,6 +146,12 @@ def run(spark: SparkSession, raw: str, folder: str, settings: Settings, full: bo
         if dry_run:
             continue
         layer = READS[stage][1]
+        if stage == "ingest":  # files are converted once; what could not be is kept with its error and counted
+            made = stages.document_names(work.read("raw", state)).drop("path", "length", "source_slug", "doc_stem")
+            work.write("converted", convert.to_markdown(made), run_id, state)
+            errors = work.read("converted", state).filter("error is not null").select("document_id", "rel_path", "error")
+            work.write("ingest_errors", errors, run_id, state)
+            out["rows"]["ingest_errors"] = work.read("ingest_errors", state).count()
         work.write(layer, build(stage, work, raw, settings, state), run_id, state)
         out["rows"][layer] = work.read(layer, state).count()
         if stage in CHECKS:

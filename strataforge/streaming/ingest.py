@@ -27,8 +27,10 @@ def ingest_new(spark: SparkSession, folder: str, documents: str, checkpoint: str
     """Appends the documents of files that came since the last call, each batch exactly once."""
     def store(batch: DataFrame, number: int) -> None:
         made = convert.to_markdown(stages.document_names(batch).drop("source_slug", "doc_stem"))
-        rows = stages.normalise_documents(made.filter("error is null").drop("error"), domain, topic)
-        rows.write.mode("overwrite").parquet(f"{documents}/batch={number}")
+        converted = f"{documents}_converted/batch={number}"  # also holds the files that failed, with their errors
+        made.write.mode("overwrite").parquet(converted)
+        rows = spark.read.parquet(converted).filter("error is null").drop("error")
+        stages.normalise_documents(rows, domain, topic).write.mode("overwrite").parquet(f"{documents}/batch={number}")
 
     run = new_files(spark, folder).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store).start()
     run.awaitTermination()

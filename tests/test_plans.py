@@ -58,3 +58,28 @@ def test_id_mentions_are_an_equi_join(spark):
     other = spark.createDataFrame([("see (evidence_12)",)], "page string")
     assert not audit.integration(ev, other).first().in_wiki
     assert "NestedLoop" not in plan(audit.integration(ev, pages))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_redirects_join_once_a_lookup(spark):
+    from strataforge.operators import wikigraph
+
+    pages = spark.createDataFrame([("A", True, "B"), ("B", True, "C"), ("C", False, None), ("X", True, "Y"), ("Y", True, "X"), ("G", True, "Gone")], "title string, is_redirect boolean, redirect_target string")
+    titles = spark.createDataFrame([(t,) for t in ("A", "C", "X", "G", "No", "A")], "title string")
+    out = wikigraph.resolve_redirects(titles, pages)
+    assert sorted((r.title, r.canonical) for r in out.collect()) == sorted([("A", "C"), ("A", "C"), ("C", "C"), ("X", None), ("G", None), ("No", None)], key=str)
+    assert _plan(out).count("Join LeftOuter") <= wikigraph.LOOKUPS + 1
+
+
+def test_names_are_found_without_moving_contents(spark):
+    from strataforge.operators import stages
+
+    raw = spark.createDataFrame([("s/a.md", b"x"), ("s/a.txt", b"y"), ("s/b.md", b"z"), ("t/a.md", b"w")], "rel_path string, content binary")
+    out = stages.document_names(raw)
+    assert sorted(r.document_id for r in out.collect()) == ["s_a_md", "s_a_txt", "s_b", "t_a"]
+    assert "Window" not in _plan(out)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange" in line and "content" in line for line in plan.split("\n"))

@@ -31,7 +31,8 @@ def test_full_then_incremental(spark, raw, tmp_path):
     state = Workspace(spark, work).state()
     w = Workspace(spark, work)
     assert w.read("evidence", state).filter("topic = 'general'").count() == first["rows"]["evidence"] == first["rows"]["embeddings"]
-    assert "# Topic general" in w.read("wiki", state).first().page
+    assert w.read("wiki", state).count() == first["rows"]["evidence"] and w.read("wiki", state).first().section.startswith("## ")
+    assert first["rows"]["ingest_errors"] == 0 and w.read("analysis", state).first().topics == 1
     assert run(spark, str(raw), work, settings)["status"] == "no_changes"
     (raw / "src" / "c.html").write_text(f"<h1>C2</h1><p>{LONG}</p>")
     (raw / "src" / "b.csv").unlink()
@@ -154,7 +155,7 @@ def test_validators_are_silent_on_clean_data_and_fire_on_each_fault(spark):
     em = spark.createDataFrame([("m1", "c1", "e1", "d", "hash-v1", [0.5, 1.0])], "embedding_id string, chunk_id string, evidence_id string, domain string, model_version string, vector array<double>")
     assert validate.validate("40_to_50", ev, em).count() == 0
     worse = em.unionByName(spark.createDataFrame([("m2", "zz", "zz", "d", "other", [float("nan")])], em.schema))
-    assert {r.rule for r in validate.validate("40_to_50", ev, worse).collect()} == {"reference_chunk", "reference_evidence", "embedding_model_version", "embedding_dimension", "embedding_finite"}
+    assert {r.rule for r in validate.validate("40_to_50", ev, worse).collect()} == {"reference_chunk", "reference_evidence", "embedding_model_version_consistency", "embedding_vector_dimension_consistency", "embedding_vector_finite"}
     assert {r.rule for r in validate.validate("40_to_50", ev, em.limit(0)).collect()} == {"coverage_chunk", "coverage_evidence"}
     messages = validate.validate("40_to_50", ev, worse)
     assert validate.blocks(messages) and not validate.blocks(messages, stop_on_error=False)
@@ -257,3 +258,18 @@ def test_repeated_events_in_a_stream_count_once(spark, tmp_path):
     run_ = stream.writeStream.format("memory").queryName("once").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     run_.awaitTermination()
     assert spark.table("once").count() == 5
+
+
+def test_files_that_fail_are_kept_and_counted(spark, raw, tmp_path):
+    (raw / "src" / "broken.docx").write_bytes(b"no zip at all")
+    out = run(spark, str(raw), str(tmp_path / "w"), Settings("corpus", least_tokens=1))
+    w = Workspace(spark, str(tmp_path / "w"))
+    (row,) = w.read("ingest_errors", w.state()).collect()
+    assert out["rows"]["ingest_errors"] == 1 and row.rel_path.endswith("broken.docx") and row.error and out["rows"]["documents"] == 3
+
+
+def test_chunk_sizes_fall_back_to_the_text(spark):
+    rows = spark.createDataFrame([("a", None, "one two"), ("b", "many", "one two three"), ("c", "200", "x"), ("d", "900", "x")], "chunk_id string, token_count string, content string")
+    got = {(r.identifier, r.rule, r.description) for r in validate.sizes("20_to_30", rows).collect()}
+    low = "chunk below minimum token threshold ({} < 100)"
+    assert got == {("a", "size_chunk_min", low.format(2)), ("b", "size_chunk_min", low.format(3)), ("d", "size_chunk_max", "chunk above maximum token threshold (900 > 500)")}
