@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,18 +12,34 @@ from strataforge.functions.papers import fixed_part, paper_text, raw_score, stud
 from strataforge.operators.rounds import kept
 
 
-def score_papers(papers: DataFrame, topics: DataFrame, as_of_year: int, most_topics: int = 10_000, digits: int | None = 3) -> DataFrame:
-    """Every paper against every topic (topic, keywords, boost_terms, penalty_terms). Topics are a configuration: the table is
-    checked to be small, then broadcast, so papers are not shuffled. digits None leaves the score unrounded."""
-    if topics.limit(most_topics + 1).count() > most_topics:
+TERMS = "array<struct<topic:string,keywords:array<string>,boost_terms:array<string>,penalty_terms:array<string>>>"
+
+
+def score_papers(papers: DataFrame, topics: DataFrame, as_of_year: int, most_topics: int = 10_000, digits: int | None = 3, least: float | None = None, own: str | None = None) -> DataFrame:
+    """Papers against topics (topic, keywords, boost_terms, penalty_terms). Topics are a configuration: checked to be few, they become
+    one constant, and a paper's scores are made inside its row. Only topics of a score of `least` or more (all if None), or the one
+    that the column `own` names, become rows. digits None leaves the score unrounded."""
+    known = [r.asDict() for r in topics.select("topic", "keywords", "boost_terms", "penalty_terms").limit(most_topics + 1).collect()]
+    if len(known) > most_topics:
         raise ValueError(f"more than {most_topics} topics")
     about = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit(""))))
     text = papers.withColumn("study_text", about).withColumn("paper_text", paper_text(F.col("title"), F.col("abstract"), F.col("journal")))
     typed = text.withColumn("study_type", study_type(F.col("study_text"))).drop("study_text")
     fixed = typed.withColumn("fixed_part", fixed_part(F.col("paper_text"), F.col("study_type"), F.col("year"), F.col("is_open_access"), as_of_year))
-    score = raw_score(F.col("paper_text"), F.col("fixed_part"), F.col("keywords"), F.col("boost_terms"), F.col("penalty_terms"))
-    both = fixed.join(F.broadcast(topics), F.lit(True))
-    return both.withColumn("relevance_score", score if digits is None else F.bround(score, digits)).drop("paper_text", "fixed_part", "keywords", "boost_terms", "penalty_terms")
+
+    def scored(paper: Column, topic: Column) -> Column:
+        score = raw_score(paper["text"], paper["fixed"], topic["keywords"], topic["boost_terms"], topic["penalty_terms"])
+        return F.struct(topic["topic"].alias("topic"), (score if digits is None else F.bround(score, digits)).alias("relevance_score"))
+
+    terms = F.from_json(F.lit(json.dumps(known)), TERMS)
+    if own is not None:
+        terms = F.filter(terms, lambda t: t["topic"] == F.col(own))
+    # the paper is bound to a variable, so that its text is made once and not for every topic
+    found = F.flatten(F.transform(F.array(F.struct(F.col("paper_text").alias("text"), F.col("fixed_part").alias("fixed"))), lambda p: F.transform(terms, lambda t: scored(p, t))))
+    if least is not None:
+        found = F.filter(found, lambda s: s["relevance_score"] >= least)
+    rest = [c for c in fixed.columns if c not in ("paper_text", "fixed_part")]
+    return fixed.select(*rest, F.inline(found))
 
 
 def rank(scored: DataFrame, least: float = 0.4, most: int = 20, key: str = "paper_id") -> DataFrame:
@@ -33,8 +51,10 @@ def rank(scored: DataFrame, least: float = 0.4, most: int = 20, key: str = "pape
 def dedup_greedy(papers: DataFrame, group: str = "topic", order: str = "arrival") -> DataFrame:
     """In order of arrival a paper stays unless its DOI or title (80 characters, lower case) stayed before; dropped papers
     register nothing. The rule is sequential only among papers that share keys, so papers are first cut into components of
-    shared keys within a group (see key_components) and each component is walked alone."""
-    schema, names = papers.schema, papers.columns
+    shared keys within a group (see key_components) and each component is walked alone. Papers are written once and numbered;
+    all rounds and walks see their numbers and keys alone."""
+    rows = kept(papers.withColumn("_row", F.monotonically_increasing_id()))
+    keys = rows.select("_row", group, order, "doi", F.substring("title", 1, 80).alias("title"))
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         seen: set[str] = set()
@@ -48,13 +68,13 @@ def dedup_greedy(papers: DataFrame, group: str = "topic", order: str = "arrival"
                 seen |= keys
         return pdf[keep]
 
-    labelled = key_components(papers, group, order)
     def sorted_walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        return walk(pdf.sort_values(order, kind="stable"))[names]
+        return walk(pdf.sort_values([order, "_row"]))[["_row"]]
 
-    single = labelled.filter("members = 1").select(*papers.columns)
-    several = labelled.filter("members > 1").groupBy(group, "component").applyInPandas(sorted_walk, schema)
-    return single.unionByName(several)
+    labelled = key_components(keys, group, order)
+    single = labelled.filter("members = 1").select("_row")
+    several = labelled.filter("members > 1").groupBy(group, "component").applyInPandas(sorted_walk, "_row long")
+    return rows.join(single.unionByName(several), "_row", "left_semi").drop("_row")
 
 
 def key_components(papers: DataFrame, group: str, order: str, rounds: int = 30) -> DataFrame:
@@ -97,13 +117,13 @@ def log_searches(found: DataFrame, topic: str, query: str, at: str) -> DataFrame
     return found.groupBy("source").agg(F.count("*").alias("result_count")).select("source", F.lit(topic).alias("topic"), F.lit(query).alias("query"), "result_count", F.lit(at).alias("searched_at"))
 
 
-def update_store(store: DataFrame, found: DataFrame, topics: DataFrame, as_of_year: int, least: float = 0.4, most: int = 20) -> DataFrame:
+def update_store(store: DataFrame, found: DataFrame, topics: DataFrame, as_of_year: int, least: float = 0.4, most: int = 20, digits: int | None = 3) -> DataFrame:
     """The whole way of fetched papers (topic, arrival and paper fields) into the store: doubles out, scored against their own
     topic, the best of each kept, then inserted or, where better, updated. Columns are those of the store."""
     from strataforge.operators.incremental import upsert_if_better
 
     single = dedup_greedy(found)
-    scored = score_papers(single.withColumnRenamed("topic", "own_topic"), topics, as_of_year).filter("topic = own_topic").drop("own_topic")
+    scored = score_papers(single.withColumnRenamed("topic", "own_topic"), topics, as_of_year, digits=digits, least=least, own="own_topic").drop("own_topic")
     ranked = rank(scored, least, most)
     listed = ranked.groupBy("paper_id").agg(F.collect_set("topic").alias("topics"), *(F.max_by(c, F.struct("relevance_score", "topic")).alias(c) for c in store.columns if c not in ("paper_id", "topics", "relevance_score")), F.max("relevance_score").alias("relevance_score"))
     return upsert_if_better(store, listed.select(*store.columns), "paper_id", "relevance_score")

@@ -52,7 +52,7 @@ def expand(seeds: DataFrame, pages: DataFrame, depth: int, most: int | None = No
         front = kept(first(reached).join(seen.select("title"), "title", "left_anti").withColumn("depth", F.lit(d)))
         if front.isEmpty():
             break
-        seen = kept(seen.unionByName(front))
+        seen = seen.unionByName(front)  # each front is written once
     out = seen.select("title", "depth", "parent", F.struct("depth", "pos").alias("found"))
     return (out.orderBy("found").limit(most) if most is not None else out).drop("found")
 

@@ -607,13 +607,17 @@ scored AS (SELECT paper_id, topic, CASE WHEN pen THEN 0 ELSE least(1.0, 0.30 * k
 
 @query(f"WITH {PAPERS} SELECT paper_id, topic, round(s, 6) AS relevance_score FROM scored")
 def paper_score(spark, d):
-    scored = literature.score_papers(papers(spark, d), topics(spark), as_of_year=2024, digits=None)
+    return rounded_scores(spark, d)
+
+
+def rounded_scores(spark, d, least=None):
+    scored = literature.score_papers(papers(spark, d), topics(spark), as_of_year=2024, digits=None, least=least)
     return scored.select("paper_id", "topic", F.round("relevance_score", 6).alias("relevance_score"))
 
 
 @query(f"WITH {PAPERS} SELECT paper_id, topic, round(s, 6) AS relevance_score, row_number() OVER (PARTITION BY topic ORDER BY round(s, 6) DESC, paper_id)::INT AS rank FROM scored WHERE round(s, 6) >= 0.4 QUALIFY rank <= 20")
 def rank_topn(spark, d):
-    return literature.rank(paper_score(spark, d))
+    return literature.rank(rounded_scores(spark, d, least=0.39))  # a little less, as scores are rounded afterwards
 
 
 @query("SELECT doc_id AS paper_id, len(list_filter(['the', 'of', 'zzz'], lambda k: contains(lower(text), k))) / 3.0::DOUBLE AS share FROM documents")
@@ -668,14 +672,15 @@ def search_log(spark, d):
 
 @query(f"""WITH {PAPERS}, best AS (SELECT paper_id, round(s, 6) AS s FROM scored WHERE topic = 'beta' AND round(s, 6) >= 0.3 QUALIFY row_number() OVER (ORDER BY round(s, 6) DESC, paper_id) <= 20),
 old AS (SELECT doc_id AS paper_id, 'old' AS title, CASE WHEN doc_id % 2 = 0 THEN 0.0 ELSE 1.0 END AS s FROM documents WHERE doc_id % 5 = 0)
-SELECT coalesce(o.paper_id, b.paper_id) AS paper_id, CASE WHEN o.paper_id IS NULL OR b.s > o.s THEN p.title ELSE 'old' END AS title, CASE WHEN o.paper_id IS NULL OR b.s > o.s THEN b.s ELSE o.s END::DOUBLE AS relevance_score
+SELECT coalesce(o.paper_id, b.paper_id) AS paper_id, CASE WHEN o.paper_id IS NULL OR b.s > o.s THEN p.paper_id || ' ' || p.title ELSE 'old' END AS title, CASE WHEN o.paper_id IS NULL OR b.s > o.s THEN b.s ELSE o.s END::DOUBLE AS relevance_score
 FROM old o FULL JOIN best b ON o.paper_id = b.paper_id LEFT JOIN p ON p.paper_id = b.paper_id""")
 def paper_store(spark, d):
-    """Ranked papers of one topic into a store that has a fifth of the papers, half of them with a better score."""
-    rows = papers(spark, d).select("paper_id", "title", F.col("paper_id").alias("p"))
-    ranked = literature.rank(paper_score(spark, d).filter("topic = 'beta'"), 0.3, 20).select("paper_id", "relevance_score").join(rows.drop("p"), "paper_id")
-    store = rows.filter("p % 5 = 0").select("paper_id", F.lit("old").alias("title"), F.when(F.col("p") % 2 == 0, 0.0).otherwise(1.0).alias("relevance_score"))
-    return incremental.upsert_if_better(store, ranked.select(*store.columns), "paper_id", "relevance_score")
+    """Papers found twice for one topic go into a store that has a fifth of them, half of these with a better score."""
+    p = F.col("paper_id")
+    once = papers(spark, d).drop("doi").withColumns({"topic": F.lit("beta"), "doi": F.lit(None).cast("string"), "arrival": p, "title": F.concat(p.cast("string"), F.lit(" "), "title")})
+    again = once.withColumn("arrival", F.col("arrival") + (1 << 40))
+    store = papers(spark, d).filter(p % 5 == 0).select("paper_id", F.lit("old").alias("title"), F.when(p % 2 == 0, 0.0).otherwise(1.0).alias("relevance_score"))
+    return literature.update_store(store, once.unionByName(again), topics(spark), 2024, 0.3, 20, digits=6)
 
 
 @query("""SELECT 'orders' AS layer, 'document_id' AS kind, o_custkey::VARCHAR AS id FROM orders UNION SELECT 'orders', 'chunk_id', o_orderkey::VARCHAR FROM orders UNION SELECT 'lineitem', 'chunk_id', l_orderkey::VARCHAR FROM lineitem""")

@@ -10,7 +10,11 @@ from __future__ import annotations
 
 import csv
 import io
+import os
 import re
+import shutil
+import subprocess
+import tempfile
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Callable, Iterator
@@ -482,6 +486,10 @@ def under(node: ET.Element | None, tag: str) -> Iterator[ET.Element]:
     return (c for c in (node.iter() if node is not None else ()) if bare(c.tag) == tag)
 
 
+#: Parts of the names of fonts for code.
+MONOSPACED = ("courier", "mono", "consolas", "code")
+
+
 def from_docx(data: bytes, name: str) -> Document:
     """Headings by style or outline level, lists by numbering, runs with bold, italic and code marks, tables."""
     z = Archive(data)
@@ -498,11 +506,13 @@ def from_docx(data: bytes, name: str) -> Document:
             on = lambda k: (m := first(marks, k)) is not None and attr(m, "val", "true") not in ("0", "false")  # noqa: B023, E731
             if text.strip():
                 font = attr(first(marks, "rFonts"), "ascii").lower()
-                text = f"`{text}`" if "courier" in font or "consolas" in font else f"**{text.strip()}** " if on("b") else f"*{text.strip()}* " if on("i") else text
+                stars = "*" * (2 * on("b") + on("i"))
+                text = f"`{text}`" if any(x in font for x in MONOSPACED) else f"{stars}{text.strip()}{stars} " if stars else text
             out.append(text)
         return "".join(out).strip()
 
     blocks: list[Block] = []
+    counted: dict[tuple[str, int], int] = {}  # ordered items so far by list and level
     body = next(under(root, "body"), None)
     for part in body if body is not None else ():
         tag = bare(part.tag)
@@ -517,7 +527,11 @@ def from_docx(data: bytes, name: str) -> Document:
             if level:
                 blocks.append(Block(f"h{min(4, int(level))}", re.sub(r"[*`]", "", text)))
             elif number is not None or style.startswith("list"):
-                blocks.append(Block("li", text, int(attr(first(number, "ilvl"), "val", "0") or 0), int("number" in style)))
+                level = int(attr(first(number, "ilvl"), "val", "0") or 0)
+                place = (attr(first(number, "numId"), "val"), level)
+                if ordered := "number" in style or "numeri" in style:
+                    counted[place] = counted.get(place, 0) + 1
+                blocks.append(Block("li", text, level, counted[place] if ordered else 0))
             else:
                 blocks.append(Block("quote" if "quote" in style else "caption" if style == "caption" else "code" if "code" in style else "p", text))
     return by_headings(doc, blocks, doc.title)
@@ -663,14 +677,41 @@ def sized_blocks(spans: list[tuple[float, bool, str]]) -> list[Block]:
     return out
 
 
-def no_reader(data: bytes, name: str) -> Document:
-    raise ValueError("this format needs an external converter")
+def through(program: tuple[str, ...], into: str, read: Callable[[bytes, str], Document], seconds: int = 120) -> Callable[[bytes, str], Document]:
+    """A converter that has a program of the executor's PATH turn the file into a format that is read here. `{file}`, `{folder}` and
+    `{made}` stand for paths in a folder that lives as long as the call; no other task sees it. Without the program: an error."""
+    def convert(data: bytes, name: str) -> Document:
+        found = shutil.which(program[0])
+        if not found:
+            raise ValueError(f"this format needs {program[0]}, which is not installed")
+        with tempfile.TemporaryDirectory() as folder:
+            ending = name.rpartition(".")[2]
+            paths = {"file": f"{folder}/in.{ending}", "folder": f"{folder}/out", "made": f"{folder}/out/in.{into}"}
+            os.mkdir(paths["folder"])
+            with open(paths["file"], "wb") as f:
+                f.write(data)
+            ran = subprocess.run([found, *(a.format(**paths) for a in program[1:])], capture_output=True, timeout=seconds, check=False)
+            if ran.returncode or not os.path.exists(paths["made"]):
+                raise ValueError(f"{program[0]} failed: {ran.stderr.decode('utf-8', 'replace')[:500]}")
+            with open(paths["made"], "rb") as f:
+                doc = read(f.read(), name)
+        doc.form = ending.upper()
+        return doc
+
+    return convert
+
+
+def office(into: str) -> tuple[str, ...]:
+    return ("soffice", "--headless", "--convert-to", into, "--outdir", "{folder}", "{file}")
+
 
+EBOOK = through(("ebook-convert", "{file}", "{made}", "--no-default-epub-cover"), "epub", from_epub)
 
 CONVERTERS: dict[str, Callable[[bytes, str], Document | str]] = {
     "html": from_html, "htm": from_html, "xhtml": from_html, "csv": from_csv, "txt": from_text, "text": from_text, "rst": from_text, "md": from_markdown, "xml": xml_markdown,
     "docx": from_docx, "docm": from_docx, "odt": from_odt, "xlsx": from_xlsx, "pptx": pptx_markdown, "epub": from_epub, "pdf": from_pdf,
-    "doc": no_reader, "xls": no_reader, "mobi": no_reader, "azw": no_reader, "azw3": no_reader, "lit": no_reader, "fb2": no_reader, "lrf": no_reader, "pdb": no_reader, "cbz": no_reader, "cbr": no_reader,
+    "doc": through(office("docx"), "docx", from_docx), "xls": through(office("xlsx"), "xlsx", from_xlsx),
+    "mobi": EBOOK, "azw": EBOOK, "azw3": EBOOK, "lit": EBOOK, "fb2": EBOOK, "lrf": EBOOK, "pdb": EBOOK, "cbz": EBOOK, "cbr": EBOOK,
 }
 
 

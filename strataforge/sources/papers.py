@@ -7,8 +7,11 @@ from __future__ import annotations
 
 import json
 import time
+import urllib.error
+import urllib.request
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator
+from urllib.parse import urlencode
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,7 +83,42 @@ def plos(answer: str) -> list[tuple]:
     return out
 
 
-PARSERS: dict[str, Callable[[str], list[tuple]]] = {"pubmed": pubmed, "doaj": doaj, "plos": plos}
+def pmc(xml: str) -> list[tuple]:
+    """Open-access records: one paper a record, with the link to its PDF."""
+    try:
+        records = list(ET.fromstring(xml).iter("record"))
+    except ET.ParseError:
+        return []
+    return [paper(source="pmc", external_id=r.get("id", ""), pmcid=r.get("id"), pdf_url=pmc_pdf(ET.tostring(r, "unicode")), is_open_access=True) for r in records]
+
+
+PARSERS: dict[str, Callable[[str], list[tuple]]] = {"pubmed": pubmed, "pmc": pmc, "doaj": doaj, "plos": plos}
+
+#: Addresses of the services, and how many ids one request for details takes.
+PUBMED = "https://eutils.ncbi.nlm.nih.gov/entrez/eutils"
+PMC = "https://www.ncbi.nlm.nih.gov/pmc/utils/oa/oa.fcgi"
+DETAILS = 100
+
+
+def search_url(query: str, most: int = 50, base: str = PUBMED, **who: str) -> str:
+    """The address that gives the ids of English articles for a query, the best first; who: tool, email, api_key."""
+    return f"{base}/esearch.fcgi?" + urlencode({**who, "db": "pubmed", "term": query, "retmax": most, "retmode": "json", "sort": "relevance", "filter": "lang.english"})
+
+
+def found_ids(answer: str) -> list[str]:
+    """Ids of a search's answer; a broken answer has none."""
+    try:
+        return [str(i) for i in json.loads(answer)["esearchresult"]["idlist"]]
+    except (ValueError, KeyError, TypeError):
+        return []
+
+
+def detail_urls(ids: list[str], base: str = PUBMED, size: int = DETAILS, **who: str) -> list[str]:
+    return [f"{base}/efetch.fcgi?" + urlencode({**who, "db": "pubmed", "id": ",".join(ids[k : k + size]), "retmode": "xml", "rettype": "abstract"}) for k in range(0, len(ids), size)]
+
+
+def pmc_urls(pmcids: list[str], base: str = PMC) -> list[str]:
+    return [f"{base}?" + urlencode({"id": i}) for i in pmcids]
 
 
 def polite(fetch: Callable[[str], tuple[int, str]], per_second: float, attempts: int = 3, sleep: Callable[[float], None] = time.sleep) -> Callable[[str], str | None]:
@@ -103,32 +141,48 @@ def polite(fetch: Callable[[str], tuple[int, str]], per_second: float, attempts:
     return ask
 
 
-class Answers(InputPartition):
-    def __init__(self, kind: str, where: str):
-        self.kind, self.where = kind, where
+def fetched(url: str) -> tuple[int, str]:
+    """Status and text of an address; 0 where the service cannot be reached."""
+    try:
+        with urllib.request.urlopen(url, timeout=60) as r:
+            return r.status, r.read().decode("utf-8", "replace")
+    except urllib.error.HTTPError as e:
+        return e.code, ""
+    except OSError:
+        return 0, ""
+
+
+class Requests(InputPartition):
+    """All requests to one service: one partition, so that its one clock spaces them."""
+
+    def __init__(self, urls: list[str], query: str | None):
+        self.urls, self.query = urls, query
 
 
 class PaperReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.kind, self.fetch = options["service"], None
-        self.where = json.loads(options.get("urls", "[]"))
+        self.kind, self.query = options["service"], options.get("query")
+        if self.kind not in PARSERS or self.query and self.kind != "pubmed":
+            raise ValueError(f"no such search: {self.kind}")
+        self.urls, self.most = json.loads(options.get("urls", "[]")), int(options.get("most", "50"))
+        self.base, self.rate = options.get("base", PUBMED), float(options.get("perSecond", "2"))
+        self.who = {k: options[k] for k in ("tool", "email", "api_key") if options.get(k)}
 
     def partitions(self):
-        return [Answers(self.kind, w) for w in self.where]
+        return [Requests(self.urls, self.query)]
 
     def read(self, partition) -> Iterator[tuple]:
-        import urllib.request
-
-        def fetch(url: str) -> tuple[int, str]:
-            with urllib.request.urlopen(url, timeout=60) as r:
-                return r.status, r.read().decode("utf-8", "replace")
-
-        answer = polite(fetch, 2.0)(partition.where)
-        yield from PARSERS[partition.kind](answer) if answer else ()
+        ask, urls = polite(fetched, self.rate), list(partition.urls)
+        if partition.query:
+            urls += detail_urls(found_ids(ask(search_url(partition.query, self.most, self.base, **self.who)) or ""), self.base, **self.who)
+        for url in urls:
+            answer = ask(url)
+            yield from PARSERS[self.kind](answer) if answer else ()
 
 
 class PaperSource(DataSource):
-    """format("papers"): options service (pubmed, doaj, plos) and urls (a JSON list); one partition a URL."""
+    """format("papers"): option service (pubmed, pmc, doaj, plos) with urls (a JSON list), or for pubmed a query, of which the `most`
+    best articles are searched and then fetched by the hundred. perSecond spaces requests; tool, email and api_key go with them."""
 
     @classmethod
     def name(cls) -> str:

@@ -33,9 +33,10 @@ def test_no_nested_loops(spark, sf, name):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
-def test_topics_are_the_broadcast_side(spark, sf):
+def test_topics_are_scored_inside_the_row(spark, sf):
     text = plan(Q.paper_score(spark, sf))
-    assert text.count("BroadcastNestedLoopJoin") == 1 and "BuildRight" in text
+    assert "Join" not in text and "Exchange" not in text
+    assert plan(Q.rank_topn(spark, sf)).count("Exchange hashpartitioning") == 1
 
 
 def test_no_text_is_shuffled_for_change_detection(spark, sf):
