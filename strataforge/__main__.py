@@ -1,4 +1,4 @@
-"""Command line: bootstrap a workspace, run its stages, search it."""
+"""Command line: bootstrap a workspace, run its stages, search it, see how far its files are; look into a store of papers."""
 
 from __future__ import annotations
 
@@ -6,9 +6,12 @@ import argparse
 import json
 import sys
 
-from strataforge.operators import retrieval
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from strataforge.operators import literature, retrieval
 from strataforge.plans import bootstrap
-from strataforge.plans.runner import Blocked, Settings, Workspace, run
+from strataforge.plans.runner import Blocked, Settings, Workspace, run, tracked
 from strataforge.session import session
 
 
@@ -34,12 +37,44 @@ def main(args: list[str] | None = None) -> int:
     s.add_argument("query")
     s.add_argument("-k", type=int, default=5)
     s.add_argument("--topic")
+    t = sub.add_parser("files")
+    t.add_argument("workspace")
+    t.add_argument("raw")
+    t.add_argument("--formats")
+    i = sub.add_parser("papers")
+    i.add_argument("store", help="a folder of Parquet")
+    i.add_argument("--topic")
+    i.add_argument("--top", type=int, default=5)
+    i.add_argument("--least", type=float, default=0.0)
+    i.add_argument("--export", metavar="FOLDER")
+    i.add_argument("--form", choices=("csv", "json"), default="csv")
+    i.add_argument("--force", action="store_true")
     a = p.parse_args(args)
     spark = session(master=a.master)
     if a.command == "bootstrap":
         for path, what in bootstrap.create(spark, a.workspace, a.domain, a.seeds, a.force):
             print(what, path)
         return 0
+    if a.command == "files":
+        flags = ("in_documents", "in_chapters", "in_chunks")
+        found = tracked(spark, a.raw, a.workspace, a.formats).agg(F.count("*").alias("files"), *(F.count_if(f).alias(f) for f in flags))
+        print(json.dumps(found.first().asDict()))
+        return 0
+    if a.command == "papers":
+        store = spark.read.parquet(a.store)
+        print(json.dumps(literature.totals(store).first().asDict()))
+        for row in literature.source_stats(store).orderBy("source").collect():
+            print(json.dumps(row.asDict(), ensure_ascii=False))
+        chosen = literature.best(store, a.top, a.topic, a.least)
+        for row in literature.listing(chosen).orderBy(F.desc("relevance_score"), "paper_id").collect():
+            print(row.line)
+        if a.export:
+            try:
+                literature.export(chosen, a.export, a.form, a.force)
+            except AnalysisException as e:
+                print(e, file=sys.stderr)
+                return 1
+        return 0
     if a.command == "search":
         work = Workspace(spark, a.workspace)
         state = work.state()

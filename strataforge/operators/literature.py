@@ -135,6 +135,13 @@ def best(papers: DataFrame, k: int, topic: str | None = None, least: float = 0.0
     return rows.orderBy(F.desc("relevance_score"), "paper_id").limit(k)
 
 
+def listing(papers: DataFrame) -> DataFrame:
+    """Papers as people read them, one line each: score, title of 70 characters, source, type of study and year."""
+    known = lambda c, other: F.coalesce(F.col(c).cast("string"), F.lit(other)) if c in papers.columns else F.lit(other)
+    line = F.format_string("[%.2f] %s | %s | %s | %s", F.coalesce(F.col("relevance_score").cast("double"), F.lit(0.0)), F.substring(known("title", ""), 1, 70), known("source", ""), known("study_type", "?"), known("year", "?"))
+    return papers.select("paper_id", "relevance_score", line.alias("line"))
+
+
 #: Columns of the CSV export.
 EXPORT = ("paper_id", "title", "authors", "year", "journal", "doi", "source", "topics", "study_type", "relevance_score", "is_open_access")
 

@@ -110,6 +110,21 @@ def build(stage: str, work: Workspace, raw: str, settings: Settings, state: dict
     return get("wiki").agg(F.count_distinct("topic").alias("topics"), F.count("*").alias("entries"))
 
 
+def tracked(spark: SparkSession, raw: str, folder: str, formats: str | None = None) -> DataFrame:
+    """How far each raw file has come: rel_path, length, mtime and whether the workspace has its document, chapters and chunks."""
+    work = Workspace(spark, folder)
+    state = work.state()
+    found = files.discover(spark, raw, formats, content=False).drop("path")
+    if "documents" not in state.get("layers", {}):
+        return found.withColumns({f"in_{x}": F.lit(False) for x in ("documents", "chapters", "chunks")})
+    docs = work.read("documents", state).select(F.col("lineage").alias("rel_path"), "document_id")
+    have = {"documents": docs}
+    for layer in ("chapters", "chunks"):
+        rows = work.read(layer, state).select("document_id").distinct() if layer in state["layers"] else docs.select("document_id").limit(0)
+        have[layer] = docs.join(rows, "document_id", "left_semi")
+    return files.layer_listing(found, have, "rel_path")
+
+
 def checksum(rows: DataFrame) -> str:
     """A digest of a table that does not depend on order or partitions."""
     row = rows.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64(*rows.columns)), F.lit(0)).alias("x"), F.coalesce(F.sum(F.pmod(F.xxhash64(F.lit(7), *rows.columns), F.lit(1 << 31))), F.lit(0)).alias("s")).first()

@@ -16,6 +16,7 @@ from strataforge.functions import text as X
 from strataforge.functions.vectors import hash_vector
 from strataforge.operators import audit, cleanup, incremental, literature, retrieval, stages, textplan, validate, wikigraph
 from strataforge.operators.rounds import kept
+from strataforge.sources import files
 from strataforge.sources.tables import spread, table
 from strataforge.streaming import events as E
 
@@ -438,10 +439,20 @@ def mark_downloaded(spark, d):
 @query("""SELECT doc_id, doc_id IN (SELECT doc_id FROM labels) AS labelled, doc_id IN (SELECT vec_id FROM embeddings) AS embedded, length(text)::INT AS size FROM documents""")
 def file_metadata(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.length("text").alias("size"))
-    a = table(spark, d, "labels").select(F.col("doc_id").alias("a")).distinct()
-    b = table(spark, d, "embeddings").select(F.col("vec_id").alias("b")).distinct()
-    both = docs.join(a, F.col("doc_id") == F.col("a"), "left").join(b, F.col("doc_id") == F.col("b"), "left")
-    return both.select("doc_id", F.col("a").isNotNull().alias("labelled"), F.col("b").isNotNull().alias("embedded"), "size")
+    layers = {"labels": table(spark, d, "labels"), "embeddings": table(spark, d, "embeddings").withColumnRenamed("vec_id", "doc_id")}
+    listed = files.layer_listing(docs, layers, "doc_id")
+    return listed.select("doc_id", F.col("in_labels").alias("labelled"), F.col("in_embeddings").alias("embedded"), "size")
+
+
+@query("""WITH f AS (SELECT CASE WHEN c_custkey = 77 THEN 'f0/n0.pdf' WHEN c_custkey = 78 THEN 'f0/n0_3.pdf' ELSE 'f' || c_custkey % 7 || '/P' || c_custkey || '.pdf' END AS original, CASE WHEN c_custkey = 77 THEN 'n0.pdf' WHEN c_custkey = 78 THEN 'n0_3.pdf' ELSE 'n' || c_custkey % 11 || '.pdf' END AS name FROM customer),
+r AS (SELECT original, split_part(original, '/', 1) || '/' || left(name, -4) AS stem, row_number() OVER (PARTITION BY split_part(original, '/', 1), name ORDER BY lower(original), original) AS nth FROM f WHERE original NOT IN ('f0/n0.pdf', 'f0/n0_3.pdf')),
+n AS (SELECT *, CASE WHEN stem <> 'f0/n0' THEN nth WHEN nth = 1 THEN 2 ELSE nth + 2 END AS k FROM r) SELECT original, stem || CASE WHEN k > 1 THEN '_' || k ELSE '' END || '.pdf' AS renamed FROM n""")
+def rename_log(spark, d):
+    """Customers' files in seven folders get eleven names; two files of the first folder have names already that others want."""
+    k = F.col("c_custkey")
+    path = F.when(k == 77, "f0/n0.pdf").when(k == 78, "f0/n0_3.pdf").otherwise(F.concat(F.lit("f"), k % 7, F.lit("/P"), k, F.lit(".pdf")))
+    name = F.when(k == 77, "n0.pdf").when(k == 78, "n0_3.pdf").otherwise(F.concat(F.lit("n"), k % 11, F.lit(".pdf")))
+    return files.rename_plan(table(spark, d, "customer").select(path.alias("rel_path"), name.alias("new_name")))
 
 
 @query("""SELECT doc_id, 'old' AS side FROM documents ANTI JOIN labels USING (doc_id) UNION ALL SELECT doc_id, 'both' FROM (SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels) UNION ALL SELECT vec_id, 'new' FROM (SELECT vec_id FROM embeddings EXCEPT SELECT doc_id FROM documents)""")

@@ -145,3 +145,28 @@ def test_docx_numbers_and_marks():
     styles = f'<w:styles {W}><w:style w:styleId="N"><w:name w:val="List Number"/></w:style></w:styles>'
     got = body(archive(**{"word/document.xml": f"<w:document {W}><w:body>{''.join(parts)}</w:body></w:document>", "word/styles.xml": styles}), "d.docx")
     assert [x for x in got.splitlines() if x][1:] == ["1. a", "  1. b", "2. c", "1. d", "***both***", "`code`"]
+
+
+def test_files_are_tracked_and_papers_listed(spark, tmp_path, capsys):
+    from strataforge.__main__ import main
+    from strataforge.plans.runner import tracked
+
+    raw, work, store = tmp_path / "raw", str(tmp_path / "w"), str(tmp_path / "store")
+    (raw / "s").mkdir(parents=True)
+    (raw / "s" / "a.md").write_text("# A\n\n" + "Some words stand here. " * 120)
+    assert [r.in_documents for r in tracked(spark, str(raw), work).collect()] == [False]
+    assert main(["run", work, str(raw), "--domain", "demo"]) == 0
+    (raw / "s" / "b.md").write_text("# B\n\nlater")
+    got = {r.rel_path: (r.in_documents, r.in_chapters, r.in_chunks) for r in tracked(spark, str(raw), work).collect()}
+    assert got == {"s/a.md": (True,) * 3, "s/b.md": (False,) * 3}
+    capsys.readouterr()
+    assert main(["files", work, str(raw)]) == 0
+    assert json.loads(capsys.readouterr().out) == {"files": 2, "in_documents": 1, "in_chapters": 1, "in_chunks": 1}
+    rows = [(1, "One", "plos", 2020, 0.5, True, False, ["t"]), (2, "Two", "doaj", None, 0.75, True, True, ["t", "u"]), (3, "Three", "doaj", 2001, 0.1, False, False, ["u"])]
+    spark.createDataFrame(rows, "paper_id int, title string, source string, year int, relevance_score double, is_open_access boolean, downloaded boolean, topics array<string>").write.parquet(store)
+    assert main(["papers", store, "--topic", "t", "--export", str(tmp_path / "x")]) == 0
+    out = capsys.readouterr().out.splitlines()
+    assert json.loads(out[0]) == {"papers": 3, "downloaded": 1, "open_access": 2} and len(out) == 5
+    assert out[3:] == ["[0.75] Two | doaj | ? | ?", "[0.50] One | plos | ? | 2020"]
+    assert spark.read.option("header", True).csv(str(tmp_path / "x")).count() == 2
+    assert main(["papers", store, "--export", str(tmp_path / "x")]) == 1
