@@ -9,6 +9,10 @@ from strataforge.functions.links import meta_path
 from strataforge.functions.text import nonempty
 
 
+#: What a match is called, in the order in which matches are tried.
+MATCHES = {"rel": "lineage.layer00_path", "name": "source_file(name)", "hash": "hash_sha256", "stem": "source_file(stem)"}
+
+
 def raw_catalogue(files: DataFrame) -> DataFrame:
     """The four keys of raw files: path, name, stem (all lower case) and hash."""
     name = F.lower(F.element_at(F.split("rel_path", "/"), -1))
@@ -31,7 +35,10 @@ def match_sources(documents: DataFrame, raw: DataFrame) -> DataFrame:
         docs = docs.join(table, (F.col(f"want_{key}") == F.col(f"key_by_{key}")) & (F.col(f"want_{key}") != ""), "left").drop(f"key_by_{key}")
     found = {k: F.col(f"path_by_{k}").isNotNull() for k in ("rel", "name", "hash", "stem")}
     status = F.when(found["rel"], "ok").when(found["name"] | found["hash"] | found["stem"], "renamed_or_moved").otherwise("missing")
-    detail = F.when(found["rel"], "lineage").when(found["name"], "name").when(found["hash"], "hash").when(found["stem"], "stem").otherwise("not_found")
+    detail = F
+    for key, label in MATCHES.items():
+        detail = detail.when(found[key], label)
+    detail = detail.otherwise("not_found")
     path = F.coalesce("path_by_rel", "path_by_name", "path_by_hash", "path_by_stem")
     return docs.select(*documents.columns, status.alias("status"), detail.alias("match"), path.alias("raw_path"))
 

@@ -480,7 +480,7 @@ def raw_and_documents(spark, d):
 raw AS (SELECT i, CASE WHEN i % 5 = 0 THEN 'new/' || name WHEN i % 5 = 1 THEN 'new/x' || i || '.html' ELSE 'src/' || name END AS path, h FROM p WHERE i % 7 <> 0),
 uniq AS (SELECT h, min(path) AS path FROM raw GROUP BY h HAVING count(*) = 1)
 SELECT p.i AS source_id, CASE WHEN raw.i IS NOT NULL AND p.i % 5 > 1 THEN 'ok' WHEN raw.i IS NOT NULL AND p.i % 5 = 0 OR uniq.h IS NOT NULL THEN 'renamed_or_moved' ELSE 'missing' END AS status,
-CASE WHEN raw.i IS NOT NULL AND p.i % 5 > 1 THEN 'lineage' WHEN raw.i IS NOT NULL AND p.i % 5 = 0 THEN 'name' WHEN uniq.h IS NOT NULL THEN 'hash' ELSE 'not_found' END AS match,
+CASE WHEN raw.i IS NOT NULL AND p.i % 5 > 1 THEN 'lineage.layer00_path' WHEN raw.i IS NOT NULL AND p.i % 5 = 0 THEN 'source_file(name)' WHEN uniq.h IS NOT NULL THEN 'hash_sha256' ELSE 'not_found' END AS match,
 CASE WHEN raw.i IS NOT NULL AND p.i % 5 <> 1 THEN raw.path ELSE uniq.path END AS raw_path FROM p LEFT JOIN raw ON p.i = raw.i LEFT JOIN uniq ON p.h = uniq.h""")
 def source_match_waterfall(spark, d):
     return cleanup.match_sources(*raw_and_documents(spark, d)).select("source_id", "status", "match", "raw_path")

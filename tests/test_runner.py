@@ -165,7 +165,7 @@ def test_cleanup_and_incremental_edges(spark):
     raw = spark.createDataFrame([("a/x.md", "1"), ("b/y.md", "2"), ("c/y.txt", "3")], "rel_path string, sha256 string")
     docs = spark.createDataFrame([(1, "x.md", ".\\A/X.md", "9"), (2, "gone.md", "", "2"), (3, "Y.pdf", None, None), (4, "y.md", "z/y.md", None)], "source_id int, source_file string, lineage string, hash_sha256 string")
     got = {r.source_id: (r.status, r.match) for r in cleanup.match_sources(docs, raw).collect()}
-    assert got == {1: ("ok", "lineage"), 2: ("renamed_or_moved", "hash"), 3: ("missing", "not_found"), 4: ("renamed_or_moved", "name")}
+    assert got == {1: ("ok", "lineage.layer00_path"), 2: ("renamed_or_moved", "hash_sha256"), 3: ("missing", "not_found"), 4: ("renamed_or_moved", "source_file(name)")}
     old = spark.createDataFrame([("k", "a")], "rel_path string, sha256 string")
     assert incremental.change_summary(incremental.manifest_diff(old, old)).first().asDict() == {"total": 1, "new": 0, "removed": 0, "modified": 0, "unchanged": 1, "changed": False}
     assert incremental.write_status(old, old.selectExpr("rel_path", "'b' sha256"), "rel_path", "sha256", force=False).first().status == "skipped"
