@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,38 +49,41 @@ def rank(scored: DataFrame, least: float = 0.4, most: int = 20, key: str = "pape
     return scored.filter(F.col("relevance_score") >= least).withColumn("rank", place).filter(F.col("rank") <= most)
 
 
+def short_title(title: Column) -> Column:
+    return F.regexp_replace(F.substring(F.lower(title), 1, 80), "(?U)^\\s+|\\s+$", "")
+
+
 def dedup_greedy(papers: DataFrame, group: str = "topic", order: str = "arrival") -> DataFrame:
     """In order of arrival a paper stays unless its DOI or title (80 characters, lower case) stayed before; dropped papers
     register nothing. The rule is sequential only among papers that share keys, so papers are first cut into components of
-    shared keys within a group (see key_components) and each component is walked alone. Papers are written once and numbered;
-    all rounds and walks see their numbers and keys alone."""
+    shared keys within a group (see key_components), and the components of a task are walked one after the other, in a stream.
+    Papers are written once and numbered; all rounds and walks see their numbers and keys alone."""
     rows = kept(papers.withColumn("_row", F.monotonically_increasing_id()))
-    keys = rows.select("_row", group, order, "doi", F.substring("title", 1, 80).alias("title"))
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen: set[str] = set()
-        keep = []
-        for doi, title in zip(pdf["doi"], pdf["title"], strict=True):
-            keys = {f"d{doi}"} if doi else set()
-            if title and (short := title.lower()[:80].strip()):
-                keys.add(f"t{short}")
-            keep.append(not (keys & seen))
-            if keep[-1]:
-                seen |= keys
-        return pdf[keep]
-
-    def sorted_walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        return walk(pdf.sort_values([order, "_row"]))[["_row"]]
+    keys = rows.select("_row", group, order, "doi", short_title(F.col("title")).alias("title"))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, seen = None, set()
+        for batch in batches:
+            keep = []
+            for row, where, component, doi, title in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (where, component) != now:
+                    now, seen = (where, component), set()
+                own = {k for k in (doi and f"d{doi}", title and f"t{title}") if k}
+                if not own & seen:
+                    keep.append(row)
+                    seen |= own
+            yield pa.record_batch([pa.array(keep, pa.int64())], ["_row"])
 
     labelled = key_components(keys, group, order)
     single = labelled.filter("members = 1").select("_row")
-    several = labelled.filter("members > 1").groupBy(group, "component").applyInPandas(sorted_walk, "_row long")
+    sorted_rows = labelled.filter("members > 1").repartition(group, "component").sortWithinPartitions(group, "component", order, "_row")
+    several = sorted_rows.select("_row", group, "component", "doi", "title").mapInArrow(walk, "_row long")
     return rows.join(single.unionByName(several), "_row", "left_semi").drop("_row")
 
 
 def key_components(papers: DataFrame, group: str, order: str, rounds: int = 30) -> DataFrame:
     """Labels papers of a group that share a DOI or a title, also through others, with the least arrival among them."""
-    short = F.nullif(F.trim(F.substring(F.lower("title"), 1, 80)), F.lit(""))
+    short = F.nullif(short_title(F.col("title")), F.lit(""))
     now = papers.withColumn("k_doi", F.nullif(F.col("doi"), F.lit(""))).withColumn("k_title", short).withColumn("component", F.col(order))
     own = F.concat(F.lit("\0"), F.col(order).cast("string"))  # papers without a key share none, and make no large group
     by = lambda k: F.min("component").over(Window.partitionBy(group, F.coalesce(F.col(k), own)))
