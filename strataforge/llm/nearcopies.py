@@ -1,16 +1,22 @@
-"""Near copies of the pipeline: links at Jaccard 0.8 of five-word shingles, met in MinHash cells, each checked exactly.
+"""Near copies of the pipeline by SimHash: fingerprints of five-word shingles, their segment-popcount embedding, a grid join under
+Manhattan distance, then exact distances; links are pairs met with an exact Jaccard of 0.8 or more of their shingles.
 
-SimHash on five words cannot carry this threshold: its distance at Jaccard 0.8 is beyond what the grid of simhash.py reaches
-(measured in the README). So each text has HASHES least hashes of its shingles; every STEP of them make a cell, and texts meet
-that share a cell: at Jaccard J all but (1 - J^4)^16 of the pairs, which is 2 in 10,000 at 0.8 and less above. Texts that meet
-any other get a sketch of four bits for each of WIDE least hashes. Of the pairs met, those with fewer than LEAST equal places are
-set aside (at 0.8 less than 1 in 100,000 of those that are links); the others are compared by their whole sets of shingle hashes.
+The method is that of simhash.py with another radius: at Jaccard 0.8 a sixth of the bits differ (cosine 8/9), up to 14 of 64, which
+no step on two sub-grids reaches. So a fingerprint has WORDS words of 64 bits, the bits of each from own hashes of the shingles, and
+the sub-grids are many and small: each word's 32 axes (bit counts of its two-bit segments, in unary) give five of AXES axes, 60 in all.
+Texts meet that are in the same cell of any sub-grid. At Jaccard 0.8 one sub-grid holds two texts in the same cell with a chance of
+0.16, so all but about 1 in 30,000 of those pairs meet (calculated) and more above it; very small sets do less well (of sets of 4
+in sets of 5 about 1 in 100 is lost, simulated).
+
+Meeting has two steps, as a cell also holds texts that are not alike. First the rows of a cell carry FIRST words of the fingerprint:
+Manhattan bound on the embedding, then the exact distance, both at most FIRST_BITS. It only tells which texts have company in which
+cell. The second step is for those, with whole fingerprints and MOST_BITS. Its pairs are compared by their whole sets of shingle hashes.
 
 Texts with equal sets are one node. A large group does not emit all its pairs: first every node meets the NEXT nodes of its cell,
-in the order of their sketches, and the one nearest to the cell's commonest sketch; the links found make components. Then only
+in the order of their fingerprints, and the one nearest to the cell's commonest bits; the links found make components. Then only
 nodes of different components meet, all of them: those outside the cell's largest component meet every node of the cell. Crowded
-cells are cut, OUTSIDE of those nodes to a block, and a task streams the cell's other rows past one block. A pair that shares
-several cells is only emitted in the first of them.
+cells are cut, CROWDED nodes to a block in the first step and OUTSIDE of those nodes in the second; a task streams the cell's other
+rows past one block. A pair that shares several cells is only emitted in the first of them.
 
 Edge cases: null, empty and white-space texts are one node; fewer than five words make one shingle; repeated rows and repeated
 doc_ids are separate rows; null ids come last; other columns, whatever they are called, are carried along; an empty table gives an
@@ -28,20 +34,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataforge.llm.common import drop_written, free_name, written
+from strataforge.llm.common import broadcast_if_small, drop_written, free_name, written
 from strataforge.llm.components import connected_components
+from strataforge.llm.simhash import unary
 
 SHINGLE, SIMILAR = 5, 0.8
-HASHES, STEP = 64, 4
-WIDE, LEAST = 512, 377
+#: Words of a fingerprint; axes of a sub-grid, five to a word.
+WORDS, AXES = 12, 6
+GRIDS = WORDS * 5
+#: Words that meet first, and bits that may differ in them.
+FIRST, FIRST_BITS = 2, 36
+#: Words of the fingerprints of texts with company; bits that may differ, and what is added to them over the lesser number of shingles.
+LONG, MOST_BITS, MORE_BITS = 32, 378, 410
 NEXT = 8
-#: Rows of a cell that meet at once in the first step; nodes of a block in the second.
-PIECE, OUTSIDE = 8192, 512
+#: Nodes of a block in the first step; rows of a cell that meet at once in the second, and nodes of a block there.
+CROWDED, PIECE, OUTSIDE = 1 << 16, 8192, 1 << 14
 SEED = 42
-#: Shingles whose hashes are in memory at once.
-AT_ONCE = 4096
+#: Shingles whose bits are in memory at once: their counts fit a byte.
+AT_ONCE = 255
 _rng = np.random.default_rng(SEED)
-FACTOR, PLUS = _rng.integers(1, 1 << 63, WIDE).astype(np.uint64) * np.uint64(2) + np.uint64(1), _rng.integers(0, 1 << 63, WIDE).astype(np.uint64)
+PLUS = _rng.integers(0, 1 << 63, LONG).astype(np.uint64)
+MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -53,13 +66,16 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), joined), np.uint64))
 
 
-def least_hashes(found: np.ndarray, n: int = HASHES) -> np.ndarray:
-    out = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+def fingerprint(found: np.ndarray, n: int = WORDS) -> np.ndarray:
+    """SimHash of a set of shingle hashes: a bit is 1 if it is set in over half of the hashes that each of n words makes of them."""
+    counts = np.zeros(64 * n, np.int64)
     for k in range(0, len(found), AT_ONCE):
-        h = found[k : k + AT_ONCE, None] * FACTOR[:n] + PLUS[:n]
-        h ^= h >> np.uint64(32)
-        np.minimum(out, h.min(0), out=out)
-    return out
+        h = found[k : k + AT_ONCE, None] + PLUS[:n]
+        h = (h ^ (h >> np.uint64(30))) * MIX[0]
+        h = (h ^ (h >> np.uint64(27))) * MIX[1]
+        h ^= h >> np.uint64(31)
+        counts += np.unpackbits(h.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(found), bitorder="little").view(np.uint64)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -67,52 +83,149 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def cells_of(least: np.ndarray) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(least[k : k + STEP].tobytes(), k) for k in range(0, HASHES, STEP)], np.uint64)
+def cells_of(fp: np.ndarray) -> np.ndarray:
+    """The cells of fingerprints (a row each): the sub-grid's number and AXES axes of the embedding."""
+    bits = 2 * AXES
+    own = unary(fp[:, :WORDS])[:, :, None] >> (np.arange(5) * bits).astype(np.uint64) & np.uint64((1 << bits) - 1)
+    return own.reshape(len(fp), GRIDS).astype(np.int32) + (np.arange(GRIDS) << bits).astype(np.int32)
+
+
+def _apart_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits, over the words in the last axis."""
+    out = np.bitwise_count(a[..., 0] ^ b[..., 0]).astype(np.uint16)
+    for w in range(1, a.shape[-1]):
+        out += np.bitwise_count(a[..., w] ^ b[..., w])
+    return out
+
 
+def _close(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the pairs of a and b that differ in FIRST_BITS bits of the first words at most: Manhattan distance of the
+    embeddings first, which is never more, then the exact distance."""
+    a, b = a[:, :FIRST], b[:, :FIRST]
+    i, j = np.nonzero(_apart_bits(unary(a)[:, None], unary(b)[None, :]) <= FIRST_BITS)
+    near = _apart_bits(a[i], b[j]) <= FIRST_BITS
+    return i[near], j[near]
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether pairs of long fingerprints, each followed by its number of shingles, may be links: by those numbers, by the Manhattan
+    distance, then by the exact distance."""
+    less, more = np.minimum(a[:, LONG], b[:, LONG]), np.maximum(a[:, LONG], b[:, LONG])
+    out = less >= SIMILAR * more
+    for embedded in (unary, lambda x: x):
+        i = np.flatnonzero(out)
+        out[i] = _apart_bits(embedded(a[i, :LONG]), embedded(b[i, :LONG])) <= MOST_BITS + MORE_BITS // less[i]
+    return out
+
+
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes, cells = [], []
+        nodes, fps = [], []
         for text in batch.column(2):
             found = shingles(text.as_py())
             nodes.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
-            cells.append(cells_of(least_hashes(found)))
-        flat = np.concatenate(cells or [np.zeros(0, np.uint64)]).view(np.int64)
-        cells = pa.ListArray.from_arrays(pa.array(np.arange(len(cells) + 1) * (HASHES // STEP), pa.int32()), pa.array(flat))
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), cells], ["number", "id", "node", "cells"])
+            fps.append(fingerprint(found).tobytes())
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(fps, pa.binary())], ["number", "id", "node", "fp"])
+
+
+def _whole(column: pa.Array, n: int = LONG + 1) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, n)
+
+
+def _emit_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each cell of each node, with the first words of its fingerprint."""
+    for batch in (x.slice(k, 512) for x in batches for k in range(0, x.num_rows, 512)):
+        node, fp = batch.column(0).to_numpy(), _whole(batch.column(1), WORDS)
+        words = [pa.array(np.repeat(fp[:, w], GRIDS).view(np.int64)) for w in range(FIRST)]
+        yield pa.record_batch([pa.array(cells_of(fp).ravel()), pa.array(np.repeat(node, GRIDS)), *words], ["cell", "node", "a", "b"])
+
+
+def _meets(own: np.ndarray, others: np.ndarray, among: bool) -> np.ndarray:
+    """Which of own have company in others (among: others is own, and a row is no company to itself)."""
+    found = np.zeros(len(own), bool)
+    for k in range(0, len(own), 64):
+        for m in range(k if among else 0, len(others), 1024):
+            i, j = _close(own[k : k + 64], others[m : m + 1024])
+            i, j = i + k, j + m
+            if among:
+                i, j = (x[i < j] for x in (i, j))
+                found[j] = True
+            found[i] = True
+    return found
+
+
+def _dealt(rows: DataFrame, most: int) -> DataFrame:
+    """rows (cell, ...) dealt by cell, then sorted by cell, block and role, which come last. Cells of more than `most` rows are cut
+    into blocks: a row has role 0 in its own block and 1 in the others, elsewhere all are in one block with role 0."""
+    counts = rows.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    crowded = written(counts.select("cell", F.ceil(F.col("n") / most).cast("int").alias("blocks")), "crowded")
+    if crowded.isEmpty():
+        dealt = rows.select(*rows.columns, F.lit(0).alias("block"), F.lit(0).alias("role"))
+    else:
+        both = rows.join(broadcast_if_small(crowded, 100_000), "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        dealt = both.select(*rows.columns, own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        dealt = dealt.select(*rows.columns, "block", (F.col("block") != F.col("own")).cast("int").alias("role"))
+    return dealt.repartition("cell", "block").sortWithinPartitions("cell", "block", "role")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], int, pa.RecordBatch]]:
+    """(cell, block), role and rows of the stretches of what _dealt has sorted."""
+    for batch in batches:
+        cell, block, role = (batch.column(c).to_numpy() for c in ("cell", "block", "role"))
+        cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (block[1:] != block[:-1]) | (role[1:] != role[:-1])) + 1
+        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cell)], strict=True):
+            if i < j:
+                yield (int(cell[i]), int(block[i])), int(role[i]), batch.slice(i, j - i)
+
 
+def _company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows (cell, node, a, b) of a block those that are close to any other one of their cell."""
+    place, own, met = None, [], None
 
-def packed(found: np.ndarray) -> bytes:
-    """The sketch of a set of shingle hashes, and 32 bits of each of its cells."""
-    least = least_hashes(found, WIDE)
-    low = (least & np.uint64(15)).astype(np.uint8)
-    return (low[::2] << 4 | low[1::2]).tobytes() + cells_of(least).astype(np.uint32).tobytes()
+    def among() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        node, fp = (np.concatenate(x) for x in zip(*own, strict=True))
+        return node, fp, _meets(fp, fp, True)
 
+    def company() -> pa.RecordBatch:
+        node, _, found = met or among()
+        return pa.record_batch([pa.array(np.full(int(found.sum()), place[0], np.int32)), pa.array(node[found])], ["cell", "node"])
 
-def _places(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Sketches, a byte for each place, and cells."""
-    whole = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDE // 2 + HASHES // STEP * 4)
-    two = whole[:, : WIDE // 2]
-    return np.stack([two >> 4, two & 15], 2).reshape(-1, WIDE), np.ascontiguousarray(whole[:, WIDE // 2 :]).view(np.uint32)
+    for here, role, rows in _runs(batches):
+        if place != here:
+            if own:
+                yield company()
+            place, own, met = here, [], None
+        fp = np.stack([rows.column(c).to_numpy() for c in ("a", "b")], 1).view(np.uint64)
+        if role == 0:
+            own.append((rows.column("node").to_numpy(), fp))
+        elif own:  # blocks are dealt by a hash, so one may have no node
+            met = met or among()
+            met[2][:] |= _meets(met[1], fp, False)
+    if own:
+        yield company()
+
+
+def _with_company(nodes: DataFrame) -> DataFrame:
+    """(cell, node) for the nodes (node, fp) that are close to another one of a cell."""
+    rows = nodes.select("node", "fp").mapInArrow(_emit_cells, "cell int, node long, a long, b long")
+    return _dealt(rows, CROWDED).mapInArrow(_company, "cell int, node long")
 
 
 def _first_shared(cell: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Whether a cell is the first that each of the pairs shares."""
-    return one[np.arange(len(one)), (one == other).argmax(1)] == cell.astype(np.int64).view(np.uint64).astype(np.uint32)
+    return one[np.arange(len(one)), (one == other).argmax(1)] == cell
 
 
 def _pairs(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
 
 
-def _equal(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    return np.count_nonzero(one == other, axis=-1)
-
+def _first_meetings(node: np.ndarray, fp: np.ndarray, run: np.ndarray) -> Iterator[pa.RecordBatch]:
+    cells = cells_of(fp)
 
-def _first_meetings(node: np.ndarray, sketch: np.ndarray, cells: np.ndarray, run: np.ndarray) -> Iterator[pa.RecordBatch]:
     def met(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        a, b = (x[_equal(sketch[a], sketch[b]) >= LEAST] for x in (a, b))
+        a, b = (x[_alike(fp[a], fp[b])] for x in (a, b))
         a, b = (x[_first_shared(run[a], cells[a], cells[b])] for x in (a, b))
         return _pairs(node[a], node[b])
 
@@ -122,15 +235,15 @@ def _first_meetings(node: np.ndarray, sketch: np.ndarray, cells: np.ndarray, run
     start = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
     for i, n in zip(start.tolist(), np.diff(np.r_[start, len(run)]).tolist(), strict=True):
         if n > NEXT + 1:
-            own = sketch[i : i + n]
-            common = np.bincount((own + np.arange(WIDE) * 16).ravel(), minlength=16 * WIDE).reshape(WIDE, 16).argmax(1)
-            middle = i + int(_equal(own, common).argmax())
+            own = np.ascontiguousarray(fp[i : i + n, :WORDS])
+            common = np.packbits(np.unpackbits(own.view(np.uint8), axis=1).sum(0, dtype=np.int32) * 2 > n).view(np.uint64)
+            middle = i + int(_apart_bits(own, common).argmin())
             others = np.setdiff1d(np.arange(i, i + n), [middle])
             yield met(np.repeat(middle, len(others)), others)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """cell, node, sketch, sorted. Of every cell, nodes at most NEXT rows apart, and all with the one in their middle; a run that
+    """cell, node, fp, sorted. Of every cell, nodes at most NEXT rows apart, and all with the one in their middle; a run that
     goes over a batch's end is held up to PIECE rows."""
     held: list[pa.RecordBatch] = []
     for batch in (x.slice(k, PIECE) for x in batches for k in range(0, x.num_rows, PIECE)):
@@ -139,47 +252,53 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.append(batch.slice(0, last) if last else batch)
         if last or sum(x.num_rows for x in held) >= PIECE:
             table = pa.Table.from_batches(held).combine_chunks()
-            yield from _first_meetings(table["node"].to_numpy(), *_places(table["sketch"]), table["cell"].to_numpy())
+            yield from _first_meetings(table["node"].to_numpy(), _whole(table["fp"]), table["cell"].to_numpy())
             held = [batch.slice(last)] if last else []
     if held:
         table = pa.Table.from_batches(held).combine_chunks()
-        yield from _first_meetings(table["node"].to_numpy(), *_places(table["sketch"]), table["cell"].to_numpy())
+        yield from _first_meetings(table["node"].to_numpy(), _whole(table["fp"]), table["cell"].to_numpy())
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """cell, block, role, node, sketch, label, sorted. The nodes of a block (role 0) and all nodes of their cell (role 1), if their
-    labels differ."""
-    place, own = None, []
-    for batch in batches:
-        cell, block, role, node, label = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "block", "role", "node", "label"))
-        sketch, cells = _places(batch.column("sketch"))
-        cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (block[1:] != block[:-1]) | (role[1:] != role[:-1])) + 1
-        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cell)], strict=True):
-            if i == j:
-                continue
-            if place != (here := (cell[i], block[i])):
-                place, own = here, []
-            if role[i] == 0:
-                own.append((node[i:j], sketch[i:j], label[i:j], cells[i:j]))
-                continue
-            if not own:  # blocks are dealt by a hash, so one may have no node
-                continue
-            mine, places, labels, theirs = (np.concatenate(x) for x in zip(*own, strict=True))
-            own = [(mine, places, labels, theirs)]
-            for k in range(0, len(mine), 64):
-                for m in range(i, j, 1024):
-                    end = min(j, m + 1024)
-                    differ = labels[k : k + 64, None] != label[None, m:end]
-                    a, b = np.nonzero(differ & (_equal(places[k : k + 64, None], sketch[None, m:end]) >= LEAST))
-                    a, b = k + a, m + b
-                    first = _first_shared(cell[b], theirs[a], cells[b])
-                    yield _pairs(mine[a[first]], node[b[first]])
+    """The nodes (cell, node, fp, label) of a block and all nodes of their cell, if they may be links and their labels differ."""
+    def met(one: list[np.ndarray], other: list[np.ndarray], among: bool) -> Iterator[pa.RecordBatch]:
+        (cell, node, fp, label), (_, nodes, fps, labels) = one, other
+        for k in range(0, len(node), 64):
+            for m in range(k if among else 0, len(nodes), 1024):
+                i, j = _close(fp[k : k + 64], fps[m : m + 1024])
+                i, j = i + k, j + m
+                apart = (label[i] != labels[j]) & (i < j if among else True)
+                i, j = i[apart], j[apart]
+                i, j = (x[_alike(fp[i], fps[j])] for x in (i, j))
+                if len(i):
+                    first = _first_shared(cell[i], cells_of(fp[i]), cells_of(fps[j]))
+                    yield _pairs(node[i[first]], nodes[j[first]])
+
+    place, own, whole = None, [], None
+    for here, role, rows in _runs(batches):
+        if place != here:
+            if own and whole is None:
+                whole = [np.concatenate(x) for x in zip(*own, strict=True)]
+                yield from met(whole, whole, True)
+            place, own, whole = here, [], None
+        now = [rows.column("cell").to_numpy(), rows.column("node").to_numpy(), _whole(rows.column("fp")), rows.column("label").to_numpy()]
+        if role == 0:
+            own.append(now)
+        elif own:
+            if whole is None:
+                whole = [np.concatenate(x) for x in zip(*own, strict=True)]
+                yield from met(whole, whole, True)
+            yield from met(whole, now, False)
+    if own and whole is None:
+        whole = [np.concatenate(x) for x in zip(*own, strict=True)]
+        yield from met(whole, whole, True)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [shingles(t.as_py()) for t in batch.column(1)]
-        yield pa.record_batch([batch.column(0), pa.array(map(packed, found), pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], ["node", "sketch", "found"])
+        fps = [fingerprint(x, LONG).tobytes() + np.uint64(len(x)).tobytes() for x in found]
+        yield pa.record_batch([batch.column(0), pa.array(fps, pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], ["node", "fp", "found"])
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,19 +315,6 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(_links, "u long, v long"), "links-checked")
 
 
-def _blocks_apart(labelled: DataFrame) -> DataFrame:
-    """Rows for _apart: of every cell that holds several components."""
-    counts = labelled.groupBy("cell", "label").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("cell").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("labels")).filter("labels > 1")
-    mixed = mixed.select("cell", F.col("most.label").alias("main"), F.ceil((F.col("n") - F.col("most.n")) / OUTSIDE).cast("int").alias("blocks"))
-    rows = labelled.join(mixed, "cell")
-    of = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    own = rows.filter("label <> main").select("cell", of.alias("block"), F.lit(0).alias("role"), "node", "sketch", "label")
-    block = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
-    every = rows.select("cell", F.explode(block).alias("block"), F.lit(1).alias("role"), "node", "sketch", "label")
-    return own.unionByName(every).repartition("cell", "block").sortWithinPartitions("cell", "block", "role")
-
-
 def near_classes(docs: DataFrame, number: str, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Rows (number, id, node) of a written table and the roots (node, root) of nodes that have links, both written; what else was
     written on the way is deleted."""
@@ -219,19 +325,20 @@ def near_classes(docs: DataFrame, number: str, doc_id: str, text: str) -> tuple[
         made.append(written(df, label))
         return made[-1]
 
-    every = made_of(docs.select(number, doc_id, text).mapInArrow(_cells, f"number long, id {id_type}, node long, cells array<long>"), "cells")
-    nodes = made_of(every.groupBy("node").agg(F.min("number").alias("number"), F.first("cells").alias("cells")), "nodes")
-    cells = made_of(nodes.select(F.explode("cells").alias("cell"), "node"), "node-cells")
-    shared = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1").select("cell")
-    near = made_of(cells.join(shared, "cell", "left_semi"), "near")
+    every = made_of(docs.select(number, doc_id, text).mapInArrow(_fingerprints, f"number long, id {id_type}, node long, fp binary"), "fingerprints")
+    nodes = made_of(every.groupBy("node").agg(F.min("number").alias("number"), F.first("fp").alias("fp")), "nodes")
+    near = made_of(_with_company(nodes), "near")
     some = nodes.join(near.select("node").distinct(), "node", "left_semi").select("node", "number")
     texts = some.join(docs.select(F.col(number).alias("number"), F.col(text).alias("text")), "number").select("node", "text")
-    sets = made_of(texts.mapInArrow(_sets, "node long, sketch binary, found binary"), "sets")
-    met = made_of(near.join(sets.select("node", "sketch"), "node").select("cell", "node", "sketch"), "met")
-    first = _checked(met.repartition("cell").sortWithinPartitions("cell", "sketch").mapInArrow(_neighbours, "u long, v long"), sets)
+    sets = made_of(texts.mapInArrow(_sets, "node long, fp binary, found binary"), "sets")
+    cells = near.groupBy("node").agg(F.collect_list("cell").alias("cells"))
+    met = made_of(sets.select("node", "fp").join(cells, "node"), "met")
+    rows = met.select(F.explode("cells").alias("cell"), "node", "fp")
+    first = _checked(rows.repartition("cell").sortWithinPartitions("cell", "fp").mapInArrow(_neighbours, "u long, v long"), sets)
     labels = made_of(connected_components(first), "labels")
-    labelled = made_of(met.join(labels, met.node == labels.node, "left").select("cell", met.node, "sketch", F.coalesce("root", met.node).alias("label")), "labelled")
-    second = _checked(_blocks_apart(labelled).mapInArrow(_apart, "u long, v long"), sets)
+    labelled = made_of(met.join(labels, met.node == labels.node, "left").select(met.node, "fp", "cells", F.coalesce("root", met.node).alias("label")), "labelled")
+    rows = labelled.select(F.explode("cells").alias("cell"), "node", "fp", "label")
+    second = _checked(_dealt(rows, OUTSIDE).mapInArrow(_apart, "u long, v long"), sets)
     roots = written(connected_components(first.unionByName(second)), "roots")
     rows = written(every.select("number", "id", "node"), "rows")
     for df in made:

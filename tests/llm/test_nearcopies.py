@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline as C
 from strataforge.llm import nearcopies as N
 
@@ -67,3 +69,53 @@ def test_ids_that_repeat_do_not_join_texts(spark):
     docs = spark.createDataFrame([(1, "one two three four five six"), (1, "alpha beta gamma delta epsilon zeta"), (None, None), (2, " ")], "doc_id long, text string")
     assert sorted((r.doc_id, r.text) for r in N.keep_one_per_class(docs).collect()) == [(1, "alpha beta gamma delta epsilon zeta"), (1, "one two three four five six"), (2, " ")]
     assert N.keep_one_per_class(docs.limit(0)).count() == 0
+
+
+def test_fingerprints_are_simhash_and_their_cells_are_grids_of_the_embedding():
+    rng = np.random.default_rng(5)
+    for size in (1, 2, 7, 300, 700):
+        found = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        words = np.stack([N.fingerprint(found[k : k + 1], N.LONG) for k in range(size)])  # of one shingle: the bits that it votes for
+        bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").astype(int)
+        want = 2 * bits.sum(0) > size
+        assert N.fingerprint(found, N.LONG).tobytes() == np.packbits(want, bitorder="little").tobytes()
+        assert (N.fingerprint(found) == N.fingerprint(found, N.LONG)[: N.WORDS]).all()
+
+    fps = rng.integers(0, 1 << 63, (50, N.WORDS)).astype(np.uint64)
+    axes = np.unpackbits(fps.view(np.uint8), axis=1, bitorder="little").reshape(50, N.WORDS, 32, 2).sum(-1)  # bit counts of the segments
+    cells = N.cells_of(fps)
+    assert cells.shape == (50, N.GRIDS) and len({*cells[0].tolist()}) == N.GRIDS
+    for grid in range(N.GRIDS):
+        own = axes[:, grid // 5, grid % 5 * N.AXES :][:, : N.AXES]
+        assert ((cells[:, None, grid] == cells[None, :, grid]) == (own[:, None] == own[None]).all(-1)).all()
+
+    a, b = rng.integers(0, 1 << 63, (2, 60, N.FIRST)).astype(np.uint64)
+    b[:30] = a[:30] ^ (np.uint64(1) << rng.integers(0, 64, (30, N.FIRST)).astype(np.uint64))
+    exact = np.bitwise_count(a[:, None] ^ b[None]).sum(-1) <= N.FIRST_BITS
+    assert {*zip(*(x.tolist() for x in N._close(a, b)), strict=True)} == {*zip(*(x.tolist() for x in np.nonzero(exact)), strict=True)}
+
+
+def test_pairs_at_the_threshold_meet():
+    """500 pairs at Jaccard 0.8 exactly, of sets of 16 to 250 shingles: all share a cell and pass both distances."""
+    rng = np.random.default_rng(6)
+    for k in range(500):
+        unit = rng.integers(4, 50)
+        found = rng.integers(0, 1 << 63, 5 * unit).astype(np.uint64)
+        one, other = (found[: 4 * unit], found) if k % 2 else (found[: 9 * (unit // 2)], found[unit // 2 : 10 * (unit // 2)])
+        assert N.jaccard(np.sort(one), np.sort(other)) == 0.8
+        fps = np.stack([np.r_[N.fingerprint(np.sort(x), N.LONG), np.uint64(len(x))] for x in (one, other)])
+        assert len(N._close(fps[:1], fps[1:])[0]) == 1 and N._alike(fps[:1], fps[1:]).all()
+        assert (N.cells_of(fps[:1]) == N.cells_of(fps[1:])).any()
+
+
+def test_rows_meet_by_simhash_only_and_crowded_cells_are_cut(spark, monkeypatch):
+    rng = random.Random(12)
+    words = [f"g{rng.randrange(3000)}" for _ in range(140)]
+    rows = [(i, edited(words, rng.randrange(1, 8), rng)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute(rows)
+    assert 5 < len(want) < 115
+    monkeypatch.setattr(N, "CROWDED", 10)
+    assert {r.doc_id for r in N.keep_one_per_class(docs).collect()} == want
+    monkeypatch.setattr(N, "FIRST_BITS", -1)
+    assert N.keep_one_per_class(docs).count() == len({t for _, t in rows})
