@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataforge.llm import decontaminate, htmltext, langid, lm, packing, quality_model, quality_rules, simhash, urlfilter, warc
+from strataforge.llm import decontaminate, fim, htmltext, langid, lm, packing, quality_model, quality_rules, simhash, urlfilter, warc
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.document_verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": op8_simhash,
         "op9_warc": op9_warc,
         "op10_quality_rules": op10_quality_rules,
+        "op11_fill_in_middle": op11_fill_in_middle,
     }
 
 
@@ -69,4 +74,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_url_filters": urlfilter.page_verdicts_sql(),
         "op9_warc": warc.page_records_sql(),
         "op10_quality_rules": quality_rules.document_verdicts_sql(),
+        "op11_fill_in_middle": fim.digests_sql(),
     }
