@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataforge.llm import decontaminate, fim, htmltext, langid, lm, packing, quality_model, quality_rules, simhash, urlfilter, warc
+from strataforge.llm import decontaminate, fim, htmltext, langid, lm, packing, quality_model, quality_rules, repair, simhash, urlfilter, warc
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damaged_and_repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -66,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": op9_warc,
         "op10_quality_rules": op10_quality_rules,
         "op11_fill_in_middle": op11_fill_in_middle,
+        "op12_conversation_repair": op12_conversation_repair,
     }
 
 
@@ -75,4 +80,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_warc": warc.page_records_sql(),
         "op10_quality_rules": quality_rules.document_verdicts_sql(),
         "op11_fill_in_middle": fim.digests_sql(),
+        "op12_conversation_repair": repair.damaged_and_repaired_sql(),
     }

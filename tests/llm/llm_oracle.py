@@ -3,7 +3,7 @@
 import duckdb
 
 
-def sql_rows(sql, sf, tables=("documents", "pages", "benchmark", "labels")):
+def sql_rows(sql, sf, tables=("documents", "pages", "benchmark", "labels", "conversations")):
     con = duckdb.connect()
     for t in tables:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
