@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataforge.llm import decontaminate, fim, htmltext, langid, lm, packing, quality_model, quality_rules, repair, simhash, urlfilter, warc
+from strataforge.llm import decontaminate, fim, htmltext, langid, lm, packing, pieces, quality_model, quality_rules, repair, simhash, urlfilter, warc
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.damaged_and_repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_quality_rules": op10_quality_rules,
         "op11_fill_in_middle": op11_fill_in_middle,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_sentencepiece": op13_sentencepiece,
     }
 
 
