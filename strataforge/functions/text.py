@@ -102,7 +102,8 @@ def parse_int(text: Column, default: int = 0) -> Column:
 def chapter_key(chapter: Column) -> Column:
     """`7` and `07` become ch07, anything else its slug; one key for a chapter in every layer."""
     text = F.trim(chapter.cast("string"))
-    return F.when(text.rlike("^\\d+$"), F.concat(F.lit("ch"), F.lpad(text.cast("int").cast("string"), 2, "0"))).otherwise(slug(text))
+    number = text.cast("int").cast("string")
+    return F.when(text.rlike("^\\d+$"), F.concat(F.lit("ch"), F.lpad(number, F.greatest(F.lit(2), F.length(number)), F.lit("0")))).otherwise(slug(text))
 
 
 def json_scalar(text: Column) -> Column:

@@ -25,14 +25,22 @@ def change_summary(diff: DataFrame) -> DataFrame:
     return diff.agg(F.count_if(F.col("status") != "removed").alias("total"), n("new").alias("new"), n("removed").alias("removed"), n("modified").alias("modified"), n("unchanged").alias("unchanged"), (changed > 0).alias("changed"))
 
 
-def directory_checksum(files: DataFrame, group: str | None = None, path: str = "rel_path", digest: str = "sha256") -> DataFrame:
-    """One checksum over sorted paths and digests: equal exactly if the sets of files are. Two levels, so that a folder of any
-    size is folded by 256 groups first."""
+#: Hex digits of a path's hash at each level of the checksum tree, from its leaves to its root.
+LEVELS = (6, 4, 2, 0)
+
+
+def directory_checksum(files: DataFrame, group: str | None = None, path: str = "rel_path", digest: str = "sha256", levels: tuple[int, ...] = LEVELS) -> DataFrame:
+    """One checksum over paths and digests: equal exactly if the sets of files are. A tree by the hash of the path: lines of the files
+    whose hashes begin alike fold into a leaf, leaves into their parents, level by level, up to the root. A node has 256 children
+    at most, and of ten thousand million files a leaf has about 600."""
     keys = [group] if group else []
-    line = lambda p, d: F.concat(p, F.lit(":"), d)
     fold = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "\n"), 256)
-    parts = files.groupBy(*keys, F.substring(F.sha2(F.col(path).cast("string"), 256), 1, 2).alias("part")).agg(fold(line(F.col(path).cast("string"), F.col(digest))).alias("digest"), F.count("*").alias("n"))
-    return parts.groupBy(*keys).agg(F.sum("n").alias("files"), fold(line(F.col("part"), F.col("digest"))).alias("checksum"))
+    name = F.col(path).cast("string")
+    now = files.select(*keys, F.sha2(name, 256).alias("node"), F.concat(name, F.lit(":"), digest).alias("line"), F.lit(1).cast("long").alias("files"))
+    for digits in levels:
+        now = now.groupBy(*keys, F.substring("node", 1, digits).alias("node")).agg(fold("line").alias("checksum"), F.sum("files").alias("files"))
+        now = now.select(*keys, "node", F.concat("node", F.lit(":"), "checksum").alias("line"), "files", "checksum")
+    return now.select(*keys, "files", "checksum")
 
 
 def write_status(old: DataFrame, new: DataFrame, key: str, digest: str, force: bool = True) -> DataFrame:

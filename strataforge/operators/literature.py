@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,50 +49,47 @@ def rank(scored: DataFrame, least: float = 0.4, most: int = 20, key: str = "pape
 
 
 def short_title(title: Column) -> Column:
-    return F.regexp_replace(F.substring(F.lower(title), 1, 80), "(?U)^\\s+|\\s+$", "")
+    return F.substring(F.lower(F.regexp_replace(title, "(?U)^\\s+|\\s+$", "")), 1, 80)
+
+
+def paper_keys(doi: str = "doi", title: str = "title") -> Column:
+    """What a paper shares with its doubles: DOI and title, in lower case and without blanks around; empty ones are none."""
+    clean = F.lower(F.regexp_replace(F.col(doi), "(?U)^\\s+|\\s+$", ""))
+    named = lambda kind, value: F.when(value != "", F.concat(F.lit(kind), value))
+    return F.array_compact(F.array(named("d", clean), named("t", short_title(F.col(title)))))
 
 
 def dedup_greedy(papers: DataFrame, group: str = "topic", order: str = "arrival") -> DataFrame:
-    """In order of arrival a paper stays unless its DOI or title (80 characters, lower case) stayed before; dropped papers
-    register nothing. The rule is sequential only among papers that share keys, so papers are first cut into components of
-    shared keys within a group (see key_components), and the components of a task are walked one after the other, in a stream.
-    Papers are written once and numbered; all rounds and walks see their numbers and keys alone."""
-    rows = kept(papers.withColumn("_row", F.monotonically_increasing_id()))
-    keys = rows.select("_row", group, order, "doi", short_title(F.col("title")).alias("title"))
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, seen = None, set()
-        for batch in batches:
-            keep = []
-            for row, where, component, doi, title in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (where, component) != now:
-                    now, seen = (where, component), set()
-                own = {k for k in (doi and f"d{doi}", title and f"t{title}") if k}
-                if not own & seen:
-                    keep.append(row)
-                    seen |= own
-            yield pa.record_batch([pa.array(keep, pa.int64())], ["_row"])
-
-    labelled = key_components(keys, group, order)
-    single = labelled.filter("members = 1").select("_row")
-    sorted_rows = labelled.filter("members > 1").repartition(group, "component").sortWithinPartitions(group, "component", order, "_row")
-    several = sorted_rows.select("_row", group, "component", "doi", "title").mapInArrow(walk, "_row long")
-    return rows.join(single.unionByName(several), "_row", "left_semi").drop("_row")
-
-
-def key_components(papers: DataFrame, group: str, order: str, rounds: int = 30) -> DataFrame:
-    """Labels papers of a group that share a DOI or a title, also through others, with the least arrival among them."""
-    short = F.nullif(short_title(F.col("title")), F.lit(""))
-    now = papers.withColumn("k_doi", F.nullif(F.col("doi"), F.lit(""))).withColumn("k_title", short).withColumn("component", F.col(order))
-    own = F.concat(F.lit("\0"), F.col(order).cast("string"))  # papers without a key share none, and make no large group
-    by = lambda k: F.min("component").over(Window.partitionBy(group, F.coalesce(F.col(k), own)))
+    """In order of arrival a paper stays unless its DOI or title (80 characters) stayed before; dropped papers register nothing."""
+    return first_wins(papers, paper_keys(), [group], [order])
+
+
+def first_wins(rows: DataFrame, keys: Column, groups: list[str], order: list[str], rounds: int = 1000) -> DataFrame:
+    """In order, a row stays unless one of its keys belongs to a row of its group that stayed before it.
+
+    Each round decides all rows whose turn does not depend on an undecided one: a row that comes first on every key it has
+    stays, and rows that share a key with it go. Finding the first of a key is an aggregation that combines in the tasks, so a key
+    that most rows share costs no more than another; a row that is first on all its keys is a second one, by row. The keys of
+    rows that stay are written before they are joined, so Spark can split a hot key. Decided rows leave, and a round's state is written.
+    The rounds needed are the longest chain of rows that each wait for another; raises if `rounds` do not do."""
+    numbered = kept(rows.withColumn("_row", F.monotonically_increasing_id()))
+    at = F.struct(*order, "_row")
+    held = numbered.select("_row", at.alias("at"), F.struct(*groups).alias("where"), F.array_distinct(keys).alias("keys"))
+    done = [held.filter(F.size("keys") == 0).select("_row")]
+    left = kept(held.select("_row", "at", "where", F.size("keys").alias("n"), F.explode("keys").alias("key")))
     for _ in range(rounds):
-        after = kept(now.withColumn("least", F.least(F.col("component"), by("k_doi"), by("k_title"))))
-        moved = not after.filter("least < component").limit(1).isEmpty()
-        now = after.withColumn("component", F.col("least")).drop("least")
-        if not moved:
-            return now.drop("k_doi", "k_title").withColumn("members", F.count("*").over(Window.partitionBy(group, "component")))
-    raise RuntimeError("papers' shared keys did not settle")
+        if left.isEmpty():
+            break
+        first = left.groupBy("where", "key").agg(F.min(F.struct("at", "n")).alias("f")).select("where", "key", F.col("f.at._row").alias("_row"), "f.n")
+        first = kept(first)
+        stays = kept(first.groupBy("_row", "n").agg(F.count("*").alias("wins")).filter("wins = n").select("_row"))
+        done.append(stays)
+        taken = kept(first.join(stays, "_row", "left_semi").select("where", "key"))
+        gone = left.join(taken, ["where", "key"], "left_semi").select("_row").distinct()
+        left = kept(left.join(gone, "_row", "left_anti"))
+    else:
+        raise RuntimeError(f"rows are not decided after {rounds} rounds")
+    return numbered.join(reduce(DataFrame.unionByName, done), "_row", "left_semi").drop("_row")
 
 
 def has_topic(topics: Column, topic: str) -> Column:

@@ -26,7 +26,11 @@ def shared_folder(df: DataFrame) -> str:
     return _own[app]
 
 
+def new_folder(df: DataFrame, label: str = "round") -> str:
+    return f"{shared_folder(df)}/{label}-{uuid.uuid4().hex}"
+
+
 def kept(df: DataFrame) -> DataFrame:
-    path = f"{shared_folder(df)}/round-{uuid.uuid4().hex}"
+    path = new_folder(df)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -111,17 +111,91 @@ def chapter_toc(chapters: DataFrame) -> DataFrame:
     return chapters.groupBy("document_id").agg(F.max("chapters_total").alias("chapters_total"), F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("toc"))
 
 
+#: What Spark's own planner leaves to Python: fences, quotes, lists, and line ends or blanks that only Python takes for such.
+NOT_PLAIN = "(?m)^[ \\t]*(?:```|~~~|>)|^\\s*(?:[-*+]|\\d+[.)])\\s+|[\\r\\x0B\\x0C\\x1C-\\x1F\\x85\\u2028\\u2029]"
+EDGES = "(?U)^\\s+|\\s+$"
+
+
+def plain_blocks(body: Column) -> Column:
+    """Headings, tables and paragraphs of a text as an array of (heading, table, text, n tokens, number); a heading has the number of
+    the block behind it. Lines that stand together make a block if they are of one kind; a heading is one alone."""
+    def kind(line: Column) -> Column:
+        def of(t: Column) -> Column:
+            return F.when(t == "", "").when(t.rlike("^#{1,6}\\s+"), "h").when(F.contains(t, F.lit("|")) & (F.length(t) > 2), "t").otherwise("p")
+
+        return F.transform(F.array(F.regexp_replace(line, EDGES, "")), of)[0]
+
+    def cut(lines: Column, kinds: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(lines))
+        at = lambda k: F.element_at(kinds, k)
+        before = lambda k: F.when(k > 1, F.element_at(kinds, F.greatest(k - 1, F.lit(1)))).otherwise("")
+        begins = F.filter(places, lambda k: (at(k) != "") & ((at(k) == "h") | (at(k) != before(k))))
+        after = F.filter(places, lambda k: (at(k) != "") & ((k == F.size(lines)) | (at(k) == "h") | (F.element_at(kinds, F.least(k + 1, F.size(lines))) != at(k)) | (F.element_at(kinds, F.least(k + 1, F.size(lines))) == "h")))
+        block = lambda i, j: F.struct((at(i) == "h").alias("heading"), (at(i) == "t").alias("table"), F.array_join(F.slice(lines, i, j - i + 1), "\n").alias("text"))
+        return F.zip_with(begins, after, block)
+
+    lines = F.split(body, "\n")
+    found = F.transform(F.array(F.struct(lines.alias("lines"), F.transform(lines, kind).alias("kinds"))), lambda x: cut(x["lines"], x["kinds"]))[0]
+    return F.transform(found, lambda b: F.struct(b["heading"].alias("heading"), b["table"].alias("table"), b["text"].alias("text"), token_count(b["text"]).alias("n")))
+
+
+def folded(blocks: Column, target: int, maximum: int) -> Column:
+    """Places behind the last block of each chunk. The state is the open chunk's tokens and first block, and starts anew when it closes:
+    at a heading that finds the target reached, before a block that would exceed the maximum, behind one that reaches the target."""
+    state = "struct<at:int,first:int,size:int,ends:array<int>>"
+    begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("first"), F.lit(0).alias("size"), F.array().cast("array<int>").alias("ends")).cast(state)
+
+    def add(s: Column, b: Column) -> Column:
+        shut = (s["at"] > s["first"]) & F.when(b["heading"], s["size"] >= target).otherwise(s["size"] + b["n"] > maximum)
+        size = F.when(shut, b["n"]).otherwise(s["size"] + b["n"])
+        reached = ~b["heading"] & (size >= target)
+        ends = F.concat(s["ends"], F.when(shut, F.array(s["at"])).otherwise(F.array().cast("array<int>")), F.when(reached, F.array(s["at"] + 1)).otherwise(F.array().cast("array<int>")))
+        first = F.when(reached, s["at"] + 1).when(shut, s["at"]).otherwise(s["first"])
+        return F.struct((s["at"] + 1).alias("at"), first.alias("first"), F.when(reached, F.lit(0)).otherwise(size).alias("size"), ends.alias("ends")).cast(state)
+
+    return F.aggregate(blocks, begin, add, lambda s: F.when(s["at"] > s["first"], F.concat(s["ends"], F.array(s["at"]))).otherwise(s["ends"]))
+
+
+def chunks_of_blocks(blocks: Column, ends: Column) -> Column:
+    """(content, token_count, paragraph_start, paragraph_end) of each chunk."""
+    numbers = lambda k: F.size(F.filter(F.slice(blocks, 1, k), lambda b: ~b["heading"]))
+
+    def chunk(end: Column, place: Column) -> Column:
+        start = F.when(place > 0, F.element_at(ends, F.greatest(place, F.lit(1)))).otherwise(0)
+        own = F.slice(blocks, start + 1, end - start)
+        text = F.regexp_replace(F.array_join(F.transform(own, lambda b: b["text"]), "\n\n"), EDGES, "")
+        last = numbers(end) + F.when(F.element_at(blocks, end)["heading"], 1).otherwise(0)
+        return F.struct(F.concat(text, F.lit("\n")).alias("content"), F.aggregate(own, F.lit(0), lambda n, b: n + b["n"]).alias("token_count"), (numbers(start) + 1).alias("paragraph_start"), last.alias("paragraph_end"))
+
+    return F.transform(ends, chunk)
+
+
 def plan_chunks(chapters: DataFrame, rules: textplan.Rules = textplan.Rules()) -> DataFrame:
-    """A row per chunk of each chapter (document_id, chapter, body and the chapter's other fields)."""
-    def plan(body: str | None) -> list[tuple]:
-        return [(n, c.content, c.tokens, c.start, c.end) for n, c in enumerate(textplan.plan_chunks(body or "", rules), 1)]
+    """A row per chunk of each chapter (document_id, chapter, body and the chapter's other fields).
+
+    Chapters of headings, tables and paragraphs within the maximum, which most are, are planned by expressions; only bodies of the
+    others go to Python, and come back as the same array of chunks."""
+    made = "array<struct<content:string,token_count:int,paragraph_start:int,paragraph_end:int>>"
+
+    @F.arrow_udf(made)
+    def planned_chunks(bodies: pa.Array) -> pa.Array:
+        rows = [None if b is None else [{"content": c.content, "token_count": c.tokens, "paragraph_start": c.start, "paragraph_end": c.end} for c in textplan.plan_chunks(b, rules)] for b in bodies.to_pylist()]
+        return pa.array(rows, pa.list_(pa.struct([("content", pa.string()), ("token_count", pa.int32()), ("paragraph_start", pa.int32()), ("paragraph_end", pa.int32())])))
 
-    made = "sequence int, content string, token_count int, paragraph_start int, paragraph_end int"
-    return chunk_fields(planned(chapters.drop("word_count", "preamble"), ["body"], plan, made, drop=("body",)))
+    body, kept = F.coalesce("body", F.lit("")), [c for c in chapters.columns if c not in ("word_count", "preamble", "body")]
+    rows = chapters.select(*kept, body.alias("body"))
+    plain = ~F.col("body").rlike(NOT_PLAIN) if rules.keep_headings and not rules.split_tables and not rules.parity else F.lit(False)
+    rows = rows.withColumn("_blocks", F.when(plain, plain_blocks(F.col("body"))))
+    rows = rows.withColumn("_blocks", F.when(~F.exists("_blocks", lambda b: ~b["heading"] & ~b["table"] & (b["n"] > rules.maximum)), F.col("_blocks")))
+    by_python = planned_chunks(F.when(F.col("_blocks").isNull(), F.col("body")))
+    own = F.transform(F.array(folded(F.col("_blocks"), rules.target, rules.maximum)), lambda ends: chunks_of_blocks(F.col("_blocks"), ends))[0]
+    found = rows.withColumn("_python", by_python).select(*kept, F.posexplode(F.when(F.col("_blocks").isNotNull(), own.cast(made)).otherwise(F.col("_python"))).alias("_at", "_chunk"))
+    return chunk_fields(found.select(*kept, (F.col("_at") + 1).alias("sequence"), "_chunk.*"))
 
 
 def chunk_id(document_id: Column, chapter_id: Column, sequence: Column) -> Column:
-    return F.concat_ws("_", F.lit("chunk"), document_id, chapter_id, F.lpad(sequence.cast("string"), 4, "0"))
+    number = sequence.cast("string")
+    return F.concat_ws("_", F.lit("chunk"), document_id, chapter_id, F.lpad(number, F.greatest(F.lit(4), F.length(number)), F.lit("0")))
 
 
 def chunk_fields(cut: DataFrame) -> DataFrame:
@@ -157,10 +231,10 @@ def build_evidence(chunks: DataFrame, text: Column | None = None, parity: bool =
     )
 
 
-def build_embeddings(evidence: DataFrame) -> DataFrame:
-    """One hash vector per evidence record, from its preview."""
+def build_embeddings(evidence: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
+    """One hash vector per evidence record, from its preview; kept: further columns of the evidence."""
     return evidence.select(
-        F.concat(F.lit("emb_"), nonempty("chunk_id", "evidence_id")).alias("embedding_id"), "chunk_id", "evidence_id", *[c for c in ("domain", "topic") if c in evidence.columns],
+        F.concat(F.lit("emb_"), nonempty("chunk_id", "evidence_id")).alias("embedding_id"), "chunk_id", "evidence_id", *kept, *[c for c in ("domain", "topic") if c in evidence.columns],
         F.lit(MODEL).alias("model_version"), hash_vector(F.coalesce("content_preview", F.lit(""))).alias("vector"), F.col("hash_sha256").alias("source_hash"),
     )
 
@@ -178,11 +252,11 @@ def chunk_stats(chunks: DataFrame) -> DataFrame:
     )
 
 
-def wiki_sections(evidence: DataFrame) -> DataFrame:
-    """The entries of topic pages as rows, a form that no topic outgrows."""
+def wiki_sections(evidence: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
+    """The entries of topic pages as rows, a form that no topic outgrows; kept: further columns of the evidence."""
     text = F.regexp_replace(F.coalesce("content_preview", F.lit("")), "(?U)^\\s+|\\s+$", "")
     lines = [F.concat(F.lit("## "), "evidence_id"), F.lit(""), *(F.concat(F.lit(f"- {c}: "), F.col(c).cast("string")) for c in ("chunk_id", "document_id", "chapter_id", "token_count")), F.lit(""), text, F.lit("")]
-    return evidence.select("topic", "evidence_id", F.concat_ws("\n", *lines).alias("section"))
+    return evidence.select("topic", "evidence_id", *kept, F.concat_ws("\n", *lines).alias("section"))
 
 
 def wiki_pages(evidence: DataFrame, domain: str) -> DataFrame:

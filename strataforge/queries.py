@@ -15,10 +15,12 @@ from strataforge.functions import papers as P
 from strataforge.functions import text as X
 from strataforge.functions.vectors import hash_vector
 from strataforge.operators import audit, cleanup, incremental, literature, retrieval, stages, textplan, validate, wikigraph
-from strataforge.operators.rounds import kept
-from strataforge.sources import files
+from strataforge.operators import boxes as boxes_of
+from strataforge.operators.rounds import kept, new_folder
+from strataforge.sources import files, sqlite
 from strataforge.sources.tables import spread, table
 from strataforge.streaming import events as E
+from strataforge.streaming import upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -188,6 +190,20 @@ def vector_topk(spark, d):
     return retrieval.top_k(scored_vectors(spark, d), 10, "vec_id")
 
 
+@query("""WITH q AS (SELECT embedding FROM embeddings WHERE vec_id = 0) SELECT 'emb_' || v.vec_id AS embedding_id, 'd' || v.label AS domain, round(list_cosine_similarity(v.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score
+FROM embeddings v, q WHERE v.label = 1 ORDER BY score DESC, embedding_id LIMIT 10""")
+def sqlite_search(spark, d):
+    """All vectors into a store of SQLite shards, then a search in one domain, which SQLite looks up."""
+    vectors = table(spark, d, "embeddings")
+    query_of = query_vector(vectors)
+    text = lambda name, c: F.concat(F.lit(name), F.col(c).cast("string"))
+    rows = vectors.select(text("emb_", "vec_id").alias("embedding_id"), text("c", "vec_id").alias("chunk_id"), text("e", "vec_id").alias("evidence_id"), text("d", "label").alias("domain"), F.col("embedding").cast("array<double>").alias("vector"))
+    path = new_folder(rows, "sqlite")
+    sqlite.write_vectors(rows, path, shards=8)
+    found = sqlite.read_vectors(spark, path, domain="d1").filter("vector is not null")
+    return retrieval.top_k(retrieval.score(found, query_of), 10, "embedding_id").select("embedding_id", "domain", "score")
+
+
 @query(f"SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id)::INT AS rank FROM ({SCORED}) QUALIFY rank <= 3")
 def vector_topk_by_label(spark, d):
     return retrieval.top_k_by(scored_vectors(spark, d), "label", 3, "vec_id")
@@ -272,6 +288,18 @@ def bfs_depth(spark, d):
     return wikigraph.expand(seeds, pages, 4)
 
 
+#: The same graph behind a queue that stops at 100 pages and 300 titles: its steps one after the other, as a recursion.
+@query("""WITH RECURSIVE q AS (SELECT [{'k': 1, 'd': 0, 'p': ''}, {'k': 5, 'd': 0, 'p': ''}] AS waiting, []::BIGINT[] AS seen, NULL::STRUCT(k BIGINT, d INTEGER, p VARCHAR) AS hit
+UNION ALL SELECT CASE WHEN hit IS NULL OR hit.d >= 9 THEN waiting[2:] ELSE (waiting[2:] || [{'k': 2 * x.k, 'd': x.d + 1, 'p': x.k::VARCHAR}, {'k': 2 * x.k + 1, 'd': x.d + 1, 'p': x.k::VARCHAR}])[:greatest(len(waiting) - 1, 300 - len(seen))] END, seen, hit
+FROM (SELECT waiting, waiting[1] AS x, CASE WHEN fresh THEN seen || [waiting[1].k] ELSE seen END AS seen, CASE WHEN fresh THEN waiting[1] END AS hit
+FROM (SELECT *, waiting[1].k <= (SELECT max(c_custkey) FROM customer) AND NOT list_contains(seen, waiting[1].k) AS fresh FROM q WHERE len(waiting) > 0 AND len(seen) < 100)))
+SELECT hit.k::VARCHAR AS title, hit.d AS depth, hit.p AS parent, len(seen) AS number FROM q WHERE hit IS NOT NULL""")
+def bounded_crawl(spark, d):
+    k = F.col("c_custkey")
+    pages = table(spark, d, "customer").select(k.cast("string").alias("title"), F.array((2 * k).cast("string"), (2 * k + 1).cast("string")).alias("links"), F.lit(False).alias("is_redirect"), F.lit(None).cast("string").alias("redirect_target"))
+    return wikigraph.crawl(spark.createDataFrame([("1", 0), ("5", 1)], "title string, pos long"), pages, 9, 100)
+
+
 @query("""WITH pages AS (SELECT c_custkey::VARCHAR AS title, c_mktsegment AS wikitext FROM customer WHERE c_custkey % 5 <> 0),
 articles AS (SELECT c_custkey::VARCHAR AS title, CASE WHEN c_custkey % 3 = 0 THEN 'old' ELSE c_mktsegment END AS text FROM customer)
 SELECT a.title, p.title AS canonical, CASE WHEN p.title IS NULL THEN 'missing' WHEN text = wikitext THEN 'unchanged' ELSE 'changed' END AS status FROM articles a LEFT JOIN pages p ON a.title = p.title""")
@@ -404,9 +432,11 @@ def write_status(spark, d):
     return incremental.write_status(*states(spark, d), "doc_id", "sha256").select("doc_id", "status")
 
 
-@query("""WITH p AS (SELECT source, sha256(doc_id::VARCHAR)[1:2] AS part, doc_id::VARCHAR || ':' || sha256(text) AS line FROM documents),
-q AS (SELECT source, part, count(*) AS n, sha256(string_agg(line, chr(10) ORDER BY line)) AS digest FROM p GROUP BY 1, 2)
-SELECT source, sum(n)::BIGINT AS files, sha256(string_agg(part || ':' || digest, chr(10) ORDER BY part)) AS checksum FROM q GROUP BY source""")
+@query("""WITH l0 AS (SELECT source, sha256(doc_id::VARCHAR) AS node, doc_id::VARCHAR || ':' || sha256(text) AS line, 1 AS n FROM documents),
+l1 AS (SELECT source, node[1:6] AS node, node[1:6] || ':' || sha256(string_agg(line, chr(10) ORDER BY line)) AS line, sum(n) AS n FROM l0 GROUP BY source, node[1:6]),
+l2 AS (SELECT source, node[1:4] AS node, node[1:4] || ':' || sha256(string_agg(line, chr(10) ORDER BY line)) AS line, sum(n) AS n FROM l1 GROUP BY source, node[1:4]),
+l3 AS (SELECT source, node[1:2] AS node, node[1:2] || ':' || sha256(string_agg(line, chr(10) ORDER BY line)) AS line, sum(n) AS n FROM l2 GROUP BY source, node[1:2])
+SELECT source, sum(n)::BIGINT AS files, sha256(string_agg(line, chr(10) ORDER BY line)) AS checksum FROM l3 GROUP BY source""")
 def directory_checksum(spark, d):
     files = table(spark, d, "documents").select("source", "doc_id", F.sha2("text", 256).alias("sha256"))
     return incremental.directory_checksum(files, "source", "doc_id")
@@ -528,28 +558,53 @@ def name_collisions(spark, d):
 # ---- audit
 
 
-@query(f"""WITH {EVIDENCE}, words AS (SELECT DISTINCT unnest(regexp_extract_all(string_agg(CASE WHEN document_id % 2 = 0 THEN evidence_id END, ' '), '[\\w.:-]+')) AS w FROM evidence),
-r AS (SELECT 's' || (document_id % 20) AS source_id, evidence_id IN (SELECT w FROM words) AS used FROM evidence)
-SELECT source_id, count(*) AS records, bool_or(used) AS integrated, false AS layer30, false AS layer10 FROM r GROUP BY source_id""")
+#: Records some of whose ids are empty, and pages that hold ids as they are, within longer ids, and within words.
+AUDIT = EVIDENCE + """, records AS (SELECT evidence_id, chunk_id, 'chap' || (document_id % 11) AS chapter_id, CASE WHEN document_id % 23 = 0 THEN '' ELSE 'doc:' || document_id END AS document_id,
+CASE WHEN document_id % 7 = 0 THEN ' ' ELSE 'src-' || (document_id % 20) || '-x' END AS source_id, document_id AS n FROM evidence),
+pages AS (SELECT '# x (' || evidence_id || ').' AS page FROM records WHERE n % 4 = 0 UNION ALL SELECT 'see doc:' || n || '7 and[' || chunk_id || '0' FROM records WHERE n % 5 = 0 UNION ALL SELECT 'is in achap' || (n % 3) || 'ter' FROM records WHERE n % 9 = 0),
+one AS (SELECT string_agg(page, chr(10)) AS whole FROM pages), ids AS (SELECT DISTINCT unnest([evidence_id, chunk_id, chapter_id, document_id, trim(source_id)]) AS id FROM records),
+found AS (SELECT id FROM ids, one WHERE id <> '' AND contains(whole, id)),
+flags AS (SELECT evidence_id, chunk_id, chapter_id, document_id, trim(source_id) AS source_id, coalesce(nullif(trim(source_id), ''), nullif(document_id, ''), evidence_id) AS source_key,
+evidence_id IN (FROM found) AS in_evidence_id, chunk_id IN (FROM found) AS in_chunk_id, chapter_id IN (FROM found) AS in_chapter_id, document_id IN (FROM found) AS in_document_id, trim(source_id) IN (FROM found) AS in_source_id FROM records),
+used AS (SELECT *, in_chunk_id AS layer30, in_chapter_id AS layer20, in_document_id OR in_source_id AS layer10, in_evidence_id OR in_chunk_id OR in_chapter_id OR in_document_id OR in_source_id AS integrated FROM flags),
+rollup_ AS (SELECT source_key, count(*) AS records, bool_or(integrated) AS integrated, bool_or(layer30) AS layer30, bool_or(layer20) AS layer20, bool_or(layer10) AS layer10 FROM used GROUP BY source_key)"""
+
+
+def audit_tables(spark, d):
+    n = F.col("n")
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+    records = stages.build_evidence(chunks_of(spark, d)).withColumn("n", F.col("document_id")).select(
+        "evidence_id", "chunk_id", text("chap", n % 11).alias("chapter_id"), F.when(n % 23 == 0, "").otherwise(text("doc:", n)).alias("document_id"), F.when(n % 7 == 0, " ").otherwise(text("src-", n % 20, "-x")).alias("source_id"), "n"
+    )
+    texts = [(4, text("# x (", F.col("evidence_id"), ").")), (5, text("see doc:", n, "7 and[", F.col("chunk_id"), "0")), (9, text("is in achap", n % 3, "ter"))]
+    pages = records.select(F.explode(F.array_compact(F.array(*(F.when(n % k == 0, t) for k, t in texts)))).alias("page"))
+    return records, pages
+
+
+@query(f"WITH {AUDIT} FROM used")
+def audit_records(spark, d):
+    return audit.integration(*audit_tables(spark, d))
+
+
+@query(f"WITH {AUDIT} FROM rollup_")
 def audit_rollup(spark, d):
     return audit.source_rollup(audit_records(spark, d))
 
 
-def audit_records(spark, d):
-    evidence = stages.build_evidence(chunks_of(spark, d)).withColumn("source_id", F.concat(F.lit("s"), (F.col("document_id") % 20).cast("string")))
-    pages = evidence.filter(F.col("document_id") % 2 == 0).select(F.concat(F.lit("# x ("), "evidence_id", F.lit(")")).alias("page"))
-    return audit.integration(evidence.withColumn("document_id", F.concat(F.lit("doc:"), F.col("document_id").cast("string"))), pages)
+#: Layers that lack some of the chunks, chapters, documents and sources that records name.
+LINEAGE = """lost AS (SELECT evidence_id, '30' AS layer, chunk_id AS id, 'chunk_missing' AS problem FROM records WHERE n % 11 = 0 UNION ALL SELECT evidence_id, '20', chapter_id, 'chapter_missing' FROM records WHERE n % 11 > 8
+UNION ALL SELECT evidence_id, '10', document_id, 'document_missing' FROM records WHERE n % 17 = 0 AND document_id <> '' UNION ALL SELECT evidence_id, '10', trim(source_id), 'source_missing' FROM records WHERE n % 20 > 16 AND trim(source_id) <> '')"""
+
 
+def lineage_of(spark, d):
+    records, n = audit_tables(spark, d)[0], F.col("n")
+    documents = records.select(F.when(n % 17 != 0, F.col("document_id")).alias("document_id"), F.when(n % 20 < 17, F.col("source_id")).alias("source_id"))
+    return audit.broken_lineage(records, records.filter(n % 11 != 0), records.filter(n % 11 < 9).select(F.initcap("chapter_id").alias("chapter")), documents)
 
-@query(f"""WITH {EVIDENCE}, e AS (SELECT evidence_id, chunk_id, document_id FROM evidence)
-SELECT evidence_id, 'chunk_missing' AS problem FROM e WHERE document_id % 11 = 0 UNION ALL SELECT evidence_id, 'chapter_missing' FROM e WHERE document_id % 13 = 0
-UNION ALL SELECT evidence_id, 'document_missing' FROM e WHERE document_id % 17 = 0 UNION ALL SELECT evidence_id, 'source_missing' FROM e WHERE document_id % 17 = 0""")
+
+@query(f"WITH {AUDIT}, {LINEAGE} FROM lost")
 def broken_lineage(spark, d):
-    chunks = chunks_of(spark, d).withColumn("source_id", F.concat(F.lit("s"), F.col("document_id").cast("string")))
-    evidence = stages.build_evidence(chunks)
-    i = F.col("document_id")
-    docs = chunks.select("document_id", "source_id").distinct()
-    return audit.broken_lineage(evidence, chunks.filter(i % 11 != 0), docs.filter(i % 13 != 0).withColumn("chapter", F.lit(1)), docs.filter(i % 17 != 0))
+    return lineage_of(spark, d)
 
 
 #: A page per language that links to other languages' pages, one that does not exist, and the web.
@@ -572,13 +627,25 @@ def broken_links(spark, d):
     return audit.broken_links(audit.page_links(pages), pages.select(F.concat("topic", F.lit(".md")).alias("name")))
 
 
-@query(f"""WITH {EVIDENCE}, {PAGES_MD}, r AS (SELECT document_id % 20 AS s, document_id % 2 = 0 AS used FROM evidence), s AS (SELECT s, bool_or(used) AS used FROM r GROUP BY s)
-SELECT (SELECT count(*) FROM r) AS records, (SELECT count(*) FROM r WHERE used) AS integrated, (SELECT count(*) FROM r WHERE used) AS by_evidence, 0::BIGINT AS by_chunk, 0::BIGINT AS by_document, (SELECT count(*) FROM r WHERE NOT used) AS unused,
-(SELECT count(*) FROM s) AS sources, (SELECT count(*) FROM s WHERE used) AS sources_integrated, (SELECT count(*) * 6 FROM md) AS links, (SELECT count(*) * 3 FROM md) AS internal, (SELECT count(*) * 2 FROM md) AS external, (SELECT count(*) FROM md) AS broken""")
+@query(f"""WITH {AUDIT}, {LINEAGE}, {PAGES_MD}, requests AS (SELECT n_nationkey AS k FROM nation WHERE n_nationkey < 4)
+SELECT (SELECT count(*) FROM used) AS index_records, (SELECT count(*) FROM pages) AS wiki_files, count(*) AS sources_total, count(*) FILTER (integrated) AS sources_integrated, count(*) FILTER (NOT integrated) AS sources_missing,
+count(*) FILTER (NOT layer30) AS sources_missing_layer30_ref, count(*) FILTER (NOT layer20) AS sources_missing_layer20_ref, count(*) FILTER (NOT layer10) AS sources_missing_layer10_ref, (SELECT count(*) FROM lost) AS lineage_missing_links,
+(SELECT count(*) * 3 FROM md) AS internal_links_checked, (SELECT count(*) FROM md) AS internal_links_broken, (SELECT count(*) FROM md) AS external_links_checked, 0::BIGINT AS external_links_broken, (SELECT count(*) FROM md) AS external_links_stale FROM rollup_""")
 def audit_summary(spark, d):
-    records, pages = audit_records(spark, d), md_pages(spark, d)
-    links = audit.page_links(pages)
-    return audit.audit_summary(records, audit.source_rollup(records), links, audit.broken_links(links, pages.select(F.concat("topic", F.lit(".md")).alias("name"))))
+    records, (_, pages), topics = audit_records(spark, d), audit_tables(spark, d), md_pages(spark, d)
+    links = audit.page_links(topics)
+    broken = audit.broken_links(links, topics.select(F.concat("topic", F.lit(".md")).alias("name")))
+    checks = links.filter("link = 'https://example.org'").select("link", F.lit(200).alias("http_status"), F.lit("1995-01-01").cast("date").alias("last_modified"))
+    return audit.audit_summary(records, pages, lineage_of(spark, d), links, broken, audit.external_findings(links, checks, "1998-08-01"))
+
+
+@query("""SELECT page_id AS topic, url AS link, CASE length(url) % 5 WHEN 0 THEN 'skipped' WHEN 1 THEN 'error' WHEN 2 THEN 'error' WHEN 3 THEN 'stale' ELSE 'ok' END AS status FROM pages""")
+def external_link_status(spark, d):
+    """The addresses of all pages as links, against what requests gave, which is derived from their lengths."""
+    links = table(spark, d, "pages").select(F.col("page_id").alias("topic"), F.lit(0).alias("pos"), F.col("url").alias("link"), F.lit("external").alias("kind"))
+    m = F.length("link") % 5
+    checks = links.select("link").distinct().filter(m > 0).select("link", F.when(m == 1, 404).when(m > 2, 200).alias("http_status"), F.when(m == 3, F.lit("1990-01-01").cast("date")).alias("last_modified"))
+    return audit.external_findings(links, checks, "1998-08-01").drop("pos")
 
 
 @query("""SELECT o_orderkey AS link, o_orderdate::DATE AS last_modified, (DATE '1998-08-01' - o_orderdate::DATE)::INT AS age_days FROM orders WHERE (DATE '1998-08-01' - o_orderdate::DATE) > 730""")
@@ -720,7 +787,11 @@ def run_summary(spark, d):
     return stages.run_summary(reports)
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT doc_id AS paper_id, source AS topic, 'd' || doc_id // 2 AS doi, left(lower(trim(left(string_split(text, chr(10))[1], 80))), 80) AS t FROM documents),
+n AS (SELECT *, list_filter(['d' || doi, CASE WHEN t <> '' THEN 't' || t END], lambda x: x IS NOT NULL) AS keys, row_number() OVER (PARTITION BY topic ORDER BY paper_id) AS i FROM p),
+walk AS (SELECT DISTINCT topic, 0::BIGINT AS i, []::VARCHAR[] AS seen, NULL::BIGINT AS kept FROM p
+UNION ALL SELECT n.topic, n.i, CASE WHEN list_has_any(seen, keys) THEN seen ELSE seen || keys END, CASE WHEN NOT list_has_any(seen, keys) THEN paper_id END FROM walk JOIN n ON n.topic = walk.topic AND n.i = walk.i + 1)
+SELECT n.paper_id, left(string_split(text, chr(10))[1], 80) AS title, 'd' || doc_id // 2 AS doi, source AS topic, n.paper_id AS arrival FROM walk JOIN n ON kept = n.paper_id JOIN documents ON doc_id = n.paper_id""")
 def greedy_dedup(spark, d):
     rows = papers(spark, d).select("paper_id", "title", F.concat(F.lit("d"), F.floor(F.col("paper_id") / 2).cast("string")).alias("doi"), F.col("journal").alias("topic"), F.col("paper_id").alias("arrival"))
     return literature.dedup_greedy(rows)
@@ -754,7 +825,64 @@ def chapter_toc(spark, d):
     return stages.chapter_toc(stages.split_chapters(chapter_rows(spark, d)))
 
 
-@query()
+#: Parts as a printed list: a page of 20, a line a part, a box a word; every seventh page has a line of text across in between.
+@query("""SELECT p_partkey // 20 AS page, 1 AS "table", (p_partkey % 20 + 1)::INT AS "row", [p_partkey::VARCHAR, p_name, CASE WHEN p_size % 4 = 0 THEN '' ELSE p_brand END, p_size::VARCHAR] AS cells FROM part WHERE p_partkey // 20 % 7 <> 3
+UNION ALL SELECT p_partkey // 20, CASE WHEN p_partkey % 20 < 10 THEN 1 ELSE 2 END, (p_partkey % 10 + 1)::INT, [p_partkey::VARCHAR, p_name, CASE WHEN p_size % 4 = 0 THEN '' ELSE p_brand END, p_size::VARCHAR] FROM part WHERE p_partkey // 20 % 7 = 3""")
+def box_tables(spark, d):
+    k = F.col("p_partkey")
+    y = (k % 20) * 14 + F.when(k % 20 >= 10, 14).otherwise(0)
+
+    def words(text, x):
+        """A box a word, six units a letter, from x on."""
+        parts = F.split(text, " ")
+        at = lambda i: x + 6 * F.length(F.array_join(F.slice(parts, 1, i), " ")) + F.when(i > 0, 6).otherwise(0)
+        return F.transform(parts, lambda w, i: F.struct(at(i).cast("double").alias("x0"), (at(i) + 6 * F.length(w)).cast("double").alias("x1"), w.alias("text")))
+
+    cells = F.concat(words(k.cast("string"), F.lit(10)), words(F.col("p_name"), F.lit(100)), F.when(F.col("p_size") % 4 != 0, words(F.col("p_brand"), F.lit(600))).otherwise(F.array().cast("array<struct<x0:double,x1:double,text:string>>")), words(F.col("p_size").cast("string"), F.lit(800)))
+    boxes = table(spark, d, "part").select(F.floor(k / 20).alias("page"), y.cast("double").alias("y0"), (y + 10).cast("double").alias("y1"), F.inline(cells))
+    text = boxes.filter("page % 7 = 3").select("page").distinct().select("page", F.lit(140.0).alias("y0"), F.lit(150.0).alias("y1"), F.lit(10.0).alias("x0"), F.lit(700.0).alias("x1"), F.lit("across").alias("text"))
+    return boxes_of.tables(boxes.unionByName(text), ["page"])
+
+
+#: What is known of a user is the event with the greatest value, of equal ones the first.
+@query("""SELECT user_id, event_id, ts, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC NULLS LAST, ts, event_id) = 1""")
+def stream_upsert(spark, d):
+    path = f"{d}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    folder, _, name = path.rpartition("/")
+    events = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+    rows = events.select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    return upsert.streamed_upsert(rows, "user_id", "value", ["ts", "event_id"]).withColumn("ts", F.col("ts").cast(schema["ts"].dataType))
+
+
+#: Those chapters as blocks (a heading, then a block a line), blocks above the maximum as pieces, pieces packed one after the other.
+CHUNK_PLAN = CHAPTERS + r""", kept AS (SELECT doc_id, chapter, title FROM t WHERE word_count >= 30),
+lines AS (SELECT l.doc_id, pos // 5 + 1 AS chapter, pos % 5 + 1 AS b, CASE WHEN pos % 5 = 0 THEN ltrim(line) WHEN pos % 5 = 4 OR pos = max(pos) OVER (PARTITION BY l.doc_id) THEN rtrim(line) ELSE line END AS text FROM l),
+blocks AS (SELECT doc_id, chapter, 0 AS b, '## ' || trim(title) AS text, true AS head FROM kept UNION ALL SELECT lines.doc_id, lines.chapter, b, text, false FROM lines JOIN kept ON lines.doc_id = kept.doc_id AND lines.chapter = kept.chapter WHERE trim(text) <> ''),
+sized AS (SELECT *, len(regexp_extract_all(text, '\S+')) AS n FROM blocks), long AS (SELECT * FROM sized WHERE n > 500 AND NOT head AND NOT (contains(text, '|') AND length(trim(text)) > 2)),
+parts AS (SELECT doc_id, chapter, b, list_filter(list_transform(string_split(regexp_replace(trim(text), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS ss FROM long),
+sent AS (SELECT doc_id, chapter, b, unnest(ss) AS text, generate_subscripts(ss, 1) AS j FROM parts), sents AS (SELECT *, len(regexp_extract_all(text, '\S+')) AS n FROM sent),
+grouped AS (SELECT doc_id, chapter, b, 0::BIGINT AS j, 0 AS g, 0::BIGINT AS size, false AS open FROM long
+UNION ALL SELECT s.doc_id, s.chapter, s.b, s.j, g + CASE WHEN n > 500 OR NOT open OR size + n > 500 THEN 1 ELSE 0 END, CASE WHEN n > 500 THEN 0 WHEN NOT open OR size + n > 500 THEN n ELSE size + n END, n <= 500
+FROM grouped p JOIN sents s ON s.doc_id = p.doc_id AND s.chapter = p.chapter AND s.b = p.b AND s.j = p.j + 1),
+groups AS (SELECT s.doc_id, s.chapter, s.b, g, string_agg(text, ' ' ORDER BY s.j) AS text, max(n) > 500 AS windows FROM grouped p JOIN sents s ON s.doc_id = p.doc_id AND s.chapter = p.chapter AND s.b = p.b AND s.j = p.j GROUP BY ALL),
+worded AS (SELECT *, regexp_extract_all(text, '\S+') AS ws FROM groups),
+pieces AS (SELECT doc_id, chapter, b, 0 AS g, 0 AS w, text, n, head FROM sized WHERE (doc_id, chapter, b) NOT IN (SELECT (doc_id, chapter, b) FROM long)
+UNION ALL SELECT doc_id, chapter, b, g, 0, text, len(ws), false FROM worded WHERE NOT windows
+UNION ALL SELECT doc_id, chapter, b, g, w, array_to_string(ws[w * 500 + 1:(w + 1) * 500], ' '), len(ws[w * 500 + 1:(w + 1) * 500]), false FROM (SELECT *, unnest(range((len(ws) + 499) // 500)) AS w FROM worded WHERE windows)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chapter ORDER BY b, g, w) AS i, greatest(b, 1) AS number FROM pieces),
+fold AS (SELECT doc_id, chapter, 0::BIGINT AS i, 1 AS chunk, 1 AS next_chunk, 0::BIGINT AS size, 0 AS held FROM kept
+UNION ALL SELECT doc_id, chapter, i, c, CASE WHEN NOT head AND s >= 300 THEN c + 1 ELSE c END, CASE WHEN NOT head AND s >= 300 THEN 0 ELSE s END, CASE WHEN NOT head AND s >= 300 THEN 0 ELSE 1 END
+FROM (SELECT p.doc_id, p.chapter, p.i, head, f.next_chunk + CASE WHEN shut THEN 1 ELSE 0 END AS c, CASE WHEN shut THEN n ELSE f.size + n END AS s
+FROM (SELECT f.*, p.head, p.n, held > 0 AND CASE WHEN head THEN size >= 300 ELSE size + n > 500 END AS shut, p.i AS at FROM fold f JOIN placed p ON p.doc_id = f.doc_id AND p.chapter = f.chapter AND p.i = f.i + 1) f
+JOIN (SELECT doc_id, chapter, i FROM placed) p ON p.doc_id = f.doc_id AND p.chapter = f.chapter AND p.i = f.at)),
+chunks AS (SELECT p.doc_id, p.chapter, chunk, trim(string_agg(text, chr(10) || chr(10) ORDER BY p.i), ' ' || chr(10)) || chr(10) AS content, sum(n)::INT AS token_count, min(number)::INT AS paragraph_start, max(number)::INT AS paragraph_end
+FROM fold f JOIN placed p ON p.doc_id = f.doc_id AND p.chapter = f.chapter AND p.i = f.i GROUP BY ALL),
+named AS (SELECT *, 'ch' || CASE WHEN chapter < 100 THEN lpad(chapter::VARCHAR, 2, '0') ELSE chapter::VARCHAR END AS chapter_id FROM chunks)"""
+
+
+@query(f"""WITH RECURSIVE {CHUNK_PLAN} SELECT 'chunk_' || doc_id || '_' || chapter_id || '_' || lpad(chunk::VARCHAR, 4, '0') AS chunk_id, doc_id::VARCHAR AS document_id, chapter_id, chunk AS sequence, token_count,
+sha256(content) AS hash_sha256, paragraph_start, paragraph_end FROM named""")
 def chunk_plan_full(spark, d):
     chunks = stages.plan_chunks(stages.split_chapters(chapter_rows(spark, d)), textplan.Rules())
     return chunks.select("chunk_id", "document_id", "chapter_id", "sequence", "token_count", "hash_sha256", "lineage.paragraph_start", "lineage.paragraph_end")

@@ -1,68 +1,77 @@
-"""Offline encyclopedia dumps: Spark's XML reader splits them by page element (plain and bz2); xz, which it does not read, is
-streamed, one task a file."""
+"""Offline encyclopedia dumps: Spark's XML reader splits them by page element (plain and bz2); of xz, which it does not read, tasks
+take the blocks (see xz)."""
 
 from __future__ import annotations
 
-import lzma
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
-from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataforge.operators.rounds import kept
+from strataforge.sources import xz
+
 SCHEMA = "title string, ns int, id bigint, redirect struct<_title:string>, revision struct<id:bigint,timestamp:string,text:struct<_VALUE:string>>"
 
 
 FLAT = "ns int, title string, page_id long, revision_id long, updated_at string, wikitext string, redirect string"
 
 
-def opened(path: str) -> IO[bytes]:
-    """A file of any store that Arrow knows, or of a folder that all executors see."""
-    from pyarrow import fs
+BEGINS, ENDS = re.compile(rb"<page[\s>]"), b"</page>"
+#: Compressed bytes of the blocks that a task owns.
+PART = 32 << 20
+
 
-    store, name = fs.FileSystem.from_uri(path)
-    return store.open_input_stream(name)
+def page_of(record: bytes) -> tuple:
+    """The fields of a page element."""
+    node = ET.fromstring(record)
 
+    def at(*path: str) -> ET.Element | None:
+        found = node
+        for tag in path:
+            found = next((c for c in found if c.tag == tag), None) if found is not None else None
+        return found
 
-def pages_of(stream: IO[bytes]) -> Iterator[tuple]:
-    """Page elements of an XML stream; what has been read is dropped, so memory holds one page."""
-    said = lambda node, *path: (x.text or "") if (x := at(node, *path)) is not None else None
+    said = lambda *path: (x.text or "") if (x := at(*path)) is not None else None
     whole = lambda text: int(text) if (text or "").strip().isdigit() else None
+    redirect = at("redirect")
+    return whole(said("ns")), said("title"), whole(said("id")), whole(said("revision", "id")), said("revision", "timestamp"), said("revision", "text") or None, None if redirect is None else redirect.get("title")
 
-    def at(node: ET.Element | None, *path: str) -> ET.Element | None:
-        for tag in path:
-            node = next((c for c in node if c.tag.rpartition("}")[2] == tag), None) if node is not None else None
-        return node
 
-    events = ET.iterparse(stream, events=("start", "end"))
-    root = next(events)[1]
-    for event, node in events:
-        if event == "end" and node.tag.rpartition("}")[2] == "page":
-            redirect = at(node, "redirect")
-            yield whole(said(node, "ns")), said(node, "title"), whole(said(node, "id")), whole(said(node, "revision", "id")), said(node, "revision", "timestamp"), said(node, "revision", "text") or None, None if redirect is None else redirect.get("title")
-            root.clear()
+def xz_pages(spark: SparkSession, path: str, part: int = PART, batch: int = 500) -> DataFrame:
+    """Pages of xz files (a name or a pattern): a file of many blocks in several tasks, one of a single block in one."""
+    names = [x.split()[0] for x in FLAT.split(", ")]
+    kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
 
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            for p in given.column(0).to_pylist():
+                with xz.opened(p) as file:
+                    found = xz.ranges(file, part)
+                if found:
+                    first, behind = zip(*found, strict=True)
+                    yield pa.record_batch([pa.array([p] * len(found)), pa.array(first, pa.int64()), pa.array(behind, pa.int64())], ["path", "first", "behind"])
 
-def streamed_pages(spark: SparkSession, path: str, batch: int = 500) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = lambda rows: pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-        names = [x.split()[0] for x in FLAT.split(", ")]
-        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
         for given in batches:
-            for p in given.column(0).to_pylist():
+            for p, first, behind in zip(*(c.to_pylist() for c in given.columns), strict=True):
                 rows = []
-                with opened(p) as raw, lzma.open(raw) as plain:
-                    for row in pages_of(plain):
-                        rows.append(row)
+                with xz.opened(p) as file:
+                    for record in xz.records(file, first, behind, BEGINS, ENDS):
+                        rows.append(page_of(record))
                         if len(rows) == batch:
                             yield made(rows)
                             rows = []
                 if rows:
                     yield made(rows)
 
-    return spark.createDataFrame([(path,)], "path string").mapInArrow(read, FLAT)
+    files = spark.read.format("binaryFile").load(path).select("path")
+    parts = kept(files.mapInArrow(plan, "path string, first long, behind long"))
+    return parts.repartition(max(1, parts.count()), "path", "first").mapInArrow(read, FLAT)
 
 
 def read_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -70,7 +79,7 @@ def read_dump(spark: SparkSession, path: str) -> DataFrame:
     in an attribute gets the text that says so."""
     if path.lower().endswith(".xz"):
         stub = F.concat(F.lit("#REDIRECT [["), "redirect", F.lit("]]"))
-        return streamed_pages(spark, path).select("ns", "title", "page_id", "revision_id", "updated_at", F.coalesce("wikitext", stub).alias("wikitext"), F.lit(path).alias("source_path"))
+        return xz_pages(spark, path).select("ns", "title", "page_id", "revision_id", "updated_at", F.coalesce("wikitext", stub).alias("wikitext"), F.lit(path).alias("source_path"))
     rows = spark.read.format("xml").option("rowTag", "page").schema(SCHEMA).load(path)
     text = F.coalesce("revision.text._VALUE", F.concat(F.lit("#REDIRECT [["), "redirect._title", F.lit("]]")))
     return rows.select("ns", "title", F.col("id").alias("page_id"), F.col("revision.id").alias("revision_id"), F.col("revision.timestamp").alias("updated_at"), text.alias("wikitext"), F.lit(path).alias("source_path"))

@@ -26,16 +26,16 @@ def relative(path: str, base: str) -> Column:
     return F.substr(plain(F.col(path)), F.length(plain(F.lit(base))) + 2)
 
 
-def discover(spark: SparkSession, folder: str, formats: str | None = None, recursive: bool = True, content: bool = True) -> DataFrame:
+def discover(spark: SparkSession, folder: str, formats: str | None = None, recursive: bool = True, content: bool = True, digests: bool = True) -> DataFrame:
     """Files of supported formats: rel_path, ext, length, mtime (ISO text), sha256 and content. Without content only names and
-    sizes are read."""
+    sizes are read; without digests contents are not hashed."""
     base = folder.rstrip("/")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     kinds = SUPPORTED & (parse_formats(formats) or SUPPORTED)
     files = reader.load(base).withColumn("ext", F.lower(F.regexp_extract("path", "\\.([^./]+)$", 1))).filter(F.col("ext").isin(*sorted(kinds)))
     rel = relative("path", base)
     meta = files.select("path", rel.alias("rel_path"), "ext", "length", F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("mtime"), *(["content"] if content else []))
-    return meta.withColumn("sha256", F.sha2("content", 256)) if content else meta
+    return meta.withColumn("sha256", F.sha2("content", 256)) if content and digests else meta
 
 
 def chapter_files(files: DataFrame) -> DataFrame:

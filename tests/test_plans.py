@@ -49,16 +49,64 @@ def test_no_text_is_shuffled_for_change_detection(spark, sf):
 
 def test_planners_do_not_join_back(spark, sf):
     text = plan(Q.chunk_plan_full(spark, sf))
-    assert "Join" not in text and text.count("MapInArrow") == 2
-
-
-def test_id_mentions_are_an_equi_join(spark):
-    pages = spark.createDataFrame([("see evidence_1.",)], "page string")
-    ev = spark.createDataFrame([("evidence_1", "c", "d", "s")], "evidence_id string, chunk_id string, document_id string, source_id string")
-    assert audit.integration(ev, pages).first().in_wiki
-    other = spark.createDataFrame([("see (evidence_12)",)], "page string")
-    assert not audit.integration(ev, other).first().in_wiki
-    assert "NestedLoop" not in plan(audit.integration(ev, pages))
+    assert "Join" not in text and text.count("MapInArrow") == 1 and text.count("ArrowEvalPython") == 1
+
+
+def test_plain_chapters_are_planned_without_python(spark):
+    """Bodies that need no Python reach it as nulls, and both ways agree."""
+    import random
+
+    from strataforge.operators import stages, textplan
+
+    rnd = random.Random(5)
+    words = lambda n: " ".join(rnd.choices(["one", "two.", "three", "a|b", "vier", "\u00a0x"], k=n))
+    parts = [lambda: f"## {words(3)}", lambda: words(rnd.randrange(1, 260)), lambda: f"{words(9)}\n{words(5)}", lambda: "| a | b |\n| - | - |\n| c | d |", lambda: f"text before\n| a | {words(40)} |\ntext after\n# Head\nmore", lambda: " " * 3, lambda: f"   {words(30)}  "]
+    odd = [lambda: "- item\n  more", lambda: "> quote", lambda: "```\n# no\n```", lambda: words(700), lambda: "a\u2028b", lambda: "x\ry"]
+    bodies = ["", "\n\n", "one", "# h", "# h\n## i"] + ["\n\n".join(rnd.choice(parts if k % 3 else [*parts, *odd])() for _ in range(rnd.randrange(1, 25))) for k in range(150)]
+    df = spark.createDataFrame([(f"d{i}", 1, b) for i, b in enumerate(bodies)], "document_id string, chapter int, body string")
+    df = df.selectExpr("*", "'s' AS source_id", "'d' AS domain", "'t' AS topic", "'f' AS source_file", "'f' AS file_name", "'x' AS title", "'' AS created_at", "'' AS updated_at", "1 AS word_count", "'' AS preamble")
+    for rules in (textplan.Rules(), textplan.Rules(target=20, maximum=30), textplan.Rules(keep_headings=False), textplan.Rules(parity=True)):
+        got = {}
+        for r in stages.plan_chunks(df, rules).orderBy("document_id", "sequence").collect():
+            got.setdefault(r.document_id, []).append((r.content, r.lineage.paragraph_start, r.lineage.paragraph_end, r.token_count))
+        want = {f"d{i}": [(c.content, c.start, c.end, c.tokens) for c in textplan.plan_chunks(b, rules)] for i, b in enumerate(bodies)}
+        assert got == {k: v for k, v in want.items() if v}
+    blocks = df.select(stages.F.when(~stages.F.col("body").rlike(stages.NOT_PLAIN), stages.plain_blocks(stages.F.col("body"))).alias("b"))
+    assert blocks.filter("b is not null").count() > 100
+
+
+def test_ids_are_found_anywhere_by_an_equi_join(spark):
+    pages = spark.createDataFrame([("see (evidence_12), a\nb",), (None,), ("",), ("x" * 5000 + "needle" + "y" * 5000,)], "page string")
+    ids = ["evidence_1", "evidence_12", "evidence_123", "dence", "e", "z", "", " ", "a\nb", "needle", "needles", "x" * 1200, "x" * 5001, "👧"]
+    got = audit.contained(spark.createDataFrame([(i,) for i in ids + ids], "id string"), pages)
+    whole = "\n".join(r.page or "" for r in pages.collect())
+    assert sorted(r.id for r in got.collect()) == sorted(i for i in ids if i and i in whole)
+    assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
+    ev = spark.createDataFrame([("evidence_1", "", None, "d", " "), ("q", "", "", "", "")], "evidence_id string, chunk_id string, chapter_id string, document_id string, source_id string")
+    first, second = sorted(audit.integration(ev, pages).collect())
+    assert first.integrated and first.layer10 and not (first.layer20 or first.layer30) and first.source_key == "d"
+    assert not second.integrated and second.source_key == "q"
+    assert audit.contained(ids_none(spark), pages).count() == 0
+
+
+def ids_none(spark):
+    return spark.createDataFrame([("",)], "id string")
+
+
+def test_links_are_resolved_from_their_folder(spark):
+    links = spark.createDataFrame([(t, i, x, "internal") for t in ("a/b/p.md",) for i, x in enumerate(("../q.md", "../q", "r", "/a/q.md#z", "?x=1", "s.txt", "q.v2", "%C3%BC"))], "topic string, pos int, link string, kind string")
+    files = spark.createDataFrame([("a/q.md",), ("a/b/r.md",), ("a/b/q.v2.md",), ("a/b/ü.md",)], "name string")
+    broken = audit.broken_links(links, files, audit.F.regexp_extract("topic", "^(.*)/[^/]*$", 1))
+    assert sorted(r.link for r in broken.collect()) == ["?x=1", "q.v2", "s.txt"]
+
+
+def test_lineage_takes_one_join_and_skips_empty_ids(spark):
+    ev = spark.createDataFrame([("e1", "", None, "", " "), ("e2", "c", "1", "d", "s"), ("e3", "x", "02", "y", "z")], "evidence_id string, chunk_id string, chapter_id string, document_id string, source_id string")
+    chunks, chapters = spark.createDataFrame([("c",)], "chunk_id string"), spark.createDataFrame([(1,), (None,)], "chapter int")
+    docs = spark.createDataFrame([("d", "s")], "document_id string, source_id string")
+    out = audit.broken_lineage(ev, chunks, chapters, docs)
+    assert sorted((r.evidence_id, r.layer, r.id, r.problem) for r in out.collect()) == [("e3", "10", "y", "document_missing"), ("e3", "10", "z", "source_missing"), ("e3", "20", "02", "chapter_missing"), ("e3", "30", "x", "chunk_missing")]
+    assert _plan(out).count("Join LeftAnti") == 1
 
 
 def _plan(df):

@@ -43,6 +43,66 @@ def test_full_then_incremental(spark, raw, tmp_path):
     assert found.count() == 2 and retrieval.search(w.read("embeddings", w.state()), w.read("evidence", w.state()), "x", 2, "other").count() == 0
 
 
+def layers_of(spark, folder):
+    work = Workspace(spark, folder)
+    state = work.state()
+    return {name: sorted(repr(sorted(r.asDict(recursive=True).items())) for r in work.read(name, state).collect()) for name in state["layers"] if not name.startswith("messages_")}
+
+
+def test_a_changed_file_touches_its_own_rows_only(spark, tmp_path, monkeypatch):
+    """Incremental runs by document: what they leave equals a full run, whatever changes."""
+    import os
+
+    from strataforge.plans import runner
+
+    monkeypatch.setattr(runner, "PER_BUCKET", 4)
+    folder, work, settings = tmp_path / "raw" / "src", str(tmp_path / "w"), Settings("corpus", least_tokens=1)
+    folder.mkdir(parents=True)
+    for i in range(40):
+        (folder / f"f{i}.md").write_text(f"# T{i}\n\n{LONG}\n\n# U\n\nfile {i} {LONG}\n")
+    first = run(spark, str(tmp_path / "raw"), work, settings)
+    assert first["mode"] == "full" and first["rows"]["documents"] == 40
+    before = Workspace(spark, work).state()
+    assert before["buckets"] == 10
+    assert run(spark, str(tmp_path / "raw"), work, settings)["status"] == "no_changes"
+
+    (folder / "f7.md").write_text(f"# New\n\nnow other {LONG}\n")
+    one = run(spark, str(tmp_path / "raw"), work, settings)
+    assert one["mode"] == "changed" and one["documents_changed"] == 1 and one["buckets"] == 1 and set(one["fresh"].values()) == {1}
+    after = Workspace(spark, work).state()
+    moved = {b for b, r in after["layers"]["chunks"]["buckets"].items() if before["layers"]["chunks"]["buckets"].get(b) != r}
+    assert len(moved) == 1, "one bucket has a new version, the others are the files of the run before"
+
+    (folder / "f8.md").unlink()
+    (folder / "f9.txt").write_text("A text beside f9.md, so both are named by their endings. " + LONG)
+    (folder / "odd [1] {a} *.md").write_text(f"# Odd\n\n{LONG}\n")
+    os.utime(folder / "f10.md", (1, 1))
+    (folder / "bad.docx").write_bytes(b"no zip")
+    many = run(spark, str(tmp_path / "raw"), work, settings)
+    assert many["mode"] == "changed" and many["rows"]["ingest_errors"] == 1 and many["rows"]["documents"] == 41
+    full = str(tmp_path / "again")
+    run(spark, str(tmp_path / "raw"), full, settings)
+    assert layers_of(spark, work) == layers_of(spark, full)
+
+    run(spark, str(tmp_path / "raw"), full, settings, full=True)
+    assert layers_of(spark, work) == layers_of(spark, full)
+    state = Workspace(spark, work).state()
+    assert Workspace(spark, work).clean() and Workspace(spark, work).state() == state and layers_of(spark, work) == layers_of(spark, full)
+    assert Workspace(spark, work).clean() == []
+
+
+def test_stages_left_out_are_made_up_for(spark, raw, tmp_path):
+    work, settings = str(tmp_path / "w"), Settings("corpus", least_tokens=1)
+    run(spark, str(raw), work, settings)
+    (raw / "src" / "c.html").write_text(f"<h1>C2</h1><p>{LONG}</p>")
+    some = run(spark, str(raw), work, settings, only=("discover_sources", "ingest", "chapter_splitter"))
+    assert "chunk_builder" in some["skipped"] and Workspace(spark, work).state()["behind"]
+    rest = run(spark, str(raw), work, settings)
+    assert "chunk_builder" in rest["ran"] and Workspace(spark, work).state()["behind"] == []
+    run(spark, str(raw), str(tmp_path / "full"), settings)
+    assert layers_of(spark, work) == layers_of(spark, str(tmp_path / "full"))
+
+
 def test_a_check_blocks(spark, raw, tmp_path):
     with pytest.raises(Blocked, match="20_to_30"):
         run(spark, str(raw), str(tmp_path / "w"), Settings("corpus", most_tokens=10))
@@ -132,6 +192,63 @@ def test_greedy_dedup_drops_register_nothing(spark):
     assert sorted(r.arrival for r in literature.dedup_greedy(df).collect()) == [1, 3, 4, 5, 6]
 
 
+def test_first_wins_equals_a_walk(spark):
+    import random
+
+    rnd = random.Random(4)
+    rows = [(rnd.choice("ab"), i, rnd.choice([None, "", " D1 ", *(f"d{k}" for k in range(60))]), rnd.choice(["Editorial", "editorial ", None, *(f"title {k}" for k in range(80))])) for i in range(400)]
+    rows += [("chain", i, f"c{(i + 1) // 2}", f"x{i // 2}") for i in range(30)]
+    want, seen = [], set()
+    for g, i, doi, title in rows:
+        keys = {(g, "d", doi.strip().lower()) for _ in [0] if doi and doi.strip()} | {(g, "t", title.strip().lower()[:80]) for _ in [0] if title and title.strip()}
+        if not keys & seen:
+            want.append(i if g != "chain" else -i)
+            seen |= keys
+    df = spark.createDataFrame(rows, "topic string, arrival int, doi string, title string").repartition(7)
+    assert sorted(r.arrival if r.topic != "chain" else -r.arrival for r in literature.dedup_greedy(df).collect()) == sorted(want)
+    with pytest.raises(RuntimeError, match="not decided"):
+        literature.first_wins(df, literature.paper_keys(), ["topic"], ["arrival"], rounds=2)
+
+
+def by_queue(graph, seeds, depth, most):
+    """The queue itself, one title after the other; graph: title -> (redirect, links)."""
+    def page_of(title):
+        for _ in range(wikigraph.LOOKUPS):
+            if title not in graph or not graph[title][0]:
+                return title if title in graph else None
+            title = graph[title][0]
+        return None
+
+    waiting, visited, out = [(s, 0, "") for s in seeds], {}, []
+    while waiting and len(visited) < most:
+        title, d, parent = waiting.pop(0)
+        page = page_of(title)
+        if page is None or page in visited:
+            continue
+        visited[page] = True
+        out.append((page, d, parent, len(visited)))
+        if d < depth:
+            for x in graph[page][1]:
+                if len(visited) + len(waiting) >= 3 * most:
+                    break
+                waiting.append((x, d + 1, page))
+    return out
+
+
+@pytest.mark.parametrize("most", [1, 3, 17, 60, 400])
+def test_crawl_equals_a_queue(spark, most):
+    import random
+
+    rnd = random.Random(most)
+    names = [f"N{i}" for i in range(300)]
+    graph = {n: (rnd.choice(names) if rnd.random() < 0.15 else None, [rnd.choice([*names, "Gone", "Lost"]) for _ in range(rnd.randrange(12))]) for n in names}
+    rows = [(n, links, target is not None, target) for n, (target, links) in graph.items()]
+    pages = spark.createDataFrame(rows, "title string, links array<string>, is_redirect boolean, redirect_target string")
+    seeds = ["Gone", "N1", "N1", "N2", *names[5:25]]
+    got = wikigraph.crawl(spark.createDataFrame([(s, i) for i, s in enumerate(seeds)], "title string, pos long"), pages, 4, most)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[3]) == by_queue(graph, seeds, 4, most)
+
+
 def test_export(spark, tmp_path):
     df = spark.createDataFrame([("p", "T", ["A", "B"], 0.5)], "paper_id string, title string, authors array<string>, relevance_score double")
     literature.export(df, str(tmp_path / "x"))

@@ -3,32 +3,43 @@ import json
 import lzma
 import os
 import stat
+import struct
 import threading
+import time
 import urllib.parse
+import zlib
 
 import pytest
 
 from strataforge.operators import wikigraph
-from strataforge.sources import convert, dump, files, papers
+from strataforge.sources import convert, dump, files, papers, sqlite, xz
 
 
 @pytest.fixture
 def service():
-    """A literature service that gives 250 ids, fails once with 429, and answers with the ids that it was asked for."""
-    asked = []
+    """Literature services that have 250 papers. The second request of all fails once with 429; what is in `broken` always does."""
+    asked, broken = [], set()
 
     class Answer(http.server.BaseHTTPRequestHandler):
         def do_GET(self):
             where = urllib.parse.urlparse(self.path)
             query = dict(urllib.parse.parse_qsl(where.query))
             asked.append((where.path, query))
-            if len(asked) == 2:
+            if len(asked) == 2 or any(x in self.path for x in broken):
                 self.send_error(429)
                 return
             if where.path == "/esearch.fcgi":
-                text = json.dumps({"esearchresult": {"idlist": [str(i) for i in range(250)]}})
+                first = int(query["retstart"])
+                text = json.dumps({"esearchresult": {"idlist": [str(i) for i in range(first, min(250, first + int(query["retmax"])))]}})
             elif where.path == "/oa":
                 text = f"<OA><records><record id='{query['id']}'><link format='pdf' href='ftp://h/{query['id']}.pdf'/></record></records></OA>"
+            elif where.path.startswith("/search/articles/"):
+                first = (int(query["page"]) - 1) * int(query["pageSize"])
+                text = json.dumps({"results": [{"id": str(i), "bibjson": {"title": urllib.parse.unquote(where.path.rpartition("/")[2])}} for i in range(first, min(250, first + int(query["pageSize"])))]})
+            elif where.path == "/search":
+                text = json.dumps({"response": {"docs": [{"id": str(i), "title_display": query["q"]} for i in range(int(query["start"]), min(250, int(query["start"]) + int(query["rows"])))]}})
+            elif where.path == "/odd":
+                text = query["text"]
             else:
                 one = "<PubmedArticle><MedlineCitation><PMID>%s</PMID><Article><ArticleTitle>T</ArticleTitle></Article></MedlineCitation></PubmedArticle>"
                 text = f"<S>{''.join(one % i for i in query['id'].split(','))}</S>"
@@ -41,28 +52,73 @@ def service():
 
     server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Answer)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    yield f"http://127.0.0.1:{server.server_address[1]}", asked
+    yield f"http://127.0.0.1:{server.server_address[1]}", asked, broken
     server.shutdown()
 
 
+FAST = {"perSecond": "1000", "pause": "0.01"}
+
+
 def test_search_and_details(spark, service):
-    base, asked = service
+    base, asked, _ = service
     papers.register(spark)
-    rows = spark.read.format("papers").options(service="pubmed", query="sleep AND age", most="250", base=base, perSecond="1000", email="a@b").load()
-    assert sorted(int(r.external_id) for r in rows.collect()) == list(range(250))
-    assert [(p, len(q.get("id", "").split(","))) for p, q in asked] == [("/esearch.fcgi", 1), ("/efetch.fcgi", 100), ("/efetch.fcgi", 100), ("/efetch.fcgi", 100), ("/efetch.fcgi", 50)]  # one is asked again
-    assert asked[0][1]["term"] == "sleep AND age" and asked[0][1]["retmax"] == "250" and asked[0][1]["filter"] == "lang.english" and asked[3][1]["email"] == "a@b"
+    rows = spark.read.format("papers").options(service="pubmed", query="sleep AND age", most="250", base=base, email="a@b", **FAST).load().collect()
+    assert sorted(int(r.external_id) for r in rows) == list(range(250)) and all(r.error is None for r in rows)
+    assert [(p, q.get("retstart"), len(q.get("id", "").split(","))) for p, q in asked] == [
+        ("/esearch.fcgi", "0", 1), ("/efetch.fcgi", None, 100), ("/efetch.fcgi", None, 100), ("/esearch.fcgi", "100", 1), ("/efetch.fcgi", None, 100), ("/esearch.fcgi", "200", 1), ("/efetch.fcgi", None, 50)]  # one is asked again
+    assert asked[0][1]["term"] == "sleep AND age" and asked[0][1]["retmax"] == "100" and asked[0][1]["filter"] == "lang.english" and asked[3][1]["email"] == "a@b"
+
+
+@pytest.mark.parametrize("kind", ["doaj", "plos"])
+def test_searches_by_query_take_all_pages(spark, service, kind):
+    base, asked, broken = service
+    papers.register(spark)
+    read = lambda most: spark.read.format("papers").options(service=kind, query="a/b c", most=most, base=base, **FAST).load().collect()
+    assert sorted(int(r.external_id) for r in read("130")) == list(range(130))
+    rows = read("1000")
+    assert sorted(int(r.external_id) for r in rows) == list(range(250)) and {r.title for r in rows} == {"a/b c"}
+    broken.add("page=2" if kind == "doaj" else "start=100")
+    rows = read("1000")
+    assert sorted(int(r.external_id) for r in rows if r.error is None) == [*range(100), *range(200, 250)]
+    assert ["no answer" in r.error for r in rows if r.error] == [True]
+
+
+def test_a_search_as_a_stream(spark, service, tmp_path):
+    base, asked, broken = service
+    papers.register(spark)
+    broken.add("start=100")
+    source = spark.readStream.format("papers").options(service="plos", query="x", most="220", base=base, attempts="1", retries="2", **FAST).load()
+    run = source.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(processingTime="0 seconds").start()
+    for _ in range(200):
+        run.processAllAvailable()
+        if any(q.get("start") == "200" for _, q in asked):
+            break
+        time.sleep(0.1)
+    run.processAllAvailable()
+    run.stop()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(int(r.external_id) for r in rows if r.error is None) == [*range(100), *range(200, 220)]
+    assert len([r for r in rows if r.error]) == 1 and sum(q.get("start") == "100" for _, q in asked) >= 3
+    stream = papers.PaperStream({"service": "plos", "query": "x", "most": "220", "base": base, **FAST})
+    broken.clear()
+    assert len(list(stream.readBetweenOffsets({"start": 0}, {"start": 300}))) == 220
+    first, offset = stream.read(stream.initialOffset())
+    assert len(list(first)) == 100 and offset == {"start": 100, "tries": 0, "done": False}
+    assert stream.read({"start": 300, "tries": 0, "done": False})[1]["start"] == 300
 
 
 def test_full_text_links_and_refusals(spark, service):
-    base, _ = service
+    base, _, broken = service
     papers.register(spark)
-    rows = spark.read.format("papers").options(service="pmc", urls=json.dumps(papers.pmc_urls(["PMC1", "PMC2"], f"{base}/oa")), perSecond="1000").load()
-    assert {(r.pmcid, r.pdf_url) for r in rows.collect()} == {("PMC1", "https://h/PMC1.pdf"), ("PMC2", "https://h/PMC2.pdf")}
-    assert papers.found_ids("{") == [] and papers.found_ids("{}") == [] and papers.pmc("<") == [] and papers.detail_urls([]) == []
+    broken.add("PMC9")
+    urls = [*papers.pmc_urls(["PMC1", "PMC9", "PMC2"], f"{base}/oa"), f"{base}/odd?text=%3Cbroken"]
+    rows = spark.read.format("papers").options(service="pmc", urls=json.dumps(urls), **FAST).load().collect()
+    assert {(r.pmcid, r.pdf_url) for r in rows if not r.error} == {("PMC1", "https://h/PMC1.pdf"), ("PMC2", "https://h/PMC2.pdf")}
+    assert sorted(r.error.split(" from ")[0] for r in rows if r.error) == ["cannot read the answer", "no answer"] and {r.source for r in rows} == {"pmc"}
+    assert papers.pmc("<") == [] and papers.detail_urls([]) == []
     assert papers.fetched("http://127.0.0.1:9/none")[0] == 0
     with pytest.raises(Exception, match="no such search"):
-        spark.read.format("papers").options(service="doaj", query="x").load().collect()
+        spark.read.format("papers").options(service="pmc", query="x").load().collect()
 
 
 DUMP = """<mediawiki xmlns="http://x/"><siteinfo><ns>9</ns></siteinfo>%s</mediawiki>"""
@@ -80,6 +136,124 @@ def test_xz_dump_equals_plain(spark, tmp_path):
     assert {r.title: r.redirect_target for r in wikigraph.index_pages(packed).collect()}["C"] == "A"
 
 
+def number(n):
+    out = bytearray()
+    while n >= 0x80:
+        out.append(n & 0x7F | 0x80)
+        n >>= 7
+    return bytes([*out, n])
+
+
+def one_stream(parts):
+    """The blocks of several streams as the blocks of one, as a compressor with block sizes writes them."""
+    packed, records = b"", []
+    for part in parts:
+        stream = lzma.compress(part, check=lzma.CHECK_CRC64)
+        length = (struct.unpack("<I", stream[-8:-4])[0] + 1) * 4
+        _, at = xz.varint(stream[-12 - length :], 1)
+        size, _ = xz.varint(stream[-12 - length :], at)
+        packed += stream[12 : -12 - length]
+        records.append((size, len(part)))
+    index = b"\0" + number(len(records)) + b"".join(number(a) + number(b) for a, b in records)
+    index += b"\0" * (-len(index) % 4)
+    index += struct.pack("<I", zlib.crc32(index))
+    tail = struct.pack("<I", len(index) // 4 - 1) + stream[6:8]
+    return stream[:12] + packed + index + struct.pack("<I", zlib.crc32(tail)) + tail + b"YZ"
+
+
+@pytest.mark.parametrize("cut", [1, 7, 64, 1000, 5000])
+def test_xz_blocks_are_read_in_parts(spark, tmp_path, cut):
+    import random
+
+    rnd = random.Random(cut)
+    page = lambda i: PAGE % (f"Ü{i}", i, "", i, "".join(rnd.choices("ab <é&", k=rnd.randrange(3000))).replace("&", "&amp;").replace("<", "&lt;page>"))
+    xml = (DUMP % "\n".join(page(i) for i in range(12))).encode()
+    size = max(cut, len(xml) // 400)
+    parts = [xml[k : k + size] for k in range(0, len(xml), size)]
+    packed = one_stream(parts[:-1]) + lzma.compress(parts[-1]) + b"\0" * 8
+    assert lzma.decompress(packed[:-8]) == xml
+    path = tmp_path / "d.xml.xz"
+    path.write_bytes(packed)
+    with xz.opened(str(path)) as file:
+        every = xz.blocks(file)
+        assert len(every) == len(parts) and b"".join(b"".join(xz.decoded(file, b)) for b in every) == xml
+        for most in (1, 500, 10_000_000):
+            got = [r for first, behind in xz.ranges(file, most) for r in xz.records(file, first, behind, dump.BEGINS, dump.ENDS)]
+            assert got == dump.re.findall(rb"(?s)<page>.*?</page>", xml)
+    rows = dump.xz_pages(spark, str(path), part=300)
+    assert rows.rdd.getNumPartitions() > 1 if len(parts) > 20 else True
+    (tmp_path / "plain.xml").write_bytes(xml)
+    plain = dump.read_dump(spark, str(tmp_path / "plain.xml"))
+    assert sorted((r.page_id, r.title, r.wikitext) for r in rows.collect()) == sorted((r.page_id, r.title, r.wikitext) for r in plain.collect())
+
+
+def test_broken_xz_is_refused(tmp_path):
+    whole = lzma.compress(b"x" * 1000)
+    for bad in (whole[:-1], b"no xz file at all, not even near", whole[20:], whole[:-12] + b"\0" * 11 + b"Z"):
+        (tmp_path / "b.xz").write_bytes(bad)
+        with xz.opened(str(tmp_path / "b.xz")) as file, pytest.raises(lzma.LZMAError):
+            xz.blocks(file)
+    (tmp_path / "e.xz").write_bytes(lzma.compress(b""))
+    with xz.opened(str(tmp_path / "e.xz")) as file:
+        assert xz.ranges(file, 10) == [] or list(xz.records(file, 0, 1, dump.BEGINS, dump.ENDS)) == []
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "embedding_id string, chunk_id string, evidence_id string, domain string, topic string, model_version string, vector array<double>, source_hash string")
+
+
+def test_sqlite_store(spark, tmp_path):
+    import sqlite3
+
+    path = str(tmp_path / "store")
+    row = lambda i, domain="a", h="h", v=None: (f"e{i}", f"c{i}", f"v{i}", domain, "t", "m", v or [float(i), 0.5], h)
+    sqlite.write_vectors(vectors(spark, [row(i, "ab"[i % 2]) for i in range(100)]), path, shards=4)
+    assert len(os.listdir(path)) == 4
+    key = lambda df: {r.embedding_id: (r.domain, r.vector) for r in df.collect()}
+    assert key(sqlite.read_vectors(spark, path, rows_per_task=7)) == {f"e{i}": ("ab"[i % 2], [float(i), 0.5]) for i in range(100)}
+    found = sqlite.read_vectors(spark, path, domain="b")
+    assert set(key(found)) == {f"e{i}" for i in range(1, 100, 2)} and "domain" not in found._jdf.queryExecution().executedPlan().toString().split("Filter")[-1].split("\n")[0]
+    reader = sqlite.VectorReader({"path": path})
+    left = list(reader.pushFilters([sqlite.EqualTo(("domain",), "a"), sqlite.EqualTo(("source_hash",), "h")]))
+    assert len(left) == 1 and reader.where() == (" AND domain = ?", ["a"]) and sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == 50
+
+    sqlite.write_vectors(vectors(spark, [row(1, "z", "h1"), row(1, "y", "h0"), row(500, "z")]), path, shards=9)
+    now = key(sqlite.read_vectors(spark, path))
+    assert len(now) == 101 and now["e1"][0] == "z" and len(os.listdir(path)) == 4, "the number of shards stays"
+    con = sqlite3.connect(f"{path}/{sorted(os.listdir(path))[0]}")
+    con.execute("UPDATE embeddings SET vector_json = 'no'")
+    con.commit()
+    con.close()
+    assert sqlite.read_vectors(spark, path).filter("vector is null").count() > 0
+
+    one = tmp_path / "one.sqlite"
+    con = sqlite3.connect(one)
+    con.execute(sqlite.TABLE)
+    con.executemany("INSERT INTO embeddings VALUES (?, 'c', 'v', 'd', 't', 'm', '[1, 2]', 'h')", [(f"x{i}",) for i in range(30)])
+    con.commit()
+    con.close()
+    rows = sqlite.read_vectors(spark, str(one), rows_per_task=7)
+    assert rows.count() == 30 and rows.rdd.getNumPartitions() == 5
+    with pytest.raises(ValueError, match="read only"):
+        sqlite.write_vectors(rows, str(one))
+    sqlite.write_vectors(rows.limit(3), path, shards=2, overwrite=True)
+    assert sqlite.read_vectors(spark, path).count() == 3
+    assert sqlite.read_vectors(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_failed_write_leaves_the_store_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "store")
+    sqlite.write_vectors(vectors(spark, [(f"e{i}", "c", "v", "d", "t", "m", [1.0], "h") for i in range(20)]), path, shards=3)
+    before = {n: (tmp_path / "store" / n).read_bytes() for n in os.listdir(path)}
+    bad = vectors(spark, [("e1", "c", "v", "d", "t", "m", [2.0], "h")]).withColumn("topic", sqlite.F.raise_error(sqlite.F.lit("no more")).cast("string"))
+    with pytest.raises(Exception, match="no more"):
+        sqlite.write_vectors(bad, path)
+    writer = sqlite.VectorWriter({"path": path, "shards": "3"}, False)
+    (tmp_path / "store" / f".part-00000-of-00003.sqlite.{writer.run}.x").write_bytes(b"left behind")
+    writer.abort([])
+    assert {n: (tmp_path / "store" / n).read_bytes() for n in os.listdir(path)} == before
+
+
 def test_markdown_layer(spark, tmp_path):
     folder = tmp_path / "30" / "sub"
     folder.mkdir(parents=True)
