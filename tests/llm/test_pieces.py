@@ -32,38 +32,34 @@ def made_texts():
     return ["", " ", "  ", "▁", "a▁b", "a  b", "  a b  ", "\x00a", "\r\n", "é", "x" * 5000, " " * 5000, "ab" * 3000, "日" * 3000, *("".join(rnd.choices(letters, k=rnd.randrange(80))) for _ in range(3000))]
 
 
-def test_agenda_equals_the_library_with_and_without_cuts():
+def ids_of(encoder, texts):
+    return encoder.encode(pieces.pa.array(texts, pieces.pa.string())).to_pylist()
+
+
+def test_agendas_equal_the_library_with_and_without_cuts():
     vocabulary = pieces.Vocabulary(MODEL)
-    encoder = pieces.Encoder(vocabulary)
-    for text in made_texts():
-        want = LIBRARY.encode(text)
-        whole = vocabulary.agenda("▁" + text.replace(" ", "▁")).tolist() if text else []
-        assert whole == want, text
-        assert pieces.array("i", encoder.encode(text)).tolist() == want, text
-    encoder.check(LIBRARY)
+    texts = made_texts()
+    normal = ["▁" + text.replace(" ", "▁") if text else "" for text in texts]
+    want = [LIBRARY.encode(text) for text in texts]
+    assert [vocabulary.agenda(t).tolist() for t in normal] == want
+    short = [k for k, t in enumerate(normal) if len(t) < 200 and not vocabulary.tied.search(t)]
+    assert [pieces.array("i", x).tolist() for x in vocabulary.agendas([normal[k] for k in short])] == [want[k] for k in short]
+    encoder = pieces.Encoder(vocabulary, LIBRARY)
+    assert ids_of(encoder, texts) == want
+    assert [ids_of(encoder, [text])[0] for text in texts[:500]] == want[:500]
+    assert ids_of(encoder, [None, "", "a"]) == [[], [], LIBRARY.encode("a")] and ids_of(encoder, []) == [] and ids_of(encoder, [""]) == [[]]
 
 
 def test_a_difference_stops_the_job():
     vocabulary = pieces.Vocabulary(MODEL)
-    vocabulary.ids["▁this"] = 5
-    encoder = pieces.Encoder(vocabulary)
-    encoder.encode("this thing")
+    vocabulary.values[vocabulary.values % (1 << vocabulary.bits) == vocabulary.ids["▁this"]] -= 1
     with pytest.raises(ValueError, match="in the library"):
-        encoder.check(LIBRARY)
-
-
-def test_forgetting_changes_nothing(monkeypatch):
-    monkeypatch.setattr(pieces, "CACHED", 5)
-    encoder = pieces.Encoder(pieces.Vocabulary(MODEL))
-    for text in made_texts()[-300:]:
-        assert pieces.array("i", encoder.encode(text)).tolist() == LIBRARY.encode(text)
-        encoder.check(LIBRARY)
-        assert len(encoder) <= 5
+        pieces.Encoder(vocabulary, LIBRARY).encode(pieces.pa.array(["this thing"]))
 
 
 def test_edge_cases(spark, monkeypatch):
-    monkeypatch.setattr(pieces, "BATCH", 200)
-    monkeypatch.setattr(pieces, "PART", 50)
+    monkeypatch.setattr(pieces, "GROUP", 200)
+    monkeypatch.setattr(pieces, "ROWS", 3)
     rows = [("a", None), (None, ""), ("b", "one two"), ("b", "one two"), ("c", "long text. " * 20_000), ("d", "y" * 100_000), *((str(k), t) for k, t in enumerate(made_texts()[:40]))]
     df = spark.createDataFrame(rows, "doc_id string, text string").selectExpr("*", "1 AS ids", "2 AS id")
     for check in ("chunks", "texts"):
