@@ -7,8 +7,11 @@ For every remaining node the composite text density is characters per tag, times
 and tags are links and whose base grows with the share of linked characters. The node with the largest sum of its children's
 densities is the core. Walking from the body down to it, the least density on the path is the threshold: parts beside the path
 belong to the article if they are as dense, headings also where a lighter container holds them. An <article> or <main> around the
-core is taken whole. Inside what is taken density decides again: parts that are links for the most part, and parts below the
-threshold (or without links far below it) whose names hint at furniture (share, related, menu, ...), are left out; a dense part stays whatever it is called.
+core is taken whole, and further <article>s that are as dense. Inside what is taken density decides again: parts below the threshold
+(or without links far below it) whose names hint at furniture (share, related, menu, ...) are left out, and so are parts that are
+links for the most part, inside <article> and <main> only with or within such a name: an article's references and linked words are
+its own. Inside an <article> an id is a place to link to and names another voice only if that is the readers'; headings are
+never judged by name, and a header stays that holds the first heading of its article.
 
 Blocks (p, li, h1, tr, ...) become lines: character references decoded, white space of any kind turned into single spaces,
 trimmed; br and table cells separate words, not blocks. Nothing is dropped or cut by length. One pass without a shuffle.
@@ -57,8 +60,10 @@ OTHERS = re.compile(
     r"ads?|advert\w*|sponsor\w*|promo\w*|sidebars?|nav|navbar|navigation|menus?|breadcrumbs?|footer|header|masthead|cookies?|notices?|alerts?|consent|gdpr|popup|modal"
     r"|newsletter|subscri\w*|comments?|commentlist|disqus|respond|replies|login|signup|disclaimer|copyright"
 )
+#: Those of them that are readers' voices.
+READERS = re.compile(r"comments?|commentlist|disqus|respond|replies")
 #: Names that hint at furniture; these parts go only if they are less dense than the article.
-HINTS = re.compile(OTHERS.pattern + r"|banner|share|sharing|social|related|recommend\w*|reply|widgets?|pagination|pager|toolbar|skip")
+HINTS = re.compile(OTHERS.pattern + r"|banner|more|share|sharing|social|related|recommend\w*|reply|widgets?|pagination|pager|toolbar|skip")
 #: Parts of names that say nothing.
 PLAIN_PARTS = frozenset("list box container wrapper wrap section bar area block item items link links button buttons top bottom left right inner outer form post posts page site global content body text thread panel unit slot group row col column main".split())
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -144,38 +149,59 @@ class Page:
                     self.pieces.append((node, None))
 
 
-def _names(attrs: str) -> tuple[bool, bool]:
+def _names(attrs: str, in_article: bool) -> tuple[bool, bool]:
     """Whether one of the classes or the id consists of names of other voices, and whether one has a part that hints at furniture."""
     others = hint = False
     for name, value in ATTR.findall(attrs):
         if name.lower() in ("class", "id"):
+            voices = READERS if in_article and name.lower() == "id" else OTHERS
             for token in value.strip("\"'").split():
                 parts = [p.lower() for p in NAME_PART.findall(token)]
-                named = [p for p in parts if OTHERS.fullmatch(p)]
+                named = [p for p in parts if voices.fullmatch(p)]
                 others |= bool(named) and all(p in PLAIN_PARTS or HINTS.fullmatch(p) for p in parts)
                 hint |= any(HINTS.fullmatch(p) for p in parts)
     return others, hint
 
 
+def _titled(page: Page) -> set[int]:
+    """Headers that hold the first heading of the <article> or <main> they stand in."""
+    n = len(page.tag)
+    article, first = [0] * n, {}
+    for i in range(1, n):
+        up = page.parent[i]
+        article[i] = up if page.tag[up] in ("article", "main") else article[up]
+        if page.tag[i] in HEADINGS and article[i]:
+            first.setdefault(article[i], i)
+    out = set()
+    for i in first.values():
+        while page.tag[i] not in ("article", "main"):
+            if page.tag[i] == "header":
+                out.add(i)
+            i = page.parent[i]
+    return out
+
+
 def _set_aside(page: Page) -> tuple[list[bool], list[bool]]:
     """Whether a node is page furniture or lies in some, and whether its name hints at that."""
     n = len(page.tag)
-    has_h1, in_article = [False] * n, [False] * n
+    has_h1, in_article, inside = [False] * n, [False] * n, [False] * n
     for i in range(n - 1, 0, -1):
         has_h1[i] |= page.tag[i] == "h1"
         has_h1[page.parent[i]] |= has_h1[i]
-    out, hints = [False] * n, [False] * n
+    out, hints, titled = [False] * n, [False] * n, _titled(page)
     for i in range(1, n):
         up, tag = page.parent[i], page.tag[i]
         in_article[i] = in_article[up] or tag in ("article", "main")
+        inside[i] = inside[up] or tag == "article"
         if out[up] or tag in RAW:
             out[i] = True
             continue
-        titled = in_article[up] and has_h1[i]  # an article's own header
-        bad = tag in FURNITURE and not (tag == "header" and titled)
+        own_header = tag == "header" and in_article[up] and (has_h1[i] or i in titled)
+        bad = tag in FURNITURE and not own_header
         if page.attrs[i] and tag not in WHOLE and not bad:
-            others, hints[i] = _names(page.attrs[i])
-            bad = others and not has_h1[i]
+            if tag not in HEADINGS:
+                others, hints[i] = _names(page.attrs[i], inside[up])
+                bad = others and not has_h1[i]
             for name, value in ATTR.findall(page.attrs[i]):
                 name, value = name.lower(), value.strip("\"'")
                 if name == "role":
@@ -228,18 +254,22 @@ def content_nodes(page: Page, aside: list[bool], hints: list[bool]) -> list[bool
         path.append(page.parent[path[-1]])
     threshold = min((own[i] for i in path if own[i] and page.tag[i] not in ("#root", "html")), default=0.0)
     semantic = [i for i in path if page.tag[i] in ("article", "main")]
-    taken = [False] * n
+    taken, hinted = [False] * n, hints[:]
     taken[semantic[-1] if semantic else core] = True
     on_path = set(path)
     for i in range(1, n):
         up = page.parent[i]
         inside = taken[up]
         taken[i] |= inside
+        hinted[i] |= hinted[up]
         if i in on_path or aside[i]:
+            aside[i] |= aside[up]
             continue
         if not semantic and up in on_path and not inside:
             taken[i] = page.tag[i] in HEADINGS or own[i] >= threshold
-        listed = links[i] and page.tag[i] in BLOCKS and page.tag[i] not in HEADINGS
+        elif semantic and not inside and page.tag[i] == "article":
+            taken[i] = own[i] >= threshold > 0
+        listed = links[i] and page.tag[i] in BLOCKS and page.tag[i] not in HEADINGS and (hinted[i] or not semantic)
         if taken[i] and (hints[i] and own[i] < (1 if links[i] else LINKED) * threshold or listed and own[i] < LINKED * threshold):
             taken[i], aside[i] = False, True
     return taken

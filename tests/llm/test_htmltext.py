@@ -107,3 +107,45 @@ def test_density_decides_inside_an_article(monkeypatch):
 def test_dense_parts_stay_whatever_they_are_called():
     html = f'<article><h1>T</h1><p class="notice-period">{WORDS}</p><label>Label.</label><section class="social history"><p>{WORDS * 2}</p></section><div id="reply-effect">{WORDS * 3}</div><div class="comments-area"><p>{WORDS * 4}</p></div></article>'
     assert main_text(html).split("\n") == ["T", WORDS.strip(), "Label.", (WORDS * 2).strip(), (WORDS * 3).strip()]
+
+
+REFERENCES = '<ul><li><a href="/1">Doe: On sleep</a></li><li><a href="/2">Roe: On age</a></li></ul>'
+INSIDE = {
+    '<h2 id="copyright">Copyright law</h2>': ["Copyright law"],
+    f'<section id="navigation"><h2>Navigation at sea</h2><p>{WORDS * 3}</p></section>': ["Navigation at sea", (WORDS * 3).strip()],
+    '<p>See <a href=x>the first study</a> and <a href=y>the second study</a>.</p>': ["See the first study and the second study."],
+    REFERENCES: ["Doe: On sleep", "Roe: On age"],
+    '<p><a href="/whole">The whole text of the study is here</a></p>': ["The whole text of the study is here"],
+    '<h3 class="related">Related work</h3>': ["Related work"],
+    f'<div id="comments"><p>{WORDS * 4}</p></div>': [],
+    f'<div class="related">{REFERENCES}</div>': [],
+    f'<section class="navigation"><p>{WORDS * 3}</p></section>': [],
+    '<div id="share-buttons"><a href=x>Tweet</a> <a href=y>Post</a></div>': [],
+    f'<div class="more"><div>{REFERENCES}</div></div>': [],
+}
+
+
+def test_what_stands_between_two_paragraphs_of_an_article():
+    for part, want in INSIDE.items():
+        for tag in ("article", "main"):
+            if tag == "main" and 'id="navigation"' in part:
+                continue  # outside articles an id names a part of the page
+            html = f"<body><nav>n</nav><{tag}><h1>Title</h1><p>{WORDS * 2}</p>{part}<p>{WORDS}</p></{tag}><footer>f</footer></body>"
+            assert main_text(html).split("\n") == ["Title", (WORDS * 2).strip(), *want, WORDS.strip()], (tag, part)
+
+
+def test_headers_and_several_articles():
+    html = f"<body><header><h2>Site</h2></header><article><header><h2>The Title</h2></header><p>{WORDS}</p><header><h2>Not the first</h2></header><p>Be.</p></article></body>"
+    assert main_text(html).split("\n") == ["The Title", WORDS.strip(), "Be."]
+    teaser = '<article><a href=x><h3>Another story</h3></a><a href=y>Read it</a></article>'
+    html = f"<body><article><h2>One</h2><p>{WORDS * 2}</p></article>{teaser}<div><article><h2>Two</h2><p>{WORDS * 2}</p></article></div><article class='comment'><p>{WORDS * 3}</p></article></body>"
+    assert main_text(html).split("\n")[:2] == ["One", (WORDS * 2).strip()] and "Two" in main_text(html) and "Another" not in main_text(html)
+
+
+def test_density_chooses_inside_articles(monkeypatch):
+    """The cases above that density decides come out otherwise without it."""
+    html = f'<body><article><h1>T</h1><p>{WORDS}</p><section id="navigation"><p>{WORDS * 3}</p></section><div id="share"><a href=x>Tweet</a></div></article></body>'
+    want = ["T", WORDS.strip(), (WORDS * 3).strip()]
+    assert main_text(html).split("\n") == want
+    monkeypatch.setattr(htmltext, "densities", lambda page, aside: ([1.0] * len(page.tag), [1.0] * len(page.tag), [True] * len(page.tag)))
+    assert main_text(html).split("\n") != want
