@@ -8,9 +8,10 @@ Texts meet that are in the same cell of any sub-grid. At Jaccard 0.8 one sub-gri
 0.16, so all but about 1 in 30,000 of those pairs meet (calculated) and more above it; very small sets do less well (of sets of 4
 in sets of 5 about 1 in 100 is lost, simulated).
 
-Meeting has two steps, as a cell also holds texts that are not alike. First the rows of a cell carry FIRST words of the fingerprint:
-Manhattan bound on the embedding, then the exact distance, both at most FIRST_BITS. It only tells which texts have company in which
-cell. The second step is for those, with whole fingerprints and MOST_BITS. Its pairs are compared by their whole sets of shingle hashes.
+Meeting has two steps, as a cell also holds texts that are not alike. First the rows of a cell carry FIRST words of the fingerprint and
+the number of shingles: as links have at least 0.8 times as many of them as each other, a cell's rows are put in order of that number
+and each only meets the stretch of those in reach. Then the Manhattan bound on the embedding, then the exact distance, both at
+most FIRST_BITS. It only tells which texts have company in which cell. The second step is for those, with whole fingerprints and MOST_BITS. Its pairs are compared by their whole sets of shingle hashes.
 
 Texts with equal sets are one node. A large group does not emit all its pairs: first every node meets the NEXT nodes of its cell,
 in the order of their fingerprints, and the one nearest to the cell's commonest bits; the links found make components. Then only
@@ -120,12 +121,13 @@ def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes, fps = [], []
+        nodes, fps, sizes = [], [], []
         for text in batch.column(2):
             found = shingles(text.as_py())
             nodes.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
             fps.append(fingerprint(found).tobytes())
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(fps, pa.binary())], ["number", "id", "node", "fp"])
+            sizes.append(len(found))
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(fps, pa.binary()), pa.array(sizes, pa.int32())], ["number", "id", "node", "fp", "size"])
 
 
 def _whole(column: pa.Array, n: int = LONG + 1) -> np.ndarray:
@@ -137,20 +139,27 @@ def _emit_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (x.slice(k, 512) for x in batches for k in range(0, x.num_rows, 512)):
         node, fp = batch.column(0).to_numpy(), _whole(batch.column(1), WORDS)
         words = [pa.array(np.repeat(fp[:, w], GRIDS).view(np.int64)) for w in range(FIRST)]
-        yield pa.record_batch([pa.array(cells_of(fp).ravel()), pa.array(np.repeat(node, GRIDS)), *words], ["cell", "node", "a", "b"])
+        size = pa.array(np.repeat(batch.column(2).to_numpy(), GRIDS))
+        yield pa.record_batch([pa.array(cells_of(fp).ravel()), pa.array(np.repeat(node, GRIDS)), *words, size], ["cell", "node", "a", "b", "size"])
 
 
-def _meets(own: np.ndarray, others: np.ndarray, among: bool) -> np.ndarray:
-    """Which of own have company in others (among: others is own, and a row is no company to itself)."""
+def _meets(own: np.ndarray, size: np.ndarray, others: np.ndarray, sizes: np.ndarray, among: bool) -> np.ndarray:
+    """Which of own have company in others (among: others is own, and a row is no company to itself). Both are in order of their
+    numbers of shingles, of which only those in reach of each other are compared."""
     found = np.zeros(len(own), bool)
     for k in range(0, len(own), 64):
-        for m in range(k if among else 0, len(others), 1024):
-            i, j = _close(own[k : k + 64], others[m : m + 1024])
+        least, most = size[k], size[min(k + 64, len(own)) - 1]
+        low = k if among else int(np.searchsorted(sizes, np.ceil(SIMILAR * least - 1e-9)))
+        high = int(np.searchsorted(sizes, np.floor(most / SIMILAR + 1e-9), "right"))
+        for m in range(low, high, 1024):
+            i, j = _close(own[k : k + 64], others[m : min(m + 1024, high)])
             i, j = i + k, j + m
             if among:
                 i, j = (x[i < j] for x in (i, j))
-                found[j] = True
-            found[i] = True
+            near = np.minimum(size[i], sizes[j]) >= SIMILAR * np.maximum(size[i], sizes[j]) - 1e-9
+            found[i[near]] = True
+            if among:
+                found[j[near]] = True
     return found
 
 
@@ -180,15 +189,19 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int],
 
 
 def _company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the rows (cell, node, a, b) of a block those that are close to any other one of their cell."""
+    """Of the rows (cell, node, a, b, size) of a block those that are close to any other one of their cell."""
     place, own, met = None, [], None
 
-    def among() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        node, fp = (np.concatenate(x) for x in zip(*own, strict=True))
-        return node, fp, _meets(fp, fp, True)
+    def in_order(rows: list[np.ndarray]) -> list[np.ndarray]:
+        order = np.argsort(rows[2], kind="stable")
+        return [x[order] for x in rows]
+
+    def among() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        node, fp, size = in_order([np.concatenate(x) for x in zip(*own, strict=True)])
+        return node, fp, size, _meets(fp, size, fp, size, True)
 
     def company() -> pa.RecordBatch:
-        node, _, found = met or among()
+        node, _, _, found = met or among()
         return pa.record_batch([pa.array(np.full(int(found.sum()), place[0], np.int32)), pa.array(node[found])], ["cell", "node"])
 
     for here, role, rows in _runs(batches):
@@ -197,18 +210,20 @@ def _company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield company()
             place, own, met = here, [], None
         fp = np.stack([rows.column(c).to_numpy() for c in ("a", "b")], 1).view(np.uint64)
+        now = [rows.column("node").to_numpy(), fp, rows.column("size").to_numpy()]
         if role == 0:
-            own.append((rows.column("node").to_numpy(), fp))
+            own.append(now)
         elif own:  # blocks are dealt by a hash, so one may have no node
             met = met or among()
-            met[2][:] |= _meets(met[1], fp, False)
+            _, fp, size = in_order(now)
+            met[3][:] |= _meets(met[1], met[2], fp, size, False)
     if own:
         yield company()
 
 
 def _with_company(nodes: DataFrame) -> DataFrame:
-    """(cell, node) for the nodes (node, fp) that are close to another one of a cell."""
-    rows = nodes.select("node", "fp").mapInArrow(_emit_cells, "cell int, node long, a long, b long")
+    """(cell, node) for the nodes (node, fp, size) that are close to another one of a cell."""
+    rows = nodes.select("node", "fp", "size").mapInArrow(_emit_cells, "cell int, node long, a long, b long, size int")
     return _dealt(rows, CROWDED).mapInArrow(_company, "cell int, node long")
 
 
@@ -325,8 +340,8 @@ def near_classes(docs: DataFrame, number: str, doc_id: str, text: str) -> tuple[
         made.append(written(df, label))
         return made[-1]
 
-    every = made_of(docs.select(number, doc_id, text).mapInArrow(_fingerprints, f"number long, id {id_type}, node long, fp binary"), "fingerprints")
-    nodes = made_of(every.groupBy("node").agg(F.min("number").alias("number"), F.first("fp").alias("fp")), "nodes")
+    every = made_of(docs.select(number, doc_id, text).mapInArrow(_fingerprints, f"number long, id {id_type}, node long, fp binary, size int"), "fingerprints")
+    nodes = made_of(every.groupBy("node").agg(F.min("number").alias("number"), F.first("fp").alias("fp"), F.first("size").alias("size")), "nodes")
     near = made_of(_with_company(nodes), "near")
     some = nodes.join(near.select("node").distinct(), "node", "left_semi").select("node", "number")
     texts = some.join(docs.select(F.col(number).alias("number"), F.col(text).alias("text")), "number").select("node", "text")

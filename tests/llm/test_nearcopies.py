@@ -119,3 +119,50 @@ def test_rows_meet_by_simhash_only_and_crowded_cells_are_cut(spark, monkeypatch)
     assert {r.doc_id for r in N.keep_one_per_class(docs).collect()} == want
     monkeypatch.setattr(N, "FIRST_BITS", -1)
     assert N.keep_one_per_class(docs).count() == len({t for _, t in rows})
+
+
+def test_stage_keeps_what_exact_jaccard_keeps_on_the_whole_table(spark):
+    """All pairs of sf0.01's different texts, those of unlike lengths left out."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    grams, first = {}, {}
+    for i, text in rows:
+        w = (text or "").lower().split()
+        key = frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) or frozenset([tuple(w)])
+        first.setdefault(key, i)
+        grams[i] = key
+    sets = sorted(first, key=len)
+    root = {s: s for s in sets}
+
+    def top(s):
+        while root[s] is not s:
+            s = root[s]
+        return s
+
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            if len(sets[a]) < 0.8 * len(sets[b]):
+                break
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                root[top(sets[a])] = top(sets[b])
+    want = {}
+    for s in sets:
+        want[id(top(s))] = min(want.get(id(top(s)), first[s]), first[s])
+    assert {r.doc_id for r in N.keep_one_per_class(docs).collect()} == set(want.values()) and len(want) < len(sets)
+
+
+def test_only_rows_of_like_size_are_compared(monkeypatch):
+    """The order by size leaves out pairs that cannot be links, and no other."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, (1, N.FIRST)).astype(np.uint64)
+    fps = np.repeat(base, 700, 0) ^ (np.uint64(1) << rng.integers(0, 64, (700, N.FIRST)).astype(np.uint64))  # all are close
+    size = np.sort(rng.integers(1, 5000, 700)).astype(np.int32)
+    near = (np.minimum(size[:, None], size) >= 0.8 * np.maximum(size[:, None], size)) & ~np.eye(700, dtype=bool)
+    compared, real = [], N._close
+    monkeypatch.setattr(N, "_close", lambda a, b: compared.append(len(a) * len(b)) or real(a, b))
+    assert (N._meets(fps, size, fps, size, True) == near.any(1)).all()
+    assert sum(compared) < 0.4 * 700 * 700 / 2
+    other = np.sort(rng.integers(1, 9000, 300)).astype(np.int32)
+    want = (np.minimum(size[:, None], other) >= 0.8 * np.maximum(size[:, None], other)).any(1)
+    assert (N._meets(fps, size, fps[:300], other, False) == want).all()
