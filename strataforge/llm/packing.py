@@ -10,8 +10,9 @@ permitted length that holds its contents.
 The packing is that of the whole corpus, not of partitions: it only depends on how many pieces of each length there are, a table
 with as many rows as the largest length has tokens at most. The driver packs that table, equal bins at once, and what comes out
 is a short plan: which ranks among the pieces of a length go to which range of bins. Pieces get their ranks by a window over
-(length, salt) and the counts of smaller salts, and look up their bin. The salt comes from the row's number, so neither a length
-that a third of all pieces share nor an id that repeats makes a large group.
+(length, salt) and the counts of smaller salts, and look up their bin. The salt comes from the row's number, and a length has as many
+salts as its pieces fill windows of RANKED, so neither a length that a third of all pieces share (as all whole pieces of cut
+documents do) nor an id that repeats makes a large group at any size.
 
 Edge cases: a null or empty text is the end token alone; repeated rows are packed each; null doc_ids are packed as well; an
 empty table gives an empty result; other columns are ignored, whatever their names.
@@ -32,7 +33,8 @@ from pyspark.sql import types as T
 from strataforge.llm.common import Shared, written
 
 SIZES = (256, 512, 1024, 2048, 4096)
-SALTS = 512
+#: Pieces that a window ranks, or about so.
+RANKED = 2000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Bytes of piece texts that a batch holds.
 BATCH = 16 << 20
@@ -166,13 +168,22 @@ def _cut(most: int, texts: bool):
     return cut
 
 
+def _salted(pieces: DataFrame, by_length: dict[int, int]) -> DataFrame:
+    """Adds a salt below the number of windows that a length's pieces fill."""
+    salts = pieces.sparkSession.createDataFrame([(n, -(-held // RANKED)) for n, held in by_length.items()], "n_tokens long, salts long")
+    return pieces.join(F.broadcast(salts), "n_tokens").withColumn("salt", F.pmod(F.xxhash64("number"), F.col("salts"))).drop("salts")
+
+
 def packed_documents(docs: DataFrame, sizes: Sequence[int] = SIZES, texts: bool = False) -> DataFrame:
     """A row for each piece: doc_id, piece, first_token, n_tokens, bin_id, bin_offset, bin_size, and with texts the piece's
     part of the text (the parts of a document make up its text)."""
-    pieces = written(docs.select("doc_id", "text").mapInArrow(_cut(max(sizes), texts), "doc_id long, piece long, first_token long, n_tokens long, text string").withColumn("number", F.monotonically_increasing_id()).withColumn("salt", F.pmod(F.xxhash64("number"), F.lit(SALTS))), "pieces")
-    counts = written(pieces.groupBy("n_tokens", "salt").count(), "lengths")
-    plan = pack({r.n_tokens: r.n for r in counts.groupBy("n_tokens").agg(F.sum("count").alias("n")).collect()}, sizes)
-    shared = Shared(docs.sparkSession, plan)
+    spark = docs.sparkSession
+    pieces = written(docs.select("doc_id", "text").mapInArrow(_cut(max(sizes), texts), "doc_id long, piece long, first_token long, n_tokens long, text string").withColumn("number", F.monotonically_increasing_id()), "pieces")
+    by_length = {r.n_tokens: r.n for r in pieces.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}  # a row a length, max(sizes) at most
+    plan = pack(by_length, sizes)
+    pieces = _salted(pieces, by_length)
+    counts = pieces.groupBy("n_tokens", "salt").count()
+    shared = Shared(spark, plan)
     whole = {"bin_id": T.LongType(), "bin_offset": T.LongType(), "bin_size": T.LongType()}
 
     @F.arrow_udf(T.StructType([T.StructField(k, v) for k, v in whole.items()]))

@@ -97,12 +97,12 @@ def test_rows_of_one_id_are_spread(spark):
     from pyspark.sql import functions as F
 
     docs = spark.range(4000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one two three").alias("text"))
-    seen = []
-    real = P.written
+    old, P.RANKED = P.RANKED, 50
     try:
-        P.written = lambda df, label: seen.append((label, real(df, label))) or seen[-1][1]
-        assert P.packed_documents(docs).count() == 4000
+        rows = P.packed_documents(docs).collect()
+        pieces = P._salted(docs.select(F.lit(4).cast("long").alias("n_tokens"), F.monotonically_increasing_id().alias("number")), {4: 4000})
+        sizes = [r["count"] for r in pieces.groupBy("n_tokens", "salt").count().collect()]
     finally:
-        P.written = real
-    pieces = dict(seen)["pieces"]
-    assert pieces.groupBy("n_tokens", "salt").count().agg(F.max("count")).first()[0] < 40
+        P.RANKED = old
+    assert len(sizes) == 80 and max(sizes) < 100 and sum(sizes) == 4000
+    check(rows, [(7, "one two three")] * 4000, P.SIZES)
