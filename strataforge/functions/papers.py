@@ -147,6 +147,37 @@ def paper_file_name(title: Column, authors: Column, year: Column, length: int =
     return F.concat(safe_name(F.concat(cut_at_word(without_noise(title), F.greatest(F.lit(10), F.lit(length) - F.length(rest))), rest)), F.lit(".pdf"))
 
 
+# What ends a list of authors, and how a bracket with authors looks.
+AND_OTHERS = "(?i)\\s*(?:etc\\.?|u\\.a\\.?|and others|et al\\.?)$"
+AUTHOR_BRACKET = "(?i)\\(([a-zäöüÄÖÜ][^()]{2,120}?(?:,\\s*[a-zäöüÄÖÜ][^()]{2,80}?)*)\\)"
+
+
+def author_names(text: Column, most: int = 2) -> Column:
+    """Surnames of a list of authors in one text, parted by commas or semicolons; a text of single letters stays as it is."""
+    plain = F.trim(F.regexp_replace(text, AND_OTHERS, ""))
+    names = F.filter(F.transform(F.split(plain, "[;,]"), F.trim), lambda n: F.length(n) > 1)
+    last = F.transform(names, lambda n: F.element_at(F.split(n, "\\s+"), -1))
+    joined = F.concat(F.array_join(F.slice(last, 1, most), ", "), F.when(F.size(last) > most, " et al.").otherwise(""))
+    return F.when(F.size(names) == 0, plain).otherwise(joined)
+
+
+def pdf_name(stem: Column, title: Column, author: Column, length: int = 120, most: int = 2) -> Column:
+    """A PDF's new name without ending, `title - authors (year)`: from its metadata, and where they say nothing from its old name, whose
+    bracketed sites, year and authors are taken off. The year is always the old name's."""
+    clean = without_noise(stem)
+    undated = F.trim(F.regexp_replace(clean, "\\(\\s*\\d{4}\\s*\\)", ""))
+    bracket = F.regexp_extract(undated, AUTHOR_BRACKET, 1)
+    bare = F.trim(F.regexp_replace(undated, "^(.*?)" + AUTHOR_BRACKET, "$1"))
+    parsed = F.regexp_replace(F.regexp_replace(bare, "\\(\\s*\\)", ""), "^[ \\-_]+|[ \\-_]+$", "")
+    stated, people = (F.nullif(without_noise(F.coalesce(c, F.lit(""))), F.lit("")) for c in (title, author))
+    found = F.coalesce(stated, F.nullif(parsed, F.lit("")), stem)
+    by = F.nullif(author_names(F.coalesce(people, F.when(stated.isNull(), F.nullif(bracket, F.lit(""))), F.lit("")), most), F.lit(""))
+    year = F.nullif(F.regexp_extract(clean, "\\b(1[89]\\d{2}|20[0-2]\\d)\\b", 1), F.lit(""))
+    rest = F.concat(F.coalesce(F.concat(F.lit(" - "), by), F.lit("")), F.coalesce(F.concat(F.lit(" ("), year, F.lit(")")), F.lit("")))
+    whole = safe_name(F.concat(cut_at_word(found, F.greatest(F.lit(10), F.lit(length) - F.length(rest))), rest))
+    return F.when(F.length(whole) > length, safe_name(cut_at_word(whole, length))).otherwise(whole)
+
+
 def download_name(year: Column, identifier: Column, title: Column) -> Column:
     """Year, id and title as one word; 0000 without a year."""
     plain = F.substring(F.regexp_replace(identifier, "(?U)[^\\w]", ""), 1, 15)
@@ -154,6 +185,28 @@ def download_name(year: Column, identifier: Column, title: Column) -> Column:
     return F.concat_ws("_", F.coalesce(year.cast("string"), F.lit("0000")), plain, words)
 
 
+def download_path(source: Column, year: Column, identifier: Column, title: Column, ending: Column) -> Column:
+    """Where a download goes: a folder by source, the name by year, id and title."""
+    return F.concat(F.coalesce(F.nullif(source, F.lit("")), F.lit("unknown")), F.lit("/"), download_name(year, identifier, title), ending)
+
+
+#: Fixed value: bytes that a download has at least.
+LEAST_BYTES = 1024
+
+
+def download_urls(pdf: Column, fulltext: Column, doi: Column) -> Column:
+    """The addresses to try, in order: PDF, full text, DOI's resolver."""
+    resolver = F.when(F.length(F.coalesce(doi, F.lit(""))) > 0, F.concat(F.lit("https://doi.org/"), doi))
+    return F.array_compact(F.array(F.nullif(pdf, F.lit("")), F.nullif(fulltext, F.lit("")), resolver))
+
+
+def download_ending(url: Column, status: Column, kind: Column, size: Column) -> Column:
+    """.pdf or .html for an answer that is a paper; null for any other status, type, or one that is too short."""
+    is_pdf = F.contains(F.coalesce(kind, F.lit("")), F.lit("pdf")) | F.lower(url).endswith(".pdf")
+    ending = F.when(is_pdf, ".pdf").when(F.contains(F.coalesce(kind, F.lit("")), F.lit("html")), ".html")
+    return F.when((status == 200) & (size >= LEAST_BYTES), ending)
+
+
 def best_url(pdf: Column, fulltext: Column, doi: Column) -> Column:
     """The PDF, else the full text, else the DOI's resolver."""
     resolver = F.when(F.length(F.coalesce(doi, F.lit(""))) > 0, F.concat(F.lit("https://doi.org/"), doi))

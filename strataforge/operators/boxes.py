@@ -65,3 +65,16 @@ def markdown_tables(rows: DataFrame, page: list[str]) -> DataFrame:
     lines = rows.withColumn("_line", F.when(F.col("row") == 1, F.concat(line, F.lit("\n"), rule)).otherwise(line))
     every = F.array_sort(F.collect_list(F.struct("row", "_line")))  # the lines of one table on one page
     return lines.groupBy(*page, "table").agg(every.alias("_lines")).select(*page, "table", F.array_join(F.transform("_lines", lambda x: x["_line"]), "\n").alias("markdown"))
+
+
+#: How much larger than the body a heading is at least, and the steps above it where no size is.
+ABOVE, STEPS = 0.5, (6.0, 3.0, 1.0)
+
+
+def heading_sizes(lines: DataFrame, document: list[str], size: str = "size", weight: str = "weight") -> DataFrame:
+    """Per document: the body's size, which most text has (of equal ones the smallest), and the three largest sizes above it, which are
+    the headings'. Sizes are summed up first, so a document of any length comes down to its few sizes."""
+    sums = lines.groupBy(*document, F.col(size).cast("double").alias("_size")).agg(F.sum(weight).alias("_weight"))
+    per = sums.groupBy(*document).agg(F.max_by("_size", F.struct("_weight", -F.col("_size"))).alias("body"), F.sort_array(F.collect_list("_size"), asc=False).alias("_sizes"))
+    larger = F.slice(F.filter("_sizes", lambda s: s > F.col("body") + ABOVE), 1, 3)
+    return per.select(*document, "body", F.when(F.size(larger) > 0, larger).otherwise(F.array(*(F.col("body") + s for s in STEPS))).alias("headings"))

@@ -43,6 +43,18 @@ def directory_checksum(files: DataFrame, group: str | None = None, path: str = "
     return now.select(*keys, "files", "checksum")
 
 
+def set_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Keys that only one side has, and those that both have: key and side (old, both, new). One full outer join of distinct keys."""
+    a, b = (df.select(F.col(key).alias(name)).distinct() for df, name in ((old, "a"), (new, "b")))
+    both = a.join(b, F.col("a") == F.col("b"), "full")
+    return both.select(F.coalesce("a", "b").alias(key), F.when(F.col("b").isNull(), "old").when(F.col("a").isNull(), "new").otherwise("both").alias("side"))
+
+
+def exact_groups(rows: DataFrame, text: str, key: str) -> DataFrame:
+    """Groups of equal texts by digest: hash, the least key and the number of copies; combined in the tasks."""
+    return rows.groupBy(F.sha2(text, 256).alias("hash")).agg(F.min(key).alias(key), F.count("*").alias("copies"))
+
+
 def write_status(old: DataFrame, new: DataFrame, key: str, digest: str, force: bool = True) -> DataFrame:
     """created, updated or skipped for each new row; without force rows that exist are skipped."""
     before = old.select(F.col(key).alias("old_key"), F.col(digest).alias("old_digest"))

@@ -267,6 +267,20 @@ def wiki_pages(evidence: DataFrame, domain: str) -> DataFrame:
     return pages.select("topic", "entries", F.concat(head, F.array_join(F.transform("all", lambda x: x["section"]), "\n")).alias("page"))
 
 
+def page_lines(evidence: DataFrame, domain: str) -> DataFrame:
+    """Topic pages as rows of topic, place and value: a head, then an entry a row in order of evidence_id."""
+    sections = wiki_sections(evidence)
+    head = F.concat(F.lit("# Topic "), "topic", F.lit(f"\n\nDomain: {domain}\nEntries: "), F.count("*").cast("string"), F.lit("\n"))
+    heads = sections.groupBy("topic").agg(head.alias("value")).select("topic", F.lit("").alias("place"), "value")
+    return heads.unionByName(sections.select("topic", F.col("evidence_id").alias("place"), F.col("section").alias("value")))
+
+
+def write_pages(evidence: DataFrame, domain: str, path: str) -> None:
+    """A text file a topic, below path/topic=...: written row by row from sorted entries, so no row or memory holds a page."""
+    lines = page_lines(evidence, domain).repartition("topic").sortWithinPartitions("topic", "place")
+    lines.select("topic", "value").write.mode("overwrite").partitionBy("topic").text(path)
+
+
 def wiki_readme(evidence: DataFrame, domain: str) -> DataFrame:
     """The page that lists all topics."""
     topics = F.array_sort(F.collect_set("topic"))

@@ -10,6 +10,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+# How sentences end, and how lists, headings, fields and fences begin.
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 LIST_START = re.compile(r"\s*(?:[-*+]|\d+[.)])\s+")
 HEADING = re.compile(r"#{1,6}\s+")
@@ -45,7 +46,7 @@ def normalise_body(body: str, title: str) -> tuple[str, list[str]]:
                 tops += 1
                 line = line if tops == 1 else "#" + line
         out.append(line)
-    warnings = []
+    warnings = []  # fixed values: their texts
     if not tops:
         out[:0] = [f"# {title}", ""]
         warnings.append("Inserted missing H1 heading.")
@@ -194,51 +195,66 @@ class Chunk:
     tokens: int
 
 
-def _windows(text: str, most: int, number: int, step: int) -> list[Block]:
-    words = text.split()
-    return [Block("paragraph", " ".join(words[k : k + most]), number + n * step, number + n * step) for n, k in enumerate(range(0, len(words), most))]
+Part = tuple[int, str]
+
+
+def _parts(text: str) -> list[Part]:
+    """A text's sentences with their numbers of words, or all of it where it has one."""
+    found = [(len(s.split()), s.strip()) for s in SENTENCE_END.split(text.strip()) if s.strip()]
+    return found if len(found) > 1 else [(len(text.split()), text)]
+
+
+def _filled(parts: list[Part], most: int) -> Iterator[list[Part]]:
+    """Neighbouring parts as groups of at most `most` words; a part above it is a group alone."""
+    group: list[Part] = []
+    for part in parts:
+        if group and sum(n for n, _ in group) + part[0] > most:
+            yield group
+            group = []
+        group.append(part)
+    if group:
+        yield group
 
 
 def pieces(block: Block, rules: Rules) -> list[Block]:
     """A block within the maximum as it is; else groups of sentences, and windows of words of sentences that are too long. Pieces
     keep the block's number. With parity they count on from it, and so may overlap the next block's, and a long sentence comes
     before the shorter ones that were waiting."""
-    if len(block.text.split()) <= rules.maximum:
-        return [block]
-    if block.kind == "table" and not rules.split_tables or block.kind == "code" and (not rules.split_code or rules.parity) or block.kind == "heading":
-        return [block]
-    if block.kind == "table" and rules.parity:
+    splittable = {"paragraph", "list", "blockquote"} | ({"table"} if rules.split_tables and not rules.parity else set()) | ({"code"} if rules.split_code and not rules.parity else set())
+    if len(block.text.split()) <= rules.maximum or block.kind not in splittable:
         return [block]
-    step = int(rules.parity)
-    parts = [s.strip() for s in SENTENCE_END.split(block.text.strip()) if s.strip()]
-    if len(parts) <= 1:
-        return _windows(block.text, rules.maximum, block.start, step)
-    out: list[Block] = []
-    waiting: list[str] = []
-    size, number = 0, block.start
+    texts = (_parity_pieces if rules.parity else _pieces)(_parts(block.text), rules.maximum)
+    return [Block("paragraph", text, block.start + n, block.start + n) for n, text in texts]
 
-    def flush() -> None:
-        nonlocal number, size
-        if waiting:
-            out.append(Block("paragraph", " ".join(waiting), number, number))
-            waiting.clear()
-            number, size = number + step, 0
 
-    for part in parts:
-        n = len(part.split())
-        if n > rules.maximum:
-            if not rules.parity:
-                flush()
-            out += _windows(part, rules.maximum, number, step)
-            number += step
-            continue
-        if waiting and size + n > rules.maximum:
-            flush()
-        waiting.append(part)
-        size += n
-    if waiting:
-        out.append(Block("paragraph", " ".join(waiting), number, number))
-    return out
+def _windows(text: str, most: int) -> list[str]:
+    words = text.split()
+    return [" ".join(words[k : k + most]) for k in range(0, len(words), most)]
+
+
+def _pieces(parts: list[Part], most: int) -> Iterator[tuple[int, str]]:
+    for group in _filled(parts, most):
+        yield from ((0, x) for x in (_windows(group[0][1], most) if group[0][0] > most else [" ".join(text for _, text in group)]))
+
+
+def _parity_pieces(parts: list[Part], most: int) -> Iterator[tuple[int, str]]:
+    """Groups leave out long sentences, which stand where they were met; numbers count pieces, those of a long sentence from its own."""
+    if len(parts) == 1:
+        yield from enumerate(_windows(parts[0][1], most))
+        return
+    groups = [" ".join(text for _, text in group) for group in _filled([p for p in parts if p[0] <= most], most)]
+    number, size, done = 0, 0, 0
+    for n, text in parts:
+        if n > most:
+            yield from ((number + k, x) for k, x in enumerate(_windows(text, most)))
+            number += 1
+        elif size and size + n > most:
+            yield number, groups[done]
+            number, size, done = number + 1, n, done + 1
+        else:
+            size += n
+    if done < len(groups):
+        yield number, groups[done]
 
 
 def plan_chunks(markdown: str, rules: Rules = Rules()) -> list[Chunk]:

@@ -164,6 +164,14 @@ def wiki_page_text(spark, d):
     return stages.wiki_pages(stages.build_evidence(chunks_of(spark, d)), "corpus")
 
 
+@query(f"""WITH {EVIDENCE} SELECT topic, '' AS place, '# Topic ' || topic || chr(10) || chr(10) || 'Domain: corpus' || chr(10) || 'Entries: ' || count(*) || chr(10) AS value FROM evidence GROUP BY topic
+UNION ALL SELECT topic, evidence_id, '## ' || evidence_id || chr(10) || chr(10) || '- chunk_id: ' || chunk_id || chr(10) || '- document_id: ' || document_id || chr(10) || '- chapter_id: ' || chapter_id || chr(10) || '- token_count: ' || token_count || chr(10) || chr(10)
+|| trim(content_preview, ' ' || chr(10)) || chr(10) FROM evidence""")
+def wiki_page_lines(spark, d):
+    """Topic pages as rows: what write_pages writes, in any size."""
+    return stages.page_lines(stages.build_evidence(chunks_of(spark, d)), "corpus")
+
+
 @query("""SELECT '# Wiki corpus' || chr(10) || chr(10) || '## Topics' || chr(10) || chr(10) || string_agg('- [' || lang || '](' || lang || '.md)', chr(10) ORDER BY lang) AS page FROM (SELECT DISTINCT lang FROM documents)""")
 def wiki_readme(spark, d):
     return stages.wiki_readme(table(spark, d, "documents").select(F.col("lang").alias("topic")), "corpus")
@@ -321,7 +329,7 @@ def dup_ids(spark, d):
 
 @query("SELECT sha256(text) AS hash, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
 def exact_dedup(spark, d):
-    return table(spark, d, "documents").groupBy(F.sha2("text", 256).alias("hash")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    return incremental.exact_groups(table(spark, d, "documents"), "text", "doc_id")
 
 
 @query("SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
@@ -488,8 +496,7 @@ def rename_log(spark, d):
 @query("""SELECT doc_id, 'old' AS side FROM documents ANTI JOIN labels USING (doc_id) UNION ALL SELECT doc_id, 'both' FROM (SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels) UNION ALL SELECT vec_id, 'new' FROM (SELECT vec_id FROM embeddings EXCEPT SELECT doc_id FROM documents)""")
 def set_operations(spark, d):
     a, b, c = (table(spark, d, t).select(F.col(k).alias("doc_id")) for t, k in (("documents", "doc_id"), ("labels", "doc_id"), ("embeddings", "vec_id")))
-    side = lambda df, name: df.withColumn("side", F.lit(name))
-    return side(a.subtract(b), "old").unionByName(side(a.intersect(b), "both")).unionByName(side(c.subtract(a), "new"))
+    return incremental.set_changes(a, b, "doc_id").filter("side <> 'new'").unionByName(incremental.set_changes(a, c, "doc_id").filter("side = 'new'"))
 
 
 # ---- cleanup
@@ -910,12 +917,11 @@ def answer_context(spark, d):
     return retrieval.answer_context([("wiki", found.limit(0)), ("evidence", found)]).select("id", "score", "layer", "confidence")
 
 
-@query("""SELECT l_returnflag AS grp, max_by(l_linenumber, (w, -l_linenumber)) AS body, list_slice(list_sort(list(l_linenumber), 'DESC'), 1, 3)[1] AS h1
-FROM (SELECT l_returnflag, l_linenumber, sum(l_quantity) AS w FROM lineitem GROUP BY 1, 2) GROUP BY 1""")
+@query("""WITH w AS (SELECT l_returnflag AS grp, l_linenumber::DOUBLE AS size, sum(l_quantity) AS w FROM lineitem GROUP BY 1, 2), b AS (SELECT grp, max_by(size, (w, -size)) AS body FROM w GROUP BY grp),
+h AS (SELECT grp, body, list(size ORDER BY size DESC) FILTER (size > body + 0.5) AS larger FROM w JOIN b USING (grp) GROUP BY ALL) SELECT grp, body, CASE WHEN len(larger) > 0 THEN larger[1:3] ELSE [body + 6, body + 3, body + 1] END AS headings FROM h""")
 def weighted_mode(spark, d):
-    sums = table(spark, d, "lineitem").groupBy("l_returnflag", "l_linenumber").agg(F.sum("l_quantity").alias("w"))
-    largest = F.slice(F.sort_array(F.collect_list("l_linenumber"), False), 1, 3)
-    return sums.groupBy(F.col("l_returnflag").alias("grp")).agg(F.max_by("l_linenumber", F.struct("w", -F.col("l_linenumber"))).alias("body"), largest[0].alias("h1"))
+    lines = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("grp"), F.col("l_linenumber").alias("size"), F.col("l_quantity").alias("weight"))
+    return boxes_of.heading_sizes(lines, ["grp"])
 
 
 @query("""SELECT stage, position::INT AS position FROM (VALUES ('discover_sources', 0), ('ingest', 1), ('chapter_splitter', 2), ('chunk_builder', 3), ('evidence_index', 4), ('embedding_builder', 5), ('wiki_builder', 6), ('analysis_builder', 7)) t(stage, position)""")

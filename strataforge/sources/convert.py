@@ -20,6 +20,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
+from itertools import groupby
 from posixpath import dirname, join, normpath
 
 import pyarrow as pa
@@ -346,38 +347,35 @@ CHAPTER_LINES = [
 ]
 
 
-def heading_level(line: str) -> int:
-    """1 to 4 for lines that look like headings, else 0."""
-    if m := re.match(r"(#{1,4})\s+\S", line):
-        return len(m[1])
-    if any(p.match(line) for p in CHAPTER_LINES):
-        return 1
-    return 2 if len(line) < 60 and line[0].isupper() and line[-1] not in ".,;:?!" else 0
+# How a list item and a heading line of plain text look, and what a heading does not end in.
+TEXT_ITEM = re.compile(r"([-*•·]|(\d+)[.)]) +(.+)")
+HEADING_MARKS = re.compile(r"(#{1,4})\s+(?=\S)")
+LONGEST_HEADING, NO_HEADING_END = 60, tuple(".,;:?!")
+
+
+def text_block(line: str) -> Block:
+    """A stripped line by itself: a heading, a list item, text, or nothing."""
+    marks, item = HEADING_MARKS.match(line), TEXT_ITEM.match(line)
+    short = len(line) < LONGEST_HEADING and line[:1].isupper() and not line.endswith(NO_HEADING_END)
+    level = len(marks[1]) if marks else 1 if any(p.match(line) for p in CHAPTER_LINES) else 2 * short
+    if level:
+        return Block(f"h{level}", line.lstrip("#").strip())
+    return Block("li", item[3].strip(), order=int(item[2] or 0)) if item else Block("p", line)
 
 
 def from_text(data: bytes, name: str) -> Document:
+    """Lines of text that follow each other are a paragraph; blank lines only part them."""
     doc = Document(stem_of(name), name.rpartition(".")[2].upper() or "TXT", name)
-    chapter, waiting = doc.open("Inhalt"), []
-
-    def flush() -> None:
-        if waiting:
-            chapter.blocks.append(Block("p", " ".join(waiting)))
-            waiting.clear()
-
-    for line in map(str.strip, decoded(data).splitlines()):
-        level = heading_level(line) if line else 0
-        item = re.match(r"([-*•·]|\d+[.)]) +(.+)", line)
-        if not line or level or item:
-            flush()
-        if level == 1:
-            chapter = doc.open(line.lstrip("#").strip())
-        elif level:
-            chapter.blocks.append(Block(f"h{level}", line.lstrip("#").strip()))
-        elif item:
-            chapter.blocks.append(Block("li", item[2].strip(), order=int(re.match(r"\d+", item[1])[0]) if item[1][0].isdigit() else 0))
-        elif line:
-            waiting.append(line)
-    flush()
+    chapter = doc.open("Inhalt")
+    blocks = [text_block(line) if line else None for line in map(str.strip, decoded(data).splitlines())]
+    for kind, run in groupby(blocks, key=lambda b: b.kind if b else ""):
+        if kind == "p":
+            chapter.blocks.append(Block("p", " ".join(b.text for b in run)))
+        elif kind == "h1":
+            for head in run:
+                chapter = doc.open(head.text)
+        elif kind:
+            chapter.blocks += run
     return doc
 
 
@@ -453,13 +451,14 @@ def parse_xml(data: bytes) -> ET.Element:
 
 # ---- zip formats
 
-MOST_UNPACKED = 512 << 20
+#: An archive that unpacks to more than so many bytes, and so many times its size, is a bomb and no document.
+BOMB_BYTES, BOMB_TIMES = 512 << 20, 200
 
 
 class Archive:
     def __init__(self, data: bytes):
         self.zip = zipfile.ZipFile(io.BytesIO(data))
-        if sum(i.file_size for i in self.zip.infolist()) > MOST_UNPACKED:
+        if sum(i.file_size for i in self.zip.infolist()) > max(BOMB_BYTES, BOMB_TIMES * len(data)):
             raise ValueError("archive unpacks to too much")
         self.names = set(self.zip.namelist())
 

@@ -80,8 +80,8 @@ def read_dump(spark: SparkSession, path: str) -> DataFrame:
     if path.lower().endswith(".xz"):
         stub = F.concat(F.lit("#REDIRECT [["), "redirect", F.lit("]]"))
         return xz_pages(spark, path).select("ns", "title", "page_id", "revision_id", "updated_at", F.coalesce("wikitext", stub).alias("wikitext"), F.lit(path).alias("source_path"))
-    rows = spark.read.format("xml").option("rowTag", "page").schema(SCHEMA).load(path)
-    text = F.coalesce("revision.text._VALUE", F.concat(F.lit("#REDIRECT [["), "redirect._title", F.lit("]]")))
+    rows = spark.read.format("xml").option("rowTag", "page").option("ignoreSurroundingSpaces", "false").schema(SCHEMA).load(path)
+    text = F.coalesce(F.nullif("revision.text._VALUE", F.lit("")), F.concat(F.lit("#REDIRECT [["), "redirect._title", F.lit("]]")))
     return rows.select("ns", "title", F.col("id").alias("page_id"), F.col("revision.id").alias("revision_id"), F.col("revision.timestamp").alias("updated_at"), text.alias("wikitext"), F.lit(path).alias("source_path"))
 
 
@@ -92,7 +92,7 @@ def article_text(pages: DataFrame, domain: str) -> DataFrame:
     name = slug(F.col("title"))
     url = F.concat(F.lit("https://en.wikipedia.org/wiki/"), F.replace("title", F.lit(" "), F.lit("_")))
     fields = {"source": F.lit("wikipedia_offline_dump"), "source_url": url, "title": F.col("title"), "page_id": F.col("page_id").cast("string"), "revision_id": F.col("revision_id").cast("string"), "updated_at": F.col("updated_at"), "lineage_source_id": F.concat(F.lit("wiki_en_"), name), "lineage_document_id": F.concat(F.lit(f"{domain}_wiki_"), name)}
-    lines = [F.concat(F.lit(f"{k}: "), F.to_json(F.struct(F.coalesce(v, F.lit("")).alias("v"))).substr(F.lit(6), F.lit(1 << 20))) for k, v in fields.items()]
+    lines = [F.concat(F.lit(f"{k}: "), F.to_json(F.struct(F.coalesce(v, F.lit("")).alias("v"))).substr(F.lit(6), F.lit(1 << 30))) for k, v in fields.items()]
     head = F.concat(F.lit("---\n"), F.array_join(F.transform(F.array(*lines), lambda x: F.regexp_replace(x, "\\}$", "")), "\n"), F.lit("\n---\n\n"))
     return pages.select("title", F.concat(F.lit("wikipedia_"), name, F.lit(".txt")).alias("file_name"), F.concat(head, F.trim("wikitext"), F.lit("\n")).alias("text"))
 

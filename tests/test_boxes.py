@@ -77,6 +77,51 @@ def test_idle_keys_are_forgotten():
     assert len(list(better.handleInputRows((1,), frame((1, 5, 0.5)), Clock(200)))) == 1
 
 
+def test_heading_sizes_equal_the_converter(spark):
+    import random
+
+    from strataforge.sources.convert import heading_sizes
+
+    rnd = random.Random(6)
+    docs = {k: [(rnd.choice([9.0, 10.0, 10.4, 11.0, 14.0, 18.0, 24.0][: 1 + k % 7]), False, "x" * rnd.randrange(1, 40)) for _ in range(rnd.randrange(1, 30))] for k in range(40)}
+    lines = spark.createDataFrame([(k, s, len(t)) for k, spans in docs.items() for s, _, t in spans], "doc int, size double, weight int")
+    got = {r.doc: (r.body, r.headings) for r in boxes.heading_sizes(lines, ["doc"]).collect()}
+    assert got == {k: heading_sizes(spans) for k, spans in docs.items()}
+
+
+def test_pages_are_written_row_by_row(spark, tmp_path):
+    from strataforge.operators import stages
+
+    ev = spark.createDataFrame([("t", f"e{i}", f"c{i}", "d", "ch01", 3, f"text {i}") for i in range(20)] + [("u", "e", "c", "d", "ch01", 1, " x ")], "topic string, evidence_id string, chunk_id string, document_id string, chapter_id string, token_count int, content_preview string")
+    stages.write_pages(ev, "dom", str(tmp_path / "wiki"))
+    whole = {r.topic: r.page for r in stages.wiki_pages(ev, "dom").collect()}
+    for topic in "tu":
+        found = list((tmp_path / "wiki" / f"topic={topic}").glob("*.txt"))
+        assert len(found) == 1 and found[0].read_text() == whole[topic] + "\n"
+    assert "collect_list" not in stages.page_lines(ev, "dom")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pdf_names_and_downloads(spark):
+    from strataforge.functions import papers as P
+
+    cases = {
+        ("Deep Work (Jane Doe, Max Roe, Ada Poe) (2016) (z-lib.org)", None, None): "Deep Work - Doe, Roe et al. (2016)",
+        ("scan 1999", "A title (libgen)", "Ann Lee; Bo Chi etc."): "A title - Lee, Chi (1999)",
+        ("A title (Ann Lee) 1850-1999", "", "Someone Else"): "A title 1850-1999 - Else (1850)",
+        ("name_only", "", ""): "name_only",
+        ("(sci-hub)", None, "X"): "(sci-hub) - X",
+        ('a<b>:c "d"', None, None): "a_b_c _d",
+        ("word " * 40, None, None): "word " * 23 + "word",
+    }
+    df = spark.createDataFrame([(*k, i) for i, k in enumerate(cases)], "stem string, title string, author string, i int")
+    got = {r.i: r.n for r in df.select("i", P.pdf_name(P.F.col("stem"), P.F.col("title"), P.F.col("author")).alias("n")).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+    answers = spark.createDataFrame([("u.PDF", 200, "application/octet", 5000), ("u", 200, "text/html; x", 1024), ("u", 200, "text/html", 1023), ("u", 404, "application/pdf", 9999), ("u", 200, "image/png", 9999), ("u", 200, None, 9999)], "url string, status int, kind string, size int")
+    assert [r[0] for r in answers.select(P.download_ending(P.F.col("url"), P.F.col("status"), P.F.col("kind"), P.F.col("size"))).collect()] == [".pdf", ".html", None, None, None, None]
+    row = spark.range(1).select(P.download_urls(P.F.lit(""), P.F.lit("f"), P.F.lit("10/x")).alias("u"), P.download_path(P.F.lit(None).cast("string"), P.F.lit(2020), P.F.lit("PMC-1"), P.F.lit("A b!"), P.F.lit(".pdf")).alias("p")).first()
+    assert row.u == ["f", "https://doi.org/10/x"] and row.p == "unknown/2020_PMC1_A_b.pdf"
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_box_tables_do_not_depend_on_partitions(spark, sf, parts):
     from strataforge import queries as Q
