@@ -862,9 +862,11 @@ def stream_upsert(spark, d):
     return upsert.streamed_upsert(rows, "user_id", "value", ["ts", "event_id"]).withColumn("ts", F.col("ts").cast(schema["ts"].dataType))
 
 
-#: Those chapters as blocks (a heading, then a block a line), blocks above the maximum as pieces, pieces packed one after the other.
+#: Those chapters as blocks (a heading, its first two lines if they are of one kind, then a block a line), blocks above the maximum as pieces, pieces packed one after the other.
 CHUNK_PLAN = CHAPTERS + r""", kept AS (SELECT doc_id, chapter, title FROM t WHERE word_count >= 30),
-lines AS (SELECT l.doc_id, pos // 5 + 1 AS chapter, pos % 5 + 1 AS b, CASE WHEN pos % 5 = 0 THEN ltrim(line) WHEN pos % 5 = 4 OR pos = max(pos) OVER (PARTITION BY l.doc_id) THEN rtrim(line) ELSE line END AS text FROM l),
+raw AS (SELECT l.doc_id, pos // 5 + 1 AS chapter, pos, CASE WHEN pos % 5 = 0 THEN ltrim(line) WHEN pos % 5 = 4 OR pos = max(pos) OVER (PARTITION BY l.doc_id) THEN rtrim(line) ELSE line END AS text, contains(line, '|') AND length(trim(line)) > 2 AS tabled FROM l),
+paired AS (SELECT *, lag(tabled) OVER (PARTITION BY doc_id, chapter ORDER BY pos) AS before FROM raw), linked AS (SELECT *, max(CASE WHEN pos % 5 = 1 AND tabled = before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, chapter) AS one FROM paired),
+lines AS (SELECT doc_id, chapter, pos % 5 + 1 - CASE WHEN pos % 5 >= 1 THEN one ELSE 0 END AS b, string_agg(text, chr(10) ORDER BY pos) AS text FROM linked GROUP BY ALL),
 blocks AS (SELECT doc_id, chapter, 0 AS b, '## ' || trim(title) AS text, true AS head FROM kept UNION ALL SELECT lines.doc_id, lines.chapter, b, text, false FROM lines JOIN kept ON lines.doc_id = kept.doc_id AND lines.chapter = kept.chapter WHERE trim(text) <> ''),
 sized AS (SELECT *, len(regexp_extract_all(text, '\S+')) AS n FROM blocks), long AS (SELECT * FROM sized WHERE n > 500 AND NOT head AND NOT (contains(text, '|') AND length(trim(text)) > 2)),
 parts AS (SELECT doc_id, chapter, b, list_filter(list_transform(string_split(regexp_replace(trim(text), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS ss FROM long),
