@@ -200,13 +200,6 @@ def download_urls(pdf: Column, fulltext: Column, doi: Column) -> Column:
     return F.array_compact(F.array(F.nullif(pdf, F.lit("")), F.nullif(fulltext, F.lit("")), resolver))
 
 
-def download_ending(url: Column, status: Column, kind: Column, size: Column) -> Column:
-    """.pdf or .html for an answer that is a paper; null for any other status, type, or one that is too short."""
-    is_pdf = F.contains(F.coalesce(kind, F.lit("")), F.lit("pdf")) | F.lower(url).endswith(".pdf")
-    ending = F.when(is_pdf, ".pdf").when(F.contains(F.coalesce(kind, F.lit("")), F.lit("html")), ".html")
-    return F.when((status == 200) & (size >= LEAST_BYTES), ending)
-
-
 def best_url(pdf: Column, fulltext: Column, doi: Column) -> Column:
     """The PDF, else the full text, else the DOI's resolver."""
     resolver = F.when(F.length(F.coalesce(doi, F.lit(""))) > 0, F.concat(F.lit("https://doi.org/"), doi))

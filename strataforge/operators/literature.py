@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataforge.functions.papers import fixed_part, paper_text, raw_score, study_type
-from strataforge.operators.rounds import kept
+from strataforge.operators.rounds import dropped, kept
 
 
 TERMS = "array<struct<topic:string,keywords:array<string>,boost_terms:array<string>,penalty_terms:array<string>>>"
@@ -86,7 +86,8 @@ def first_wins(rows: DataFrame, keys: Column, groups: list[str], order: list[str
         done.append(stays)
         taken = kept(first.join(stays, "_row", "left_semi").select("where", "key"))
         gone = left.join(taken, ["where", "key"], "left_semi").select("_row").distinct()
-        left = kept(left.join(gone, "_row", "left_anti"))
+        before, left = left, kept(left.join(gone, "_row", "left_anti"))
+        dropped(before, first, taken)
     else:
         raise RuntimeError(f"rows are not decided after {rounds} rounds")
     return numbered.join(reduce(DataFrame.unionByName, done), "_row", "left_semi").drop("_row")

@@ -34,3 +34,12 @@ def kept(df: DataFrame) -> DataFrame:
     path = new_folder(df)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(*written: DataFrame) -> None:
+    """Deletes the files of tables made by kept() that nothing reads any more."""
+    for df in written:
+        spark = df.sparkSession
+        for parent in {name.rpartition("/")[0] for name in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

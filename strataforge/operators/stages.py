@@ -111,9 +111,9 @@ def chapter_toc(chapters: DataFrame) -> DataFrame:
     return chapters.groupBy("document_id").agg(F.max("chapters_total").alias("chapters_total"), F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("toc"))
 
 
-#: What Spark's own planner leaves to Python: fences, quotes, lists, and line ends or blanks that only Python takes for such.
-NOT_PLAIN = "(?m)^[ \\t]*(?:```|~~~|>)|^\\s*(?:[-*+]|\\d+[.)])\\s+|[\\r\\x0B\\x0C\\x1C-\\x1F\\x85\\u2028\\u2029]"
-EDGES = "(?U)^\\s+|\\s+$"
+#: What Spark's own planner leaves to Python: fences, quotes, lists, line ends other than \\n and blanks other than space and tab.
+NOT_PLAIN = "(?m)^[ \\t]*(?:```|~~~|>)|^\\s*(?:[-*+]|\\d+[.)])\\s+|[\\r\\x0B\\x0C\\x1C-\\x1F\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
+BLANKS = " \t\n"
 
 
 def plain_blocks(body: Column) -> Column:
@@ -121,9 +121,9 @@ def plain_blocks(body: Column) -> Column:
     the block behind it. Lines that stand together make a block if they are of one kind; a heading is one alone."""
     def kind(line: Column) -> Column:
         def of(t: Column) -> Column:
-            return F.when(t == "", "").when(t.rlike("^#{1,6}\\s+"), "h").when(F.contains(t, F.lit("|")) & (F.length(t) > 2), "t").otherwise("p")
+            return F.when(t == "", "").when(F.startswith(t, F.lit("#")) & t.rlike("^#{1,6}\\s+"), "h").when(F.contains(t, F.lit("|")) & (F.length(t) > 2), "t").otherwise("p")
 
-        return F.transform(F.array(F.regexp_replace(line, EDGES, "")), of)[0]
+        return F.transform(F.array(F.btrim(line, F.lit(BLANKS))), of)[0]
 
     def cut(lines: Column, kinds: Column) -> Column:
         places = F.sequence(F.lit(1), F.size(lines))
@@ -136,7 +136,7 @@ def plain_blocks(body: Column) -> Column:
 
     lines = F.split(body, "\n")
     found = F.transform(F.array(F.struct(lines.alias("lines"), F.transform(lines, kind).alias("kinds"))), lambda x: cut(x["lines"], x["kinds"]))[0]
-    return F.transform(found, lambda b: F.struct(b["heading"].alias("heading"), b["table"].alias("table"), b["text"].alias("text"), token_count(b["text"]).alias("n")))
+    return F.transform(found, lambda b: F.struct(b["heading"].alias("heading"), b["table"].alias("table"), b["text"].alias("text"), F.regexp_count(b["text"], F.lit("[^ \t\n]+")).alias("n")))
 
 
 def folded(blocks: Column, target: int, maximum: int) -> Column:
@@ -163,7 +163,7 @@ def chunks_of_blocks(blocks: Column, ends: Column) -> Column:
     def chunk(end: Column, place: Column) -> Column:
         start = F.when(place > 0, F.element_at(ends, F.greatest(place, F.lit(1)))).otherwise(0)
         own = F.slice(blocks, start + 1, end - start)
-        text = F.regexp_replace(F.array_join(F.transform(own, lambda b: b["text"]), "\n\n"), EDGES, "")
+        text = F.btrim(F.array_join(F.transform(own, lambda b: b["text"]), "\n\n"), F.lit(BLANKS))
         last = numbers(end) + F.when(F.element_at(blocks, end)["heading"], 1).otherwise(0)
         return F.struct(F.concat(text, F.lit("\n")).alias("content"), F.aggregate(own, F.lit(0), lambda n, b: n + b["n"]).alias("token_count"), (numbers(start) + 1).alias("paragraph_start"), last.alias("paragraph_end"))
 

@@ -59,9 +59,9 @@ def test_plain_chapters_are_planned_without_python(spark):
     from strataforge.operators import stages, textplan
 
     rnd = random.Random(5)
-    words = lambda n: " ".join(rnd.choices(["one", "two.", "three", "a|b", "vier", "\u00a0x"], k=n))
+    words = lambda n: " ".join(rnd.choices(["one", "two.", "three", "a|b", "vier", "\tx"], k=n))
     parts = [lambda: f"## {words(3)}", lambda: words(rnd.randrange(1, 260)), lambda: f"{words(9)}\n{words(5)}", lambda: "| a | b |\n| - | - |\n| c | d |", lambda: f"text before\n| a | {words(40)} |\ntext after\n# Head\nmore", lambda: " " * 3, lambda: f"   {words(30)}  "]
-    odd = [lambda: "- item\n  more", lambda: "> quote", lambda: "```\n# no\n```", lambda: words(700), lambda: "a\u2028b", lambda: "x\ry"]
+    odd = [lambda: "- item\n  more", lambda: "> quote", lambda: "```\n# no\n```", lambda: words(700), lambda: "a\u2028b", lambda: "x\ry", lambda: "\u00a0x\u3000"]
     bodies = ["", "\n\n", "one", "# h", "# h\n## i"] + ["\n\n".join(rnd.choice(parts if k % 3 else [*parts, *odd])() for _ in range(rnd.randrange(1, 25))) for k in range(150)]
     df = spark.createDataFrame([(f"d{i}", 1, b) for i, b in enumerate(bodies)], "document_id string, chapter int, body string")
     df = df.selectExpr("*", "'s' AS source_id", "'d' AS domain", "'t' AS topic", "'f' AS source_file", "'f' AS file_name", "'x' AS title", "'' AS created_at", "'' AS updated_at", "1 AS word_count", "'' AS preamble")

@@ -254,6 +254,32 @@ def test_a_failed_write_leaves_the_store_as_it_was(spark, tmp_path):
     assert {n: (tmp_path / "store" / n).read_bytes() for n in os.listdir(path)} == before
 
 
+def test_downloads(spark, tmp_path):
+    from strataforge.sources import downloads as D
+
+    big, asked = b"x" * 2000, tmp_path / "asked"
+    asked.mkdir()
+    answers = {"http://a/1.PDF": (200, "application/octet-stream", big), "http://a/2": (200, "text/html; charset=x", big), "http://a/short.pdf": (200, "application/pdf", b"x"), "http://b/4": (404, "", b""), "https://doi.org/10/4": (200, "image/png", big)}
+
+    def ask(url):
+        import uuid
+
+        (asked / uuid.uuid4().hex).write_text(url)
+        return answers.get(url, (0, "", b""))
+
+    rows = [(1, "pubmed", "PMC-1", "First one!", 2020, "http://a/1.PDF", None, None), (2, "", "x", "Second", None, "", "http://a/2", None), (3, "doaj", "y", "Third", 2019, "http://a/short.pdf", "http://a/2", None), (4, "plos", "z", "Fourth", 2018, "http://b/4", None, "10/4"), (5, "plos", "n", "None", 2018, None, None, None)]
+    papers_ = spark.createDataFrame(rows, "paper_id long, source string, external_id string, title string, year int, pdf_url string, fulltext_url string, doi string")
+    got = {r.paper_id: tuple(r)[1:] for r in D.downloads(papers_, str(tmp_path / "raw"), 1000.0, ask).collect()}
+    assert got["1"] == ("http://a/1.PDF", "pubmed/2020_PMC1_First_one.pdf", None) and got["2"] == ("http://a/2", "unknown/0000_x_Second.html", None) and got["3"] == ("http://a/2", "doaj/2019_y_Third.html", None)
+    assert got["4"] == (None, None, "http://b/4: status 404; https://doi.org/10/4: type image/png") and got["5"] == (None, None, "no address")
+    assert (tmp_path / "raw" / "pubmed" / "2020_PMC1_First_one.pdf").read_bytes() == big and not list((tmp_path / "raw").rglob("*.part"))
+    before = len(list(asked.iterdir()))
+    again = {r.paper_id: r.path for r in D.downloads(papers_, str(tmp_path / "raw"), 1000.0, ask).collect()}
+    assert again == {k: v[1] for k, v in got.items()} and len(list(asked.iterdir())) == before + 2, "only what failed is asked for again"
+    assert D.answered("http://127.0.0.1:9/none")[0] == 0 and D.answered("nonsense")[0] == 0
+    assert D.downloads(papers_.limit(0), str(tmp_path / "raw")).count() == 0
+
+
 def test_markdown_layer(spark, tmp_path):
     folder = tmp_path / "30" / "sub"
     folder.mkdir(parents=True)
