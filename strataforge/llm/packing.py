@@ -34,7 +34,7 @@ from strataforge.llm.common import Shared, written
 
 SIZES = (256, 512, 1024, 2048, 4096)
 #: Pieces that a window ranks, or about so.
-RANKED = 2000
+RANKED = 500
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Bytes of piece texts that a batch holds.
 BATCH = 16 << 20
