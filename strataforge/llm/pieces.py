@@ -40,7 +40,7 @@ from strataforge.llm.common import Shared
 
 MARK = "▁"
 #: Characters of a chunk up to which agendas are rows of one table, and rows of it; bytes of texts that are encoded together.
-SHORT, ROWS, GROUP = 24, 4096, 6 << 20
+SHORT, ROWS, GROUP = 24, 4096, 12 << 20
 #: Rows of a batch of results.
 GIVEN = 250
 #: Symbols that are no pieces.
