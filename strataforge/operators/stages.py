@@ -5,7 +5,7 @@ names, so chapters of one document cannot overwrite each other."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -18,23 +18,39 @@ from strataforge.functions.vectors import MODEL, hash_vector
 from strataforge.operators import textplan
 
 
-def planned(df: DataFrame, args: list[str], plan: Callable[..., list[tuple]], made: str, drop: tuple[str, ...] = ()) -> DataFrame:
+#: Characters and bytes that `planned` reads and makes before it hands rows on: Spark's batches are as large as 64 MB or 10,000 rows.
+AT_ONCE = 1 << 20
+
+
+def planned(df: DataFrame, args: list[str], plan: Callable[..., Iterable[tuple]], made: str, drop: tuple[str, ...] = ()) -> DataFrame:
     """Applies a planner to the args of each row; every tuple that it returns becomes a row with the made columns beside the
-    row's others (args in drop excepted). One Arrow pass: nothing is joined back, nothing shuffled."""
+    row's others (args in drop excepted). One Arrow pass: nothing is joined back, nothing shuffled. Rows leave in small batches, so
+    Python holds the objects of about AT_ONCE characters, or of one row that is larger, whatever a batch has."""
     fields = T.StructType.fromDDL(made)
     kept = [c for c in df.columns if c not in drop and c not in fields.names]
     kinds = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            index, rows = [], []
-            for i, values in enumerate(zip(*(batch.column(a).to_pylist() for a in args), strict=True)):
-                out = plan(*values)
-                rows += out
-                index += [i] * len(out)
-            columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
+        size = lambda values: sum(len(x) for x in values if isinstance(x, (str, bytes)))
+
+        def rows_of(batch: pa.RecordBatch, index: list[int], rows: list[tuple]) -> pa.RecordBatch:
             old = [batch.column(c).take(pa.array(index, pa.int64())) for c in kept]
-            yield pa.RecordBatch.from_arrays([*old, *(pa.array(list(c), f.type) for c, f in zip(columns, kinds, strict=True))], [*kept, *fields.names])
+            return pa.RecordBatch.from_arrays([*old, *(pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), kinds, strict=True))], [*kept, *fields.names])
+
+        for batch in batches:
+            index, rows, held = [], [], 0
+            for i, scalars in enumerate(zip(*(batch.column(a) for a in args), strict=True)):
+                values = [x.as_py() for x in scalars]
+                held += size(values)
+                for row in plan(*values):
+                    rows.append(row)
+                    index.append(i)
+                    held += size(row)
+                    if held >= AT_ONCE:
+                        yield rows_of(batch, index, rows)
+                        index, rows, held = [], [], 0
+            if rows:
+                yield rows_of(batch, index, rows)
 
     return df.mapInArrow(run, T.StructType([*(df.schema[c] for c in kept), *fields.fields]))
 
@@ -92,10 +108,10 @@ def document_text(documents: DataFrame) -> Column:
 
 def split_chapters(documents: DataFrame, level: int | None = None, min_words: int = 30, parity: bool = False) -> DataFrame:
     """A row per chapter with at least min_words words; numbers and totals count all chapters of the document."""
-    def plan(body: str | None) -> list[tuple]:
+    def plan(body: str | None) -> Iterator[tuple]:
         before, found, deep = textplan.chapters(body or "", level, parity)
         intro = "\n".join(before).strip()
-        return [(c.number, len(found), deep, c.title, c.body, c.words, intro) for c in found if c.words >= min_words]
+        return ((c.number, len(found), deep, c.title, c.body, c.words, intro) for c in found if c.words >= min_words)
 
     rows = documents.drop("warnings", "changed", "extra")
     cut = planned(rows, ["body"], plan, "chapter int, chapters_total int, split_level int, title string, body string, word_count int, preamble string")

@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from strataforge.operators import audit, cleanup, incremental, literature, retrieval, stages, validate, wikigraph
+from strataforge.operators import audit, cleanup, incremental, literature, retrieval, stages, textplan, validate, wikigraph
 from strataforge.plans import bootstrap, registry
 from strataforge.plans.runner import Blocked, Settings, Workspace, run
 from strataforge.sources import dump, files, papers
@@ -331,6 +331,48 @@ def test_hash_vector_and_toc(spark):
     assert toc == "  1. [A](d_001_A.md)  _420 Wörter_\n  2. [B](d_002_B.md)  _420 Wörter_"
 
 
+class Caught:
+    """A DataFrame whose Arrow pass is given back as a function."""
+
+    def __init__(self, df):
+        self.columns, self.schema = df.columns, df.schema
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_planners_hand_on_rows_before_a_batch_ends(spark):
+    import pyarrow as pa
+
+    texts, seen = ["x" * 10_000 + str(i) for i in range(1_000)] + [None, ""], []
+
+    def plan(text):
+        seen.append(text)
+        return [(k, text) for k in range(len(text or "") % 3)]
+
+    run = stages.planned(Caught(spark.createDataFrame([], "id long, body string")), ["body"], plan, "k int, body string")
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["id", "body"])
+    made = run(iter([batch]))
+    parts = [next(made)]
+    assert len(seen) < 200
+    parts += made
+    assert max(p.nbytes for p in parts) < 2 * stages.AT_ONCE and seen == texts
+    rows = [tuple(r.values()) for p in parts for r in p.to_pylist()]
+    assert rows == [(i, k, t) for i, t in enumerate(texts) for k in range(len(t or "") % 3)]
+
+
+def test_chapters_of_one_document_leave_in_parts(spark):
+    import pyarrow as pa
+
+    names = ["document_id", "source_id", "domain", "topic", "source_file", "body"]
+    body = f"# T\n{'intro ' * 20_000}\n" + "".join(f"## C{i}\n{'word ' * 30}\n" for i in range(100))
+    docs = Caught(spark.createDataFrame([], ", ".join(f"{c} string" for c in names)))
+    kinds = "chapter int, body string, preamble string"
+    run = stages.planned(docs, ["body"], lambda b: ((c.number, c.body, "\n".join(before)) for before, found, _ in [textplan.chapters(b)] for c in found), kinds)
+    parts = list(run(iter([pa.RecordBatch.from_arrays([pa.array([body if c == "body" else "d"]) for c in names], names)])))
+    assert len(parts) > 5 and [n for p in parts for n in p.column("chapter").to_pylist()] == list(range(1, 101))
+
+
 def test_document_and_chunk_files(spark):
     raw = spark.createDataFrame([("d", "s/a.md", "md", "t", "h", "---\ntopic: \"old\"\nz: 1\nb: x\n---\n# A\n\n[source 1]\n")], "document_id string, rel_path string, ext string, mtime string, sha256 string, markdown string")
     docs = stages.normalise_documents(raw, "dom")
