@@ -108,3 +108,31 @@ def test_spark(spark):
     got = {r.rel_path: r for r in C.to_markdown(raw).collect()}
     assert "| 1 | 2 |" in got["s/a.csv"].markdown and got["s/b.docx"].error and got["s/c.html"].markdown
     assert C.to_markdown(raw, {"zzz": lambda d, n: "own"}).columns == ["rel_path", "ext", "markdown", "error"]
+
+
+def test_files_leave_python_before_a_batch_ends(spark):
+    import pyarrow as pa
+
+    class Caught:
+        """A DataFrame whose Arrow pass is given back as a function."""
+
+        columns, schema = ["rel_path", "ext", "content"], spark.createDataFrame([], "rel_path string, ext string, content binary").schema
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    seen = []
+
+    def own(data, name):
+        seen.append(name)
+        return f"{name} {len(data)}"
+
+    data = [b"x" * 10_000] * 1_000 + [None]
+    names = [f"s/{i}.zzz" for i in range(len(data))]
+    batch = pa.RecordBatch.from_arrays([pa.array(names), pa.array(["zzz"] * len(data)), pa.array(data)], Caught.columns)
+    made = C.to_markdown(Caught(), {"zzz": own})(iter([batch]))
+    parts = [next(made)]
+    assert len(seen) < 200
+    parts += made
+    assert [tuple(r.values()) for p in parts for r in p.to_pylist()] == [(n, "zzz", f"{n[2:]} {len(d or b'')}", None) for n, d in zip(names, data)]
+    assert "ArrowEvalPython" not in C.to_markdown(spark.createDataFrame([], Caught.schema))._jdf.queryExecution().toString()
